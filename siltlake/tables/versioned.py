@@ -1,0 +1,296 @@
+"""Parquet tables whose every commit is a readable version.
+
+Layout below the table path::
+
+    data/commit=<id>/[<partition>=<value>/]part-*.parquet
+    versions/<n>.json        the folders that make up version n
+
+A commit writes a new ``commit=`` folder with an ordinary Spark write, then
+creates the next manifest in one rename. Readers therefore see a version
+whole or not at all, a commit that dies midway leaves only unlisted files,
+and of two writers racing for one version number the later one fails.
+Folders of partitions a commit did not touch are carried over by name, so
+work follows the touched partitions and not the table.
+"""
+
+from __future__ import annotations
+
+import json
+import time
+import uuid
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from siltlake.tables.files import Files
+
+TARGET_FILE_BYTES = 134_217_728
+
+
+class ConcurrentCommitError(RuntimeError):
+    """Another writer committed first; read the new version and try again."""
+
+
+@dataclass(frozen=True)
+class Version:
+    number: int
+    schema: StructType
+    # Partition value (None for unpartitioned tables) to folders below data/.
+    folders: dict[str | None, list[str]]
+    # Last batch number applied by each named stream.
+    applied: dict[str, int] = field(default_factory=dict)
+    # Folders this very commit wrote, and their rows.
+    written: list[str] = field(default_factory=list)
+    rows_written: int = 0
+    committed_ms: int = 0
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, partition_by: str | None = None):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.declared_schema = schema
+        self.partition_by = partition_by
+        self._files = Files(spark)
+
+    # -- versions ---------------------------------------------------------
+
+    def version_numbers(self) -> list[int]:
+        names = self._files.names(f"{self.path}/versions")
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
+
+    def exists(self) -> bool:
+        return bool(self.version_numbers())
+
+    def version(self, number: int | None = None) -> Version:
+        """A committed version, the last one by default; number 0 is empty."""
+        if number is None:
+            number = max(self.version_numbers(), default=0)
+        if number == 0:
+            return Version(0, self.declared_schema, {})
+        text = self._files.read_text(f"{self.path}/versions/{number:012d}.json")
+        saved = json.loads(text)
+        return Version(
+            number=number,
+            schema=StructType.fromJson(saved["schema"]),
+            folders={value: names for value, names in saved["folders"]},
+            applied=saved["applied"],
+            written=saved["written"],
+            rows_written=saved["rows_written"],
+            committed_ms=saved["committed_ms"],
+        )
+
+    def has_applied(self, stream: str, batch: int) -> bool:
+        return self.version().applied.get(stream, -1) >= batch
+
+    # -- reads ------------------------------------------------------------
+
+    def read(self, version: int | None = None, partitions: Iterable | None = None) -> DataFrame:
+        """A version as a frame, optionally only some partition values.
+
+        Filters on the partition column of the result prune folders too.
+        """
+        found = self.version(version)
+        wanted = None if partitions is None else {_text(p) for p in partitions}
+        names = [
+            name
+            for value, names in found.folders.items()
+            if wanted is None or value in wanted
+            for name in names
+        ]
+        return self._read_folders(names, found.schema)
+
+    def read_batch(self, stream: str, batch: int) -> DataFrame:
+        """The rows one batch of a named stream added."""
+        later: Version | None = None
+        for number in reversed(self.version_numbers()):
+            found = self.version(number)
+            if found.applied.get(stream) != batch and later is not None:
+                break
+            later = found if found.applied.get(stream) == batch else None
+        if later is not None:
+            return self._read_folders(later.written, later.schema)
+        raise LookupError(f"batch {batch} of {stream} was not applied to {self.path}")
+
+    def _read_folders(self, names: list[str], schema: StructType) -> DataFrame:
+        if not names:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/data")
+        return reader.parquet(*[f"{self.path}/data/{name}" for name in names]).select(*schema.fieldNames())
+
+    # -- commits ----------------------------------------------------------
+
+    def append(self, df: DataFrame, stream: str | None = None, batch: int | None = None) -> Version:
+        """Add rows. New columns widen the table; older rows read them as NULL."""
+
+        def combine(base: Version, written: dict) -> dict:
+            folders = {value: list(names) for value, names in base.folders.items()}
+            for value, names in written.items():
+                folders.setdefault(value, []).extend(names)
+            return folders
+
+        return self._commit(df, combine, stream, batch)
+
+    def replace(self, df: DataFrame) -> Version:
+        """Make ``df`` the whole content, schema included."""
+        return self._commit(df, lambda base, written: written, schema=df.schema)
+
+    def replace_partitions(
+        self,
+        df: DataFrame,
+        values: Iterable,
+        base: Version | None = None,
+        stream: str | None = None,
+        batch: int | None = None,
+    ) -> Version:
+        """Replace the named partitions by ``df``; the others carry over."""
+        gone = {_text(v) for v in values}
+
+        def combine(current: Version, written: dict) -> dict:
+            if not set(written) <= gone:
+                raise ValueError(f"rows outside the replaced partitions: {sorted(set(written) - gone)[:5]}")
+            kept = {value: names for value, names in current.folders.items() if value not in gone}
+            return {**kept, **written}
+
+        return self._commit(df, combine, stream, batch, base=base)
+
+    def _commit(
+        self,
+        df: DataFrame,
+        combine: Callable[[Version, dict], dict],
+        stream: str | None = None,
+        batch: int | None = None,
+        schema: StructType | None = None,
+        base: Version | None = None,
+    ) -> Version:
+        base = base or self.version()
+        schema = schema or widen(base.schema, df.schema)
+        commit = f"commit={base.number + 1:012d}-{uuid.uuid4().hex[:8]}"
+        rows = Observation()
+        writer = df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
+        if self.partition_by:
+            writer = writer.partitionBy(self.partition_by)
+        writer.parquet(f"{self.path}/data/{commit}")
+        written = self._written(commit)
+        version = Version(
+            number=base.number + 1,
+            schema=schema,
+            folders=combine(base, written),
+            applied=base.applied if stream is None else {**base.applied, stream: batch},
+            written=[name for names in written.values() for name in names],
+            rows_written=rows.get["rows"],
+            committed_ms=int(time.time() * 1000),
+        )
+        self._publish(version)
+        return version
+
+    def _written(self, commit: str) -> dict[str | None, list[str]]:
+        if not self.partition_by:
+            return {None: [commit]}
+        prefix = f"{self.partition_by}="
+        names = self._files.names(f"{self.path}/data/{commit}")
+        return {n[len(prefix) :]: [f"{commit}/{n}"] for n in names if n.startswith(prefix)}
+
+    def _publish(self, version: Version) -> None:
+        text = json.dumps(
+            {
+                "schema": json.loads(version.schema.json()),
+                "folders": list(version.folders.items()),
+                "applied": version.applied,
+                "written": version.written,
+                "rows_written": version.rows_written,
+                "committed_ms": version.committed_ms,
+            }
+        )
+        path = f"{self.path}/versions/{version.number:012d}.json"
+        if not self._files.create_text(path, text):
+            raise ConcurrentCommitError(f"version {version.number} of {self.path} exists already")
+
+    # -- upkeep -----------------------------------------------------------
+
+    def compact(self, target_bytes: int = TARGET_FILE_BYTES) -> Version | None:
+        """Rewrite partitions that hold more files than their size asks for.
+
+        A map-only job per such partition: the scan packs small files into
+        splits of the target size and each split is written as one file.
+        Returns None when nothing was worth rewriting.
+        """
+        base = self.version()
+        folders = {value: list(names) for value, names in base.folders.items()}
+        packing = self.spark.newSession()
+        packing.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+        packing.conf.set("spark.sql.files.minPartitionNum", "1")
+        packing.conf.set("spark.sql.files.openCostInBytes", "0")
+        packed_any = False
+        for value, names in base.folders.items():
+            size, count = self._size(names)
+            if count <= max(1, -(-size // target_bytes)):
+                continue
+            packed = VersionedTable(packing, self.path, base.schema, self.partition_by)
+            commit = f"commit={base.number + 1:012d}-{uuid.uuid4().hex[:8]}"
+            writer = packed._read_folders(names, base.schema).write.mode("errorifexists")
+            if self.partition_by:
+                writer = writer.partitionBy(self.partition_by)
+            writer.parquet(f"{self.path}/data/{commit}")
+            folders.update(self._written(commit))
+            packed_any = True
+        if not packed_any:
+            return None
+        version = Version(
+            base.number + 1, base.schema, folders, base.applied, committed_ms=int(time.time() * 1000)
+        )
+        self._publish(version)
+        return version
+
+    def _size(self, names: list[str]) -> tuple[int, int]:
+        sizes = [self._files.size(f"{self.path}/data/{name}") for name in names]
+        return sum(s for s, _ in sizes), sum(c for _, c in sizes)
+
+    def data_files(self) -> int:
+        """Data files of the current version."""
+        return sum(self._size(names)[1] for names in self.version().folders.values())
+
+    def expire(self, older_than_ms: int) -> list[int]:
+        """Drop versions committed before the given epoch time, never the
+        current one, then the folders no remaining version lists."""
+        numbers = self.version_numbers()
+        if not numbers:
+            return []
+        dropped = [n for n in numbers[:-1] if self.version(n).committed_ms < older_than_ms]
+        for number in dropped:
+            self._files.delete(f"{self.path}/versions/{number:012d}.json")
+        listed = {
+            name for n in numbers if n not in dropped for names in self.version(n).folders.values() for name in names
+        }
+        kept_commits = {name.split("/")[0] for name in listed}
+        for commit in self._files.names(f"{self.path}/data"):
+            folder = f"{self.path}/data/{commit}"
+            if self._files.modified_ms(folder) >= older_than_ms:
+                continue  # may belong to a commit still being written
+            if commit not in kept_commits:
+                self._files.delete(folder)
+                continue
+            for name in self._files.names(folder):
+                if "=" in name and f"{commit}/{name}" not in listed and commit not in listed:
+                    self._files.delete(f"{folder}/{name}")
+        return dropped
+
+
+def widen(old: StructType, new: StructType) -> StructType:
+    """``old`` plus the columns only ``new`` has; a changed type is refused."""
+    types = {f.name: f.dataType for f in old.fields}
+    added = []
+    for f in new.fields:
+        if f.name not in types:
+            added.append(StructField(f.name, f.dataType, True))
+        elif types[f.name] != f.dataType:
+            raise TypeError(f"column {f.name} is {types[f.name].simpleString()}, not {f.dataType.simpleString()}")
+    return StructType([*old.fields, *added])
+
+
+def _text(value) -> str | None:
+    """A partition value as Spark writes it in a folder name."""
+    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
