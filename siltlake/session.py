@@ -28,6 +28,12 @@ def build_session(app_name: str = "siltlake", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
+def apply_settings(spark: SparkSession) -> None:
+    """Settings that results depend on, for a session built elsewhere."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+        spark.conf.set(key, SETTINGS[key])
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

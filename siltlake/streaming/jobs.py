@@ -51,6 +51,25 @@ def ingest_files(
     return _each_batch(raw, take, checkpoint, trigger, f"ingest_{spec.name}")
 
 
+def ingest_bronze(
+    lake: Lake,
+    spec: TableSpec,
+    path: str,
+    checkpoint: str,
+    trigger: Trigger = AVAILABLE_NOW,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Flat change files into bronze only."""
+    raw = stream_changes(lake.spark, path, spec, max_files_per_trigger)
+    table = lake.bronze(spec)
+
+    def take(batch: DataFrame, number: int) -> None:
+        if not table.has_applied(checkpoint, number):
+            append_bronze(table, normalise(batch, spec, _now()), checkpoint, number)
+
+    return _each_batch(raw, take, checkpoint, trigger, f"bronze_{spec.name}")
+
+
 def ingest_messages(
     lake: Lake,
     messages: DataFrame,

@@ -19,6 +19,7 @@ import json
 import time
 import uuid
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -28,6 +29,8 @@ from pyspark.sql.types import StructField, StructType
 from siltlake.tables.files import Files
 
 TARGET_FILE_BYTES = 134_217_728
+# Partitions rewritten side by side by a compaction.
+COMPACTION_JOBS = 8
 
 
 class ConcurrentCommitError(RuntimeError):
@@ -224,27 +227,32 @@ class VersionedTable:
         packing.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
         packing.conf.set("spark.sql.files.minPartitionNum", "1")
         packing.conf.set("spark.sql.files.openCostInBytes", "0")
-        packed_any = False
-        for value, names in base.folders.items():
-            size, count = self._size(names)
-            if count <= max(1, -(-size // target_bytes)):
-                continue
-            packed = VersionedTable(packing, self.path, base.schema, self.partition_by)
+        packed = VersionedTable(packing, self.path, base.schema, self.partition_by)
+
+        def rewrite(names: list[str]) -> dict[str | None, list[str]]:
             commit = f"commit={base.number + 1:012d}-{uuid.uuid4().hex[:8]}"
             writer = packed._read_folders(names, base.schema).write.mode("errorifexists")
             if self.partition_by:
                 writer = writer.partitionBy(self.partition_by)
             writer.parquet(f"{self.path}/data/{commit}")
-            folders.update(self._written(commit))
-            packed_any = True
-        if not packed_any:
+            return packed._written(commit)
+
+        worth = [names for names in base.folders.values() if self._has_small_files(names, target_bytes)]
+        if not worth:
             return None
+        with ThreadPoolExecutor(COMPACTION_JOBS) as pool:
+            for written in pool.map(rewrite, worth):
+                folders.update(written)
         version = Version(
             base.number + 1, base.schema, folders, base.applied, committed_ms=int(time.time() * 1000)
         )
         self._publish(version)
         return version
 
+    def _has_small_files(self, names: list[str], target_bytes: int) -> bool:
+        size, count = self._size(names)
+        return count > max(1, -(-size // target_bytes))
+
     def _size(self, names: list[str]) -> tuple[int, int]:
         sizes = [self._files.size(f"{self.path}/data/{name}") for name in names]
         return sum(s for s, _ in sizes), sum(c for _, c in sizes)
