@@ -29,13 +29,17 @@ def least_row(df: DataFrame, group: Sequence[str], order_by: Sequence[str | Colu
 
 
 def _extreme_row(df, group, order_by, pick) -> DataFrame:
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    rank = [c.alias(f"_rank{i}") for i, c in enumerate(order)]
-    rest = [F.col(c) for c in df.columns if c not in group]
-    best = df.groupBy(*group).agg(pick(F.struct(*rank, *rest)).alias("_best"))
+    order = [F.col(c) if isinstance(c, str) else c.alias(f"_rank{i}") for i, c in enumerate(order_by)]
+    rest = [F.col(c) for c in df.columns if c not in group and c not in _plain_names(order_by)]
+    best = df.groupBy(*group).agg(pick(F.struct(*order, *rest)).alias("_best"))
     return best.select(*[F.col(c) if c in group else F.col(f"_best.{c}").alias(c) for c in df.columns])
 
 
+def _plain_names(order_by: Sequence[str | Column]) -> set[str]:
+    """Plain columns of an ordering; they need no second place in the row."""
+    return {c for c in order_by if isinstance(c, str)}
+
+
 def latest_per_key(changes: DataFrame, key: str = "id") -> DataFrame:
     """The last change of each key by source time, then source position."""
     order = ["ts_ms"] + ([POSITION] if POSITION in changes.columns else [])

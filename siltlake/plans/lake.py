@@ -59,6 +59,15 @@ RUN_AUDIT_COLUMNS = [
     ("active_rows", "bigint"),
     ("error", "string"),
 ]
+QUARANTINE_COLUMNS = [
+    ("topic", "string"),
+    ("partition", "int"),
+    ("offset", "bigint"),
+    ("timestamp", "timestamp"),
+    ("source_table", "string"),
+    ("value", "string"),
+    ("processed_at", "timestamp"),
+]
 
 
 def gold_schema(name: str) -> StructType:
@@ -81,6 +90,10 @@ class Lake:
     def gold(self, name: str) -> VersionedTable:
         return self._table(f"gold_{name}", gold_schema(name))
 
+    def quarantine(self) -> VersionedTable:
+        """Messages that no table could take, as they came."""
+        return self._table("quarantine", schema_of(QUARANTINE_COLUMNS))
+
     def run_audit(self) -> VersionedTable:
         return self._table("run_audit", schema_of(RUN_AUDIT_COLUMNS))
 
@@ -101,6 +114,7 @@ class Lake:
         for name in GOLD_COLUMNS:
             tables[f"gold_{name}"] = self.gold(name)
         tables["run_audit"] = self.run_audit()
+        tables["quarantine"] = self.quarantine()
         present = {name: table for name, table in tables.items() if table.exists()}
         for name, table in present.items():
             table.read().createOrReplaceTempView(name)

@@ -58,7 +58,7 @@ def upsert_silver(
     # One value per touched key range: bounded by the number of partitions.
     counts = staged.groupBy(KEY_RANGE).agg(F.count(F.lit(1)).alias("n")).collect()
     touched = [row[KEY_RANGE] for row in counts]
-    small = sum(row["n"] for row in counts) <= BROADCAST_ROWS and files.size(staged_at)[0] <= BROADCAST_BYTES
+    small = sum(row["n"] for row in counts) <= BROADCAST_ROWS and files.summary(staged_at)[0] <= BROADCAST_BYTES
     target = table.read(base.number, touched)
     merged = merge_latest(target, staged, spec, delete_mode, late_delete, broadcast_changes=small)
     if not small:

@@ -56,11 +56,13 @@ def parse_envelopes(
     messages: DataFrame,
     specs: Iterable[TableSpec] = tuple(SPECS.values()),
     processed_at: Column | None = None,
+    keep_text: bool = False,
 ) -> DataFrame:
     """Topic messages to flat event rows, for batch and streaming frames alike.
 
-    A value that is not JSON gives NULL fields and keeps its text in
+    A value that is not an envelope gives NULL fields and keeps its text in
     ``_corrupt_record``; an empty value (a tombstone) gives NULL fields only.
+    ``keep_text`` adds every message's text as ``_text``.
     """
     text = F.col("value").cast("string")
     arrival = F.current_timestamp() if processed_at is None else processed_at
@@ -95,6 +97,7 @@ def parse_envelopes(
         routing_key(F.col("_payload.source.table"), F.col("_payload.op")).alias("routing_key"),
         is_delete(F.col("_payload.op")).alias("is_delete"),
         F.when(unreadable, F.col("_text")).alias(CORRUPT),
+        *(["_text"] if keep_text else []),
     )
 
 
@@ -122,5 +125,13 @@ def table_changes(events: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
+def unclaimed(specs: Iterable[TableSpec]) -> Column:
+    """True for events that belong to none of the given tables and carry
+    something: unreadable text, or a table nobody declared. Tombstones do not."""
+    known = F.coalesce(F.col("source_table").isin([spec.name for spec in specs]), F.lit(False))
+    tombstone = F.col("operation").isNull() & F.col("source_table").isNull() & F.col(CORRUPT).isNull()
+    return ~known & ~tombstone
+
+
 def _image_fields(events: DataFrame) -> list[str]:
     return events.schema["after_state"].dataType.fieldNames()

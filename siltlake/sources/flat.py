@@ -30,13 +30,23 @@ def read_changes(spark: SparkSession, path: str, spec: TableSpec, processed_at:
 
 
 def stream_changes(
-    spark: SparkSession, path: str, spec: TableSpec, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    spec: TableSpec,
+    max_files_per_trigger: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """New change files below ``path`` as raw rows; the checkpoint of the
-    query that reads them remembers which files were taken."""
+    query that reads them remembers which files were taken.
+
+    With ``archive`` taken files move there, so that the folder, which every
+    batch lists, stays short.
+    """
     reader = _reader(spark.readStream, spec)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.json(path)
 
 

@@ -18,13 +18,17 @@ from siltlake.operators.merge import LATE_WINS, SOFT
 from siltlake.operators.route import as_messages, route
 from siltlake.plans.lake import Lake
 from siltlake.plans.layers import append_bronze, upsert_silver
-from siltlake.sources.envelope import parse_envelopes, table_changes
+from siltlake.session import scratch_path
+from siltlake.sources.envelope import parse_envelopes, table_changes, unclaimed
 from siltlake.sources.flat import normalise, stream_changes
 from siltlake.spec import SPECS, TableSpec
 from siltlake.tables import VersionedTable
+from siltlake.tables.files import Files
 
 Trigger = Mapping[str, object]
 AVAILABLE_NOW: Trigger = {"availableNow": True}
+# Staging folder of events that belong to no declared table.
+UNCLAIMED = "_unclaimed"
 
 
 def _now() -> Column:
@@ -79,17 +83,35 @@ def ingest_messages(
     late_delete: str = LATE_WINS,
     trigger: Trigger = AVAILABLE_NOW,
 ) -> StreamingQuery:
-    """Enveloped messages of several tables into their bronze and silver tables."""
+    """Enveloped messages of several tables into their bronze and silver tables.
+
+    A batch is parsed once, into the shared scratch folder with one folder per
+    table; each table then reads its own. What no table takes goes to the
+    quarantine table.
+    """
     specs = list(specs)
+    files = Files(lake.spark)
 
     def take(batch: DataFrame, number: int) -> None:
-        events = parse_envelopes(batch, specs, _now()).persist()
-        try:
-            for spec in specs:
-                rows = table_changes(events, spec)
-                apply_batch(lake, spec, rows, checkpoint, number, delete_mode, late_delete)
-        finally:
-            events.unpersist()
+        parsed = parse_envelopes(batch, specs, _now(), keep_text=True)
+        rest = unclaimed(specs)
+        events = parsed.withColumns(
+            {
+                "_table": F.when(rest, F.lit(UNCLAIMED)).otherwise(F.col("source_table")),
+                "_text": F.when(rest, F.col("_text")),
+            }
+        )
+        staged_at = scratch_path(lake.spark, "events")
+        events.write.partitionBy("_table").parquet(staged_at)
+        staged = lake.spark.read.schema(events.schema).parquet(staged_at)
+        for spec in specs:
+            rows = table_changes(staged.filter(F.col("_table") == spec.name), spec)
+            apply_batch(lake, spec, rows, checkpoint, number, delete_mode, late_delete)
+        quarantine = lake.quarantine()
+        if not quarantine.has_applied(checkpoint, number):
+            left = staged.filter(F.col("_table") == UNCLAIMED).withColumnRenamed("_text", "value")
+            quarantine.append(left.select(*quarantine.declared_schema.fieldNames()), checkpoint, number)
+        files.delete(staged_at)
 
     return _each_batch(messages, take, checkpoint, trigger, "ingest_messages")
 

@@ -34,16 +34,11 @@ class Files:
     def modified_ms(self, path: str) -> int:
         return self._fs(path).getFileStatus(self._path(path)).getModificationTime()
 
-    def size(self, path: str) -> tuple[int, int]:
-        """Bytes and number of data files below ``path``, markers left out."""
-        total = count = 0
-        found = self._fs(path).listFiles(self._path(path), True)
-        while found.hasNext():
-            status = found.next()
-            if not status.getPath().getName().startswith(("_", ".")):
-                total += status.getLen()
-                count += 1
-        return total, count
+    def summary(self, path: str) -> tuple[int, int]:
+        """Bytes and number of data files below ``path``, in one call."""
+        found = self._fs(path).getContentSummary(self._path(path))
+        markers = int(self.exists(f"{path}/_SUCCESS"))
+        return found.getLength(), found.getFileCount() - markers
 
     def delete(self, path: str) -> None:
         self._fs(path).delete(self._path(path), True)

@@ -37,12 +37,21 @@ class ConcurrentCommitError(RuntimeError):
     """Another writer committed first; read the new version and try again."""
 
 
+@dataclass(frozen=True)
+class Folder:
+    """A folder below data/ that one commit wrote for one partition."""
+
+    name: str
+    bytes: int
+    files: int
+
+
 @dataclass(frozen=True)
 class Version:
     number: int
     schema: StructType
-    # Partition value (None for unpartitioned tables) to folders below data/.
-    folders: dict[str | None, list[str]]
+    # Partition value (None for unpartitioned tables) to its folders.
+    folders: dict[str | None, list[Folder]]
     # Last batch number applied by each named stream.
     applied: dict[str, int] = field(default_factory=dict)
     # Folders this very commit wrote, and their rows.
@@ -79,7 +88,7 @@ class VersionedTable:
         return Version(
             number=number,
             schema=StructType.fromJson(saved["schema"]),
-            folders={value: names for value, names in saved["folders"]},
+            folders={value: [Folder(*f) for f in listed] for value, listed in saved["folders"]},
             applied=saved["applied"],
             written=saved["written"],
             rows_written=saved["rows_written"],
@@ -99,10 +108,10 @@ class VersionedTable:
         found = self.version(version)
         wanted = None if partitions is None else {_text(p) for p in partitions}
         names = [
-            name
-            for value, names in found.folders.items()
+            folder.name
+            for value, folders in found.folders.items()
             if wanted is None or value in wanted
-            for name in names
+            for folder in folders
         ]
         return self._read_folders(names, found.schema)
 
@@ -130,9 +139,9 @@ class VersionedTable:
         """Add rows. New columns widen the table; older rows read them as NULL."""
 
         def combine(base: Version, written: dict) -> dict:
-            folders = {value: list(names) for value, names in base.folders.items()}
-            for value, names in written.items():
-                folders.setdefault(value, []).extend(names)
+            folders = {value: list(old) for value, old in base.folders.items()}
+            for value, new in written.items():
+                folders.setdefault(value, []).extend(new)
             return folders
 
         return self._commit(df, combine, stream, batch)
@@ -155,7 +164,7 @@ class VersionedTable:
         def combine(current: Version, written: dict) -> dict:
             if not set(written) <= gone:
                 raise ValueError(f"rows outside the replaced partitions: {sorted(set(written) - gone)[:5]}")
-            kept = {value: names for value, names in current.folders.items() if value not in gone}
+            kept = {value: old for value, old in current.folders.items() if value not in gone}
             return {**kept, **written}
 
         return self._commit(df, combine, stream, batch, base=base)
@@ -183,25 +192,27 @@ class VersionedTable:
             schema=schema,
             folders=combine(base, written),
             applied=base.applied if stream is None else {**base.applied, stream: batch},
-            written=[name for names in written.values() for name in names],
+            written=[folder.name for folders in written.values() for folder in folders],
             rows_written=rows.get["rows"],
             committed_ms=int(time.time() * 1000),
         )
         self._publish(version)
         return version
 
-    def _written(self, commit: str) -> dict[str | None, list[str]]:
+    def _written(self, commit: str) -> dict[str | None, list[Folder]]:
+        """Partitions a commit wrote, with their sizes."""
+        root = f"{self.path}/data/{commit}"
         if not self.partition_by:
-            return {None: [commit]}
+            return {None: [Folder(commit, *self._files.summary(root))]}
         prefix = f"{self.partition_by}="
-        names = self._files.names(f"{self.path}/data/{commit}")
-        return {n[len(prefix) :]: [f"{commit}/{n}"] for n in names if n.startswith(prefix)}
+        names = [n for n in self._files.names(root) if n.startswith(prefix)]
+        return {n[len(prefix) :]: [Folder(f"{commit}/{n}", *self._files.summary(f"{root}/{n}"))] for n in names}
 
     def _publish(self, version: Version) -> None:
         text = json.dumps(
             {
                 "schema": json.loads(version.schema.json()),
-                "folders": list(version.folders.items()),
+                "folders": [[v, [[f.name, f.bytes, f.files] for f in fs]] for v, fs in version.folders.items()],
                 "applied": version.applied,
                 "written": version.written,
                 "rows_written": version.rows_written,
@@ -222,24 +233,24 @@ class VersionedTable:
         Returns None when nothing was worth rewriting.
         """
         base = self.version()
-        folders = {value: list(names) for value, names in base.folders.items()}
+        worth = [folders for folders in base.folders.values() if _has_small_files(folders, target_bytes)]
+        if not worth:
+            return None
         packing = self.spark.newSession()
         packing.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
         packing.conf.set("spark.sql.files.minPartitionNum", "1")
         packing.conf.set("spark.sql.files.openCostInBytes", "0")
         packed = VersionedTable(packing, self.path, base.schema, self.partition_by)
 
-        def rewrite(names: list[str]) -> dict[str | None, list[str]]:
+        def rewrite(old: list[Folder]) -> dict[str | None, list[Folder]]:
             commit = f"commit={base.number + 1:012d}-{uuid.uuid4().hex[:8]}"
-            writer = packed._read_folders(names, base.schema).write.mode("errorifexists")
+            writer = packed._read_folders([f.name for f in old], base.schema).write.mode("errorifexists")
             if self.partition_by:
                 writer = writer.partitionBy(self.partition_by)
             writer.parquet(f"{self.path}/data/{commit}")
             return packed._written(commit)
 
-        worth = [names for names in base.folders.values() if self._has_small_files(names, target_bytes)]
-        if not worth:
-            return None
+        folders = dict(base.folders)
         with ThreadPoolExecutor(COMPACTION_JOBS) as pool:
             for written in pool.map(rewrite, worth):
                 folders.update(written)
@@ -249,17 +260,9 @@ class VersionedTable:
         self._publish(version)
         return version
 
-    def _has_small_files(self, names: list[str], target_bytes: int) -> bool:
-        size, count = self._size(names)
-        return count > max(1, -(-size // target_bytes))
-
-    def _size(self, names: list[str]) -> tuple[int, int]:
-        sizes = [self._files.size(f"{self.path}/data/{name}") for name in names]
-        return sum(s for s, _ in sizes), sum(c for _, c in sizes)
-
     def data_files(self) -> int:
         """Data files of the current version."""
-        return sum(self._size(names)[1] for names in self.version().folders.values())
+        return sum(f.files for folders in self.version().folders.values() for f in folders)
 
     def expire(self, older_than_ms: int) -> list[int]:
         """Drop versions committed before the given epoch time, never the
@@ -270,9 +273,8 @@ class VersionedTable:
         dropped = [n for n in numbers[:-1] if self.version(n).committed_ms < older_than_ms]
         for number in dropped:
             self._files.delete(f"{self.path}/versions/{number:012d}.json")
-        listed = {
-            name for n in numbers if n not in dropped for names in self.version(n).folders.values() for name in names
-        }
+        kept = [self.version(n) for n in numbers if n not in dropped]
+        listed = {f.name for version in kept for folders in version.folders.values() for f in folders}
         kept_commits = {name.split("/")[0] for name in listed}
         for commit in self._files.names(f"{self.path}/data"):
             folder = f"{self.path}/data/{commit}"
@@ -287,6 +289,11 @@ class VersionedTable:
         return dropped
 
 
+def _has_small_files(folders: list[Folder], target_bytes: int) -> bool:
+    size, files = sum(f.bytes for f in folders), sum(f.files for f in folders)
+    return files > max(1, -(-size // target_bytes))
+
+
 def widen(old: StructType, new: StructType) -> StructType:
     """``old`` plus the columns only ``new`` has; a changed type is refused."""
     types = {f.name: f.dataType for f in old.fields}
