@@ -35,9 +35,18 @@ def epoch_timestamp(value: Column, unit: str = "ms") -> Column:
     return F.timestamp_millis(value) if unit == "ms" else F.timestamp_micros(value)
 
 
+def day_of(value: Column, unit: str = "ms") -> Column:
+    """UTC day of an epoch value as a DATE, flooring before 1970 too."""
+    return F.to_date(epoch_timestamp(value, unit))
+
+
+def day_text(day: Column) -> Column:
+    return F.date_format(day, "yyyy-MM-dd")
+
+
 def day_key(value: Column, unit: str = "ms") -> Column:
-    """UTC day ``yyyy-MM-dd`` of an epoch value, flooring before 1970 too."""
-    return F.date_format(epoch_timestamp(value, unit), "yyyy-MM-dd")
+    """UTC day ``yyyy-MM-dd`` of an epoch value."""
+    return day_text(day_of(value, unit))
 
 
 def exact_sum(amount: Column, scale: int = 2) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltlake.operators.merge import LATE_WINS, SOFT, merge_latest, prepare_changes
-from siltlake.session import scratch_path
+from siltlake.session import scratch_path, sized_session
 from siltlake.spec import ARRIVAL, DAY, KEY_RANGE, TableSpec
 from siltlake.tables import VersionedTable
 from siltlake.tables.files import Files
@@ -54,13 +54,21 @@ def upsert_silver(
     base = table.version()
     staged_at = scratch_path(spark, f"changes-{spec.name}")
     prepare_changes(changes, spec, run_ts).write.parquet(staged_at)
+    staged_bytes, _ = files.summary(staged_at)
     staged = spark.read.schema(spec.silver_schema()).parquet(staged_at)
     # One value per touched key range: bounded by the number of partitions.
     counts = staged.groupBy(KEY_RANGE).agg(F.count(F.lit(1)).alias("n")).collect()
     touched = [row[KEY_RANGE] for row in counts]
-    small = sum(row["n"] for row in counts) <= BROADCAST_ROWS and files.summary(staged_at)[0] <= BROADCAST_BYTES
-    target = table.read(base.number, touched)
-    merged = merge_latest(target, staged, spec, delete_mode, late_delete, broadcast_changes=small)
+    small = sum(row["n"] for row in counts) <= BROADCAST_ROWS and staged_bytes <= BROADCAST_BYTES
+    sized = sized_session(spark, staged_bytes + table.stored_bytes(touched))
+    merged = merge_latest(
+        table.on(sized).read(base.number, touched),
+        sized.read.schema(spec.silver_schema()).parquet(staged_at),
+        spec,
+        delete_mode,
+        late_delete,
+        broadcast_changes=small,
+    )
     if not small:
         merged = merged.hint("rebalance", KEY_RANGE)
     version = table.replace_partitions(merged, touched, base, stream, batch)

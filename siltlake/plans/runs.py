@@ -12,6 +12,7 @@ from siltlake.operators.audit import layer_counts
 from siltlake.operators.quality import GateLimits, check_gate, gate_metrics
 from siltlake.plans import gold
 from siltlake.plans.lake import Lake
+from siltlake.session import sized_session
 from siltlake.spec import DAY, ORDERS, PRODUCTS, SPECS, USERS, TableSpec
 from siltlake.streaming.jobs import ingest_files
 
@@ -130,6 +131,8 @@ def bronze_day(lake: Lake, spec: TableSpec, day: str) -> DataFrame:
 def run_gold(lake: Lake) -> dict[str, int]:
     """Refresh every mart whose silver tables exist; returns the rows written."""
     _, run_ts = run_instant()
+    stored = sum(lake.silver(spec).stored_bytes() for spec in (USERS, PRODUCTS, ORDERS))
+    lake = Lake(sized_session(lake.spark, stored), lake.root)
     users = lake.silver_if_present(USERS)
     products = lake.silver_if_present(PRODUCTS)
     orders = lake.silver_if_present(ORDERS)
@@ -142,3 +145,17 @@ def run_gold(lake: Lake) -> dict[str, int]:
         if products is not None:
             marts["product_analytics"] = gold.product_analytics(products, orders, run_ts)
     return {name: lake.gold(name).replace(frame).rows_written for name, frame in marts.items()}
+
+
+def run_pipeline(
+    lake: Lake,
+    raw_root: str,
+    checkpoint_root: str,
+    limits: GateLimits = GateLimits(),
+    specs: Iterable[TableSpec] = tuple(SPECS.values()),
+) -> dict[str, int]:
+    """Change intake, quality gate, marts. A failing step stops the later ones."""
+    specs = list(specs)
+    run_cdc(lake, raw_root, checkpoint_root, specs)
+    check_quality(lake, limits, specs)
+    return run_gold(lake)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -19,6 +20,10 @@ SETTINGS = {
 }
 
 
+# Stored (compressed) bytes one shuffle partition should stand for.
+BYTES_PER_SHUFFLE_PARTITION = 64 * 1024 * 1024
+
+
 def build_session(app_name: str = "siltlake", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -34,6 +39,28 @@ def apply_settings(spark: SparkSession) -> None:
         spark.conf.set(key, SETTINGS[key])
 
 
+def fork_session(spark: SparkSession, **overrides: str) -> SparkSession:
+    """A session of the same application with the same settings but for
+    ``overrides``, so that jobs running side by side do not disturb each other."""
+    fork = spark.newSession()
+    for key, value in {**spark.conf.getAll, **overrides}.items():
+        if spark.conf.isModifiable(key):
+            fork.conf.set(key, value)
+    return fork
+
+
+def sized_session(spark: SparkSession, stored_bytes: int) -> SparkSession:
+    """A session whose shuffles are wide enough for inputs of a known size.
+
+    Adaptive execution merges partitions that turn out small, but it does not
+    split the partitions of an aggregate, so the first width has to fit.
+    """
+    width = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(stored_bytes / BYTES_PER_SHUFFLE_PARTITION)
+    )
+    return fork_session(spark, **{"spark.sql.shuffle.partitions": str(width)})
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

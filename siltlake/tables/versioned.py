@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from siltlake.session import fork_session
 from siltlake.tables.files import Files
 
 TARGET_FILE_BYTES = 134_217_728
@@ -68,6 +69,10 @@ class VersionedTable:
         self.partition_by = partition_by
         self._files = Files(spark)
 
+    def on(self, session: SparkSession) -> VersionedTable:
+        """The same table, read and written by another session."""
+        return VersionedTable(session, self.path, self.declared_schema, self.partition_by)
+
     # -- versions ---------------------------------------------------------
 
     def version_numbers(self) -> list[int]:
@@ -129,7 +134,8 @@ class VersionedTable:
 
     def _read_folders(self, names: list[str], schema: StructType) -> DataFrame:
         if not names:
-            return self.spark.createDataFrame([], schema)
+            # The filter lets the optimizer see that there are no rows.
+            return self.spark.createDataFrame([], schema).filter(F.lit(False))
         reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/data")
         return reader.parquet(*[f"{self.path}/data/{name}" for name in names]).select(*schema.fieldNames())
 
@@ -236,11 +242,15 @@ class VersionedTable:
         worth = [folders for folders in base.folders.values() if _has_small_files(folders, target_bytes)]
         if not worth:
             return None
-        packing = self.spark.newSession()
-        packing.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
-        packing.conf.set("spark.sql.files.minPartitionNum", "1")
-        packing.conf.set("spark.sql.files.openCostInBytes", "0")
-        packed = VersionedTable(packing, self.path, base.schema, self.partition_by)
+        packing = fork_session(
+            self.spark,
+            **{
+                "spark.sql.files.maxPartitionBytes": str(target_bytes),
+                "spark.sql.files.minPartitionNum": "1",
+                "spark.sql.files.openCostInBytes": "0",
+            },
+        )
+        packed = self.on(packing)
 
         def rewrite(old: list[Folder]) -> dict[str | None, list[Folder]]:
             commit = f"commit={base.number + 1:012d}-{uuid.uuid4().hex[:8]}"
@@ -260,6 +270,12 @@ class VersionedTable:
         self._publish(version)
         return version
 
+    def stored_bytes(self, partitions: Iterable | None = None) -> int:
+        """Size of the current version, or of some of its partitions."""
+        wanted = None if partitions is None else {_text(p) for p in partitions}
+        folders = self.version().folders
+        return sum(f.bytes for v, fs in folders.items() if wanted is None or v in wanted for f in fs)
+
     def data_files(self) -> int:
         """Data files of the current version."""
         return sum(f.files for folders in self.version().folders.values() for f in folders)

@@ -143,3 +143,23 @@ def test_a_failing_table_fails_the_run_but_not_the_others(spark, lake, folders):
     assert lake.silver(ORDERS).read().count() == 5
     errors = lake.run_audit().read().filter("error IS NOT NULL").select("table_name").distinct().collect()
     assert [r[0] for r in errors] == ["users"]
+
+
+def test_pipeline_stops_at_the_gate(spark, lake, folders):
+    from siltlake.operators.quality import GateLimits, QualityGateError
+    from siltlake.plans.runs import run_pipeline
+
+    raw, checkpoint = folders
+    samples.land_feed(raw)
+    samples.land(raw, "users", "bad.json", ["{broken", "{broken too"])
+    with pytest.raises(QualityGateError, match="corrupt_rows=2 of 9"):
+        run_pipeline(lake, str(raw), checkpoint)
+    assert not lake.gold("sales_summary").exists()
+    assert run_pipeline(lake, str(raw), checkpoint, GateLimits(corrupt=0.5))["user_analytics"] == 4
+
+
+def test_marts_of_empty_tables(spark, lake):
+    for spec in (USERS, ORDERS):
+        lake.silver(spec).append(spark.createDataFrame([], spec.silver_schema()))
+    assert run_gold(lake) == {"sales_summary": 0, "user_analytics": 0, "user_stats": 0}
+    assert lake.gold("sales_summary").read().count() == 0

@@ -151,6 +151,15 @@ def test_a_hot_key_is_split_when_the_reference_is_too_large_to_broadcast(spark):
     assert "SortMergeJoin(skew=true)" in plan
 
 
+def test_reference_reads_only_its_columns(spark):
+    from siltlake.sources.reference import reference_table
+
+    path = "/root/testdata/sf0.001/customer.parquet"
+    reference = reference_table(spark, path, "c_custkey", ["c_name"])
+    plan = reference._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<c_custkey:bigint,c_name:string>" in plan
+
+
 # -- audits ------------------------------------------------------------------------
 
 

@@ -136,3 +136,13 @@ def test_v2_statements_parse(spark):
     parser = spark._jsparkSession.sessionState().sqlParser()
     for sql in (ddl, *(catalog.merge_sql("lake.db.t", "changes", ORDERS, mode) for mode in ("soft", "hard"))):
         assert parser.parsePlan(sql) is not None
+
+
+def test_shuffles_are_sized_by_the_stored_bytes(spark):
+    from siltlake.session import BYTES_PER_SHUFFLE_PARTITION, sized_session
+
+    wide = sized_session(spark, 1000 * BYTES_PER_SHUFFLE_PARTITION)
+    assert wide.conf.get("spark.sql.shuffle.partitions") == "1000"
+    assert wide.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert sized_session(spark, 1).conf.get("spark.sql.shuffle.partitions") == "4"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
