@@ -518,7 +518,7 @@ def compaction_preserves_rows(spark: SparkSession, sf: str) -> DataFrame:
     table = _lake(spark).bronze(ORDERS)
     for number in (0, 1):
         append_bronze(table, feeds.batch_of(changes, "late", number))
-    table.compact()
+    table.compact(slack=1)
     return _bronze_rows(table.read())
 
 

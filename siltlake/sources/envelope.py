@@ -126,11 +126,11 @@ def table_changes(events: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def unclaimed(specs: Iterable[TableSpec]) -> Column:
-    """True for events that belong to none of the given tables and carry
-    something: unreadable text, or a table nobody declared. Tombstones do not."""
+    """True for events (with their text) that belong to none of the given
+    tables: unreadable, without a table, or of a table nobody declared. Empty
+    messages, the tombstones of a compacted topic, carry nothing to keep."""
     known = F.coalesce(F.col("source_table").isin([spec.name for spec in specs]), F.lit(False))
-    tombstone = F.col("operation").isNull() & F.col("source_table").isNull() & F.col(CORRUPT).isNull()
-    return ~known & ~tombstone
+    return ~known & F.col("_text").isNotNull()
 
 
 def _image_fields(events: DataFrame) -> list[str]:

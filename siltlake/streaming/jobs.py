@@ -49,8 +49,8 @@ def ingest_files(
     """Flat change files into bronze and silver, each file once."""
     raw = stream_changes(lake.spark, path, spec, max_files_per_trigger)
 
-    def take(batch: DataFrame, number: int) -> None:
-        apply_batch(lake, spec, normalise(batch, spec, _now()), checkpoint, number, delete_mode, late_delete)
+    def take(batch: DataFrame, stream: str, number: int) -> None:
+        apply_batch(lake, spec, normalise(batch, spec, _now()), stream, number, delete_mode, late_delete)
 
     return _each_batch(raw, take, checkpoint, trigger, f"ingest_{spec.name}")
 
@@ -67,9 +67,9 @@ def ingest_bronze(
     raw = stream_changes(lake.spark, path, spec, max_files_per_trigger)
     table = lake.bronze(spec)
 
-    def take(batch: DataFrame, number: int) -> None:
-        if not table.has_applied(checkpoint, number):
-            append_bronze(table, normalise(batch, spec, _now()), checkpoint, number)
+    def take(batch: DataFrame, stream: str, number: int) -> None:
+        if not table.has_applied(stream, number):
+            append_bronze(table, normalise(batch, spec, _now()), stream, number)
 
     return _each_batch(raw, take, checkpoint, trigger, f"bronze_{spec.name}")
 
@@ -92,7 +92,7 @@ def ingest_messages(
     specs = list(specs)
     files = Files(lake.spark)
 
-    def take(batch: DataFrame, number: int) -> None:
+    def take(batch: DataFrame, stream: str, number: int) -> None:
         parsed = parse_envelopes(batch, specs, _now(), keep_text=True)
         rest = unclaimed(specs)
         events = parsed.withColumns(
@@ -105,12 +105,13 @@ def ingest_messages(
         events.write.partitionBy("_table").parquet(staged_at)
         staged = lake.spark.read.schema(events.schema).parquet(staged_at)
         for spec in specs:
-            rows = table_changes(staged.filter(F.col("_table") == spec.name), spec)
-            apply_batch(lake, spec, rows, checkpoint, number, delete_mode, late_delete)
+            if files.exists(f"{staged_at}/_table={spec.name}"):
+                rows = table_changes(staged.filter(F.col("_table") == spec.name), spec)
+                apply_batch(lake, spec, rows, stream, number, delete_mode, late_delete)
         quarantine = lake.quarantine()
-        if not quarantine.has_applied(checkpoint, number):
+        if files.exists(f"{staged_at}/_table={UNCLAIMED}") and not quarantine.has_applied(stream, number):
             left = staged.filter(F.col("_table") == UNCLAIMED).withColumnRenamed("_text", "value")
-            quarantine.append(left.select(*quarantine.declared_schema.fieldNames()), checkpoint, number)
+            quarantine.append(left.select(*quarantine.declared_schema.fieldNames()), stream, number)
         files.delete(staged_at)
 
     return _each_batch(messages, take, checkpoint, trigger, "ingest_messages")
@@ -147,9 +148,9 @@ def append_stream(
     """Append a stream to a table, each batch once. ``per_batch`` runs on every
     batch and may read tables anew."""
 
-    def take(batch: DataFrame, number: int) -> None:
-        if not table.has_applied(checkpoint, number):
-            table.append(per_batch(batch) if per_batch else batch, checkpoint, number)
+    def take(batch: DataFrame, stream: str, number: int) -> None:
+        if not table.has_applied(stream, number):
+            table.append(per_batch(batch) if per_batch else batch, stream, number)
 
     return _each_batch(frame, take, checkpoint, trigger, None)
 
@@ -208,12 +209,22 @@ def route_to_files(
 
 def _each_batch(
     frame: DataFrame,
-    take: Callable[[DataFrame, int], None],
+    take: Callable[[DataFrame, str, int], None],
     checkpoint: str,
     trigger: Trigger | None,
     name: str | None,
 ) -> StreamingQuery:
-    writer = frame.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    """Run ``take`` on every batch with the id of the query and the number.
+
+    The id lives in the checkpoint. A new checkpoint, even at the old path,
+    starts a new id, and its batches are not taken for repeated ones.
+    """
+
+    def call(batch: DataFrame, number: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        take(batch, stream or checkpoint, number)
+
+    writer = frame.writeStream.foreachBatch(call).option("checkpointLocation", checkpoint)
     return _start(writer.queryName(name) if name else writer, trigger)
 
 

@@ -35,10 +35,9 @@ class Files:
         return self._fs(path).getFileStatus(self._path(path)).getModificationTime()
 
     def summary(self, path: str) -> tuple[int, int]:
-        """Bytes and number of data files below ``path``, in one call."""
+        """Bytes and number of files below ``path``, in one call."""
         found = self._fs(path).getContentSummary(self._path(path))
-        markers = int(self.exists(f"{path}/_SUCCESS"))
-        return found.getLength(), found.getFileCount() - markers
+        return found.getLength(), found.getFileCount()
 
     def delete(self, path: str) -> None:
         self._fs(path).delete(self._path(path), True)
@@ -50,15 +49,18 @@ class Files:
         finally:
             stream.close()
 
-    def create_text(self, path: str, text: str) -> bool:
-        """Create ``path`` with its whole content or not at all; False when it
-        exists already."""
-        temporary = f"{path}.{uuid.uuid4().hex}.tmp"
-        stream = self._fs(path).create(self._path(temporary), True)
+    def overwrite_text(self, path: str, text: str) -> None:
+        stream = self._fs(path).create(self._path(path), True)
         try:
             stream.write(bytearray(text.encode("utf-8")))
         finally:
             stream.close()
+
+    def create_text(self, path: str, text: str) -> bool:
+        """Create ``path`` with its whole content or not at all; False when it
+        exists already."""
+        temporary = f"{path}.{uuid.uuid4().hex}.tmp"
+        self.overwrite_text(temporary, text)
         context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
             self._path(path).toUri() if "://" in path else self._fs(path).getUri(), self._conf
         )

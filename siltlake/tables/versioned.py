@@ -4,6 +4,7 @@ Layout below the table path::
 
     data/commit=<id>/[<partition>=<value>/]part-*.parquet
     versions/<n>.json        the folders that make up version n
+    versions/newest.txt      a hint where to start looking for the last one
 
 A commit writes a new ``commit=`` folder with an ordinary Spark write, then
 creates the next manifest in one rename. Readers therefore see a version
@@ -32,6 +33,8 @@ from siltlake.tables.files import Files
 TARGET_FILE_BYTES = 134_217_728
 # Partitions rewritten side by side by a compaction.
 COMPACTION_JOBS = 8
+# Tries of an append or a compaction to list its files on the newest version.
+REBASE_ATTEMPTS = 20
 
 
 class ConcurrentCommitError(RuntimeError):
@@ -47,17 +50,21 @@ class Folder:
     files: int
 
 
+# Partition value (None for unpartitioned tables) to its folders.
+Folders = dict[str | None, list[Folder]]
+
+
 @dataclass(frozen=True)
 class Version:
     number: int
     schema: StructType
-    # Partition value (None for unpartitioned tables) to its folders.
-    folders: dict[str | None, list[Folder]]
+    folders: Folders
     # Last batch number applied by each named stream.
     applied: dict[str, int] = field(default_factory=dict)
-    # Folders this very commit wrote, and their rows.
+    # What this very commit wrote, and the stream batch it came from.
     written: list[str] = field(default_factory=list)
     rows_written: int = 0
+    batch: tuple[str, int] | None = None
     committed_ms: int = 0
 
 
@@ -80,15 +87,38 @@ class VersionedTable:
         return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
 
     def exists(self) -> bool:
-        return bool(self.version_numbers())
+        return self.newest() > 0
+
+    def newest(self) -> int:
+        """Number of the last version, 0 without one.
+
+        Found without listing: the hint names a recent version, later ones are
+        probed one by one. A missing or unusable hint costs a listing.
+        """
+        try:
+            number = int(self._files.read_text(self._hint))
+        except Exception:
+            number = 0
+        if number == 0 or not self._files.exists(self._manifest(number)):
+            number = max(self.version_numbers(), default=0)
+        while number and self._files.exists(self._manifest(number + 1)):
+            number += 1
+        return number
+
+    @property
+    def _hint(self) -> str:
+        return f"{self.path}/versions/newest.txt"
+
+    def _manifest(self, number: int) -> str:
+        return f"{self.path}/versions/{number:012d}.json"
 
     def version(self, number: int | None = None) -> Version:
         """A committed version, the last one by default; number 0 is empty."""
         if number is None:
-            number = max(self.version_numbers(), default=0)
+            number = self.newest()
         if number == 0:
             return Version(0, self.declared_schema, {})
-        text = self._files.read_text(f"{self.path}/versions/{number:012d}.json")
+        text = self._files.read_text(self._manifest(number))
         saved = json.loads(text)
         return Version(
             number=number,
@@ -97,6 +127,7 @@ class VersionedTable:
             applied=saved["applied"],
             written=saved["written"],
             rows_written=saved["rows_written"],
+            batch=tuple(saved["batch"]) if saved["batch"] else None,
             committed_ms=saved["committed_ms"],
         )
 
@@ -122,14 +153,14 @@ class VersionedTable:
 
     def read_batch(self, stream: str, batch: int) -> DataFrame:
         """The rows one batch of a named stream added."""
-        later: Version | None = None
-        for number in reversed(self.version_numbers()):
+        for number in range(self.newest(), 0, -1):
+            if not self._files.exists(self._manifest(number)):
+                break  # expired
             found = self.version(number)
-            if found.applied.get(stream) != batch and later is not None:
+            if found.batch == (stream, batch):
+                return self._read_folders(found.written, found.schema)
+            if found.applied.get(stream, -1) < batch:
                 break
-            later = found if found.applied.get(stream) == batch else None
-        if later is not None:
-            return self._read_folders(later.written, later.schema)
         raise LookupError(f"batch {batch} of {stream} was not applied to {self.path}")
 
     def _read_folders(self, names: list[str], schema: StructType) -> DataFrame:
@@ -142,15 +173,19 @@ class VersionedTable:
     # -- commits ----------------------------------------------------------
 
     def append(self, df: DataFrame, stream: str | None = None, batch: int | None = None) -> Version:
-        """Add rows. New columns widen the table; older rows read them as NULL."""
+        """Add rows. New columns widen the table; older rows read them as NULL.
 
-        def combine(base: Version, written: dict) -> dict:
-            folders = {value: list(old) for value, old in base.folders.items()}
-            for value, new in written.items():
-                folders.setdefault(value, []).extend(new)
-            return folders
+        Appends do not exclude each other: one that finds its version number
+        taken lists its files on top of the newer version.
+        """
 
-        return self._commit(df, combine, stream, batch)
+        def combine(base: Version, written: Folders) -> Folders:
+            return {
+                value: [*base.folders.get(value, []), *written.get(value, [])]
+                for value in dict.fromkeys([*base.folders, *written])
+            }
+
+        return self._commit(df, combine, stream, batch, rebase=True)
 
     def replace(self, df: DataFrame) -> Version:
         """Make ``df`` the whole content, schema included."""
@@ -167,7 +202,7 @@ class VersionedTable:
         """Replace the named partitions by ``df``; the others carry over."""
         gone = {_text(v) for v in values}
 
-        def combine(current: Version, written: dict) -> dict:
+        def combine(current: Version, written: Folders) -> Folders:
             if not set(written) <= gone:
                 raise ValueError(f"rows outside the replaced partitions: {sorted(set(written) - gone)[:5]}")
             kept = {value: old for value, old in current.folders.items() if value not in gone}
@@ -178,68 +213,92 @@ class VersionedTable:
     def _commit(
         self,
         df: DataFrame,
-        combine: Callable[[Version, dict], dict],
+        combine: Callable[[Version, Folders], Folders],
         stream: str | None = None,
         batch: int | None = None,
         schema: StructType | None = None,
         base: Version | None = None,
+        rebase: bool = False,
     ) -> Version:
         base = base or self.version()
-        schema = schema or widen(base.schema, df.schema)
-        commit = f"commit={base.number + 1:012d}-{uuid.uuid4().hex[:8]}"
+        if schema is None:
+            widen(base.schema, df.schema)  # refuse a changed type before writing
         rows = Observation()
-        writer = df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
+        written = self._write(df.observe(rows, F.count(F.lit(1)).alias("rows")), base.number + 1)
+        names = [folder.name for folders in written.values() for folder in folders]
+
+        def build(current: Version) -> Version:
+            if stream is not None and current.applied.get(stream, -1) >= batch:
+                raise ConcurrentCommitError(f"batch {batch} of {stream} was applied by another writer")
+            return Version(
+                number=current.number + 1,
+                schema=schema or widen(current.schema, df.schema),
+                folders=combine(current, written),
+                applied=current.applied if stream is None else {**current.applied, stream: batch},
+                written=names,
+                rows_written=rows.get["rows"],
+                batch=None if stream is None else (stream, batch),
+                committed_ms=int(time.time() * 1000),
+            )
+
+        return self._publish(base, build, rebase)
+
+    def _write(self, df: DataFrame, number: int) -> Folders:
+        """Write rows to a folder of their own, not listed by any version yet."""
+        commit = f"commit={number:012d}-{uuid.uuid4().hex[:8]}"
+        writer = df.write.mode("errorifexists")
         if self.partition_by:
             writer = writer.partitionBy(self.partition_by)
         writer.parquet(f"{self.path}/data/{commit}")
-        written = self._written(commit)
-        version = Version(
-            number=base.number + 1,
-            schema=schema,
-            folders=combine(base, written),
-            applied=base.applied if stream is None else {**base.applied, stream: batch},
-            written=[folder.name for folders in written.values() for folder in folders],
-            rows_written=rows.get["rows"],
-            committed_ms=int(time.time() * 1000),
-        )
-        self._publish(version)
-        return version
+        return self._written(commit)
 
-    def _written(self, commit: str) -> dict[str | None, list[Folder]]:
+    def _written(self, commit: str) -> Folders:
         """Partitions a commit wrote, with their sizes."""
         root = f"{self.path}/data/{commit}"
         if not self.partition_by:
-            return {None: [Folder(commit, *self._files.summary(root))]}
+            size, files = self._files.summary(root)
+            return {None: [Folder(commit, size, files - 1)]}  # less the _SUCCESS marker
         prefix = f"{self.partition_by}="
         names = [n for n in self._files.names(root) if n.startswith(prefix)]
         return {n[len(prefix) :]: [Folder(f"{commit}/{n}", *self._files.summary(f"{root}/{n}"))] for n in names}
 
-    def _publish(self, version: Version) -> None:
-        text = json.dumps(
-            {
-                "schema": json.loads(version.schema.json()),
-                "folders": [[v, [[f.name, f.bytes, f.files] for f in fs]] for v, fs in version.folders.items()],
-                "applied": version.applied,
-                "written": version.written,
-                "rows_written": version.rows_written,
-                "committed_ms": version.committed_ms,
-            }
-        )
-        path = f"{self.path}/versions/{version.number:012d}.json"
-        if not self._files.create_text(path, text):
-            raise ConcurrentCommitError(f"version {version.number} of {self.path} exists already")
+    def _publish(self, base: Version, build: Callable[[Version], Version], rebase: bool) -> Version:
+        """Create the manifest of the version that follows ``base``. When the
+        number is taken, try again on the newest version, or give up."""
+        for _ in range(REBASE_ATTEMPTS):
+            version = build(base)
+            text = json.dumps(
+                {
+                    "schema": json.loads(version.schema.json()),
+                    "folders": [[v, [[f.name, f.bytes, f.files] for f in fs]] for v, fs in version.folders.items()],
+                    "applied": version.applied,
+                    "written": version.written,
+                    "rows_written": version.rows_written,
+                    "batch": version.batch,
+                    "committed_ms": version.committed_ms,
+                }
+            )
+            if self._files.create_text(self._manifest(version.number), text):
+                self._files.overwrite_text(self._hint, str(version.number))
+                return version
+            if not rebase:
+                break
+            base = self.version()
+        raise ConcurrentCommitError(f"version {version.number} of {self.path} exists already")
 
     # -- upkeep -----------------------------------------------------------
 
-    def compact(self, target_bytes: int = TARGET_FILE_BYTES) -> Version | None:
-        """Rewrite partitions that hold more files than their size asks for.
+    def compact(self, target_bytes: int = TARGET_FILE_BYTES, slack: float = 2.0) -> Version | None:
+        """Rewrite partitions that hold more than ``slack`` times the files
+        their size asks for, so that a file is rewritten a few times at most.
 
         A map-only job per such partition: the scan packs small files into
         splits of the target size and each split is written as one file.
-        Returns None when nothing was worth rewriting.
+        Rows appended meanwhile stay; a partition replaced meanwhile is left
+        as it is. Returns None when nothing was worth rewriting.
         """
         base = self.version()
-        worth = [folders for folders in base.folders.values() if _has_small_files(folders, target_bytes)]
+        worth = {v: fs for v, fs in base.folders.items() if _has_small_files(fs, target_bytes, slack)}
         if not worth:
             return None
         packing = fork_session(
@@ -252,23 +311,23 @@ class VersionedTable:
         )
         packed = self.on(packing)
 
-        def rewrite(old: list[Folder]) -> dict[str | None, list[Folder]]:
-            commit = f"commit={base.number + 1:012d}-{uuid.uuid4().hex[:8]}"
-            writer = packed._read_folders([f.name for f in old], base.schema).write.mode("errorifexists")
-            if self.partition_by:
-                writer = writer.partitionBy(self.partition_by)
-            writer.parquet(f"{self.path}/data/{commit}")
-            return packed._written(commit)
+        def rewrite(old: list[Folder]) -> list[Folder]:
+            rows = packed._read_folders([f.name for f in old], base.schema)
+            return [folder for folders in packed._write(rows, base.number + 1).values() for folder in folders]
 
-        folders = dict(base.folders)
         with ThreadPoolExecutor(COMPACTION_JOBS) as pool:
-            for written in pool.map(rewrite, worth):
-                folders.update(written)
-        version = Version(
-            base.number + 1, base.schema, folders, base.applied, committed_ms=int(time.time() * 1000)
-        )
-        self._publish(version)
-        return version
+            rewritten = dict(zip(worth, pool.map(rewrite, worth.values())))
+
+        def build(current: Version) -> Version:
+            folders = dict(current.folders)
+            for value, old in worth.items():
+                now = folders.get(value, [])
+                if set(old) <= set(now):
+                    folders[value] = [*rewritten[value], *[f for f in now if f not in old]]
+            committed = int(time.time() * 1000)
+            return Version(current.number + 1, current.schema, folders, current.applied, committed_ms=committed)
+
+        return self._publish(base, build, rebase=True)
 
     def stored_bytes(self, partitions: Iterable | None = None) -> int:
         """Size of the current version, or of some of its partitions."""
@@ -288,7 +347,7 @@ class VersionedTable:
             return []
         dropped = [n for n in numbers[:-1] if self.version(n).committed_ms < older_than_ms]
         for number in dropped:
-            self._files.delete(f"{self.path}/versions/{number:012d}.json")
+            self._files.delete(self._manifest(number))
         kept = [self.version(n) for n in numbers if n not in dropped]
         listed = {f.name for version in kept for folders in version.folders.values() for f in folders}
         kept_commits = {name.split("/")[0] for name in listed}
@@ -305,9 +364,9 @@ class VersionedTable:
         return dropped
 
 
-def _has_small_files(folders: list[Folder], target_bytes: int) -> bool:
+def _has_small_files(folders: list[Folder], target_bytes: int, slack: float) -> bool:
     size, files = sum(f.bytes for f in folders), sum(f.files for f in folders)
-    return files > max(1, -(-size // target_bytes))
+    return files > slack * max(1, -(-size // target_bytes))
 
 
 def widen(old: StructType, new: StructType) -> StructType:

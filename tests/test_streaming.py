@@ -53,6 +53,17 @@ def test_a_batch_delivered_again_is_skipped(spark, lake):
     assert lake.silver(USERS).version().number == 2
 
 
+def test_a_new_checkpoint_is_a_new_stream(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.range(5).write.parquet(path)
+    table = VersionedTable(spark, str(tmp_path / "out"), schema_of([("id", "bigint")]))
+    stream = spark.readStream.schema("id long").parquet(path)
+    for checkpoint in ("a", "a", "b"):
+        jobs.append_stream(stream, table, str(tmp_path / checkpoint)).awaitTermination()
+    assert table.read().count() == 10
+    assert str(tmp_path) not in "".join(table.version().applied)
+
+
 def test_state_joined_per_batch(spark, lake, tmp_path):
     reference = {"name": "old"}
 

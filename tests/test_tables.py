@@ -80,6 +80,46 @@ def test_the_second_writer_of_a_version_fails(spark, table):
     assert ids(table.read()) == [0, 1, 2, 3]
 
 
+def test_appends_and_compaction_do_not_exclude_each_other(spark, table, monkeypatch):
+    table.append(frame(spark, 0, 4).repartition(3))
+    other = table.on(spark)
+    write, pending = VersionedTable._write, [0]
+
+    def write_while_another_appends(self, df, number):
+        written = write(self, df, number)
+        try:
+            batch = pending.pop()
+        except IndexError:
+            return written
+        other.append(frame(spark, 100, 104), "s", batch)
+        return written
+
+    monkeypatch.setattr(VersionedTable, "_write", write_while_another_appends)
+    assert table.append(frame(spark, 4, 8).repartition(3)).number == 3
+    pending.append(1)
+    assert table.compact(slack=1).number == 5
+    assert ids(table.read()) == sorted([*range(8), *range(100, 104), *range(100, 104)])
+    assert table.version().applied == {"s": 1}
+
+
+@pytest.mark.parametrize("hint", [None, "", "1", "77"])
+def test_a_lost_or_stale_hint_is_harmless(spark, table, hint):
+    for start in (0, 2, 4):
+        table.append(frame(spark, start, start + 2))
+    if hint is None:
+        table._files.delete(table._hint)
+    else:
+        table._files.overwrite_text(table._hint, hint)
+    assert table.newest() == 3 and ids(table.read()) == list(range(6))
+
+
+def test_a_batch_two_writers_apply_counts_once(spark, table):
+    table.append(frame(spark, 0, 2), "s", 0)
+    with pytest.raises(ConcurrentCommitError, match="another writer"):
+        table.append(frame(spark, 0, 2), "s", 0)
+    assert ids(table.read()) == [0, 1]
+
+
 def test_batches_are_remembered(spark, table):
     table.append(frame(spark, 0, 2), "s", 0)
     table.append(frame(spark, 2, 4), "s", 1)
@@ -107,7 +147,7 @@ def test_compaction_and_expiry(spark, table):
 
 
 def test_compaction_keeps_files_of_the_target_size(spark, table):
-    table.append(frame(spark, 0, 20_000, days=1).repartition(4))
+    table.append(frame(spark, 0, 20_000, days=1).repartition(8))
     size = sum(f.bytes for fs in table.version().folders.values() for f in fs)
     table.compact(target_bytes=size // 2)
     assert 2 <= table.data_files() <= 3
