@@ -156,11 +156,11 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "user_id", "product_id", "quantity", "total_amount", "status", "created_at", "updated_at"
     )
     frame = changes.withColumns({"ts": F.timestamp_millis("ts_ms"), "event_id": F.col(POSITION)})
-    return _as_messages(frame, F.lit("orders"), F.col("op"), image, image, ["in_order", "late"])
+    return _as_messages(frame, F.lit("orders"), F.col("op"), image, image, ("in_order", "late"))
 
 
 def _as_messages(
-    frame: DataFrame, source: Column, op: Column, before: Column, after: Column, keep: list[str] = []
+    frame: DataFrame, source: Column, op: Column, before: Column, after: Column, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     payload = F.to_json(
         F.struct(

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -104,10 +106,13 @@ def ingest_messages(
         staged_at = scratch_path(lake.spark, "events")
         events.write.partitionBy("_table").parquet(staged_at)
         staged = lake.spark.read.schema(events.schema).parquet(staged_at)
-        for spec in specs:
-            if files.exists(f"{staged_at}/_table={spec.name}"):
-                rows = table_changes(staged.filter(F.col("_table") == spec.name), spec)
-                apply_batch(lake, spec, rows, stream, number, delete_mode, late_delete)
+
+        def apply_table(spec: TableSpec) -> None:
+            rows = table_changes(staged.filter(F.col("_table") == spec.name), spec)
+            apply_batch(lake, spec, rows, stream, number, delete_mode, late_delete)
+
+        present = [spec for spec in specs if files.exists(f"{staged_at}/_table={spec.name}")]
+        _side_by_side(lake, apply_table, present)
         quarantine = lake.quarantine()
         if files.exists(f"{staged_at}/_table={UNCLAIMED}") and not quarantine.has_applied(stream, number):
             left = staged.filter(F.col("_table") == UNCLAIMED).withColumnRenamed("_text", "value")
@@ -207,6 +212,16 @@ def route_to_files(
     return _start(writer, trigger)
 
 
+def _side_by_side(lake: Lake, work: Callable[[TableSpec], None], specs: list[TableSpec]) -> None:
+    """Run the jobs of several tables at the same time, each in a thread that
+    inherits the job settings of this one; the first error is raised."""
+    inherit = inheritable_thread_target(lake.spark)
+    with ThreadPoolExecutor(max(len(specs), 1)) as pool:
+        futures = [pool.submit(inherit(work), spec) for spec in specs]
+    for future in futures:
+        future.result()
+
+
 def _each_batch(
     frame: DataFrame,
     take: Callable[[DataFrame, str, int], None],

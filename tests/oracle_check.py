@@ -23,6 +23,16 @@ def sql_session(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
 def _plain(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else repr(value)
@@ -43,7 +53,10 @@ def compare(spark_df, con, sql: str) -> str | None:
     want = rows_of(names, result.fetchall())
     if sorted(names) != sorted(spark_df.columns):
         return f"columns {sorted(spark_df.columns)} against {sorted(names)}"
-    kinds = {d[0]: str(d[1]) for d in result.description}
+    kinds = {d[0]: str(d[1]) for d in con.execute(f"DESCRIBE {sql}").fetchall()}
+    types = {name: SQL_TYPES.get(kind, kind) for name, kind in spark_df.dtypes}
+    if kinds != types:
+        return f"types {types} against {kinds}"
     if got != want:
         first = next(((a, b) for a, b in zip(got, want) if a != b), None)
         return f"{len(got)} rows against {len(want)}; first difference {first}; types {kinds}"
