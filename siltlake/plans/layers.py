@@ -16,6 +16,8 @@ from siltlake.tables.versioned import Version
 # scan tasks; beyond either, the merge shuffles both sides.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Name under which silver remembers the last bronze version merged.
+BRONZE_STREAM = "bronze"
 
 
 def append_bronze(
@@ -74,3 +76,25 @@ def upsert_silver(
     version = table.replace_partitions(merged, touched, base, stream, batch)
     files.delete(staged_at)
     return version
+
+
+def merge_new_bronze(
+    bronze: VersionedTable,
+    silver: VersionedTable,
+    spec: TableSpec,
+    run_ts: Column,
+    delete_mode: str = SOFT,
+    late_delete: str = LATE_WINS,
+) -> Version:
+    """Merge all bronze rows that silver has not seen, as one batch.
+
+    For sources whose updates scatter over the whole key space: bronze takes
+    every small batch at the cost of its own rows, silver is rewritten once
+    for many of them.
+    """
+    seen = silver.version().applied.get(BRONZE_STREAM, 0)
+    newest = bronze.newest()
+    if newest <= seen:
+        return silver.version()
+    changes = bronze.read_appended(seen, newest)
+    return upsert_silver(silver, changes, spec, run_ts, delete_mode, late_delete, BRONZE_STREAM, newest)

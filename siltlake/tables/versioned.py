@@ -163,6 +163,14 @@ class VersionedTable:
                 break
         raise LookupError(f"batch {batch} of {stream} was not applied to {self.path}")
 
+    def read_appended(self, after: int, upto: int) -> DataFrame:
+        """The rows commits wrote after version ``after``, up to ``upto``.
+        Compactions add none. Fails when one of the versions has expired."""
+        if upto > after and not self._files.exists(self._manifest(after + 1)):
+            raise LookupError(f"version {after + 1} of {self.path} has expired")
+        names = [name for number in range(after + 1, upto + 1) for name in self.version(number).written]
+        return self._read_folders(names, self.version(upto).schema)
+
     def _read_folders(self, names: list[str], schema: StructType) -> DataFrame:
         if not names:
             # The filter lets the optimizer see that there are no rows.

@@ -53,6 +53,28 @@ def test_a_batch_delivered_again_is_skipped(spark, lake):
     assert lake.silver(USERS).version().number == 2
 
 
+def test_silver_may_follow_bronze_in_larger_steps(spark, lake, tmp_path):
+    from siltlake.plans.runs import run_silver
+
+    raw = tmp_path / "raw"
+    records = samples.FEED["users"]
+    assert run_silver(lake, [USERS]) == {"users": 0}
+    for upto, version in ((4, 1), (7, 2)):
+        for i in range(0 if upto == 4 else 4, upto):
+            samples.land(raw, "users", f"{i}.json", [records[i]])
+        query = jobs.ingest_bronze(lake, USERS, str(raw / "users"), str(tmp_path / "c"), max_files_per_trigger=1)
+        query.awaitTermination()
+        lake.bronze(USERS).compact(slack=1)
+        assert run_silver(lake, [USERS]) == {"users": version}
+        assert run_silver(lake, [USERS]) == {"users": version}
+    assert lake.bronze(USERS).read().count() == 7
+    got = {r["id"]: (r["name"], r["is_active"]) for r in lake.silver(USERS).read().collect()}
+    assert got[1] == ("John Doe Updated", True) and got[5] == ("Charlie Brown", False) and len(got) == 5
+    with pytest.raises(LookupError, match="expired"):
+        lake.bronze(USERS).expire(10**15)
+        lake.bronze(USERS).read_appended(0, lake.bronze(USERS).newest())
+
+
 def test_a_new_checkpoint_is_a_new_stream(spark, tmp_path):
     path = str(tmp_path / "in")
     spark.range(5).write.parquet(path)
