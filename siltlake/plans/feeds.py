@@ -146,21 +146,31 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(source == "orders", F.col("value")).alias("total_amount"),
         F.when(source == "products", F.col("value")).alias("price"),
     )
-    return _as_messages(events(spark, sf_dir), source, op, F.struct(entity.alias("id")), image)
+    partition = F.pmod("user_id", F.lit(8))
+    return _as_messages(events(spark, sf_dir), source, op, F.struct(entity.alias("id")), image, partition)
 
 
 def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order changes as enveloped messages, batch numbers kept."""
-    changes = order_changes(spark, sf_dir)
-    image = F.struct(
-        "id", "user_id", "product_id", "quantity", "total_amount", "status", "created_at", "updated_at"
-    )
+    return change_messages(order_changes(spark, sf_dir), "orders", ("in_order", "late"))
+
+
+def change_messages(changes: DataFrame, source: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Bronze-form changes of one table as enveloped messages."""
+    added = {"op", "ts_ms", ARRIVAL, POSITION, CORRUPT, "in_order", "late"}
+    image = F.struct(*[c for c in changes.columns if c not in added])
     frame = changes.withColumns({"ts": F.timestamp_millis("ts_ms"), "event_id": F.col(POSITION)})
-    return _as_messages(frame, F.lit("orders"), F.col("op"), image, image, ("in_order", "late"))
+    return _as_messages(frame, F.lit(source), F.col("op"), image, image, F.pmod("id", F.lit(8)), keep)
 
 
 def _as_messages(
-    frame: DataFrame, source: Column, op: Column, before: Column, after: Column, keep: tuple[str, ...] = ()
+    frame: DataFrame,
+    source: Column,
+    op: Column,
+    before: Column,
+    after: Column,
+    partition: Column,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     payload = F.to_json(
         F.struct(
@@ -173,7 +183,7 @@ def _as_messages(
     )
     return frame.select(
         F.concat(F.lit("cdc."), source).alias("topic"),
-        F.pmod(F.col("user_id"), F.lit(8)).cast("int").alias("partition"),
+        partition.cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("ts").alias("timestamp"),
         payload.cast("binary").alias("value"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from siltlake.operators.merge import LATE_WINS, SOFT, merge_latest, prepare_changes
@@ -55,13 +55,14 @@ def upsert_silver(
         return table.version()
     base = table.version()
     staged_at = scratch_path(spark, f"changes-{spec.name}")
-    prepare_changes(changes, spec, run_ts).write.parquet(staged_at)
-    staged_bytes, _ = files.summary(staged_at)
-    staged = spark.read.schema(spec.silver_schema()).parquet(staged_at)
+    seen = Observation()
     # One value per touched key range: bounded by the number of partitions.
-    counts = staged.groupBy(KEY_RANGE).agg(F.count(F.lit(1)).alias("n")).collect()
-    touched = [row[KEY_RANGE] for row in counts]
-    small = sum(row["n"] for row in counts) <= BROADCAST_ROWS and staged_bytes <= BROADCAST_BYTES
+    ranges = F.concat_ws(",", F.collect_set(F.col(KEY_RANGE).cast("string")))
+    prepared = prepare_changes(changes, spec, run_ts)
+    prepared.observe(seen, F.count(F.lit(1)).alias("rows"), ranges.alias("ranges")).write.parquet(staged_at)
+    touched = [int(value) for value in seen.get["ranges"].split(",") if value]
+    staged_bytes, _ = files.summary(staged_at)
+    small = seen.get["rows"] <= BROADCAST_ROWS and staged_bytes <= BROADCAST_BYTES
     sized = sized_session(spark, staged_bytes + table.stored_bytes(touched))
     merged = merge_latest(
         table.on(sized).read(base.number, touched),

@@ -255,6 +255,14 @@ SELECT u.id AS user_id, u.name AS full_name, u.email_domain,
        CASE WHEN t.total_spent > 1000 THEN 'Premium' WHEN t.total_spent > 500 THEN 'Regular' ELSE 'New' END
          AS user_segment,
        u.ts_ms + {DELAY} AS last_activity
+FROM silver_users u LEFT JOIN user_totals t ON t.user_id = u.id WHERE u.is_active""",
+    "pipeline_user_analytics": f"""WITH {ORDERS}, {USERS}, {USER_STATS}
+SELECT u.id AS user_id, u.name AS full_name, u.email_domain,
+       strftime(make_timestamp(u.ts_ms * 1000), '%Y-%m-%d') AS registration_date,
+       coalesce(t.total_orders, 0) AS total_orders, coalesce(t.total_spent, 0.0) AS total_spent,
+       coalesce(t.avg_order_value, 0.0) AS avg_order_value,
+       CASE WHEN t.total_spent > 1000 THEN 'Premium' WHEN t.total_spent > 500 THEN 'Regular' ELSE 'New' END
+         AS user_segment
 FROM silver_users u LEFT JOIN user_totals t ON t.user_id = u.id WHERE u.is_active""",
     "gold_product_analytics": f"""WITH {ORDERS}, {PRODUCTS}, {PRODUCT_STATS}
 SELECT p.id AS product_id, p.name AS product_name, p.category, p.price,
@@ -272,6 +280,7 @@ SELECT u.id, u.name, count(o.id) AS total_orders, {MONEY.replace('total_amount',
 FROM silver_users u LEFT JOIN silver_orders o ON o.user_id = u.id WHERE u.is_active GROUP BY u.id, u.name""",
     "latest_per_key": f"WITH {ORDERS} SELECT {BRONZE} FROM silver_orders",
     "silver_merge_insert": f"WITH {ORDERS} SELECT {SILVER} FROM silver_orders",
+    "silver_from_bronze": f"WITH {ORDERS} SELECT {SILVER} FROM silver_orders",
     "silver_merge_update": merged("in_order"),
     "silver_merge_late": merged("late"),
     "silver_table_late": merged("late"),

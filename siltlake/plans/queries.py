@@ -23,7 +23,8 @@ from siltlake.operators.merge import HARD, LATE_IGNORED, SOFT, merge_changes, pr
 from siltlake.operators.route import TABLE_ROUTES, as_messages, route
 from siltlake.plans import feeds, gold
 from siltlake.plans.lake import Lake
-from siltlake.plans.layers import append_bronze, upsert_silver
+from siltlake.plans.layers import append_bronze, merge_new_bronze, upsert_silver
+from siltlake.plans.runs import run_gold
 from siltlake.session import scratch_path
 from siltlake.sources import flat
 from siltlake.sources.envelope import parse_envelopes
@@ -542,6 +543,17 @@ def silver_table_late(spark: SparkSession, sf: str) -> DataFrame:
     return _silver_rows(table.read())
 
 
+@register
+def silver_from_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    """Two bronze appends, merged into silver in one step."""
+    changes = feeds.order_changes(spark, sf)
+    lake = _lake(spark)
+    for number in (0, 1):
+        append_bronze(lake.bronze(ORDERS), feeds.batch_of(changes, "late", number))
+    merge_new_bronze(lake.bronze(ORDERS), lake.silver(ORDERS), ORDERS, _run_ts())
+    return _silver_rows(lake.silver(ORDERS).read())
+
+
 # -- streams ---------------------------------------------------------------------
 
 
@@ -609,6 +621,23 @@ def stream_merge_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
     return _silver_rows(lake.silver(ORDERS).read())
 
 
+@register
+def pipeline_user_analytics(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages of all three tables through bronze and silver into the marts."""
+    lake, path = _lake(spark), scratch_path(spark, "landing")
+    feed = {
+        "users": feeds.user_changes(spark, sf),
+        "products": feeds.product_changes(spark, sf),
+        "orders": _changes(spark, sf),
+    }
+    for name, changes in feed.items():
+        feeds.change_messages(changes, name).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    jobs.ingest_messages(lake, stream, scratch_path(spark, "checkpoint")).awaitTermination()
+    run_gold(lake)
+    return lake.gold("user_analytics").read().drop("refresh_date", "last_activity")
+
+
 @register
 def route_events(spark: SparkSession, sf: str) -> DataFrame:
     """Routed stream files; deletes go to two topics."""
