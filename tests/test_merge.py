@@ -135,6 +135,21 @@ def test_merge_is_idempotent(spark):
     assert twice.filter("is_active").count() + twice.filter("NOT is_active").count() == once.count()
 
 
+def test_the_target_is_shuffled_only_for_large_changes(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    prepare_changes(changes(spark, [(i, "a", "c", 1) for i in range(9)]), USERS, now()).write.parquet(path)
+    target = spark.read.parquet(path)
+
+    def plan(broadcast):
+        merged = merge_latest(target, target, USERS, broadcast_changes=broadcast)
+        return merged._jdf.queryExecution().executedPlan().toString()
+
+    small, large = plan(True), plan(False)
+    assert "BroadcastHashJoin" in small and "LeftOuter" in small and "Exchange hashpartitioning" not in small
+    assert "FullOuter" in large and large.count("Exchange hashpartitioning") == 2
+    assert "ReadSchema: struct<id:bigint>" in small
+
+
 @pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
 def test_stored_merge_touches_only_the_ranges_of_its_changes(spark, lake, monkeypatch, broadcast_rows):
     monkeypatch.setattr(layers, "BROADCAST_ROWS", broadcast_rows)
