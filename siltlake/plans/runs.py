@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -16,7 +16,7 @@ from siltlake.plans import gold
 from siltlake.plans.lake import Lake
 from siltlake.plans.layers import merge_new_bronze
 from siltlake.session import sized_session
-from siltlake.spec import DAY, ORDERS, PRODUCTS, SPECS, USERS, TableSpec
+from siltlake.spec import DAY, SPECS, TableSpec
 from siltlake.streaming.jobs import ingest_files
 
 
@@ -149,19 +149,17 @@ def run_silver(
     }
 
 
-def run_gold(lake: Lake) -> dict[str, int]:
+def run_gold(lake: Lake, specs: Mapping[str, TableSpec] = SPECS) -> dict[str, int]:
     """Refresh every mart whose silver tables exist; returns the rows written."""
     _, run_ts = run_instant()
-    stored = sum(lake.silver(spec).stored_bytes() for spec in (USERS, PRODUCTS, ORDERS))
+    stored = sum(lake.silver(spec).stored_bytes() for spec in specs.values())
     lake = Lake(sized_session(lake.spark, stored), lake.root)
-    users = lake.silver_if_present(USERS)
-    products = lake.silver_if_present(PRODUCTS)
-    orders = lake.silver_if_present(ORDERS)
+    users, products, orders = (lake.silver_if_present(specs[name]) for name in ("users", "products", "orders"))
     marts: dict[str, DataFrame] = {}
     if orders is not None:
-        marts["sales_summary"] = gold.sales_summary(orders, run_ts)
+        marts["sales_summary"] = gold.sales_summary(orders, run_ts, specs["orders"].epoch_unit)
         if users is not None:
-            marts["user_analytics"] = gold.user_analytics(users, orders, run_ts)
+            marts["user_analytics"] = gold.user_analytics(users, orders, run_ts, unit=specs["users"].epoch_unit)
             marts["user_stats"] = gold.user_stats(users, orders)
         if products is not None:
             marts["product_analytics"] = gold.product_analytics(products, orders, run_ts)
@@ -178,16 +176,16 @@ def run_pipeline(
     raw_root: str,
     checkpoint_root: str,
     limits: GateLimits = GateLimits(),
-    specs: Iterable[TableSpec] = tuple(SPECS.values()),
+    specs: Mapping[str, TableSpec] = SPECS,
 ) -> dict[str, int]:
     """Change intake, quality gate, marts. A failing step stops the later ones.
 
     The gate looks at the days the run lasted, not at the whole history.
     """
-    specs = list(specs)
+    tables = list(specs.values())
     began, _ = run_instant()
-    run_cdc(lake, raw_root, checkpoint_root, specs)
+    run_cdc(lake, raw_root, checkpoint_root, tables)
     ended, _ = run_instant()
     days = {began + dt.timedelta(days=n) for n in range((ended.date() - began.date()).days + 1)}
-    check_quality(lake, limits, specs, sorted(day.strftime("%Y-%m-%d") for day in days))
-    return run_gold(lake)
+    check_quality(lake, limits, tables, sorted(day.strftime("%Y-%m-%d") for day in days))
+    return run_gold(lake, specs)

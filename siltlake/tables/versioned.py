@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from siltlake.session import fork_session
+from siltlake.session import fork_session, sized_session
 from siltlake.tables.files import Files
 
 TARGET_FILE_BYTES = 134_217_728
@@ -62,7 +62,7 @@ class Version:
     # Last batch number applied by each named stream.
     applied: dict[str, int] = field(default_factory=dict)
     # What this very commit wrote, and the stream batch it came from.
-    written: list[str] = field(default_factory=list)
+    written: list[Folder] = field(default_factory=list)
     rows_written: int = 0
     batch: tuple[str, int] | None = None
     committed_ms: int = 0
@@ -125,7 +125,7 @@ class VersionedTable:
             schema=StructType.fromJson(saved["schema"]),
             folders={value: [Folder(*f) for f in listed] for value, listed in saved["folders"]},
             applied=saved["applied"],
-            written=saved["written"],
+            written=[Folder(*f) for f in saved["written"]],
             rows_written=saved["rows_written"],
             batch=tuple(saved["batch"]) if saved["batch"] else None,
             committed_ms=saved["committed_ms"],
@@ -143,13 +143,8 @@ class VersionedTable:
         """
         found = self.version(version)
         wanted = None if partitions is None else {_text(p) for p in partitions}
-        names = [
-            folder.name
-            for value, folders in found.folders.items()
-            if wanted is None or value in wanted
-            for folder in folders
-        ]
-        return self._read_folders(names, found.schema)
+        chosen = [f for v, fs in found.folders.items() if wanted is None or v in wanted for f in fs]
+        return self._read_folders(chosen, found.schema)
 
     def read_batch(self, stream: str, batch: int) -> DataFrame:
         """The rows one batch of a named stream added."""
@@ -158,7 +153,7 @@ class VersionedTable:
                 break  # expired
             found = self.version(number)
             if found.batch == (stream, batch):
-                return self._read_folders(found.written, found.schema)
+                return self._read_sized(found.written, found.schema)
             if found.applied.get(stream, -1) < batch:
                 break
         raise LookupError(f"batch {batch} of {stream} was not applied to {self.path}")
@@ -168,15 +163,20 @@ class VersionedTable:
         Compactions add none. Fails when one of the versions has expired."""
         if upto > after and not self._files.exists(self._manifest(after + 1)):
             raise LookupError(f"version {after + 1} of {self.path} has expired")
-        names = [name for number in range(after + 1, upto + 1) for name in self.version(number).written]
-        return self._read_folders(names, self.version(upto).schema)
+        folders = [folder for number in range(after + 1, upto + 1) for folder in self.version(number).written]
+        return self._read_sized(folders, self.version(upto).schema)
 
-    def _read_folders(self, names: list[str], schema: StructType) -> DataFrame:
-        if not names:
+    def _read_sized(self, folders: list[Folder], schema: StructType) -> DataFrame:
+        """Folders as a frame of a session whose shuffles fit their size."""
+        session = sized_session(self.spark, sum(f.bytes for f in folders))
+        return self.on(session)._read_folders(folders, schema)
+
+    def _read_folders(self, folders: list[Folder], schema: StructType) -> DataFrame:
+        if not folders:
             # The filter lets the optimizer see that there are no rows.
             return self.spark.createDataFrame([], schema).filter(F.lit(False))
         reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/data")
-        return reader.parquet(*[f"{self.path}/data/{name}" for name in names]).select(*schema.fieldNames())
+        return reader.parquet(*[f"{self.path}/data/{f.name}" for f in folders]).select(*schema.fieldNames())
 
     # -- commits ----------------------------------------------------------
 
@@ -233,7 +233,7 @@ class VersionedTable:
             widen(base.schema, df.schema)  # refuse a changed type before writing
         rows = Observation()
         written = self._write(df.observe(rows, F.count(F.lit(1)).alias("rows")), base.number + 1)
-        names = [folder.name for folders in written.values() for folder in folders]
+        added = [folder for folders in written.values() for folder in folders]
 
         def build(current: Version) -> Version:
             if stream is not None and current.applied.get(stream, -1) >= batch:
@@ -243,7 +243,7 @@ class VersionedTable:
                 schema=schema or widen(current.schema, df.schema),
                 folders=combine(current, written),
                 applied=current.applied if stream is None else {**current.applied, stream: batch},
-                written=names,
+                written=added,
                 rows_written=rows.get["rows"],
                 batch=None if stream is None else (stream, batch),
                 committed_ms=int(time.time() * 1000),
@@ -280,7 +280,7 @@ class VersionedTable:
                     "schema": json.loads(version.schema.json()),
                     "folders": [[v, [[f.name, f.bytes, f.files] for f in fs]] for v, fs in version.folders.items()],
                     "applied": version.applied,
-                    "written": version.written,
+                    "written": [[f.name, f.bytes, f.files] for f in version.written],
                     "rows_written": version.rows_written,
                     "batch": version.batch,
                     "committed_ms": version.committed_ms,
@@ -320,7 +320,7 @@ class VersionedTable:
         packed = self.on(packing)
 
         def rewrite(old: list[Folder]) -> list[Folder]:
-            rows = packed._read_folders([f.name for f in old], base.schema)
+            rows = packed._read_folders(old, base.schema)
             return [folder for folders in packed._write(rows, base.number + 1).values() for folder in folders]
 
         with ThreadPoolExecutor(COMPACTION_JOBS) as pool:

@@ -210,3 +210,20 @@ def test_snapshot_diff(spark):
     ]
     wider = snapshot_diff(before, before.withColumn("extra", F.lit("x")), "id", F.lit(9))
     assert wider.filter("op = 'u'").count() == 4
+
+
+def test_merging_the_difference_of_snapshots_gives_the_later_one(spark):
+    from siltlake.sources.flat import normalise
+
+    before = spark.createDataFrame([(1, "a", "x@y"), (2, "b", None), (3, "c", "z")], "id long, name string, email string")
+    after = spark.createDataFrame([(1, "a", "x@y"), (2, "b", "new@y"), (4, "d", "w")], "id long, name string, email string")
+    empty = spark.createDataFrame([], before.schema)
+
+    def feed(old, new, ts):
+        return normalise(snapshot_diff(old, new, "id", F.lit(ts)), USERS, now())
+
+    state_before = prepare_changes(feed(empty, before, 1), USERS, now())
+    merged = merge_changes(state_before, feed(before, after, 2), USERS, now())
+    live = merged.filter("is_active").select("id", "name", "email")
+    assert sorted(map(tuple, live.collect())) == sorted(map(tuple, after.collect()))
+    assert merged.filter("NOT is_active").first()["id"] == 3
