@@ -460,7 +460,12 @@ def silver_merge_hard_delete(spark: SparkSession, sf: str) -> DataFrame:
 def snapshot_diff_query(spark: SparkSession, sf: str) -> DataFrame:
     """Live users by their last event, at mid month and at the end of it."""
     events = feeds.events(spark, sf).select(
-        F.col("user_id").alias("id"), F.col("event_type").alias("status"), "value", "op", "ts_ms", F.col("event_id").alias(POSITION)
+        F.col("user_id").alias("id"),
+        F.col("event_type").alias("status"),
+        "value",
+        "op",
+        "ts_ms",
+        F.col("event_id").alias(POSITION),
     )
     half = F.unix_millis(F.lit("2024-01-16 00:00:00").cast("timestamp"))
 
@@ -559,12 +564,11 @@ def silver_from_bronze(spark: SparkSession, sf: str) -> DataFrame:
 
 def _deliver(spark: SparkSession, frame: DataFrame, split: str, run: Callable[[DataFrame], object]) -> None:
     """Land batch 0 and run the stream, land batch 1 and run it again from its
-    checkpoint, then run it once more with nothing new."""
+    checkpoint."""
     path = scratch_path(spark, "landing")
     schema = frame.drop("in_order", "late").schema
-    for number in (0, 1, None):
-        if number is not None:
-            feeds.batch_of(frame, split, number).write.mode("append").parquet(path)
+    for number in (0, 1):
+        feeds.batch_of(frame, split, number).write.mode("append").parquet(path)
         run(spark.readStream.schema(schema).parquet(path)).awaitTermination()
 
 
@@ -600,10 +604,9 @@ def stream_bronze_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Flat JSON files through the streaming intake into bronze."""
     lake, checkpoint, path = _lake(spark), scratch_path(spark, "checkpoint"), scratch_path(spark, "raw")
     changes = feeds.order_changes(spark, sf)
-    for number in (0, 1, None):
-        if number is not None:
-            records = feeds.flat_records(feeds.batch_of(changes, "late", number))
-            records.write.mode("append").json(path)
+    for number in (0, 1):
+        records = feeds.flat_records(feeds.batch_of(changes, "late", number))
+        records.write.mode("append").json(path)
         jobs.ingest_bronze(lake, ORDERS, path, checkpoint).awaitTermination()
     return _bronze_rows(lake.bronze(ORDERS).read())
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
@@ -20,6 +21,9 @@ from siltlake.spec import DAY, SPECS, TableSpec
 from siltlake.streaming.jobs import ingest_files
 
 
+log = logging.getLogger(__name__)
+
+
 class RunFailedError(RuntimeError):
     """At least one table of a run failed; the others were still processed."""
 
@@ -81,6 +85,7 @@ def compact_tables(lake: Lake, specs: Iterable[TableSpec] = tuple(SPECS.values()
                 table.compact()
                 outcome[name] = None
             except Exception as error:
+                log.warning("compaction of %s skipped: %s", name, error)
                 outcome[name] = str(error)
     return outcome
 

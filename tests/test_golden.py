@@ -163,3 +163,22 @@ def test_marts_of_empty_tables(spark, lake):
         lake.silver(spec).append(spark.createDataFrame([], spec.silver_schema()))
     assert run_gold(lake) == {"sales_summary": 0, "user_analytics": 0, "user_stats": 0}
     assert lake.gold("sales_summary").read().count() == 0
+
+
+def test_a_table_that_cannot_be_compacted_is_skipped(spark, lake, monkeypatch):
+    from siltlake.plans.runs import compact_tables
+    from siltlake.tables import VersionedTable
+
+    rows = spark.createDataFrame([(1, "a")], "id long, name string")
+    for spec in (USERS, ORDERS):
+        lake.silver(spec).append(rows.selectExpr("id", "CAST(0 AS BIGINT) AS key_range").repartition(1))
+    compact = VersionedTable.compact
+
+    def fail_for_users(self, *args):
+        if self.path.endswith("silver_users"):
+            raise OSError("gone")
+        return compact(self, *args)
+
+    monkeypatch.setattr(VersionedTable, "compact", fail_for_users)
+    outcome = compact_tables(lake, [USERS, ORDERS])
+    assert outcome == {"bronze_users": None, "silver_users": "gone", "bronze_orders": None, "silver_orders": None}
