@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 # Microseconds per unit of a source clock.
 EPOCH_UNITS = {"s": 1_000_000, "ms": 1_000, "us": 1}
 
-# Amounts below this magnitude are summed as whole cents; see ``exact_sum``.
+# Amounts below this magnitude may be summed as whole cents; see ``exact_sum``.
 EXACT_LIMIT = 1e13
+# Largest relative error of a two-decimal amount, as DOUBLE, times 100: one
+# rounding for the value and one for the product, 2.3e-16 together.
+DOUBLE_NOISE = 1e-15
 
 
 def typed(value: Column, type_name: str) -> Column:
@@ -52,16 +55,18 @@ def day_key(value: Column, unit: str = "ms") -> Column:
 def exact_sum(amount: Column, scale: int = 2) -> Column:
     """Sum of a DOUBLE money column that does not depend on row order.
 
-    Values are added as whole units of 10^-scale in a BIGINT, which partial
-    aggregation can combine in any order (an overflow raises under ANSI).
-    Values too large for that, and NaN, are summed as DOUBLE next to it, so
-    no row is left out.
+    Values that are whole units of 10^-scale are added as BIGINT, which
+    partial aggregation can combine in any order (an overflow raises under
+    ANSI). Finer fractions, very large values and NaN are summed as DOUBLE
+    next to them: nothing is rounded and no row is left out.
     """
     unit = float(10**scale)
-    small = F.abs(amount) < EXACT_LIMIT
-    whole = F.sum(F.when(small, F.floor(amount * unit + F.lit(0.5)))).cast("double") / unit
-    rest = F.sum(F.when(~small, amount))
-    return F.coalesce(whole + rest, whole, rest)
+    scaled = amount * unit
+    units = F.rint(scaled)
+    whole = (F.abs(amount) < EXACT_LIMIT) & (F.abs(scaled - units) <= F.abs(scaled) * DOUBLE_NOISE)
+    exact = F.sum(F.when(whole, units.cast("bigint"))).cast("double") / unit
+    rest = F.sum(F.when(~whole, amount))
+    return F.coalesce(exact + rest, exact, rest)
 
 
 def exact_avg(amount: Column, scale: int = 2) -> Column:

@@ -69,6 +69,11 @@ def test_exact_sum_is_order_free_and_leaves_no_row_out(spark):
     df = column(spark, "double", cents)
     for n in (1, 7):
         assert df.repartition(n).agg(values.exact_sum(F.col("v"))).first()[0] == 100.28
+    fine = column(spark, "double", [1.005, 2.0004, 1.1, -1.1]).agg(values.exact_sum(F.col("v"))).first()[0]
+    assert fine == 1.005 + 2.0004
+    every_cent = spark.range(-100_000, 2_000_000).select((F.col("id") / 100.0).alias("v"), F.col("id"))
+    got = every_cent.agg(values.exact_sum(F.col("v")), F.sum("id")).first()
+    assert got[0] == got[1] / 100
     huge = column(spark, "double", [1e15, 2.5, None]).agg(
         values.exact_sum(F.col("v")), values.exact_avg(F.col("v"))
     ).first()
