@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltlake.spec import ARRIVAL, AUDIT, DAY, KEY_RANGE, TableSpec
+from siltlake.spec import ARRIVAL, AUDIT, DAY, KEY_RANGE, POSITION, TableSpec
 from siltlake.tables.versioned import TARGET_FILE_BYTES
 
 V2_PROVIDERS = ("iceberg",)
@@ -63,7 +63,9 @@ def create_table_sql(
     return " ".join(parts)
 
 
-def merge_sql(target: str, source: str, spec: TableSpec, delete_mode: str = "soft") -> str:
+def merge_sql(
+    target: str, source: str, spec: TableSpec, delete_mode: str = "soft", late_delete: str = "win"
+) -> str:
     """The keyed merge as one statement, for catalogs that take ``MERGE INTO``.
 
     ``source`` holds prepared changes, one per key.
@@ -78,6 +80,9 @@ def merge_sql(target: str, source: str, spec: TableSpec, delete_mode: str = "sof
             f"WHEN MATCHED AND s.op <> 'd' THEN UPDATE SET {every} "
             f"WHEN NOT MATCHED AND NOT (s.op <=> 'd') THEN {insert}"
         )
+    if late_delete == "ignore":
+        newer = f"s.ts_ms > t.ts_ms OR (s.ts_ms = t.ts_ms AND s.`{POSITION}` > t.`{POSITION}`)"
+        return f"{head} WHEN MATCHED AND ({newer}) THEN UPDATE SET {every} WHEN NOT MATCHED THEN {insert}"
     mark = f"t.is_active = false, t.op = 'd', t.`{AUDIT}` = s.`{AUDIT}`"
     return (
         f"{head} WHEN MATCHED AND s.ts_ms > t.ts_ms THEN UPDATE SET {every} "
@@ -110,10 +115,12 @@ class CatalogTable:
     def replace(self, df: DataFrame, provider: str = "iceberg") -> None:
         df.writeTo(self.name).using(provider).createOrReplace()
 
-    def merge(self, latest: DataFrame, spec: TableSpec, delete_mode: str = "soft") -> None:
+    def merge(
+        self, latest: DataFrame, spec: TableSpec, delete_mode: str = "soft", late_delete: str = "win"
+    ) -> None:
         view = f"changes_{spec.name}"
         latest.createOrReplaceTempView(view)
-        self.spark.sql(merge_sql(self.name, view, spec, delete_mode))
+        self.spark.sql(merge_sql(self.name, view, spec, delete_mode, late_delete))
 
     def compact(self) -> None:
         catalog, rest = self.name.split(".", 1)

@@ -174,7 +174,8 @@ def test_v2_statements_parse(spark):
     ddl = catalog.create_layer_sql(USERS, "bronze", "lake.db", "iceberg", "s3://x/y")
     assert "PARTITIONED BY (days(processed_at))" in ddl and "'write.target-file-size-bytes'='134217728'" in ddl
     parser = spark._jsparkSession.sessionState().sqlParser()
-    for sql in (ddl, *(catalog.merge_sql("lake.db.t", "changes", ORDERS, mode) for mode in ("soft", "hard"))):
+    modes = [("soft", "win"), ("soft", "ignore"), ("hard", "win")]
+    for sql in (ddl, *(catalog.merge_sql("lake.db.t", "changes", ORDERS, *mode) for mode in modes)):
         assert parser.parsePlan(sql) is not None
 
 
