@@ -8,11 +8,8 @@ from pyspark.sql import functions as F
 # Microseconds per unit of a source clock.
 EPOCH_UNITS = {"s": 1_000_000, "ms": 1_000, "us": 1}
 
-# Amounts below this magnitude may be summed as whole cents; see ``exact_sum``.
-EXACT_LIMIT = 1e13
-# Largest relative error of a two-decimal amount, as DOUBLE, times 100: one
-# rounding for the value and one for the product, 2.3e-16 together.
-DOUBLE_NOISE = 1e-15
+# Decimal places that sums of amounts keep.
+AMOUNT_SCALE = 6
 
 
 def typed(value: Column, type_name: str) -> Column:
@@ -52,23 +49,18 @@ def day_key(value: Column, unit: str = "ms") -> Column:
     return day_text(day_of(value, unit))
 
 
-def exact_sum(amount: Column, scale: int = 2) -> Column:
+def exact_sum(amount: Column, scale: int = AMOUNT_SCALE) -> Column:
     """Sum of a DOUBLE money column that does not depend on row order.
 
-    Values that are whole units of 10^-scale are added as BIGINT, which
-    partial aggregation can combine in any order (an overflow raises under
-    ANSI). Finer fractions, very large values and NaN are summed as DOUBLE
-    next to them: nothing is rounded and no row is left out.
+    Values are added as wide decimals of ``scale`` places; finer fractions are
+    rounded to them, one value at a time. Under ANSI a sum, or a value, of 10^32
+    or more raises. A value that is no number (NaN, infinite) makes the sum NaN.
     """
-    unit = float(10**scale)
-    scaled = amount * unit
-    units = F.rint(scaled)
-    whole = (F.abs(amount) < EXACT_LIMIT) & (F.abs(scaled - units) <= F.abs(scaled) * DOUBLE_NOISE)
-    exact = F.sum(F.when(whole, units.cast("bigint"))).cast("double") / unit
-    rest = F.sum(F.when(~whole, amount))
-    return F.coalesce(exact + rest, exact, rest)
+    finite = F.abs(amount) < F.lit(float("inf"))
+    exact = F.sum(F.when(finite, amount).cast(f"decimal(38,{scale})")).cast("double")
+    return F.when(F.bool_or(~finite), F.lit(float("nan"))).otherwise(exact)
 
 
-def exact_avg(amount: Column, scale: int = 2) -> Column:
+def exact_avg(amount: Column, scale: int = AMOUNT_SCALE) -> Column:
     """Mean of the non-NULL values, from ``exact_sum``; NULL for none."""
     return exact_sum(amount, scale) / F.nullif(F.count(amount), F.lit(0)).cast("double")

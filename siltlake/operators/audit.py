@@ -8,20 +8,29 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltlake.spec import POSITION
 
-def recent_rows(history: DataFrame, n: int = 20, by: str = "processed_at", tie: str = "id") -> DataFrame:
+
+def recent_rows(history: DataFrame, n: int = 20, by: str = "processed_at", tie: str | None = None) -> DataFrame:
     """The ``n`` last rows to arrive."""
-    return history.orderBy(F.desc(by), F.desc(tie)).limit(n)
+    return history.orderBy(*_last_first(history, by, tie)).limit(n)
 
 
 def recent_by_op(
-    history: DataFrame, op: str, n: int = 10, columns: Sequence[str] | None = None, tie: str = "id"
+    history: DataFrame, op: str, n: int = 10, columns: Sequence[str] | None = None, tie: str | None = None
 ) -> DataFrame:
     """The ``n`` last changes of one operation by source time."""
-    rows = history.filter(F.col("op") == op).orderBy(F.desc("ts_ms"), F.desc(tie)).limit(n)
+    rows = history.filter(F.col("op") == op).orderBy(*_last_first(history, "ts_ms", tie)).limit(n)
     return rows.select(*columns) if columns else rows
 
 
+def _last_first(history: DataFrame, by: str, tie: str | None) -> list[Column]:
+    """Rows of one batch share their arrival and ids repeat in a history, so
+    ties are broken by position, source time and id, unless one is named."""
+    ties = [tie] if tie else [name for name in (POSITION, "ts_ms", "id") if name in history.columns]
+    return [F.desc(name) for name in dict.fromkeys([by, *ties])]
+
+
 def op_counts(history: DataFrame) -> DataFrame:
     return history.groupBy("op").agg(F.count(F.lit(1)).alias("cnt")).orderBy(F.desc("cnt"), "op")
 

@@ -38,3 +38,15 @@ def dedup_stream(
     )
     thinned = salted.dropDuplicatesWithinWatermark([*identity, "_salt"]).drop("_salt")
     return thinned.dropDuplicatesWithinWatermark(list(identity))
+
+
+def once(frame: DataFrame, identity: Sequence[str], delay: str | None) -> DataFrame:
+    """Rows of a stream whose ``identity`` did not arrive within ``delay`` before.
+
+    The clock is that of arrival, so no row is late and none is lost; without a
+    delay all rows pass.
+    """
+    if delay is None:
+        return frame
+    arrived = frame.withColumn("_arrived", F.current_timestamp())
+    return dedup_stream(arrived, "_arrived", delay, identity).drop("_arrived")

@@ -21,10 +21,10 @@ REFERENCE_COLUMNS = {"users": ["name", "email"], "products": ["name", "category"
 def event_key(table: str, foreign_keys: dict[str, str] | None = None) -> Column:
     """The reference key an event points to: its own id for events of that
     table, the declared foreign key for events of other tables, else NULL."""
-    key = F.when(F.col("source_table") == table, F.col("after_state.id"))
+    key = F.when(F.col("source_table") == table, F.get_json_object("after_state", "$.id"))
     for source, column in (foreign_keys or {}).items():
-        key = key.when(F.col("source_table") == source, F.col(f"after_state.{column}"))
-    return typed(key.cast("string"), "bigint")
+        key = key.when(F.col("source_table") == source, F.get_json_object("after_state", f"$.{column}"))
+    return typed(key, "bigint")
 
 
 def enrich(

@@ -41,9 +41,10 @@ def _plain_names(order_by: Sequence[str | Column]) -> set[str]:
 
 
 def latest_per_key(changes: DataFrame, key: str = "id") -> DataFrame:
-    """The last change of each key by source time, then source position."""
+    """The last change of each key: by source time, then source position, a
+    delete after other changes of its instant, then by the other columns."""
     order = ["ts_ms"] + ([POSITION] if POSITION in changes.columns else [])
-    return greatest_row(changes, [key], order)
+    return greatest_row(changes, [key], [*order, F.col("op").eqNullSafe(F.lit("d"))])
 
 
 def top_product_per_day(product_revenue: DataFrame) -> DataFrame:

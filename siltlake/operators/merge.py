@@ -1,9 +1,8 @@
 """Keyed merge of changes into the current state of a table.
 
-Two physical forms give the same rows. For a change set of proven small size
-the target is never shuffled: it is joined map-side against the broadcast
-changes, and the new keys come from an id-only second look. Otherwise both
-sides are shuffled once on the key for a full outer join.
+Both sides are joined once, on bucket and key. A caller who knows that a change
+set is small in memory may have it broadcast: the target is then not shuffled,
+and the new keys come from an id-only second look. Both forms give the same rows.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 
 from siltlake.functions.classes import is_active
 from siltlake.operators.latest import latest_per_key
-from siltlake.spec import ARRIVAL, AUDIT, KEY_RANGE, POSITION, TableSpec
+from siltlake.spec import ARRIVAL, AUDIT, BUCKET, POSITION, TableSpec
 
 SOFT, HARD = "soft", "hard"
 LATE_WINS, LATE_IGNORED = "win", "ignore"
@@ -37,7 +36,7 @@ def prepare_changes(changes: DataFrame, spec: TableSpec, run_ts: Column) -> Data
             AUDIT: run_ts.cast("timestamp"),
         }
     )
-    return silver.select(*[name for name, _ in spec.silver_columns], spec.key_range().alias(KEY_RANGE))
+    return silver.select(*[name for name, _ in spec.silver_columns], spec.bucket().alias(BUCKET))
 
 
 def merge_changes(
@@ -62,11 +61,10 @@ def merge_latest(
 ) -> DataFrame:
     """Merge prepared changes, one per key, into silver rows.
 
-    Soft mode, first match wins: a newer change replaces the row; a delete
-    that is not newer still marks the row inactive and leaves its values
-    (``late_delete="ignore"`` drops it instead, and breaks equal source times
-    by position); anything else leaves the row; an unknown key is inserted,
-    a delete as an inactive row.
+    Soft mode, first match wins: a newer change (``newer_sql``) replaces the row;
+    a delete that is not newer still marks the row inactive and leaves its
+    values (``late_delete="ignore"`` drops it instead); anything else leaves the
+    row; an unknown key is inserted, a delete as an inactive row.
 
     Hard mode has no time guard: a delete removes the row, another known
     operation replaces it, and a delete of an unknown key inserts nothing.
@@ -75,7 +73,8 @@ def merge_latest(
     old, new = target.alias("t"), latest.alias("s")
     same_key = F.col(f"t.{key}") == F.col(f"s.{key}")
     if not broadcast_changes:
-        return _resolve(old.join(new, same_key, "full_outer"), spec, delete_mode, late_delete)
+        same = same_key & (F.col(f"t.{BUCKET}") == F.col(f"s.{BUCKET}"))
+        return _resolve(old.join(new, same, "full_outer"), spec, delete_mode, late_delete)
     kept = _resolve(old.join(F.broadcast(new), same_key, "left"), spec, delete_mode, late_delete)
     known = target.select(key).join(F.broadcast(latest.select(key)), key, "left_semi")
     inserted = latest.join(known, key, "left_anti")
@@ -84,6 +83,26 @@ def merge_latest(
     return kept.unionByName(inserted)
 
 
+def newer_sql(spec: TableSpec, late_delete: str = LATE_WINS) -> str:
+    """Whether change ``s`` is later than row ``t``, in the order that
+    ``latest_per_key`` has: source time, position, deletes last.
+
+    When late deletes are ignored, the other columns break the ties that are
+    left and an unknown time is the earliest, so that the state does not depend
+    on how changes were split. Otherwise such ties, and unknown times, leave
+    the row as it is.
+    """
+    names = ["ts_ms", POSITION]
+    others = spec.order_columns if late_delete == LATE_IGNORED else []
+
+    def order(side: str) -> str:
+        columns = [*[f"{side}.`{n}`" for n in names], f"({side}.op <=> 'd')", *[f"{side}.`{n}`" for n in others]]
+        return f"struct({', '.join(columns)})"
+
+    known = "" if late_delete == LATE_IGNORED else "s.ts_ms >= t.ts_ms AND "
+    return f"coalesce({known}{order('s')} > {order('t')}, false)"
+
+
 def _resolve(joined: DataFrame, spec: TableSpec, delete_mode: str, late_delete: str) -> DataFrame:
     """Pick the surviving values of joined rows ``t`` (old) and ``s`` (new)."""
     has_old = F.col(f"t.{spec.key}").isNotNull()
@@ -94,12 +113,9 @@ def _resolve(joined: DataFrame, spec: TableSpec, delete_mode: str, late_delete:
         joined = joined.filter(~(has_new & deletes))
         replaces = F.coalesce(F.col("s.op") != "d", F.lit(False))
     else:
-        replaces = F.coalesce(F.col("s.ts_ms") > F.col("t.ts_ms"), F.lit(False))
+        replaces = F.expr(newer_sql(spec, late_delete))
         if late_delete == LATE_WINS:
             marked = {"is_active": F.lit(False), "op": F.lit("d"), AUDIT: F.col(f"s.{AUDIT}")}
-        else:
-            tie = (F.col("s.ts_ms") == F.col("t.ts_ms")) & (F.col(f"s.{POSITION}") > F.col(f"t.{POSITION}"))
-            replaces = replaces | F.coalesce(tie, F.lit(False))
     take_new = ~has_old | (has_new & replaces)
 
     def survivor(name: str) -> Column:

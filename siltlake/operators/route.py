@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltlake.sources.envelope import IMAGES
+
 # The default routes.
 TABLE_ROUTES = {
     "processed.users": "source_table = 'users'",
@@ -35,6 +37,7 @@ def as_messages(routed: DataFrame) -> DataFrame:
     )
 
 
-def row_json(columns: list[str]):
-    """The given columns as one JSON object; NULL fields are left out."""
-    return F.to_json(F.struct(*columns))
+def row_json(columns: list[str]) -> Column:
+    """The given columns as one JSON object; NULL fields are left out, row
+    images stay the objects they are."""
+    return F.to_json(F.struct(*[F.parse_json(c).alias(c) if c in IMAGES else F.col(c) for c in columns]))

@@ -27,6 +27,20 @@ def user_order_stats(orders: DataFrame) -> DataFrame:
     )
 
 
+def user_totals(orders: DataFrame) -> DataFrame:
+    """Totals of active orders and of all orders by user, in one pass for both
+    marts of users."""
+    live = F.col("is_active")
+    amount = F.when(live, F.col("total_amount"))
+    return orders.groupBy("user_id").agg(
+        F.count_if(live).alias("total_orders"),
+        exact_sum(amount).alias("total_spent"),
+        exact_avg(amount).alias("avg_order_value"),
+        F.count("id").alias("all_orders"),
+        exact_sum(F.col("total_amount")).alias("lifetime_value"),
+    )
+
+
 def product_order_stats(orders: DataFrame) -> DataFrame:
     return orders.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("total_orders"),
@@ -68,7 +82,14 @@ def user_analytics(
     users: DataFrame, orders: DataFrame, refreshed: Column, bounds=classes.USER_SEGMENTS, unit: str = "ms"
 ) -> DataFrame:
     """One row per active user with order totals and segment."""
-    stats = user_order_stats(active(orders)).withColumnRenamed("user_id", "_user")
+    return user_analytics_from(users, user_totals(orders), refreshed, bounds, unit)
+
+
+def user_analytics_from(
+    users: DataFrame, totals: DataFrame, refreshed: Column, bounds=classes.USER_SEGMENTS, unit: str = "ms"
+) -> DataFrame:
+    """``user_analytics`` from ``user_totals``."""
+    stats = totals.withColumnRenamed("user_id", "_user")
     registered = F.coalesce(
         day_key(F.col("created_at"), unit), F.date_format(F.col(ARRIVAL), "yyyy-MM-dd")
     )
@@ -137,20 +158,19 @@ def user_stats(users: DataFrame, orders: DataFrame, bounds=classes.LIFETIME_CLAS
     All orders count, cancelled ones too; only users are filtered. The value
     is NULL for a user without orders.
     """
-    per_user = orders.groupBy(F.col("user_id").alias("_user")).agg(
-        F.count("id").alias("_n"), exact_sum(F.col("total_amount")).alias("_value")
-    )
+    return user_stats_from(users, user_totals(orders), bounds)
+
+
+def user_stats_from(users: DataFrame, totals: DataFrame, bounds=classes.LIFETIME_CLASSES) -> DataFrame:
+    """``user_stats`` from ``user_totals``."""
+    per_user = totals.select(F.col("user_id").alias("_user"), "all_orders", "lifetime_value")
     joined = active(users).join(per_user, F.col("id") == F.col("_user"), "left")
-    return (
-        joined.groupBy("id", "name")
-        .agg(F.sum("_n").alias("_n"), exact_sum(F.col("_value")).alias("lifetime_value"))
-        .select(
-            "id",
-            "name",
-            _or_zero("_n", 0).alias("total_orders"),
-            "lifetime_value",
-            classes.lifetime_class(F.col("lifetime_value"), bounds).alias("segment"),
-        )
+    return joined.select(
+        "id",
+        "name",
+        _or_zero("all_orders", 0).alias("total_orders"),
+        "lifetime_value",
+        classes.lifetime_class(F.col("lifetime_value"), bounds).alias("segment"),
     )
 
 

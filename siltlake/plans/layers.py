@@ -2,28 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
-from pyspark.sql import functions as F
+from collections.abc import Mapping
 
-from siltlake.operators.merge import LATE_WINS, SOFT, merge_latest, prepare_changes
-from siltlake.session import scratch_path, sized_session
-from siltlake.spec import ARRIVAL, DAY, KEY_RANGE, TableSpec
-from siltlake.tables import VersionedTable
-from siltlake.tables.files import Files
-from siltlake.tables.versioned import Version
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-# Changes up to this many rows and stored bytes are broadcast to the target's
-# scan tasks; beyond either, the merge shuffles both sides.
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 32 * 1024 * 1024
-# Name under which silver remembers the last bronze version merged.
-BRONZE_STREAM = "bronze"
+from siltlake.operators.merge import LATE_WINS, SOFT, prepare_changes
+from siltlake.spec import ARRIVAL, DAY, TableSpec
 
 
-def append_bronze(
-    table: VersionedTable, changes: DataFrame, stream: str | None = None, batch: int | None = None
-) -> Version:
-    """Add changes to the history, partitioned by day of arrival.
+def append_bronze(table, changes: DataFrame, stream: str | None = None, batch: int | None = None) -> int:
+    """Add changes to the history, partitioned by day of arrival; returns how many.
 
     The rows are written as they come, without a shuffle: a batch arrives on
     one day, so each task writes one file.
@@ -33,7 +22,7 @@ def append_bronze(
 
 
 def upsert_silver(
-    table: VersionedTable,
+    table,
     changes: DataFrame,
     spec: TableSpec,
     run_ts: Column,
@@ -41,61 +30,37 @@ def upsert_silver(
     late_delete: str = LATE_WINS,
     stream: str | None = None,
     batch: int | None = None,
-) -> Version:
-    """Merge changes into the stored silver table and commit a new version.
-
-    The reduced changes are first written to the shared scratch folder. Their
-    size is then known exactly, they are not computed again by the two or
-    three reads that follow, and a lost executor costs a re-read only. Just
-    the key ranges they fall into are read and rewritten.
-    """
-    spark = table.spark
-    files = Files(spark)
-    if stream is not None and table.has_applied(stream, batch):
-        return table.version()
-    base = table.version()
-    staged_at = scratch_path(spark, f"changes-{spec.name}")
-    seen = Observation()
-    # One value per touched key range: bounded by the number of partitions.
-    ranges = F.concat_ws(",", F.collect_set(F.col(KEY_RANGE).cast("string")))
-    prepared = prepare_changes(changes, spec, run_ts)
-    prepared.observe(seen, F.count(F.lit(1)).alias("rows"), ranges.alias("ranges")).write.parquet(staged_at)
-    touched = [int(value) for value in seen.get["ranges"].split(",") if value]
-    staged_bytes, _ = files.summary(staged_at)
-    small = seen.get["rows"] <= BROADCAST_ROWS and staged_bytes <= BROADCAST_BYTES
-    sized = sized_session(spark, staged_bytes + table.stored_bytes(touched))
-    merged = merge_latest(
-        table.on(sized).read(base.number, touched),
-        sized.read.schema(spec.silver_schema()).parquet(staged_at),
-        spec,
-        delete_mode,
-        late_delete,
-        broadcast_changes=small,
-    )
-    if not small:
-        merged = merged.hint("rebalance", KEY_RANGE)
-    version = table.replace_partitions(merged, touched, base, stream, batch)
-    files.delete(staged_at)
-    return version
+) -> None:
+    """Merge changes, any number per key, into the stored silver table."""
+    if stream is not None and table.marks().get(stream, -1) >= batch:
+        return
+    marks = None if stream is None else {stream: batch}
+    table.merge(prepare_changes(changes, spec, run_ts), spec, delete_mode, late_delete, marks)
 
 
 def merge_new_bronze(
-    bronze: VersionedTable,
-    silver: VersionedTable,
-    spec: TableSpec,
-    run_ts: Column,
-    delete_mode: str = SOFT,
-    late_delete: str = LATE_WINS,
-) -> Version:
-    """Merge all bronze rows that silver has not seen, as one batch.
+    bronze, silver, spec: TableSpec, run_ts: Column, delete_mode: str = SOFT, late_delete: str = LATE_WINS
+) -> bool:
+    """Merge all bronze rows that silver has not seen, as one batch; whether
+    there were any.
 
-    For sources whose updates scatter over the whole key space: bronze takes
-    every small batch at the cost of its own rows, silver is rewritten once
-    for many of them.
+    Bronze takes every small batch at the cost of its own rows, silver is
+    rewritten once for many of them.
     """
-    seen = silver.version().applied.get(BRONZE_STREAM, 0)
-    newest = bronze.newest()
-    if newest <= seen:
-        return silver.version()
-    changes = bronze.read_appended(seen, newest)
-    return upsert_silver(silver, changes, spec, run_ts, delete_mode, late_delete, BRONZE_STREAM, newest)
+    seen, newest = silver.marks(), bronze.marks()
+    if all(seen.get(stream, -1) >= last for stream, last in newest.items()):
+        return False
+    changes = bronze.read_since(seen, newest)
+    silver.merge(prepare_changes(changes, spec, run_ts), spec, delete_mode, late_delete, newest)
+    return True
+
+
+def state_at(bronze, spec: TableSpec, marks: Mapping[str, int], run_ts: Column) -> DataFrame:
+    """Silver rows as they follow from the history up to the given batches."""
+    return prepare_changes(bronze.read_since({}, marks), spec, run_ts)
+
+
+def export_days(bronze, path: str) -> None:
+    """The whole history once more, each day in files of a usual size, for
+    readers that many small batches would slow down."""
+    bronze.read().hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY).parquet(path)

@@ -159,6 +159,30 @@ FROM hit"""
 VARIED_OP = "CASE WHEN event_type = 'view' THEN 'r' WHEN event_type = 'click' THEN NULL ELSE op END"
 GAPPED_OP = "CASE WHEN event_type = 'click' THEN NULL ELSE op END"
 
+
+
+def same_instant() -> str:
+    """The last change of each user at the full hour: by position, or without
+    one deletes last, then by the other columns in turn."""
+    order = {
+        "TRUE": "ts_ms DESC, event_id DESC",
+        "FALSE": "ts_ms DESC, op = 'd' DESC, user_id DESC, product_id DESC, quantity DESC, total_amount DESC, "
+        "status DESC, created_at DESC, updated_at DESC, op DESC",
+    }
+    parts = [
+        f"""SELECT id, user_id, product_id, quantity, total_amount, status, created_at, updated_at, {TIER} AS
+  order_value_category, op <> 'd' AS is_active, op, ts_ms, CASE WHEN {flag} THEN event_id END AS _position,
+  {flag} AS positions
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY {by}) AS rn FROM at_hour) WHERE rn = 1"""
+        for flag, by in order.items()
+    ]
+    return f"""WITH {EVENTS}, at_hour AS (
+  SELECT event_id, user_id AS id, user_id, k AS product_id, CAST(k % 5 + 1 AS INTEGER) AS quantity,
+         value AS total_amount, event_type AS status, h AS created_at, h AS updated_at, op, h AS ts_ms
+  FROM (SELECT *, ts_ms // 3600000 * 3600000 AS h FROM ev))
+""" + "\nUNION ALL ".join(parts)
+
+
 SQL: dict[str, str] = {
     "raw_json_read": ALL_CHANGES,
     "flat_normalise": f"WITH {CHANGES} SELECT id, status, total_amount, op, ts_ms FROM ch",
@@ -228,8 +252,9 @@ FROM (SELECT * FROM t UNION ALL SELECT * FROM s) GROUP BY kind, start_ms, len, o
     "quality_gate_metrics": f"""WITH {CHANGES}
 SELECT count(*) AS "rows", count(*) FILTER (total_amount < 1) AS corrupt_rows,
        count(*) FILTER (total_amount >= 1 AND product_id = 0) AS null_keys,
-       count(*) FILTER (total_amount >= 1 AND status IN ('view', 'click')) AS unknown_ops,
-       CAST({DELAY} AS BIGINT) AS max_lag_ms
+       count(*) FILTER (total_amount >= 1 AND status = 'click') AS unknown_ops,
+       CAST({DELAY} AS BIGINT) AS max_lag_ms,
+       (SELECT count(*) FROM events WHERE event_type NOT IN ('purchase', 'click')) AS quarantined_rows
 FROM ch""",
     "enrich_users": f"""WITH {MESSAGES}, {USERS}
 SELECT m.event_id AS "offset", m.source_table, m.operation, u.name AS users_name, u.email AS users_email
@@ -314,6 +339,9 @@ SELECT 'cdc.' || source_table AS topic, CAST(user_id % 8 AS INTEGER) AS "partiti
 SELECT 'cdc.' || source_table AS topic, event_id AS "offset", operation, ts_ms AS source_timestamp, source_table,
        source_table || '_' || operation AS routing_key, operation = 'd' AS is_delete FROM msg""",
     "stream_bronze_equals_batch": ALL_CHANGES,
+    "stream_dedup": ALL_CHANGES,
+    "flat_same_instant": same_instant(),
+    "flat_same_instant_split": same_instant(),
     "stream_merge_equals_batch": f"WITH {ORDERS} SELECT {SILVER} FROM silver_orders",
     "route_events": ROUTES,
     "route_events_batch": ROUTES,

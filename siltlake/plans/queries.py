@@ -23,14 +23,13 @@ from siltlake.operators.merge import HARD, LATE_IGNORED, SOFT, merge_changes, pr
 from siltlake.operators.route import TABLE_ROUTES, as_messages, route
 from siltlake.plans import feeds, gold
 from siltlake.plans.lake import Lake
-from siltlake.plans.layers import append_bronze, merge_new_bronze, upsert_silver
+from siltlake.plans.layers import append_bronze, export_days, merge_new_bronze, state_at, upsert_silver
 from siltlake.plans.runs import run_gold
 from siltlake.session import scratch_path
 from siltlake.sources import flat
-from siltlake.sources.envelope import parse_envelopes
-from siltlake.spec import ARRIVAL, AUDIT, CORRUPT, DAY, KEY_RANGE, ORDERS, POSITION, PRODUCTS, USERS, TableSpec
+from siltlake.sources.envelope import parse_envelopes, unclaimed
+from siltlake.spec import ARRIVAL, AUDIT, BUCKET, CORRUPT, DAY, ORDERS, POSITION, PRODUCTS, USERS, TableSpec
 from siltlake.streaming import jobs
-from siltlake.tables import VersionedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,7 +81,7 @@ def _bronze_rows(df: DataFrame) -> DataFrame:
 
 
 def _silver_rows(df: DataFrame) -> DataFrame:
-    return df.drop(AUDIT, KEY_RANGE, ARRIVAL)
+    return df.drop(AUDIT, BUCKET, ARRIVAL)
 
 
 def _lake(spark: SparkSession) -> Lake:
@@ -134,10 +133,10 @@ def envelope_parse(spark: SparkSession, sf: str) -> DataFrame:
         "partition",
         "offset",
         "operation",
-        F.col("before_state.id").alias("before_id"),
-        F.col("after_state.id").alias("after_id"),
-        F.col("after_state.name").alias("after_name"),
-        F.col("after_state.user_id").alias("after_user_id"),
+        *[
+            F.get_json_object(f"{image}_state", f"$.{name}").alias(f"{image}_{name}")
+            for image, name in (("before", "id"), ("after", "id"), ("after", "name"), ("after", "user_id"))
+        ],
         "source_timestamp",
         "source_database",
         "source_table",
@@ -209,7 +208,7 @@ def quality_score(spark: SparkSession, sf: str) -> DataFrame:
 def row_to_json(spark: SparkSession, sf: str) -> DataFrame:
     parsed = parse_envelopes(feeds.messages(spark, sf))
     routed = parsed.select(
-        "topic", "partition", "offset", "operation", "source_table", "is_delete", F.col("after_state.id").alias("id")
+        "topic", "partition", "offset", "operation", "source_table", "is_delete", F.get_json_object("after_state", "$.id").alias("id")
     ).withColumn("target_topic", F.lit("out"))
     return as_messages(routed)
 
@@ -228,7 +227,7 @@ def delete_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return alerts.select(
         "source_table",
         "operation",
-        F.col("deleted_record.id").alias("deleted_id"),
+        F.get_json_object("deleted_record", "$.id").alias("deleted_id"),
         F.unix_micros("timestamp").alias("at_us"),
     )
 
@@ -302,7 +301,8 @@ def windowed_op_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def quality_gate_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """A history with unreadable rows, missing keys and an unknown operation."""
+    """A history with unreadable rows, missing keys and an unknown operation, and
+    the messages that no table of it takes."""
     kind = F.col("status")
     history = _changes(spark, sf).withColumns(
         {
@@ -311,7 +311,8 @@ def quality_gate_metrics(spark: SparkSession, sf: str) -> DataFrame:
             CORRUPT: F.when(F.col("total_amount") < 1, F.lit("{")),
         }
     )
-    return quality.gate_metrics(history)
+    quarantine = parse_envelopes(feeds.messages(spark, sf), keep_text=True).filter(unclaimed([ORDERS]))
+    return quality.gate_metrics(history, quarantine=quarantine)
 
 
 # -- joins ------------------------------------------------------------------
@@ -476,6 +477,57 @@ def snapshot_diff_query(spark: SparkSession, sf: str) -> DataFrame:
     return changes.select("id", "status", "value", "op")
 
 
+def _same_instant(spark: SparkSession, sf: str, positions: bool) -> DataFrame:
+    """All events as changes of their users, at the full hour, as flat records
+    with or without the position in the source's log."""
+    hour = F.unix_millis(F.date_trunc("hour", "ts"))
+    source = F.to_json(F.struct(F.col("event_id").alias("lsn")))
+    events = feeds.events(spark, sf).withColumn("hour_ms", hour)
+    raw = events.select(
+        F.col("user_id").cast("string").alias("id"),
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("k").cast("string").alias("product_id"),
+        (F.col("k") % 5 + 1).cast("string").alias("quantity"),
+        F.col("value").cast("string").alias("total_amount"),
+        F.col("event_type").alias("status"),
+        F.col("hour_ms").cast("string").alias("created_at"),
+        F.col("hour_ms").cast("string").alias("updated_at"),
+        F.col("op").alias("__op"),
+        F.col("hour_ms").cast("string").alias("__ts_ms"),
+        F.when(F.lit(positions), source).alias(flat.SOURCE),
+        (F.col("event_id") % 2).alias("part"),
+    )
+    return raw
+
+
+def _instant_rows(merged: DataFrame, positions: bool) -> DataFrame:
+    return _silver_rows(merged).withColumn("positions", F.lit(positions))
+
+
+@register
+def flat_same_instant(spark: SparkSession, sf: str) -> DataFrame:
+    """Many changes of one key at one instant, in one batch."""
+    parts = []
+    for positions in (True, False):
+        changes = flat.normalise(_same_instant(spark, sf, positions), ORDERS, _run_ts())
+        parts.append(_instant_rows(prepare_changes(changes, ORDERS, _run_ts()), positions))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register
+def flat_same_instant_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in two batches that share their instants, the later one first."""
+    parts = []
+    for positions in (True, False):
+        raw = _same_instant(spark, sf, positions)
+        state = spark.createDataFrame([], ORDERS.silver_schema())
+        for part in (1, 0):
+            changes = flat.normalise(raw.filter(F.col("part") == part), ORDERS, _run_ts())
+            state = merge_changes(state, changes, ORDERS, _run_ts(), late_delete=LATE_IGNORED)
+        parts.append(_instant_rows(state, positions))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # -- stored tables --------------------------------------------------------------
 
 
@@ -494,7 +546,7 @@ def bronze_append(spark: SparkSession, sf: str) -> DataFrame:
 def bronze_day_slice(spark: SparkSession, sf: str) -> DataFrame:
     table = _lake(spark).bronze(ORDERS)
     append_bronze(table, _changes(spark, sf))
-    return _bronze_rows(table.read(partitions=[DAY_READ]))
+    return _bronze_rows(table.read().filter(F.col(DAY) == DAY_READ))
 
 
 @register
@@ -520,22 +572,23 @@ def raw_archive_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def compaction_preserves_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches, written once more by day."""
     changes = feeds.order_changes(spark, sf)
-    table = _lake(spark).bronze(ORDERS)
+    table, path = _lake(spark).bronze(ORDERS), scratch_path(spark, "days")
     for number in (0, 1):
         append_bronze(table, feeds.batch_of(changes, "late", number))
-    table.compact(slack=1)
-    return _bronze_rows(table.read())
+    export_days(table, path)
+    return _bronze_rows(spark.read.schema(table.schema()).parquet(path))
 
 
 @register
 def time_travel_read(spark: SparkSession, sf: str) -> DataFrame:
-    """The first version of a silver table that was merged into twice."""
+    """Silver as it was after the first of two batches, from the history."""
     changes = feeds.order_changes(spark, sf)
-    table = _lake(spark).silver(ORDERS)
+    table = _lake(spark).bronze(ORDERS)
     for number in (0, 1):
-        upsert_silver(table, feeds.batch_of(changes, "late", number), ORDERS, _run_ts())
-    return _silver_rows(table.read(version=1))
+        append_bronze(table, feeds.batch_of(changes, "late", number), "s", number)
+    return _silver_rows(state_at(table, ORDERS, {"s": 0}, _run_ts()))
 
 
 @register
@@ -583,7 +636,7 @@ def _split_messages(spark: SparkSession, sf: str) -> DataFrame:
 def stream_source_replay(spark: SparkSession, sf: str) -> DataFrame:
     lake, checkpoint = _lake(spark), scratch_path(spark, "checkpoint")
     frame = _split_messages(spark, sf)
-    table = VersionedTable(spark, f"{lake.root}/messages", frame.drop("in_order", "late").schema)
+    table = lake.history("messages", frame.drop("in_order", "late").schema)
     _deliver(spark, frame, "in_order", lambda s: jobs.append_stream(s, table, checkpoint))
     return table.read().select("topic", "partition", "offset")
 
@@ -592,7 +645,7 @@ def stream_source_replay(spark: SparkSession, sf: str) -> DataFrame:
 def stream_parse_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
     lake, checkpoint = _lake(spark), scratch_path(spark, "checkpoint")
     frame = _split_messages(spark, sf)
-    table = VersionedTable(spark, f"{lake.root}/events", parse_envelopes(frame).schema)
+    table = lake.history("events", parse_envelopes(frame).schema)
     _deliver(spark, frame, "in_order", lambda s: jobs.append_stream(parse_envelopes(s), table, checkpoint))
     return table.read().select(
         "topic", "offset", "operation", "source_timestamp", "source_table", "routing_key", "is_delete"
@@ -611,6 +664,19 @@ def stream_bronze_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
     return _bronze_rows(lake.bronze(ORDERS).read())
 
 
+@register
+def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Each message is delivered twice, in two batches and with a new offset."""
+    lake, checkpoint, path = _lake(spark), scratch_path(spark, "checkpoint"), scratch_path(spark, "landing")
+    messages = feeds.order_messages(spark, sf).drop("in_order", "late")
+    for shift in (0, 1_000_000_000):
+        messages.withColumn("offset", F.col("offset") + shift).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(messages.schema).parquet(path)
+        query = jobs.ingest_messages(lake, stream, checkpoint, [ORDERS], dedup_delay="1 day", merge_each_batch=False)
+        query.awaitTermination()
+    return _bronze_rows(lake.bronze(ORDERS).read())
+
+
 @register
 def stream_merge_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Late batches through bronze into silver; with late deletes ignored the

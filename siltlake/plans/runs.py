@@ -3,25 +3,26 @@
 from __future__ import annotations
 
 import datetime as dt
-import logging
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from siltlake.operators.audit import layer_counts
-from siltlake.operators.quality import GateLimits, check_gate, gate_metrics
+from siltlake.operators.quality import GateLimits, QualityGateError, check_gate, gate_metrics
 from siltlake.plans import gold
-from siltlake.plans.lake import Lake
+from siltlake.plans.lake import GATE_AUDIT_COLUMNS, RUN_AUDIT_COLUMNS, Lake
 from siltlake.plans.layers import merge_new_bronze
-from siltlake.session import sized_session
-from siltlake.spec import DAY, SPECS, TableSpec
-from siltlake.streaming.jobs import ingest_files
+from siltlake.session import scratch_path, sized_session
+from siltlake.spec import DAY, SPECS, TableSpec, schema_of
+from siltlake.streaming.jobs import MAX_FILES, ingest_files, ingest_messages
+from siltlake.tables.files import Files
 
 
-log = logging.getLogger(__name__)
+# The name under which the gate keeps what it has seen of the quarantine.
+QUARANTINE = "quarantine"
 
 
 class RunFailedError(RuntimeError):
@@ -40,140 +41,177 @@ def run_cdc(
     checkpoint_root: str,
     specs: Iterable[TableSpec] = tuple(SPECS.values()),
     late_delete: str = "win",
-    compact: bool = True,
+    max_files_per_trigger: int | None = MAX_FILES,
+    archive_root: str | None = None,
+    dedup_delay: str | None = None,
 ) -> dict[str, str | None]:
     """Take all new change files of each table into bronze and silver.
 
-    The tables run side by side. Each outcome goes to the run audit; when a
-    table failed, the run raises after the others are done.
+    The tables run side by side. A table without a raw folder has no new data.
+    Each outcome goes to the run audit; when a table failed, the run raises
+    after the others are done.
     """
     specs = list(specs)
-    _, run_ts = run_instant()
-    errors: dict[str, str | None] = {}
+    files = Files(lake.spark)
+    errors: dict[str, str | None] = {spec.name: None for spec in specs}
     queries = {}
     for spec in specs:
         try:
-            queries[spec.name] = ingest_files(
-                lake, spec, f"{raw_root}/{spec.name}", f"{checkpoint_root}/{spec.name}", late_delete=late_delete
-            )
+            if files.exists(f"{raw_root}/{spec.name}"):
+                queries[spec.name] = ingest_files(
+                    lake,
+                    spec,
+                    f"{raw_root}/{spec.name}",
+                    f"{checkpoint_root}/{spec.name}",
+                    late_delete=late_delete,
+                    max_files_per_trigger=max_files_per_trigger,
+                    archive=f"{archive_root}/{spec.name}" if archive_root else None,
+                    dedup_delay=dedup_delay,
+                )
         except Exception as error:
             errors[spec.name] = str(error)
-    for spec in specs:
-        if spec.name in queries:
-            try:
-                queries[spec.name].awaitTermination()
-                errors[spec.name] = None
-            except Exception as error:
-                errors[spec.name] = str(error)
-    for spec in specs:
-        if errors[spec.name] is None and compact:
-            compact_tables(lake, [spec])
-    record_run(lake, specs, errors, run_ts)
+    for name, query in queries.items():
+        errors[name] = _outcome(query.awaitTermination)
+    return _finish(lake, specs, errors)
+
+
+def run_silver(
+    lake: Lake, specs: Iterable[TableSpec] = tuple(SPECS.values()), late_delete: str = "win"
+) -> dict[str, str | None]:
+    """Merge the bronze rows that arrived since the last time, for intakes that
+    write bronze only; tables and errors are treated as in ``run_cdc``."""
+    specs = list(specs)
+    _, run_ts = run_instant()
+
+    def merge(spec: TableSpec) -> str | None:
+        bronze, silver = lake.bronze(spec), lake.silver(spec)
+        return _outcome(lambda: merge_new_bronze(bronze, silver, spec, run_ts, late_delete=late_delete))
+
+    inherit = inheritable_thread_target(lake.spark)
+    with ThreadPoolExecutor(max(len(specs), 1)) as pool:
+        errors = dict(zip([spec.name for spec in specs], pool.map(inherit(merge), specs)))
+    return _finish(lake, specs, errors)
+
+
+def _outcome(work: Callable[[], object]) -> str | None:
+    try:
+        work()
+        return None
+    except Exception as error:
+        return str(error)
+
+
+def _finish(lake: Lake, specs: list[TableSpec], errors: dict[str, str | None]) -> dict[str, str | None]:
+    record_run(lake, specs, errors)
     failed = {name: error for name, error in errors.items() if error}
     if failed:
         raise RunFailedError("; ".join(f"{name}: {error}" for name, error in failed.items()))
     return errors
 
 
-def compact_tables(lake: Lake, specs: Iterable[TableSpec] = tuple(SPECS.values())) -> dict[str, str | None]:
-    """Compact bronze and silver; a table that fails is skipped and reported."""
-    outcome: dict[str, str | None] = {}
-    for spec in specs:
-        for table in (lake.bronze(spec), lake.silver(spec)):
-            name = table.path.rsplit("/", 1)[1]
-            try:
-                table.compact()
-                outcome[name] = None
-            except Exception as error:
-                log.warning("compaction of %s skipped: %s", name, error)
-                outcome[name] = str(error)
-    return outcome
-
-
-def expire_tables(lake: Lake, days: int = 7, specs: Iterable[TableSpec] = tuple(SPECS.values())) -> None:
-    """Drop versions older than the retention from every bronze and silver table."""
-    limit = int((dt.datetime.now(dt.timezone.utc) - dt.timedelta(days=days)).timestamp() * 1000)
+def record_run(lake: Lake, specs: list[TableSpec], errors: dict[str, str | None]) -> DataFrame:
+    """Append the row counts and errors of this run to the run audit. The counts
+    were observed when the rows were written; no layer is read."""
+    now, _ = run_instant()
+    rows = []
     for spec in specs:
-        for table in (lake.bronze(spec), lake.silver(spec)):
-            table.expire(limit)
-
-
-def record_run(
-    lake: Lake, specs: list[TableSpec], errors: dict[str, str | None], run_ts: Column
-) -> DataFrame:
-    """Append the row counts and errors of this run to the run audit."""
-    layers = {}
-    for spec in specs:
-        layers[(spec.name, "bronze")] = lake.bronze(spec).read()
-        layers[(spec.name, "silver")] = lake.silver(spec).read()
-    error = F.lit(None).cast("string")
-    for name, text in errors.items():
-        if text:
-            error = F.when(F.col("table_name") == name, F.lit(text[:2000])).otherwise(error)
-    rows = layer_counts(layers).select(
-        run_ts.alias("run_at"), "table_name", "layer", "row_count", "active_rows", error.alias("error")
-    )
-    lake.run_audit().append(rows.coalesce(1))
-    return lake.run_audit().read()
+        for layer, table in (("bronze", lake.bronze(spec)), ("silver", lake.silver(spec))):
+            count, active = table.counts() if table.exists() else (0, 0 if layer == "silver" else None)
+            rows.append((now, spec.name, layer, count, active, errors.get(spec.name)))
+    audit = lake.run_audit()
+    audit.append(lake.spark.createDataFrame(rows, schema_of(RUN_AUDIT_COLUMNS)).coalesce(1))
+    return audit.read()
 
 
 def check_quality(
     lake: Lake,
     limits: GateLimits = GateLimits(),
     specs: Iterable[TableSpec] = tuple(SPECS.values()),
-    days: Iterable[str] | None = None,
 ) -> dict[str, dict]:
-    """Gate metrics of each bronze table, of the given arrival days or of the
-    whole history; raises when a table is over its limits."""
-    days = None if days is None else list(days)
-    found = {}
+    """Gate metrics of the bronze batches, and quarantined messages, that no gate
+    has passed yet; raises when a table is over its limits.
+
+    What is checked, and how it ended, goes to the gate audit. A batch that did
+    not pass is checked again, with those that came after it, however late.
+    """
+    passed = gated_marks(lake)
+    now, _ = run_instant()
+    found, tables = {}, {spec.name: lake.bronze(spec) for spec in specs}
+    marks = {name: table.marks() for name, table in tables.items()}
     for spec in specs:
-        history = lake.bronze(spec).read(partitions=days)
-        found[spec.name] = gate_metrics(history, spec.key).first().asDict()
-    for metrics in found.values():
-        check_gate(metrics, limits)
+        rows = tables[spec.name].read_since(passed.get(spec.name, {}), marks[spec.name])
+        found[spec.name] = gate_metrics(rows, spec.key).first().asDict()
+    quarantine = lake.quarantine()
+    if quarantine.exists():
+        marks[QUARANTINE] = quarantine.marks()
+        left = quarantine.read_since(passed.get(QUARANTINE, {}), marks[QUARANTINE]).count()
+        rows = sum(metrics["rows"] for metrics in found.values())
+        nothing = dict.fromkeys(["corrupt_rows", "null_keys", "unknown_ops"], 0)
+        found[QUARANTINE] = {"rows": rows, **nothing, "max_lag_ms": None, "quarantined_rows": left}
+    errors = {}
+    for name, metrics in found.items():
+        try:
+            check_gate(metrics, limits)
+        except QualityGateError as error:
+            errors[name] = f"{name}: {error}"
+    # Marts use all tables, so a batch has passed when all tables did.
+    seen = [
+        (now, name, stream, batch, not errors, errors.get(name))
+        for name, streams in marks.items()
+        for stream, batch in streams.items()
+    ]
+    if seen:
+        lake.gate_audit().append(lake.spark.createDataFrame(seen, schema_of(GATE_AUDIT_COLUMNS)).coalesce(1))
+    if errors:
+        raise QualityGateError("; ".join(errors.values()))
     return found
 
 
-def bronze_day(lake: Lake, spec: TableSpec, day: str) -> DataFrame:
-    """The changes that arrived on one day; other folders are not listed."""
-    return lake.bronze(spec).read(partitions=[day]).drop(DAY)
+def gated_marks(lake: Lake) -> dict[str, dict[str, int]]:
+    """The last batch of each stream of each table that passed a gate."""
+    audit = lake.gate_audit()
+    if not audit.exists():
+        return {}
+    marks: dict[str, dict[str, int]] = {}
+    last = audit.read().filter("passed").groupBy("table_name", "stream").agg(F.max("batch"))
+    for table, stream, batch in last.collect():
+        marks.setdefault(table, {})[stream] = batch
+    return marks
 
 
-def run_silver(
-    lake: Lake, specs: Iterable[TableSpec] = tuple(SPECS.values()), late_delete: str = "win"
-) -> dict[str, int]:
-    """Merge the bronze rows that arrived since the last time, for intakes
-    that write bronze only; returns the silver version of each table."""
-    _, run_ts = run_instant()
-    return {
-        spec.name: merge_new_bronze(
-            lake.bronze(spec), lake.silver(spec), spec, run_ts, late_delete=late_delete
-        ).number
-        for spec in specs
-    }
+def bronze_day(lake: Lake, spec: TableSpec, day: str) -> DataFrame:
+    """The changes that arrived on one day; other folders are not read."""
+    return lake.bronze(spec).read().filter(F.col(DAY) == day).drop(DAY)
 
 
 def run_gold(lake: Lake, specs: Mapping[str, TableSpec] = SPECS) -> dict[str, int]:
     """Refresh every mart whose silver tables exist; returns the rows written."""
     _, run_ts = run_instant()
-    stored = sum(lake.silver(spec).stored_bytes() for spec in specs.values())
-    lake = Lake(sized_session(lake.spark, stored), lake.root)
+    lake = lake.on(sized_session(lake.spark, sum(lake.silver(spec).stored_bytes() for spec in specs.values())))
     users, products, orders = (lake.silver_if_present(specs[name]) for name in ("users", "products", "orders"))
     marts: dict[str, DataFrame] = {}
-    if orders is not None:
-        marts["sales_summary"] = gold.sales_summary(orders, run_ts, specs["orders"].epoch_unit)
-        if users is not None:
-            marts["user_analytics"] = gold.user_analytics(users, orders, run_ts, unit=specs["users"].epoch_unit)
-            marts["user_stats"] = gold.user_stats(users, orders)
-        if products is not None:
-            marts["product_analytics"] = gold.product_analytics(products, orders, run_ts)
-    # The marts do not depend on each other; the tail of one job leaves room
-    # for the next.
-    inherit = inheritable_thread_target(lake.spark)
-    with ThreadPoolExecutor(max(len(marts), 1)) as pool:
-        written = {n: pool.submit(inherit(lake.gold(n).replace), frame) for n, frame in marts.items()}
-    return {name: future.result().rows_written for name, future in written.items()}
+    totals_at = scratch_path(lake.spark, "user-totals")
+    try:
+        if orders is not None:
+            marts["sales_summary"] = gold.sales_summary(orders, run_ts, specs["orders"].epoch_unit)
+            if users is not None:
+                # Both marts of users need the orders by user; they are read once.
+                by_user = gold.user_totals(orders)
+                by_user.write.parquet(totals_at)
+                totals = lake.spark.read.schema(by_user.schema).parquet(totals_at)
+                unit = specs["users"].epoch_unit
+                marts["user_analytics"] = gold.user_analytics_from(users, totals, run_ts, unit=unit)
+                marts["user_stats"] = gold.user_stats_from(users, totals)
+            if products is not None:
+                marts["product_analytics"] = gold.product_analytics(products, orders, run_ts)
+        # The marts do not depend on each other; the tail of one job leaves room
+        # for the next.
+        inherit = inheritable_thread_target(lake.spark)
+        with ThreadPoolExecutor(max(len(marts), 1)) as pool:
+            written = {n: pool.submit(inherit(lake.gold(n).replace), frame) for n, frame in marts.items()}
+        return {name: future.result() for name, future in written.items()}
+    finally:
+        Files(lake.spark).delete(totals_at)
 
 
 def run_pipeline(
@@ -182,15 +220,32 @@ def run_pipeline(
     checkpoint_root: str,
     limits: GateLimits = GateLimits(),
     specs: Mapping[str, TableSpec] = SPECS,
+    **options,
 ) -> dict[str, int]:
-    """Change intake, quality gate, marts. A failing step stops the later ones.
+    """Change files, quality gate, marts. A failing step stops the later ones.
+    ``options`` go to ``run_cdc``."""
+    run_cdc(lake, raw_root, checkpoint_root, list(specs.values()), **options)
+    return _gate_and_marts(lake, limits, specs)
 
-    The gate looks at the days the run lasted, not at the whole history.
-    """
+
+def run_message_pipeline(
+    lake: Lake,
+    messages: DataFrame,
+    checkpoint: str,
+    limits: GateLimits = GateLimits(),
+    specs: Mapping[str, TableSpec] = SPECS,
+    **options,
+) -> dict[str, int]:
+    """A stream of messages, quality gate, marts; ``options`` go to
+    ``ingest_messages``. Silver is merged once for all batches of the run."""
     tables = list(specs.values())
-    began, _ = run_instant()
-    run_cdc(lake, raw_root, checkpoint_root, tables)
-    ended, _ = run_instant()
-    days = {began + dt.timedelta(days=n) for n in range((ended.date() - began.date()).days + 1)}
-    check_quality(lake, limits, tables, sorted(day.strftime("%Y-%m-%d") for day in days))
+    late_delete = options.pop("late_delete", "win")
+    query: StreamingQuery = ingest_messages(lake, messages, checkpoint, tables, merge_each_batch=False, **options)
+    query.awaitTermination()
+    run_silver(lake, tables, late_delete)
+    return _gate_and_marts(lake, limits, specs)
+
+
+def _gate_and_marts(lake: Lake, limits: GateLimits, specs: Mapping[str, TableSpec]) -> dict[str, int]:
+    check_quality(lake, limits, list(specs.values()))
     return run_gold(lake, specs)

@@ -6,11 +6,10 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from siltlake.functions.classes import is_delete, routing_key
 from siltlake.functions.values import typed
-from siltlake.spec import ARRIVAL, CORRUPT, POSITION, SPECS, TableSpec
+from siltlake.spec import ARRIVAL, CORRUPT, POSITION, TableSpec
 
 
 def kafka_changes(
@@ -18,51 +17,38 @@ def kafka_changes(
     servers: str,
     topics: Iterable[str],
     starting_offsets: str = "latest",
+    fail_on_data_loss: bool = False,
     **options: str,
 ) -> DataFrame:
-    """Subscribe to change topics (needs the Kafka connector on the classpath)."""
+    """Subscribe to change topics (needs the Kafka connector on the classpath).
+
+    By default the stream goes on when the topic no longer has offsets it has
+    not read; ``fail_on_data_loss`` makes that an error.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(topics))
         .option("startingOffsets", starting_offsets)
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
     )
     return reader.options(**options).load()
 
 
-def envelope_schema(specs: Iterable[TableSpec] = tuple(SPECS.values())) -> StructType:
-    """Row images hold the columns of every given table, as strings."""
-    names: dict[str, None] = {}
-    for spec in specs:
-        for name, _ in spec.landing_columns:
-            if name not in ("op", "ts_ms"):
-                names.setdefault(name)
-    image = StructType([StructField(name, StringType(), True) for name in names])
-    before = StructType([*image.fields, StructField("_change_type", StringType(), True)])
-    source = StructType([StructField("db", StringType(), True), StructField("table", StringType(), True)])
-    return StructType(
-        [
-            StructField("before", before, True),
-            StructField("after", image, True),
-            StructField("op", StringType(), True),
-            StructField("ts_ms", StringType(), True),
-            StructField("source", source, True),
-        ]
-    )
+# The row images stay JSON text until the table, and so its columns, is known.
+IMAGES = ("before_state", "after_state")
+ENVELOPE = "before STRING, after STRING, op STRING, ts_ms STRING, source STRUCT<db: STRING, table: STRING>"
 
 
 def parse_envelopes(
-    messages: DataFrame,
-    specs: Iterable[TableSpec] = tuple(SPECS.values()),
-    processed_at: Column | None = None,
-    keep_text: bool = False,
+    messages: DataFrame, processed_at: Column | None = None, keep_text: bool = False
 ) -> DataFrame:
     """Topic messages to flat event rows, for batch and streaming frames alike.
 
     A value that is not an envelope gives NULL fields and keeps its text in
     ``_corrupt_record``; an empty value (a tombstone) gives NULL fields only.
-    ``keep_text`` adds every message's text as ``_text``.
+    ``keep_text`` adds every message's text as ``_text``. The envelope comes out
+    of a generator, below which no filter is pushed, so it is parsed once.
     """
     text = F.col("value").cast("string")
     arrival = F.current_timestamp() if processed_at is None else processed_at
@@ -72,7 +58,7 @@ def parse_envelopes(
         "offset",
         "timestamp",
         text.alias("_text"),
-        F.from_json(text, envelope_schema(specs)).alias("_payload"),
+        F.explode(F.array(F.from_json(text, ENVELOPE))).alias("_payload"),
     )
     unreadable = (
         F.col("_text").isNotNull()
@@ -107,11 +93,9 @@ def table_changes(events: DataFrame, spec: TableSpec) -> DataFrame:
     The row image is ``after``, or ``before`` for a delete. The topic offset
     becomes the position that breaks ties between equal source times.
     """
-    image = F.coalesce(
-        F.col("after_state"),
-        F.struct(*[F.col(f"before_state.{f}").alias(f) for f in _image_fields(events)]),
-    )
-    rows = events.filter(F.col("source_table") == spec.name).withColumn("_image", image)
+    fields = [f"`{name}` STRING" for name, _ in spec.landing_columns if name not in ("op", "ts_ms")]
+    image = F.from_json(F.coalesce("after_state", "before_state"), ", ".join(fields))
+    rows = events.filter(F.col("source_table") == spec.name).withColumn("_image", F.explode(F.array(image)))
     columns = []
     for name, kind in spec.landing_columns:
         if name == "op":
@@ -131,7 +115,3 @@ def unclaimed(specs: Iterable[TableSpec]) -> Column:
     messages, the tombstones of a compacted topic, carry nothing to keep."""
     known = F.coalesce(F.col("source_table").isin([spec.name for spec in specs]), F.lit(False))
     return ~known & F.col("_text").isNotNull()
-
-
-def _image_fields(events: DataFrame) -> list[str]:
-    return events.schema["after_state"].dataType.fieldNames()

@@ -13,20 +13,23 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from siltlake.functions.values import typed
 from siltlake.spec import ARRIVAL, CORRUPT, POSITION, TableSpec
+from siltlake.tables.files import Files
 
 WIRE_NAMES = {"op": "__op", "ts_ms": "__ts_ms"}
+# Where a change came from in the source, as JSON.
+SOURCE = "__source"
 
 
 def landing_schema(spec: TableSpec) -> StructType:
     names = [WIRE_NAMES.get(name, name) for name, _ in spec.landing_columns]
-    return StructType([StructField(name, StringType(), True) for name in [*names, CORRUPT]])
+    return StructType([StructField(name, StringType(), True) for name in [*names, SOURCE, CORRUPT]])
 
 
-def read_changes(spark: SparkSession, path: str, spec: TableSpec, processed_at: Column) -> DataFrame | None:
-    """All change files below ``path``; ``None`` when there are no records."""
-    raw = _reader(spark.read, spec).json(path)
-    changes = normalise(raw, spec, processed_at)
-    return None if changes.isEmpty() else changes
+def read_changes(spark: SparkSession, path: str, spec: TableSpec, processed_at: Column) -> DataFrame:
+    """All change files below ``path``; no rows when there is no such folder."""
+    if not Files(spark).exists(path):
+        return normalise(spark.createDataFrame([], landing_schema(spec)), spec, processed_at)
+    return normalise(_reader(spark.read, spec).json(path), spec, processed_at)
 
 
 def stream_changes(
@@ -63,9 +66,16 @@ def rename_wire_columns(raw: DataFrame) -> DataFrame:
 
 
 def normalise(raw: DataFrame, spec: TableSpec, processed_at: Column) -> DataFrame:
-    """Raw landing rows to bronze rows: wire names, types, arrival time."""
+    """Raw landing rows to bronze rows: wire names, types, arrival time.
+
+    The position is the one in the source's log, so that changes of one instant
+    keep the order they were made in."""
     renamed = rename_wire_columns(raw)
-    position = typed(F.col(POSITION).cast("string"), "bigint") if POSITION in renamed.columns else F.lit(None)
+    position = F.lit(None)
+    if POSITION in renamed.columns:
+        position = typed(F.col(POSITION).cast("string"), "bigint")
+    elif SOURCE in renamed.columns:
+        position = typed(F.get_json_object(F.col(SOURCE).cast("string"), spec.position_path), "bigint")
     corrupt = F.col(CORRUPT) if CORRUPT in renamed.columns else F.lit(None)
     return renamed.select(
         *[_cast(renamed, name, kind) for name, kind in spec.landing_columns],
@@ -85,7 +95,8 @@ def _cast(frame: DataFrame, name: str, kind: str) -> Column:
 
 
 def archive_raw(records: DataFrame, event_time: Column, path: str) -> None:
-    """Keep raw records as JSON, partitioned by year, month and day."""
+    """Keep raw records as JSON, partitioned by year, month and day, each day in
+    files of a usual size however many tasks there are."""
     (
         records.withColumns(
             {
@@ -94,6 +105,7 @@ def archive_raw(records: DataFrame, event_time: Column, path: str) -> None:
                 "day": F.date_format(event_time, "dd"),
             }
         )
+        .hint("rebalance", "year", "month", "day")
         .write.mode("append")
         .partitionBy("year", "month", "day")
         .json(path)

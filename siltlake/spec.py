@@ -41,7 +41,10 @@ POSITION = "_position"
 CORRUPT = "_corrupt_record"
 AUDIT = "_audit_updated_at"
 DAY = "processed_day"
-KEY_RANGE = "key_range"
+BUCKET = "key_bucket"
+# The batch of a stream that brought a bronze row; folders in the Parquet store.
+STREAM = "_stream"
+BATCH = "_batch"
 
 
 @dataclass(frozen=True)
@@ -59,11 +62,11 @@ class TableSpec:
     fields: tuple[tuple[str, str], ...]
     derived: tuple[Derived, ...] = ()
     key: str = "id"
-    # Keys per silver partition. Serial keys make new rows and recent updates
-    # fall into few ranges, so a merge rewrites those ranges only.
-    range_size: int = 50_000_000
-    # For keys that are not numbers: silver partitions by hash of the key.
-    hash_partitions: int = 1024
+    # Parts of silver by hash of the key, so that keys of any kind spread evenly.
+    # Fixed once the table exists; about 1 GB of rows per bucket is a good size.
+    buckets: int = 16
+    # Where a flat record's ``__source`` has the position in the source's log.
+    position_path: str = "$.lsn"
     epoch_unit: str = "ms"
     foreign_keys: dict[str, str] = field(default_factory=dict)
 
@@ -98,14 +101,17 @@ class TableSpec:
         return schema_of([*self.bronze_columns, (DAY, "string")])
 
     def silver_schema(self) -> StructType:
-        return schema_of([*self.silver_columns, (KEY_RANGE, "bigint")])
+        return schema_of([*self.silver_columns, (BUCKET, "int")])
 
-    def key_range(self, key: Column | None = None) -> Column:
-        """Silver partition of a key."""
+    @property
+    def order_columns(self) -> list[str]:
+        """Values that order changes of one time, position and kind."""
+        return [*[name for name in self.business if name != self.key], "created_at", "updated_at", "op"]
+
+    def bucket(self, key: Column | None = None) -> Column:
+        """Silver bucket of a key."""
         key = F.col(self.key) if key is None else key
-        if dict(self.fields)[self.key] in ("bigint", "int"):
-            return F.floor(key / F.lit(float(self.range_size))).cast("bigint")
-        return F.pmod(F.xxhash64(key), F.lit(self.hash_partitions)).cast("bigint")
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
     def with_options(self, **changes) -> TableSpec:
         return replace(self, **changes)

@@ -1,7 +1,8 @@
 """Streaming jobs: change intake, routing, enrichment and window counts.
 
-Sinks that must not repeat a batch record its number with the table version
-they commit, so a batch that is delivered again after a failure is skipped.
+A batch that is delivered again after a failure replaces what it wrote to a
+history, and is skipped by a state that has merged it. With ``dedup_delay``
+records that a source sends again within that time are dropped at the intake.
 """
 
 from __future__ import annotations
@@ -15,20 +16,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from siltlake.operators.dedup import once
 from siltlake.operators.enrich import enrich
 from siltlake.operators.merge import LATE_WINS, SOFT
 from siltlake.operators.route import as_messages, route
-from siltlake.plans.lake import Lake
+from siltlake.plans.lake import QUARANTINE_COLUMNS, Lake
 from siltlake.plans.layers import append_bronze, upsert_silver
 from siltlake.session import scratch_path
 from siltlake.sources.envelope import parse_envelopes, table_changes, unclaimed
 from siltlake.sources.flat import normalise, stream_changes
 from siltlake.spec import SPECS, TableSpec
-from siltlake.tables import VersionedTable
 from siltlake.tables.files import Files
 
 Trigger = Mapping[str, object]
 AVAILABLE_NOW: Trigger = {"availableNow": True}
+# Files to a batch, so that a backlog does not become one batch.
+MAX_FILES = 1000
 # Staging folder of events that belong to no declared table.
 UNCLAIMED = "_unclaimed"
 
@@ -46,15 +49,24 @@ def ingest_files(
     delete_mode: str = SOFT,
     late_delete: str = LATE_WINS,
     trigger: Trigger = AVAILABLE_NOW,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = MAX_FILES,
+    archive: str | None = None,
+    dedup_delay: str | None = None,
+    merge_each_batch: bool = True,
 ) -> StreamingQuery:
-    """Flat change files into bronze and silver, each file once."""
-    raw = stream_changes(lake.spark, path, spec, max_files_per_trigger)
+    """Flat change files into bronze and silver, each file once.
+
+    ``merge_each_batch=False`` leaves the merge to ``run_silver``, which rewrites
+    silver once for all batches since the last time.
+    """
+    raw = stream_changes(lake.spark, path, spec, max_files_per_trigger, archive)
+    records = once(raw, raw.columns, dedup_delay)
 
     def take(batch: DataFrame, stream: str, number: int) -> None:
-        apply_batch(lake, spec, normalise(batch, spec, _now()), stream, number, delete_mode, late_delete)
+        changes = normalise(batch, spec, _now())
+        apply_batch(lake, spec, changes, stream, number, delete_mode, late_delete, merge_each_batch)
 
-    return _each_batch(raw, take, checkpoint, trigger, f"ingest_{spec.name}")
+    return _each_batch(records, take, checkpoint, trigger, f"ingest_{spec.name}")
 
 
 def ingest_bronze(
@@ -63,17 +75,15 @@ def ingest_bronze(
     path: str,
     checkpoint: str,
     trigger: Trigger = AVAILABLE_NOW,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = MAX_FILES,
+    archive: str | None = None,
+    dedup_delay: str | None = None,
 ) -> StreamingQuery:
     """Flat change files into bronze only."""
-    raw = stream_changes(lake.spark, path, spec, max_files_per_trigger)
-    table = lake.bronze(spec)
-
-    def take(batch: DataFrame, stream: str, number: int) -> None:
-        if not table.has_applied(stream, number):
-            append_bronze(table, normalise(batch, spec, _now()), stream, number)
-
-    return _each_batch(raw, take, checkpoint, trigger, f"bronze_{spec.name}")
+    return ingest_files(
+        lake, spec, path, checkpoint, trigger=trigger, max_files_per_trigger=max_files_per_trigger,
+        archive=archive, dedup_delay=dedup_delay, merge_each_batch=False,
+    )
 
 
 def ingest_messages(
@@ -84,18 +94,20 @@ def ingest_messages(
     delete_mode: str = SOFT,
     late_delete: str = LATE_WINS,
     trigger: Trigger = AVAILABLE_NOW,
+    dedup_delay: str | None = None,
+    merge_each_batch: bool = True,
 ) -> StreamingQuery:
     """Enveloped messages of several tables into their bronze and silver tables.
 
     A batch is parsed once, into the shared scratch folder with one folder per
-    table; each table then reads its own. What no table takes goes to the
-    quarantine table.
+    table; each table then reads its own and decodes its images. What no table
+    takes goes to the quarantine table.
     """
     specs = list(specs)
     files = Files(lake.spark)
 
     def take(batch: DataFrame, stream: str, number: int) -> None:
-        parsed = parse_envelopes(batch, specs, _now(), keep_text=True)
+        parsed = parse_envelopes(batch, _now(), keep_text=True)
         rest = unclaimed(specs)
         events = parsed.withColumns(
             {
@@ -104,22 +116,24 @@ def ingest_messages(
             }
         )
         staged_at = scratch_path(lake.spark, "events")
-        events.write.partitionBy("_table").parquet(staged_at)
-        staged = lake.spark.read.schema(events.schema).parquet(staged_at)
+        try:
+            events.write.partitionBy("_table").parquet(staged_at)
+            staged = lake.spark.read.schema(events.schema).parquet(staged_at)
+            found = {folder.split("=", 1)[1] for folder in files.sizes(staged_at) if "=" in folder}
 
-        def apply_table(spec: TableSpec) -> None:
-            rows = table_changes(staged.filter(F.col("_table") == spec.name), spec)
-            apply_batch(lake, spec, rows, stream, number, delete_mode, late_delete)
+            def apply_table(spec: TableSpec) -> None:
+                rows = table_changes(staged.filter(F.col("_table") == spec.name), spec)
+                apply_batch(lake, spec, rows, stream, number, delete_mode, late_delete, merge_each_batch)
 
-        present = [spec for spec in specs if files.exists(f"{staged_at}/_table={spec.name}")]
-        _side_by_side(lake, apply_table, present)
-        quarantine = lake.quarantine()
-        if files.exists(f"{staged_at}/_table={UNCLAIMED}") and not quarantine.has_applied(stream, number):
-            left = staged.filter(F.col("_table") == UNCLAIMED).withColumnRenamed("_text", "value")
-            quarantine.append(left.select(*quarantine.declared_schema.fieldNames()), stream, number)
-        files.delete(staged_at)
+            _side_by_side(lake, apply_table, [spec for spec in specs if spec.name in found])
+            if UNCLAIMED in found:
+                left = staged.filter(F.col("_table") == UNCLAIMED).withColumnRenamed("_text", "value")
+                columns = [name for name, _ in QUARANTINE_COLUMNS]
+                lake.quarantine().append(left.select(*columns), stream, number)
+        finally:
+            files.delete(staged_at)
 
-    return _each_batch(messages, take, checkpoint, trigger, "ingest_messages")
+    return _each_batch(once(messages, ["topic", "value"], dedup_delay), take, checkpoint, trigger, "ingest_messages")
 
 
 def apply_batch(
@@ -130,6 +144,7 @@ def apply_batch(
     number: int,
     delete_mode: str = SOFT,
     late_delete: str = LATE_WINS,
+    merge: bool = True,
 ) -> None:
     """One batch into bronze, then from its bronze files into silver.
 
@@ -139,18 +154,19 @@ def apply_batch(
     bronze, silver = lake.bronze(spec), lake.silver(spec)
     if not bronze.has_applied(stream, number):
         append_bronze(bronze, changes, stream, number)
-    written = bronze.read_batch(stream, number)
-    upsert_silver(silver, written, spec, _now(), delete_mode, late_delete, stream, number)
+    if merge:
+        written = bronze.read_batch(stream, number)
+        upsert_silver(silver, written, spec, _now(), delete_mode, late_delete, stream, number)
 
 
 def append_stream(
     frame: DataFrame,
-    table: VersionedTable,
+    table,
     checkpoint: str,
     per_batch: Callable[[DataFrame], DataFrame] | None = None,
     trigger: Trigger = AVAILABLE_NOW,
 ) -> StreamingQuery:
-    """Append a stream to a table, each batch once. ``per_batch`` runs on every
+    """Append a stream to a history, each batch once. ``per_batch`` runs on every
     batch and may read tables anew."""
 
     def take(batch: DataFrame, stream: str, number: int) -> None:
@@ -163,7 +179,7 @@ def append_stream(
 def enrich_with_current(
     events: DataFrame,
     current: Callable[[], DataFrame],
-    table: VersionedTable,
+    table,
     checkpoint: str,
     on: Column,
     columns: list[str],

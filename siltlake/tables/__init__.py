@@ -1,5 +1,11 @@
-"""Stored tables: versioned Parquet folders, or tables of a V2 catalog."""
+"""Stored tables: Parquet folders, or tables of a V2 catalog.
 
-from siltlake.tables.versioned import ConcurrentCommitError, VersionedTable
+Both give the same two kinds, and jobs name neither. A history takes batches of
+streams (``append``, ``has_applied``, ``read``, ``read_batch``, ``read_since``,
+``marks``); a state is merged into or replaced (``merge``, ``replace``, ``read``,
+``marks``). Both know ``exists``, ``counts`` and ``stored_bytes`` where it applies.
+"""
 
-__all__ = ["ConcurrentCommitError", "VersionedTable"]
+from siltlake.tables.store import ConcurrentCommitError, ParquetHistory, ParquetState
+
+__all__ = ["ConcurrentCommitError", "ParquetHistory", "ParquetState"]

@@ -1,11 +1,12 @@
 """Small helpers over the Hadoop file system of the session.
 
-They move metadata only (names, sizes, manifests); table rows never pass
+They move metadata only (names, sizes, pointers); table rows never pass
 through here.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,45 +32,47 @@ class Files:
             return []
         return [s.getPath().getName() for s in self._fs(path).listStatus(self._path(path))]
 
-    def modified_ms(self, path: str) -> int:
-        return self._fs(path).getFileStatus(self._path(path)).getModificationTime()
-
-    def summary(self, path: str) -> tuple[int, int]:
-        """Bytes and number of files below ``path``, in one call."""
-        found = self._fs(path).getContentSummary(self._path(path))
-        return found.getLength(), found.getFileCount()
+    def sizes(self, path: str) -> dict[str, int]:
+        """Bytes of data below each folder of ``path`` ("" for ``path`` itself),
+        from one recursive listing."""
+        found: dict[str, int] = {}
+        root = self._fs(path).makeQualified(self._path(path)).toString()
+        listed = self._fs(path).listFiles(self._path(path), True)
+        while listed.hasNext():
+            status = listed.next()
+            folder = status.getPath().getParent().toString()[len(root) :].strip("/")
+            if not status.getPath().getName().startswith(("_", ".")):
+                found[folder] = found.get(folder, 0) + status.getLen()
+        return found
 
     def delete(self, path: str) -> None:
         self._fs(path).delete(self._path(path), True)
 
-    def read_text(self, path: str) -> str:
-        stream = self._fs(path).open(self._path(path))
+    def read_json(self, path: str) -> dict | None:
+        """A small JSON file, None when there is none."""
         try:
-            return bytes(stream.readAllBytes()).decode("utf-8")
+            stream = self._fs(path).open(self._path(path))
+        except Exception as error:
+            if "FileNotFoundException" in str(error):
+                return None
+            raise
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode("utf-8"))
         finally:
             stream.close()
 
-    def overwrite_text(self, path: str, text: str) -> None:
-        stream = self._fs(path).create(self._path(path), True)
+    def write_json(self, path: str, value: dict) -> None:
+        """Put ``value`` in the place of what is there, in one rename."""
+        temporary = f"{path}.{uuid.uuid4().hex}.tmp"
+        stream = self._fs(path).create(self._path(temporary), True)
         try:
-            stream.write(bytearray(text.encode("utf-8")))
+            stream.write(bytearray(json.dumps(value).encode("utf-8")))
         finally:
             stream.close()
-
-    def create_text(self, path: str, text: str) -> bool:
-        """Create ``path`` with its whole content or not at all; False when it
-        exists already."""
-        temporary = f"{path}.{uuid.uuid4().hex}.tmp"
-        self.overwrite_text(temporary, text)
+        options = self._jvm.org.apache.hadoop.fs.Options
+        overwrite = self._gateway.new_array(options.Rename, 1)
+        overwrite[0] = options.Rename.OVERWRITE
         context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
             self._path(path).toUri() if "://" in path else self._fs(path).getUri(), self._conf
         )
-        no_overwrite = self._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        try:
-            context.rename(self._path(temporary), self._path(path), no_overwrite)
-        except Exception as error:
-            self.delete(temporary)
-            if "FileAlreadyExistsException" in str(error):
-                return False
-            raise
-        return True
+        context.rename(self._path(temporary), self._path(path), overwrite)

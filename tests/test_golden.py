@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import samples
 from siltlake.operators import audit
-from siltlake.plans.runs import bronze_day, check_quality, expire_tables, run_cdc, run_gold
+from siltlake.plans.runs import bronze_day, check_quality, run_cdc, run_gold
 from siltlake.spec import ORDERS, PRODUCTS, SPECS, USERS
 from siltlake.streaming.jobs import ingest_messages
 
@@ -95,9 +95,9 @@ def test_rerun_adds_nothing_and_next_file_is_merged(spark, lake, folders):
     raw, checkpoint = folders
     samples.land_feed(raw)
     run_cdc(lake, str(raw), checkpoint)
-    version = lake.bronze(USERS).version().number
+    marks = lake.bronze(USERS).marks()
     run_cdc(lake, str(raw), checkpoint)
-    assert lake.bronze(USERS).version().number == version
+    assert lake.bronze(USERS).marks() == marks
     assert lake.bronze(USERS).read().count() == 7
 
     samples.land(raw, "users", "more.json", [samples._user(2, "Jane Jones", "jane@example.com", 20000, "u", 1000)])
@@ -106,8 +106,9 @@ def test_rerun_adds_nothing_and_next_file_is_merged(spark, lake, folders):
     assert lake.silver(USERS).read().filter("id = 2").first()["name"] == "Jane Jones"
     audited = lake.run_audit().read().filter("table_name = 'users' AND layer = 'silver'")
     assert sorted(r["active_rows"] for r in audited.collect()) == [4, 4, 4]
-    expire_tables(lake, days=7)
-    assert lake.silver(USERS).read(version=1).filter("id = 2").first()["name"] == "Jane Smith"
+    assert sorted(r["row_count"] for r in audited.collect()) == [5, 5, 5]
+    bronze = lake.run_audit().read().filter("table_name = 'users' AND layer = 'bronze'")
+    assert sorted(r["row_count"] for r in bronze.collect()) == [7, 7, 8]
 
 
 def test_enveloped_feed_gives_the_same_tables(spark, lake, tmp_path):
@@ -158,27 +159,99 @@ def test_pipeline_stops_at_the_gate(spark, lake, folders):
     assert run_pipeline(lake, str(raw), checkpoint, GateLimits(corrupt=0.5))["user_analytics"] == 4
 
 
-def test_marts_of_empty_tables(spark, lake):
-    for spec in (USERS, ORDERS):
-        lake.silver(spec).append(spark.createDataFrame([], spec.silver_schema()))
-    assert run_gold(lake) == {"sales_summary": 0, "user_analytics": 0, "user_stats": 0}
-    assert lake.gold("sales_summary").read().count() == 0
+def test_a_failed_batch_blocks_until_it_passes(spark, lake, folders):
+    """The next day brings a good batch; the bad one has not passed yet."""
+    from siltlake.operators.quality import GateLimits, QualityGateError
+    from siltlake.plans.runs import gated_marks, run_pipeline
+
+    raw, checkpoint = folders
+    samples.land_feed(raw)
+    run_pipeline(lake, str(raw), checkpoint)
+    passed = gated_marks(lake)
+    samples.land(raw, "users", "bad.json", ["{broken", "{broken too"])
+    with pytest.raises(QualityGateError, match="corrupt_rows=2 of 2"):
+        run_pipeline(lake, str(raw), checkpoint)
+    assert gated_marks(lake) == passed
+    samples.land(raw, "users", "good.json", [samples._user(6, "Ann", "ann@example.com", 30000)])
+    with pytest.raises(QualityGateError, match="corrupt_rows=2 of 3"):
+        run_pipeline(lake, str(raw), checkpoint)
+    assert lake.gold("user_analytics").read().count() == 4
+    assert run_pipeline(lake, str(raw), checkpoint, GateLimits(corrupt=0.7))["user_analytics"] == 5
+    assert check_quality(lake)["users"]["rows"] == 0
+
+
+def test_unreadable_messages_fail_the_gate(spark, lake, tmp_path):
+    from siltlake.operators.quality import GateLimits, QualityGateError
+    from siltlake.plans.runs import run_message_pipeline
+
+    good = samples.envelopes("users", samples.FEED["users"][:1])
+    rows = good + [("cdc.users", 0, 100 + i, samples.B, "{not json") for i in range(9)]
+    landing = str(tmp_path / "landing")
+    samples.messages_frame(spark, rows).write.parquet(landing)
+    stream = spark.readStream.schema(spark.read.parquet(landing).schema).parquet(landing)
+    with pytest.raises(QualityGateError, match="quarantined_rows=9 next to 1"):
+        run_message_pipeline(lake, stream, str(tmp_path / "c"), specs={"users": USERS, "products": PRODUCTS, "orders": ORDERS})
+    assert lake.silver(USERS).read().count() == 1 and not lake.gold("user_analytics").exists()
+    assert run_message_pipeline(lake, stream, str(tmp_path / "c"), GateLimits(quarantined=0.95)) == {}
+
+
+def test_messages_to_marts_in_one_call(spark, lake, tmp_path):
+    from siltlake.plans.runs import run_message_pipeline
+
+    rows = [r for table, records in samples.FEED.items() for r in samples.envelopes(table, records)]
+    landing = str(tmp_path / "landing")
+    samples.messages_frame(spark, rows).write.parquet(landing)
+    stream = spark.readStream.schema(spark.read.parquet(landing).schema).parquet(landing)
+    written = run_message_pipeline(lake, stream, str(tmp_path / "c"), dedup_delay="1 day")
+    assert written == {"user_analytics": 4, "product_analytics": 5, "sales_summary": 1, "user_stats": 4}
+    check_layers(lake)
+    check_marts(lake)
+
+
+def test_a_first_load_passes_the_gate(spark, lake, folders):
+    from siltlake.plans.runs import run_pipeline
+
+    raw, checkpoint = folders
+    samples.land(raw, "users", "snapshot.json", [{**r, "__op": "r"} for r in samples.FEED["users"][:5]])
+    run_pipeline(lake, str(raw), checkpoint)  # products and orders have no folder yet
+    assert lake.silver(USERS).read().filter("is_active").count() == 5
+    assert [r["error"] for r in lake.run_audit().read().collect()] == [None] * 6
+
+
+def test_taken_files_are_archived(spark, lake, folders, tmp_path):
+    raw, checkpoint = folders
+    for i, record in enumerate(samples.FEED["users"]):
+        samples.land(raw, "users", f"{i}.json", [record])
+    for _ in range(2):
+        run_cdc(lake, str(raw), checkpoint, [USERS], max_files_per_trigger=3, archive_root=str(tmp_path / "old"))
+    assert list(lake.bronze(USERS).marks().values()) == [2] and lake.bronze(USERS).read().count() == 7
+
 
+def test_errors_are_recorded_whole(spark, lake):
+    from siltlake.plans.runs import record_run
 
-def test_a_table_that_cannot_be_compacted_is_skipped(spark, lake, monkeypatch):
-    from siltlake.plans.runs import compact_tables
-    from siltlake.tables import VersionedTable
+    record_run(lake, [USERS], {"users": "x" * 5000})
+    assert len(lake.run_audit().read().first()["error"]) == 5000
 
-    rows = spark.createDataFrame([(1, "a")], "id long, name string")
+
+def test_a_failing_table_does_not_stop_the_silver_run(spark, lake, folders):
+    from siltlake.plans.runs import RunFailedError, run_silver
+    from siltlake.streaming.jobs import ingest_bronze
+
+    raw, checkpoint = folders
+    samples.land_feed(raw)
     for spec in (USERS, ORDERS):
-        lake.silver(spec).append(rows.selectExpr("id", "CAST(0 AS BIGINT) AS key_range").repartition(1))
-    compact = VersionedTable.compact
+        ingest_bronze(lake, spec, f"{raw}/{spec.name}", f"{checkpoint}/{spec.name}").awaitTermination()
+    broken = USERS.with_options(key="absent")
+    with pytest.raises(RunFailedError, match="users"):
+        run_silver(lake, [broken, ORDERS])
+    assert lake.silver(ORDERS).read().count() == 5
+    errors = lake.run_audit().read().filter("error IS NOT NULL").select("table_name").distinct().collect()
+    assert [r[0] for r in errors] == ["users"]
 
-    def fail_for_users(self, *args):
-        if self.path.endswith("silver_users"):
-            raise OSError("gone")
-        return compact(self, *args)
 
-    monkeypatch.setattr(VersionedTable, "compact", fail_for_users)
-    outcome = compact_tables(lake, [USERS, ORDERS])
-    assert outcome == {"bronze_users": None, "silver_users": "gone", "bronze_orders": None, "silver_orders": None}
+def test_marts_of_empty_tables(spark, lake):
+    for spec in (USERS, ORDERS):
+        lake.silver(spec).replace(spark.createDataFrame([], spec.silver_schema()))
+    assert run_gold(lake) == {"sales_summary": 0, "user_analytics": 0, "user_stats": 0}
+    assert lake.gold("sales_summary").read().count() == 0

@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 from siltlake.operators.diff import snapshot_diff
 from siltlake.operators.latest import latest_per_key, top_product_per_day
 from siltlake.operators.merge import merge_changes, merge_latest, prepare_changes
-from siltlake.plans import layers
-from siltlake.plans.layers import upsert_silver
-from siltlake.spec import USERS, TableSpec
+from siltlake.spec import USERS
 
 SCHEMA = (
     "id bigint, name string, email string, created_at bigint, updated_at bigint, op string, ts_ms bigint, "
@@ -150,39 +148,63 @@ def test_the_target_is_shuffled_only_for_large_changes(spark, tmp_path):
     assert "ReadSchema: struct<id:bigint>" in small
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
-def test_stored_merge_touches_only_the_ranges_of_its_changes(spark, lake, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(layers, "BROADCAST_ROWS", broadcast_rows)
-    spec = USERS.with_options(range_size=10)
-    table = lake.silver(spec)
-    upsert_silver(table, changes(spark, [(i, "a", "c", 1) for i in range(50)]), spec, now())
-    before = table.version()
-    assert sorted(before.folders) == ["0", "1", "2", "3", "4"]
-    upsert_silver(
-        table, changes(spark, [(12, "b", "u", 2), (13, "x", "d", 0), (77, "n", "c", 2)]), spec, now(), stream="s", batch=4
+def flat_changes(spark, rows):
+    """Rows of (id, name, op, ts_ms, position or None) as flat records."""
+    from siltlake.sources.flat import normalise
+
+    raw = spark.createDataFrame(
+        [(i, n, "a@b", o, str(t), None if p is None else f'{{"db":"shop","lsn":{p}}}') for i, n, o, t, p in rows],
+        "id long, name string, email string, __op string, __ts_ms string, __source string",
     )
-    after = table.version()
-    assert sorted(after.folders) == ["0", "1", "2", "3", "4", "7"]
-    assert all(after.folders[v] == before.folders[v] for v in "0234")
-    found = state(table.read())
-    assert len(found) == 51 and found[12][0] == "b" and found[13] == ("a", "d", 1, False) and found[77][0] == "n"
-    upsert_silver(table, changes(spark, [(1, "again", "u", 9)]), spec, now(), stream="s", batch=4)
-    assert table.version().number == after.number
-
-
-def test_a_key_of_text_is_spread_by_hash(spark, lake):
-    spec = TableSpec("tags", (("id", "string"), ("name", "string")), hash_partitions=3)
-    rows = [(f"k{i}", "n", 0, 0, "c", 1, None, 0) for i in range(30)]
-    df = spark.createDataFrame(
-        rows,
-        "id string, name string, created_at bigint, updated_at bigint, op string, ts_ms bigint, "
-        "processed_at timestamp, _position bigint",
+    return normalise(raw, USERS, now())
+
+
+SAME_INSTANT = [
+    ([(1, "Zed", "c", 5, 10), (1, "Ann", "u", 5, 11)], ("Ann", True)),
+    ([(1, "Zed", "u", 5, 10), (1, "Zed", "d", 5, 11)], ("Zed", False)),
+    ([(1, "Ann", "d", 5, 10), (1, "Zed", "c", 5, 11)], ("Zed", True)),
+    ([(1, "Ann", "u", 5, None), (1, "Ann", "d", 5, None)], ("Ann", False)),
+    ([(1, "Zed", "c", 5, None), (1, "Ann", "u", 5, None)], ("Zed", True)),
+]
+
+
+@pytest.mark.parametrize("rows, want", SAME_INSTANT)
+@pytest.mark.parametrize("backwards", [False, True])
+def test_changes_of_one_instant_keep_their_order(spark, rows, want, backwards):
+    rows = rows[::-1] if backwards else rows
+    whole = prepare_changes(flat_changes(spark, rows), USERS, now())
+    split = spark.createDataFrame([], USERS.silver_schema())
+    for row in rows:
+        split = merge_changes(split, flat_changes(spark, [row]), USERS, now(), late_delete="ignore")
+    for df in (whole, split):
+        assert [(r["name"], r["is_active"]) for r in df.collect()] == [want]
+
+
+def test_a_later_position_of_the_same_instant_replaces(spark):
+    old, new = [(1, "a", "c", 10, 5), (2, "b", "c", 10, 5)], [(1, "a2", "u", 10, 6), (2, "b2", "u", 10, 4)]
+    assert run(spark, old, new) == {1: ("a2", "u", 10, True), 2: ("b", "c", 10, True)}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_any_split_of_files_gives_the_same_state(spark, lake, tmp_path, seed):
+    import samples
+    from siltlake.streaming.jobs import ingest_files
+
+    rng = random.Random(seed)
+    history = [(rng.randrange(12), f"n{i}", rng.choice("cuud"), rng.randrange(4), i) for i in range(120)]
+    want = state(prepare_changes(flat_changes(spark, history), USERS, now()))
+    records = [
+        {"id": i, "name": n, "email": "a@b", "__op": o, "__ts_ms": t, "__source": {"db": "shop", "lsn": p}}
+        for i, n, o, t, p in history
+    ]
+    rng.shuffle(records)
+    for part in range(3):
+        samples.land(tmp_path / "raw", "users", f"{part}.json", records[part::3])
+    query = ingest_files(
+        lake, USERS, str(tmp_path / "raw/users"), str(tmp_path / "c"), late_delete="ignore", max_files_per_trigger=1
     )
-    table = lake.silver(spec)
-    upsert_silver(table, df, spec, now())
-    upsert_silver(table, df.withColumn("ts_ms", F.lit(2)).withColumn("name", F.lit("m")), spec, now())
-    assert table.read().filter("name = 'm'").count() == 30
-    assert set(table.version().folders) == {"0", "1", "2"}
+    query.awaitTermination()
+    assert state(lake.silver(USERS).read()) == want
 
 
 def test_a_hot_key_is_reduced_before_the_shuffle(spark):

@@ -45,9 +45,30 @@ def test_bad_lines_and_loose_types(spark, tmp_path):
     assert df.columns == [name for name, _ in ORDERS.bronze_columns]
 
 
-def test_empty_folder_is_none(spark, tmp_path):
+def test_empty_and_absent_folders_have_no_rows(spark, tmp_path):
     (tmp_path / "users").mkdir()
-    assert flat.read_changes(spark, str(tmp_path / "users"), USERS, at()) is None
+    for name in ("users", "absent"):
+        found = flat.read_changes(spark, str(tmp_path / name), USERS, at())
+        assert found.count() == 0 and found.columns == [name for name, _ in USERS.bronze_columns]
+
+
+def test_the_position_comes_from_the_source(spark, tmp_path):
+    record = {"id": 1, "__op": "c", "__ts_ms": 5}
+    sources = [{"lsn": 77, "db": "shop"}, '{"lsn": 78}', None, {"other": 1}, "text"]
+    samples.land(tmp_path, "users", "a.json", [{**record, "id": i, "__source": s} for i, s in enumerate(sources)])
+    samples.land(tmp_path, "users", "b.json", [record | {"id": 9}])
+    rows = flat.read_changes(spark, str(tmp_path / "users"), USERS, at()).collect()
+    assert {r["id"]: r["_position"] for r in rows} == {0: 77, 1: 78, 2: None, 3: None, 4: None, 9: None}
+
+
+def test_the_archive_has_a_file_per_day(spark, tmp_path):
+    from siltlake.tables.files import Files
+
+    records = spark.range(0, 1000, 1, 8).select("id", (F.col("id") % 2 * 86_400_000).alias("__ts_ms"))
+    path = str(tmp_path / "archive")
+    flat.archive_raw(records, F.timestamp_millis("__ts_ms"), path)
+    days = [f"{path}/year=1970/month=01/day={d}" for d in ("01", "02")]
+    assert [sum(n.endswith(".json") for n in Files(spark).names(d)) for d in days] == [1, 1]
 
 
 # -- envelopes -------------------------------------------------------------------
@@ -72,8 +93,8 @@ def events(spark):
 def test_envelope_fields(events):
     got = {r["offset"]: r for r in events.collect()}
     assert got[0]["routing_key"] == "users_c" and got[0]["source_database"] == "s" and got[0]["is_delete"] is False
-    assert got[1]["source_timestamp"] == 4 and got[1]["after_state"]["id"] == "1"
-    assert got[2]["is_delete"] and got[2]["after_state"] is None and got[2]["before_state"]["_change_type"] == "x"
+    assert got[1]["source_timestamp"] == 4 and json.loads(got[1]["after_state"])["id"] == "1"
+    assert got[2]["is_delete"] and got[2]["after_state"] is None and json.loads(got[2]["before_state"])["_change_type"] == "x"
     assert got[4]["_corrupt_record"] == "oops" and got[4]["is_delete"] is None and got[4]["routing_key"] is None
     assert got[5]["_corrupt_record"] is None and got[5]["operation"] is None
     assert got[6]["_corrupt_record"] == '{"id":1,"__op":"c"}'
@@ -101,14 +122,20 @@ def test_routes_may_overlap_and_unknown_does_not_match(events):
     message = as_messages(route(events, {"t": "offset = 0"})).first()
     body = json.loads(message["value"])
     assert (message["topic"], message["key"]) == ("t", "cdc.users")
-    assert body["after_state"] == {"id": "1", "name": "John Doe"} and "before_state" not in body
+    assert body["after_state"] == {"id": 1, "name": "John Doe"} and "before_state" not in body
 
 
 def test_scores_and_alerts(events):
     scores = {r["offset"]: r["quality_score"] for r in quality.score_events(events).collect()}
     assert scores == {0: 1.0, 1: 1.0, 2: 1.0, 3: 1.0, 4: 0.0, 5: 0.0, 6: 0.0}
     alert = quality.delete_alerts(events).collect()
-    assert len(alert) == 1 and alert[0]["deleted_record"]["id"] == "2"
+    assert len(alert) == 1 and json.loads(alert[0]["deleted_record"])["id"] == 2
+
+
+def test_messages_are_parsed_once_by_a_schema_of_no_table(spark):
+    parsed = parse_envelopes(samples.messages_frame(spark, EVENTS))
+    plan = quality.delete_alerts(parsed)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1 and "user_id" not in plan
 
 
 # -- enrichment --------------------------------------------------------------------
@@ -202,6 +229,12 @@ def test_gate(spark):
         quality.check_gate(metrics, quality.GateLimits(null_key=1, unknown_op=1))
     with pytest.raises(quality.QualityGateError, match="max_lag_ms=99"):
         quality.check_gate(metrics, quality.GateLimits(1, 1, 1, lag_ms=98))
+    snapshot = df.withColumn("op", F.lit("r"))
+    assert quality.gate_metrics(snapshot).first()["unknown_ops"] == 0
+    both = quality.gate_metrics(df, quarantine=df.limit(2)).first().asDict()
+    assert both == {**metrics, "quarantined_rows": 2}
+    with pytest.raises(quality.QualityGateError, match="quarantined_rows=2 next to 5"):
+        quality.check_gate(both, quality.GateLimits(1, 1, 1, quarantined=0.2))
 
 
 # -- marts on edge rows --------------------------------------------------------------
@@ -245,4 +278,5 @@ def test_stage_counts_come_with_the_write(spark, lake):
     from siltlake.plans.layers import append_bronze
 
     rows = spark.createDataFrame([], USERS.bronze_schema()).drop("processed_day")
-    assert append_bronze(lake.bronze(USERS), rows).rows_written == 0
+    assert append_bronze(lake.bronze(USERS), rows) == 0
+    assert lake.bronze(USERS).counts() == (0, None)

@@ -1,11 +1,13 @@
-"""Versioned tables: commits, reads of versions, compaction and expiry."""
+"""Stored tables: histories by batch, states by bucket, and the V2 catalog."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from siltlake.plans.lake import GOLD_COLUMNS
-from siltlake.spec import ORDERS, USERS, schema_of
-from siltlake.tables import ConcurrentCommitError, VersionedTable, catalog
+from siltlake.plans.lake import GOLD_COLUMNS, CatalogLake
+from siltlake.plans.layers import append_bronze, export_days, upsert_silver
+from siltlake.spec import BUCKET, ORDERS, USERS, schema_of
+from siltlake.tables import ConcurrentCommitError, ParquetHistory, ParquetState, catalog
+from siltlake.tables.files import Files
 
 COLUMNS = schema_of([("id", "bigint"), ("day", "string")])
 
@@ -16,43 +18,52 @@ def frame(spark, start, end, days=2):
 
 @pytest.fixture
 def table(spark, tmp_path):
-    return VersionedTable(spark, str(tmp_path / "t"), COLUMNS, "day")
+    return ParquetHistory(spark, str(tmp_path / "t"), COLUMNS, "day")
 
 
 def ids(df):
     return sorted(r["id"] for r in df.collect())
 
 
-def test_empty_table_reads_as_no_rows(table):
-    assert not table.exists()
-    assert table.read().collect() == [] and table.read().columns == ["id", "day"]
-    assert table.expire(10**15) == [] and table.compact() is None
+def test_an_absent_table_reads_as_no_rows(spark, table, tmp_path):
+    state = ParquetState(spark, str(tmp_path / "s"), COLUMNS)
+    for absent in (table, state):
+        assert not absent.exists() and absent.marks() == {} and absent.counts()[0] == 0
+        assert absent.read().collect() == [] and absent.read().columns == ["id", "day"]
+    assert table.read_since({}).collect() == []
 
 
-def test_versions_partitions_and_pruning(spark, table):
-    first = table.append(frame(spark, 0, 10))
-    assert first.rows_written == 10 and first.number == 1
-    table.append(frame(spark, 10, 20))
-    table.replace_partitions(spark.createDataFrame([(99, "d0")], COLUMNS), ["d0"])
-    assert ids(table.read()) == sorted([*range(1, 20, 2), 99])
-    assert ids(table.read(version=1)) == list(range(10))
-    assert ids(table.read(partitions=["d0"])) == [99]
+def test_histories_by_batch(spark, table):
+    assert table.append(frame(spark, 0, 2), "s", 0) == 2
+    table.append(frame(spark, 2, 4), "s", 1)
+    table.append(frame(spark, 4, 6), "other", 7)
+    assert table.marks() == {"s": 1, "other": 7} and table.counts() == (6, None)
+    assert table.has_applied("s", 1) and not table.has_applied("s", 2) and not table.has_applied("new", 0)
+    assert ids(table.read_batch("s", 0)) == [0, 1] and ids(table.read_batch("other", 7)) == [4, 5]
+    assert ids(table.read_since({"s": 0})) == [2, 3, 4, 5]
+    assert ids(table.read_since({}, {"s": 0})) == [0, 1]
+    assert ids(table.read_since(table.marks())) == []
+    assert ids(table.read()) == list(range(6)) and table.read().columns == ["id", "day"]
     plan = table.read().filter("day = 'd1'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
-    with pytest.raises(ValueError, match="outside"):
-        table.replace_partitions(frame(spark, 0, 2), ["d0"])
 
 
-def test_an_emptied_partition_disappears(spark, table):
-    table.append(frame(spark, 0, 10))
-    table.replace_partitions(frame(spark, 0, 0), ["d0"])
-    assert ids(table.read()) == [1, 3, 5, 7, 9]
+def test_a_batch_written_again_replaces_itself(spark, table):
+    for start in (0, 2):
+        table.append(frame(spark, start, start + 2), "s", start)
+    table.append(frame(spark, 10, 13), "s", 2)
+    assert ids(table.read()) == [0, 1, 10, 11, 12] and table.counts() == (5, None)
+
+
+def test_rows_appended_by_hand_are_batches_too(spark, table):
+    for start in (0, 2, 4):
+        table.append(frame(spark, start, start + 2))
+    assert ids(table.read()) == list(range(6)) and list(table.marks().values()) == [2]
 
 
 def test_unknown_partition_value(spark, table):
     table.append(spark.createDataFrame([(1, None), (2, "d0")], COLUMNS))
-    assert ids(table.read(partitions=[None])) == [1]
-    assert table.read().filter("day IS NULL").count() == 1
+    assert ids(table.read().filter("day IS NULL")) == [1]
 
 
 def test_new_columns_widen_and_type_changes_are_refused(spark, table):
@@ -65,93 +76,138 @@ def test_new_columns_widen_and_type_changes_are_refused(spark, table):
     assert table.read().count() == 4
 
 
-def test_replace_takes_the_new_schema(spark, table):
-    table.append(frame(spark, 0, 4))
-    plain = VersionedTable(spark, table.path, COLUMNS)
-    plain.replace(spark.createDataFrame([("a",)], "only string"))
-    assert plain.read().columns == ["only"] and plain.read(version=1).count() == 4
-
-
-def test_the_second_writer_of_a_version_fails(spark, table):
-    base = table.version()
-    table.replace_partitions(frame(spark, 0, 4), ["d0", "d1"], base)
-    with pytest.raises(ConcurrentCommitError):
-        table.replace_partitions(frame(spark, 4, 8), ["d0", "d1"], base)
-    assert ids(table.read()) == [0, 1, 2, 3]
-
-
-def test_appends_and_compaction_do_not_exclude_each_other(spark, table, monkeypatch):
-    table.append(frame(spark, 0, 4).repartition(3))
-    other = table.on(spark)
-    write, pending = VersionedTable._write, [0]
-
-    def write_while_another_appends(self, df, number):
-        written = write(self, df, number)
-        try:
-            batch = pending.pop()
-        except IndexError:
-            return written
-        other.append(frame(spark, 100, 104), "s", batch)
+def test_an_empty_batch_counts_as_taken(spark, table):
+    assert table.append(frame(spark, 0, 0), "s", 0) == 0
+    assert table.has_applied("s", 0) and table.read().count() == 0 and table.read_batch("s", 0).count() == 0
+
+
+def test_replace_takes_the_new_schema_and_cleans_up(spark, tmp_path):
+    table = ParquetState(spark, str(tmp_path / "s"), COLUMNS)
+    assert table.replace(frame(spark, 0, 4)) == 4
+    before = table.read()
+    table.replace(spark.createDataFrame([("a",)], "only string"))
+    assert table.read().columns == ["only"] and table.counts() == (1, None)
+    assert before.count() == 4  # a reader of the commit before may go on
+    table.replace(spark.createDataFrame([("b",)], "only string"))
+    assert len(Files(spark).names(f"{table.path}/data")) == 2 and table.number() == 3
+
+
+def user_rows(spark, keys, name="n", at=1, op="c"):
+    rows = [(k, name, "a@b", 0, 0, op, at, None, None) for k in keys]
+    kind = "bigint" if not keys or isinstance(keys[0], int) else "string"
+    return spark.createDataFrame(
+        rows,
+        f"id {kind}, name string, email string, created_at bigint, updated_at bigint, op string, ts_ms bigint, "
+        "processed_at timestamp, _position bigint",
+    )
+
+
+def now():
+    return F.timestamp_seconds(F.lit(0))
+
+
+@pytest.mark.parametrize(
+    "keys",
+    [
+        [1_700_000_000_000_000_000 + 4_194_304 * i for i in range(400)],
+        [(i * 2_654_435_761 * 40_503) % 2**61 for i in range(400)],
+        list(range(400)),
+        [f"user-{i:05d}" for i in range(400)],
+    ],
+    ids=["time-ordered", "random", "serial", "text"],
+)
+def test_keys_of_any_kind_fill_the_declared_buckets(spark, lake, keys):
+    kind = "bigint" if isinstance(keys[0], int) else "string"
+    spec = USERS.with_options(buckets=8, fields=(("id", kind), ("name", "string"), ("email", "string")))
+    table = lake.silver(spec)
+    upsert_silver(table, user_rows(spark, keys), spec, now())
+    assert sorted(table.folders()) == [str(i) for i in range(8)] and table.counts() == (400, 400)
+    upsert_silver(table, user_rows(spark, keys[:100], "m", 2, "d"), spec, now())
+    assert table.counts() == (400, 300) and table.read().filter("name = 'm'").count() == 100
+
+
+def test_a_merge_touches_only_the_buckets_of_its_changes(spark, lake):
+    spec = USERS.with_options(buckets=16)
+    table = lake.silver(spec)
+    upsert_silver(table, user_rows(spark, list(range(200))), spec, now())
+    before = table.folders()
+    upsert_silver(table, user_rows(spark, [12], "m", 2), spec, now(), stream="s", batch=4)
+    after = table.folders()
+    assert sum(before[b] != after[b] for b in before) == 1 and table.read().count() == 200
+    upsert_silver(table, user_rows(spark, [13], "again", 9), spec, now(), stream="s", batch=4)
+    assert table.number() == 2 and table.marks() == {"s": 4}
+
+
+def test_a_merge_deals_each_side_out_once(spark, tmp_path, monkeypatch):
+    from siltlake.tables import store
+
+    plans = []
+    write = ParquetState._write
+
+    def note(self, df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(self, df)
+
+    monkeypatch.setattr(store.ParquetState, "_write", note)
+    table = ParquetState(spark, str(tmp_path / "s"), USERS.silver_schema(), buckets=True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for at in (1, 2):
+            upsert_silver(table, user_rows(spark, list(range(300)), at=at), USERS, now())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans[-1].count("Exchange hashpartitioning") == 2 and "FullOuter" in plans[-1]
+    files = [n for b in table.folders().values() for n in Files(spark).names(f"{table.path}/data/{b}")]
+    assert len([n for n in files if n.endswith(".parquet")]) == len(table.folders())
+
+
+def test_two_writers_of_a_state_do_not_overwrite_each_other(spark, tmp_path, monkeypatch):
+    table = ParquetState(spark, str(tmp_path / "s"), COLUMNS)
+    write, other = ParquetState._write, [frame(spark, 8, 9)]
+
+    def write_while_another_commits(self, df):
+        written = write(self, df)
+        if other:
+            ParquetState(spark, self.path, COLUMNS).replace(other.pop())
         return written
 
-    monkeypatch.setattr(VersionedTable, "_write", write_while_another_appends)
-    assert table.append(frame(spark, 4, 8).repartition(3)).number == 3
-    pending.append(1)
-    assert table.compact(slack=1).number == 5
-    assert ids(table.read()) == sorted([*range(8), *range(100, 104), *range(100, 104)])
-    assert table.version().applied == {"s": 1}
-
-
-@pytest.mark.parametrize("hint", [None, "", "1", "77"])
-def test_a_lost_or_stale_hint_is_harmless(spark, table, hint):
-    for start in (0, 2, 4):
-        table.append(frame(spark, start, start + 2))
-    if hint is None:
-        table._files.delete(table._hint)
-    else:
-        table._files.overwrite_text(table._hint, hint)
-    assert table.newest() == 3 and ids(table.read()) == list(range(6))
-
-
-def test_a_batch_two_writers_apply_counts_once(spark, table):
-    table.append(frame(spark, 0, 2), "s", 0)
-    with pytest.raises(ConcurrentCommitError, match="another writer"):
-        table.append(frame(spark, 0, 2), "s", 0)
-    assert ids(table.read()) == [0, 1]
-
-
-def test_batches_are_remembered(spark, table):
-    table.append(frame(spark, 0, 2), "s", 0)
-    table.append(frame(spark, 2, 4), "s", 1)
-    table.append(frame(spark, 4, 6))
-    assert table.has_applied("s", 1) and not table.has_applied("s", 2) and not table.has_applied("other", 0)
-    assert ids(table.read_batch("s", 0)) == [0, 1] and ids(table.read_batch("s", 1)) == [2, 3]
-    with pytest.raises(LookupError):
-        table.read_batch("s", 7)
-
-
-def test_compaction_and_expiry(spark, table):
+    monkeypatch.setattr(ParquetState, "_write", write_while_another_commits)
+    with pytest.raises(ConcurrentCommitError):
+        table.replace(frame(spark, 0, 4))
+    assert ids(table.read()) == [8]
+
+
+def test_file_system_work_does_not_grow_with_the_batches(spark, lake, monkeypatch):
+    calls = []
+    for name in ("exists", "names", "sizes", "delete", "read_json", "write_json"):
+        original = getattr(Files, name)
+        monkeypatch.setattr(
+            Files, name, lambda self, *a, _f=original, _n=name: (calls.append(_n), _f(self, *a))[1]
+        )
+    spec = USERS.with_options(buckets=2)
+    counts = []
+    for batch in range(26):
+        calls.clear()
+        rows = user_rows(spark, [batch, batch + 1], at=batch)
+        if batch in (5, 25):
+            from siltlake.streaming.jobs import apply_batch
+
+            apply_batch(lake, spec, rows.withColumn("_corrupt_record", F.lit(None).cast("string")), "s", batch)
+            counts.append(len(calls))
+        else:
+            append_bronze(lake.bronze(spec), rows.withColumn("_corrupt_record", F.lit(None).cast("string")), "s", batch)
+    assert abs(counts[0] - counts[1]) <= 4
+
+
+def test_a_history_by_day_in_few_files(spark, table, tmp_path):
+    schema = schema_of([("id", "bigint"), ("processed_day", "string")])
+    history = ParquetHistory(spark, str(tmp_path / "h"), schema, "processed_day")
     for start in range(0, 40, 10):
-        table.append(frame(spark, start, start + 10).repartition(3))
-    many = table.data_files()
-    compacted = table.compact()
-    assert many > 2 and table.data_files() == 2
-    assert ids(table.read()) == list(range(40)) and table.compact() is None
-    assert ids(table.read(version=2)) == list(range(20))
-
-    assert table.expire(0) == []
-    limit = compacted.committed_ms + 60_000
-    assert table.expire(limit) == [1, 2, 3, 4]
-    assert table.version_numbers() == [5] and ids(table.read()) == list(range(40))
-    assert len(table._files.names(f"{table.path}/data")) == 2
-
-
-def test_compaction_keeps_files_of_the_target_size(spark, table):
-    table.append(frame(spark, 0, 20_000, days=1).repartition(8))
-    size = sum(f.bytes for fs in table.version().folders.values() for f in fs)
-    table.compact(target_bytes=size // 2)
-    assert 2 <= table.data_files() <= 3
-    assert table.read().count() == 20_000
+        history.append(frame(spark, start, start + 10).withColumnRenamed("day", "processed_day").repartition(3))
+    path = str(tmp_path / "days")
+    export_days(history, path)
+    assert ids(spark.read.schema(schema).parquet(path)) == list(range(40))
+    assert sum(n.endswith(".parquet") for d in ("d0", "d1") for n in Files(spark).names(f"{path}/processed_day={d}")) == 2
 
 
 def test_layer_ddl_on_stock_spark(spark):
@@ -165,8 +221,8 @@ def test_layer_ddl_on_stock_spark(spark):
     assert sorted(silver.fieldNames()) == sorted(ORDERS.silver_schema().fieldNames())
     assert spark.table("ddl_check.gold_user_analytics").schema == schema_of(GOLD_COLUMNS["user_analytics"])
     table = catalog.CatalogTable(spark, "ddl_check.silver_users")
-    assert table.read_if_present().count() == 0
-    assert catalog.CatalogTable(spark, "ddl_check.absent").read_if_present() is None
+    assert table.exists() and table.read().count() == 0 and table.counts() == (0, 0)
+    assert not catalog.CatalogTable(spark, "ddl_check.absent").exists()
     spark.sql("DROP DATABASE ddl_check CASCADE")
 
 
@@ -175,10 +231,26 @@ def test_v2_statements_parse(spark):
     assert "PARTITIONED BY (days(processed_at))" in ddl and "'write.target-file-size-bytes'='134217728'" in ddl
     parser = spark._jsparkSession.sessionState().sqlParser()
     modes = [("soft", "win"), ("soft", "ignore"), ("hard", "win")]
-    for sql in (ddl, *(catalog.merge_sql("lake.db.t", "changes", ORDERS, *mode) for mode in modes)):
+    lake = CatalogLake(spark, "lake.db")
+    tables = [lake.bronze(USERS), lake.silver(USERS), lake.quarantine(), lake.run_audit(), lake.gate_audit(), lake.gold("user_stats")]
+    statements = [ddl, *(t.ddl for t in tables)]
+    for sql in (*statements, *(catalog.merge_sql("lake.db.t", "changes", ORDERS, *mode) for mode in modes)):
         assert parser.parsePlan(sql) is not None
 
 
+def test_both_stores_offer_the_same(spark, lake):
+    other = CatalogLake(spark, "lake.db")
+    history = ["exists", "append", "has_applied", "read", "read_batch", "read_since", "marks", "counts", "on"]
+    state = ["exists", "merge", "replace", "read", "marks", "counts", "stored_bytes", "on"]
+    for make, names in (
+        (lambda x: x.bronze(USERS), history), (lambda x: x.quarantine(), history), (lambda x: x.run_audit(), history),
+        (lambda x: x.silver(USERS), state), (lambda x: x.gold("user_stats"), state),
+    ):
+        for name in names:
+            assert callable(getattr(make(lake), name)) and callable(getattr(make(other), name))
+    assert BUCKET in USERS.silver_schema().fieldNames()
+
+
 def test_shuffles_are_sized_by_the_stored_bytes(spark):
     from siltlake.session import BYTES_PER_SHUFFLE_PARTITION, sized_session
 
