@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import shutil
+import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +22,22 @@ GAP = r"[\x20\x09-\x0D]+"
 BROADCAST_ROWS = 20_000
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers of the application, which may
+    not have it installed; once for each application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        name = f"{tempfile.mkdtemp(prefix='siltlake-')}/{package.name}"
+        context.addPyFile(shutil.make_archive(name, "zip", package.parent, package.name))
+        _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
