@@ -112,6 +112,7 @@ def passages(docs: DataFrame, chunking: Chunking = Chunking()) -> DataFrame:
     """(id, part, start, stop, n_words, n_chunks, first_id, removed) of every
     passage that several documents hold: runs of chunks, in bytes of UTF-8.
 
+    ``first_id`` is the document that most chunks of the run come from.
     ``docs`` has id, part (a hash of the text) and text. Runs that are removed
     follow a first document; runs of first documents are given as well. A chunk
     that one document repeats, and no other has, is not shared.
@@ -135,7 +136,7 @@ def passages(docs: DataFrame, chunking: Chunking = Chunking()) -> DataFrame:
         runs.groupBy("id", "part", "run", "removed")
         .agg(
             F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").cast("bigint").alias("n_words"),
-            F.count("*").alias("n_chunks"), F.min("first_id").alias("first_id"),
+            F.count("*").alias("n_chunks"), F.mode("first_id", True).alias("first_id"),
         )
         .filter(F.col("n_words") >= chunking.run_words)
         .drop("run")

@@ -60,7 +60,7 @@ def write_flat(docs: DataFrame, folder: str, ranks: str, pattern: str, end_id: i
                     out.write((np.array(encode(text), dtype).tobytes() if text else b"") + end)
                 ordinals = pa.array(range(at, at + batch.num_rows), pa.int64())
                 at += batch.num_rows
-                names = pa.array([name] * batch.num_rows)
+                names = pa.array([name] * batch.num_rows, pa.string())
                 yield pa.RecordBatch.from_arrays([names, ordinals, batch.column("doc_id")], ["file", "ordinal", "doc_id"])
         finally:
             if out is not None:
@@ -101,7 +101,7 @@ def scan(files: DataFrame, folder: str, end_id: int, dtype: str = "<u2", block_i
                     ends = np.append(ends, n)  # a document that nothing closes
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([name] * len(ends)),
+                        pa.array([name] * len(ends), pa.string()),
                         pa.array(np.full(len(ends), block, np.int64)),
                         pa.array(np.arange(len(ends), dtype=np.int64)),
                         pa.array(ends.astype(np.int64)),

@@ -40,19 +40,21 @@ def assign(loads: Mapping[int, int], shards: int, slots: int = SLOTS) -> dict[in
 
 
 def rebalance(current: Mapping[int, int], loads: Mapping[int, int], shards: int, slack: float = 0.01) -> dict[int, int]:
-    """An edited map for ``shards`` shards. Slots leave shards that are gone and
-    shards above the mean by more than ``slack``; all others stay."""
+    """An edited map for ``shards`` shards. Slots leave shards that are gone, and
+    shards above the mean by more than ``slack`` until they come nearest to it;
+    all others stay."""
     mean = sum(loads.values()) / shards
     total = dict.fromkeys(range(shards), 0)
     for slot, shard in current.items():
         if shard < shards:
             total[shard] += loads.get(slot, 0)
+    heavy = {shard for shard, load in total.items() if load > mean * (1 + slack)}
     out, moving = {}, []
     for slot in sorted(current, key=lambda s: (loads.get(s, 0), s)):
         shard, load = current[slot], loads.get(slot, 0)
         if shard >= shards:
             moving.append(slot)
-        elif load and total[shard] > mean * (1 + slack) and total[shard] - load >= mean * (1 - slack):
+        elif load and shard in heavy and total[shard] - load / 2 >= mean:
             moving.append(slot)
             total[shard] -= load
         else:

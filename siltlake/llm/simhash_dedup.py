@@ -263,9 +263,10 @@ class SimHash:
         return PivotTables(self.width, self.radius, masks)
 
 
-# Shingles of five words; at a Jaccard similarity of 0.8 their sets have a
-# cosine of 0.889, so that 0.15 of the bits are expected to differ.
-FIVE_WORDS = SimHash(shingle=5, width=256, radius=40, distinct=True, recall=0.97)
+# Shingles of five words. At a Jaccard similarity of 0.8 their sets have a cosine
+# of 0.889, so that 39 of 256 bits are expected to differ, give or take 6; the
+# radius leaves room for 1.6 times that.
+FIVE_WORDS = SimHash(shingle=5, width=256, radius=48, distinct=True, recall=0.95)
 
 
 def with_groups(rows: DataFrame, method: SimHash = SimHash()) -> DataFrame:
