@@ -18,12 +18,13 @@ import os
 import re
 import struct
 import uuid
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,8 +33,9 @@ from siltlake.session import scratch_path
 
 MAGIC = b"BITPACK1"
 BLOCK = 4096
-# Pieces of text whose ids a worker remembers.
-REMEMBERED = 300_000
+# Pieces of text, and words, whose ids a worker remembers.
+REMEMBERED_PIECES = 800_000
+REMEMBERED_WORDS = 700_000
 
 
 # Packing
@@ -137,18 +139,29 @@ class Reader:
 # Encoding
 
 _ENCODERS: dict[str, PieceEncoder] = {}
-# A space between two characters that are not white space by anybody's rule.
-_BLANK = r"\s\x1c-\x1f\x85᠎​"
-_SAFE_SPACE = re.compile(rf"(?<=[^{_BLANK}]) (?=[^{_BLANK}])")
-_UNSAFE = re.compile(rf"[{_BLANK}] | [{_BLANK}]")
+# Fixed value: the pattern by which byte-level tokenizers split a text.
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# White space by anybody's rule but line ends, as ranges of code points.
+_BLANKS = [
+    (0x09, 0x09), (0x0B, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x180E, 0x180E),
+    (0x2000, 0x200B), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+]
+_OTHER = "".join(f"{chr(a)}-{chr(b)}" for a, b in _BLANKS)
+_BLANK = f"\n{_OTHER}"
+# White space in a row, but for two line ends before a word.
+_UNSAFE = f"[{_BLANK}][{_OTHER}]|[{_OTHER}][{_BLANK}]|\n\n\n|\n\n\\z"
+_SAFE_SPACE = re.compile(f"(?<=[^{_BLANK}]) (?=[^{_BLANK}])")
+_ANY_BLANK = re.compile(f"[{_BLANK}]")
 
 
 class PieceEncoder:
     """Encodes texts with a byte-level tokenizer of the tokenizers library.
 
-    Its pattern never lets a token cross from a word into the space before the
-    next, so a text is cut at such spaces, and the ids of pieces are remembered:
-    a frequent piece is encoded once per worker.
+    Its pattern puts a single space before the word that follows, and a single
+    line end by itself. Texts are cut there with Arrow, and only the different
+    pieces of a batch are looked at. Ids of pieces, and of the tokens that the
+    pattern cuts them into, are remembered, so that a worker encodes a word
+    once; new words are encoded together, a line each.
     """
 
     def __init__(self, path: str):
@@ -157,28 +170,76 @@ class PieceEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def _pieces(self, text: str) -> list[str]:
-        if _UNSAFE.search(text) or text[:1] == " " or text[-1:] == " ":
-            parts = _SAFE_SPACE.split(text)
+        self.split = regex.compile(BYTE_LEVEL).findall
+        self.line_end = self._one_by_one(["\n"])[0]
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _one_by_one(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, "<u4").tobytes() for x in found]
+
+    def _learn_words(self, words: list[str]) -> None:
+        lines = [word for word in words if not _ANY_BLANK.search(word, 1 if word[0] == " " else 0) and word != " "]
+        parts = [lines[i : i + 200] for i in range(0, len(lines), 200)]
+        found = self.tokenizer.encode_batch_fast(["\n".join(part) for part in parts], add_special_tokens=False)
+        line_end = np.frombuffer(self.line_end, "<u4")[0]
+        for part, encoded in zip(parts, found):
+            ids = np.array(encoded.ids, "<u4")
+            ends = np.flatnonzero(ids == line_end)
+            data, edges = ids.tobytes(), [-1, *ends.tolist(), len(ids)]
+            self.words.update((w, data[4 * a + 4 : 4 * b]) for w, a, b in zip(part, edges[:-1], edges[1:], strict=True))
+        others = [word for word in words if word not in self.words]
+        self.words.update(zip(others, self._one_by_one(others)))
+
+    def _cut(self, text: str) -> list[str]:
+        """By the pattern; a piece with more white space in it stays whole."""
+        return [text] if text and _ANY_BLANK.search(text, 1) else self.split(text)
+
+    def _learn(self, pieces: list[str]) -> None:
+        """A piece that starts with a line end begins a line, and the line end is
+        its first id; any other follows a space."""
+        texts = [piece[1:] if piece[:1] == "\n" else " " + piece for piece in pieces]
+        split = [[x] if x[1:].isalpha() and (x[0] == " " or x[0].isalpha()) else self._cut(x) for x in texts]
+        if len(self.words) > REMEMBERED_WORDS:
+            self.words.clear()
+        words = self.words
+        self._learn_words(list({word for row in split for word in row if word not in words}))
+        for piece, row in zip(pieces, split):
+            data = b"".join([words[word] for word in row])
+            self.pieces[piece] = self.line_end + data if piece[:1] == "\n" else data
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text; null is empty."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        cut = pc.replace_substring(texts, "\n", " \n")
+        if pc.any(unsafe := pc.match_substring_regex(texts, _UNSAFE)).as_py():
+            # Elsewhere than between two words a cut could change the ids.
+            rows = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\n"), cut, ""), " ").to_pylist()
+            for i in np.flatnonzero(unsafe.to_numpy(zero_copy_only=False)).tolist():
+                first, *rest = _SAFE_SPACE.split(texts[i].as_py())
+                rows[i] = ["\n" + first, *rest]
+            split = pa.array(rows, pa.list_(pa.string()))
         else:
-            parts = text.split(" ")
-        return parts[:1] + [" " + part for part in parts[1:]]
-
-    def encode(self, texts: Iterable[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        pieces = [self._pieces(text) if text else [] for text in texts]
-        known = self.known
-        new = list({piece for row in pieces for piece in row if piece not in known})
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[piece] = np.array(found.ids, "<u4").tobytes()
-        out = [b"".join([known[piece] for piece in row]) for row in pieces]
-        if len(known) > REMEMBERED:
-            known.clear()
-        return out
+            split = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\n"), cut, ""), " ")
+        coded = pc.list_flatten(split).dictionary_encode()
+        different, where = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        if len(self.pieces) > REMEMBERED_PIECES:
+            self.pieces.clear()
+        known = self.pieces
+        self._learn([piece for piece in different if piece not in known])
+        data = [known[piece] for piece in different]
+        flat = np.frombuffer(b"".join(data), "<u4")
+        lengths = np.fromiter(map(len, data), np.int64, len(data)) // 4
+        starts = np.cumsum(lengths) - lengths
+        # The ids of all pieces, one after the other.
+        each = lengths[where]
+        ends = np.cumsum(each)
+        ids = flat[np.repeat(starts[where] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
+        pieces = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
+        edges = np.concatenate([[0], ends])[pieces].tolist()
+        # A text was given a line end in front, which goes again.
+        return [ids[a + 1 : b] for a, b in zip(edges[:-1], edges[1:])]
 
 
 def encoder(path: str) -> PieceEncoder:
@@ -194,7 +255,7 @@ def _in_order(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = F.col("doc_id").asc_nulls_first()
-    return rows.repartitionByRange(width, order, F.col("text")).sortWithinPartitions(order, "text")
+    return rows.repartitionByRange(width, order).sortWithinPartitions(order, "text")
 
 
 def write_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int, end_id: int, file_ids: int = 1 << 24) -> DataFrame:
@@ -206,7 +267,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int, e
     ``file_ids`` ids; a document is never cut.
     """
     bits = bits_for(max(vocabulary, end_id + 1))
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], np.uint32)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -224,10 +285,10 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int, e
             number, writer = number + 1, Writer(bits)
 
         for batch in batches:
-            for rows in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
+            for rows in (batch.slice(i, 2500) for i in range(0, batch.num_rows, 2500)):
                 ids = rows.column("doc_id").to_pylist()
-                for doc_id, data in zip(ids, encoder(tokenizer).encode(rows.column("text").to_pylist())):
-                    writer.add(NO_ID if doc_id is None else doc_id, np.frombuffer(data + end, "<u4"))
+                for doc_id, found in zip(ids, encoder(tokenizer).encode(rows.column("text"))):
+                    writer.add(NO_ID if doc_id is None else doc_id, np.concatenate([found, end]))
                     if writer.n_ids >= file_ids:
                         close()
         if writer.docs:
