@@ -32,6 +32,8 @@ MODEL_TYPE, VOCAB_SIZE, UNK_ID, BOS_ID, EOS_ID, PAD_ID = 3, 4, 40, 41, 42, 43
 BPE = 2
 NAME, CHARSMAP, DUMMY_PREFIX, EXTRA_SPACES, ESCAPE_SPACES = 1, 2, 3, 4, 5
 
+# A space between two letters: every pattern of this kind begins a pre-token there.
+SAFE_CUT = regex.compile(r"(?<=\p{L}) (?=\p{L})")
 # Pre-tokens whose ids a worker remembers.
 REMEMBERED = 300_000
 _CODECS: dict[tuple[str, str], Codec] = {}
@@ -126,6 +128,17 @@ class Codec:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
+        return b"".join([self._encode(part) for part in self._parts(text)])
+
+    def _parts(self, text: str, limit: int = 1 << 20) -> Iterator[str]:
+        """A very long text in parts, cut where no pre-token can reach across."""
+        start = 0
+        while len(text) - start > limit and (cut := SAFE_CUT.search(text, start + limit)):
+            yield text[start : cut.start()]
+            start = cut.start()
+        yield text[start:]
+
+    def _encode(self, text: str) -> bytes:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         pieces, known = self.split(text), self.known
