@@ -3,8 +3,12 @@
 A gear hash rolls over the bytes of a text. Where it falls below a threshold
 behind white space, a chunk ends, so the chunks of a passage depend on the
 passage alone: text inserted before it shifts them but doesn't change them.
-Chunks that several documents hold are found by digest, and runs of them long
-enough to be a passage are removed from all documents but the first.
+Chunks that several documents hold are found by digest. Where enough of them
+stand close together and come from one earlier document, they are a passage,
+which is removed from all documents but the first.
+
+Chunks of a word or three occur everywhere by chance; they are not compared, and
+belong to a passage if they lie between its other chunks.
 """
 
 from __future__ import annotations
@@ -28,14 +32,17 @@ NO_ID = 2**63 - 1
 @dataclass(frozen=True)
 class Chunking:
     """A chunk ends behind one word in ``words`` on average, and after
-    ``most_bytes`` at the latest. The hash sees ``window`` bytes. Runs of shared
-    chunks of ``run_words`` words or more are passages: a passage of over 50
-    words has fewer only if the chunks cut at its ends hold half of it."""
+    ``most_bytes`` at the latest; it is compared if it has ``least_words``. The
+    hash sees ``window`` bytes. Shared chunks at most ``gap`` bytes apart are a
+    run, and a run with ``run_words`` words or more from one document a passage:
+    one of over 50 words has fewer only in unlucky cuts (tested)."""
 
     words: int = 4
+    least_words: int = 4
     most_bytes: int = 1024
     window: int = 16
-    run_words: int = 25
+    gap: int = 96
+    run_words: int = 16
     seed: int = 5
 
 
@@ -78,7 +85,8 @@ def cuts(data: bytes, chunking: Chunking) -> np.ndarray:
 
 
 def chunk_rows(docs: DataFrame, chunking: Chunking, places: bool) -> DataFrame:
-    """(digest, id) of all chunks, with places also (part, start, stop, words).
+    """(digest, id) of all chunks that are compared, with places also (part,
+    start, stop, words).
 
     The digest is 64 bits wide and leaves out white space at the chunk's ends. Two
     different chunks with one digest do no harm: a passage is a run of chunks."""
@@ -87,34 +95,45 @@ def chunk_rows(docs: DataFrame, chunking: Chunking, places: bool) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in (batch.slice(i, 250) for i in range(0, batch.num_rows, 250)):
-                digests, held = [], [np.zeros((0, 4), np.int64)]
-                words = []
+                digests, words, held = [], [], [np.zeros((0, 4), np.int64)]
                 for doc_id, part, data in zip(*(rows.column(x).to_pylist() for x in ("id", "part")), utf8(rows.column("text"))):
-                    stop = cuts(data or b"", chunking)
-                    start = np.concatenate([[0], stop[:-1]]).astype(np.int64) if len(stop) else stop
-                    pieces = [data[a:b] for a, b in zip(start.tolist(), stop.tolist())]
-                    digests += [xxhash.xxh64_intdigest(piece.strip(b" \t\n\v\f\r")) for piece in pieces]
-                    fixed = np.empty((len(pieces), 2), np.int64)
+                    start, stop, counts = compared(data or b"", chunking)
+                    digests += [
+                        xxhash.xxh64_intdigest(data[a:b].strip(b" \t\n\v\f\r")) for a, b in zip(start.tolist(), stop.tolist())
+                    ]
+                    words.append(counts)
+                    fixed = np.empty((len(start), 2), np.int64)
                     fixed[:] = doc_id, part
                     held.append(np.column_stack([fixed, start, stop]))
-                    if places:
-                        words += [len(piece.split()) for piece in pieces]
                 fixed = np.concatenate(held)
                 columns = [pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(fixed[:, 0])]
                 if places:
-                    columns += [pa.array(fixed[:, i]) for i in (1, 2, 3)] + [pa.array(words, pa.int32())]
+                    columns += [pa.array(fixed[:, i]) for i in (1, 2, 3)] + [pa.array(np.concatenate(words), pa.int32())]
                 yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in schema.split(", ")])
 
     return docs.mapInArrow(cut, schema)
 
 
+def compared(data: bytes, chunking: Chunking) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and words of the chunks of a text that have enough words."""
+    stop = cuts(data, chunking)
+    if not len(stop):
+        return stop, stop, stop.astype(np.int32)
+    blank = SPACES[np.frombuffer(data, np.uint8)]
+    begins = ~blank & np.concatenate([[True], blank[:-1]])
+    before = np.concatenate([[0], np.cumsum(begins)])
+    start = np.concatenate([[0], stop[:-1]]).astype(np.int64)
+    counts = before[stop] - before[start]
+    enough = counts >= chunking.least_words
+    return start[enough], stop[enough], counts[enough].astype(np.int32)
+
+
 def passages(docs: DataFrame, chunking: Chunking = Chunking()) -> DataFrame:
-    """(id, part, start, stop, n_words, n_chunks, first_id, removed) of every
-    passage that several documents hold: runs of chunks, in bytes of UTF-8.
+    """(id, part, start, stop, n_words, n_chunks, first_id) of every passage that
+    an earlier document holds too: runs of chunks, in bytes of UTF-8.
 
-    ``first_id`` is the document that most chunks of the run come from.
-    ``docs`` has id, part (a hash of the text) and text. Runs that are removed
-    follow a first document; runs of first documents are given as well. A chunk
+    ``docs`` has id, part (a hash of the text) and text. ``first_id`` is the
+    document that most words of the run come from, ``n_words`` how many. A chunk
     that one document repeats, and no other has, is not shared.
     """
     digests = chunk_rows(docs, chunking, places=False)
@@ -123,23 +142,26 @@ def passages(docs: DataFrame, chunking: Chunking = Chunking()) -> DataFrame:
         .filter("first_id < last_id").select("digest", "first_id"),
         "shared",
     )
-    found = chunk_rows(docs, chunking, places=True).join(shared, "digest").drop("digest")
+    found = chunk_rows(docs, chunking, places=True).join(shared, "digest").drop("digest").filter("first_id < id")
     own = Window.partitionBy("id", "part").orderBy("start")
     # Repeated rows give each chunk again.
     rows = found.withColumn("again", F.lag("start").over(own)).filter("again IS NULL OR again <> start")
-    rows = rows.withColumn("removed", F.col("first_id") < F.col("id"))
-    # Chunks of a run follow each other without a gap.
-    begins = (F.lag("stop").over(own) != F.col("start")) | (F.lag("removed").over(own) != F.col("removed"))
-    runs = rows.withColumn("begins", F.coalesce(begins, F.lit(True)).cast("int"))
+    begins = F.coalesce(F.col("start") - F.lag("stop").over(own) > chunking.gap, F.lit(True)).cast("int")
+    runs = rows.withColumn("begins", begins)
     runs = runs.withColumn("run", F.sum("begins").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    by_first = runs.groupBy("id", "part", "run", "first_id").agg(
+        F.sum("words").cast("bigint").alias("words"), F.count("*").alias("chunks"),
+        F.min("start").alias("start"), F.max("stop").alias("stop"),
+    )
+    # Chunks that stand in the run by chance, from other documents, lend nothing.
+    best = F.max(F.struct("words", "chunks", "start", "stop", "first_id"))
     return (
-        runs.groupBy("id", "part", "run", "removed")
-        .agg(
-            F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").cast("bigint").alias("n_words"),
-            F.count("*").alias("n_chunks"), F.mode("first_id", True).alias("first_id"),
+        by_first.groupBy("id", "part", "run").agg(best.alias("best"))
+        .select(
+            "id", "part", "best.start", "best.stop", F.col("best.words").alias("n_words"),
+            F.col("best.chunks").alias("n_chunks"), "best.first_id",
         )
         .filter(F.col("n_words") >= chunking.run_words)
-        .drop("run")
     )
 
 
@@ -148,23 +170,24 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 
 def shared_passages(docs: DataFrame, chunking: Chunking = Chunking()) -> DataFrame:
-    """doc_id, start, stop (bytes), n_words, n_chunks, first_doc_id and removed of
-    each passage that documents share.
+    """doc_id, first_doc_id, start, stop (bytes), n_words and n_chunks of each
+    passage of a document that an earlier one, first_doc_id, holds too.
 
     Null and empty texts have none. Rows with equal ids, or without an id, are
-    one document: they share nothing with each other, and equal ones are given once. Other columns are not read.
+    one document: they share nothing with each other, and equal ones are given
+    once. Rows without an id come last. Other columns are not read.
     """
     found = passages(_numbered(docs), chunking)
     null = lambda name: F.when(F.col(name) != NO_ID, F.col(name))
     return found.select(
-        null("id").alias("doc_id"), "start", "stop", "n_words", "n_chunks", null("first_id").alias("first_doc_id"), "removed"
+        null("id").alias("doc_id"), null("first_id").alias("first_doc_id"), "start", "stop", "n_words", "n_chunks"
     )
 
 
 def without_passages(docs: DataFrame, chunking: Chunking = Chunking()) -> DataFrame:
     """``docs`` without the passages that an earlier document holds; all rows and
     columns stay, n_chars (if there is such a column) counts what is left."""
-    spans = passages(_numbered(docs), chunking).filter("removed")
+    spans = passages(_numbered(docs), chunking)
     spans = spans.groupBy("id", "part").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
     rows = docs.select(
         whole_row(docs).alias("row"), F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("part")
