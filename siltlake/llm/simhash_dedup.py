@@ -265,8 +265,8 @@ class SimHash:
 
 # Shingles of five words. At a Jaccard similarity of 0.8 their sets have a cosine
 # of 0.889, so that 39 of 256 bits are expected to differ, give or take 6; the
-# radius leaves room for 1.6 times that.
-FIVE_WORDS = SimHash(shingle=5, width=256, radius=48, distinct=True, recall=0.95)
+# radius leaves room for that.
+FIVE_WORDS = SimHash(shingle=5, width=256, radius=45, distinct=True, recall=0.95)
 
 
 def with_groups(rows: DataFrame, method: SimHash = SimHash()) -> DataFrame:
@@ -292,7 +292,8 @@ def component_ids(docs: DataFrame, method: SimHash = SimHash()) -> DataFrame:
     """
     rows = stored(docs.select("doc_id", prints_of(F.col("text"), method).alias("fp")), "prints")
     rows = with_groups(rows, method)
-    least = rows.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    # Stored, so that both sides come from a shuffle and a hot group can be split.
+    least = stored(rows.groupBy("group").agg(F.min("doc_id").alias("component_id")), "least")
     return rows.join(least, "group").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
