@@ -132,9 +132,10 @@ def passages(docs: DataFrame, chunking: Chunking = Chunking()) -> DataFrame:
     """(id, part, start, stop, n_words, n_chunks, first_id) of every passage that
     an earlier document holds too: runs of chunks, in bytes of UTF-8.
 
-    ``docs`` has id, part (a hash of the text) and text. ``first_id`` is the
-    document that most words of the run come from, ``n_words`` how many. A chunk
-    that one document repeats, and no other has, is not shared.
+    ``docs`` has id, part (a hash of the text) and text. A run has a row for each
+    document, ``first_id``, that enough of its words come from, ``n_words`` how
+    many; spans of different documents may overlap. A chunk that one document
+    repeats, and no other has, is not shared.
     """
     digests = chunk_rows(docs, chunking, places=False)
     shared = stored(
@@ -154,14 +155,8 @@ def passages(docs: DataFrame, chunking: Chunking = Chunking()) -> DataFrame:
         F.min("start").alias("start"), F.max("stop").alias("stop"),
     )
     # Chunks that stand in the run by chance, from other documents, lend nothing.
-    best = F.max(F.struct("words", "chunks", "start", "stop", "first_id"))
-    return (
-        by_first.groupBy("id", "part", "run").agg(best.alias("best"))
-        .select(
-            "id", "part", "best.start", "best.stop", F.col("best.words").alias("n_words"),
-            F.col("best.chunks").alias("n_chunks"), "best.first_id",
-        )
-        .filter(F.col("n_words") >= chunking.run_words)
+    return by_first.filter(F.col("words") >= chunking.run_words).select(
+        "id", "part", "start", "stop", F.col("words").alias("n_words"), F.col("chunks").alias("n_chunks"), "first_id"
     )
 
 
@@ -198,8 +193,11 @@ def without_passages(docs: DataFrame, chunking: Chunking = Chunking()) -> DataFr
         out = []
         for data, parts in zip(utf8(texts), spans.to_pylist()):
             if data is not None and parts:
-                edges = [0, *(x for part in parts for x in (part["start"], part["stop"])), len(data)]
-                data = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
+                left, at = [], 0
+                for part in parts:
+                    left.append(data[at : part["start"]])
+                    at = max(at, part["stop"])
+                data = b"".join([*left, data[at:]])
             out.append(None if data is None else data.decode())
         return pa.array(out, pa.string())
 

@@ -622,6 +622,28 @@ def test_every_planted_passage_is_caught(spark):
     assert len(found & {(1000 + i, i) for i in range(300)}) >= 295
 
 
+def test_passages_of_several_documents_side_by_side(spark):
+    """Each of three adjacent passages, and both halves of one that an earlier
+    document holds half of, are reported and removed."""
+    rng = random.Random(18)
+    words = ["".join(rng.choices("abcdefghijklmnopqrst", k=rng.randint(3, 9))) for _ in range(5000)]
+    text = lambda n: " ".join(rng.choices(words, k=n))
+    rows, want, whole = [], set(), {}
+    for i in range(0, 200, 10):
+        a, b, c, halves = text(70), text(70), text(70), text(140)
+        front, end = text(20), text(20)
+        rows += [(i + k, f"{text(30)} {p} {text(30)}", None, None, 0) for k, p in enumerate((a, b, c))]
+        rows += [(i + 3, f"{text(30)} {' '.join(halves.split()[:70])}", None, None, 0), (i + 4, f"{halves} {text(30)}", None, None, 0)]
+        rows += [(1000 + i, f"{front} {a} {b} {c} {end}", None, None, 0), (1001 + i, f"{front[::-1]} {halves} {end[::-1]}", None, None, 0)]
+        want |= {(1000 + i, i), (1000 + i, i + 1), (1000 + i, i + 2), (1001 + i, i + 3), (1001 + i, i + 4), (i + 4, i + 3)}
+        whole |= {1000 + i: (f"{front} {end}", 210), 1001 + i: (f"{front[::-1]} {end[::-1]}", 140)}
+    df = stored(spark.createDataFrame(rows, SCHEMA), "adjacent")
+    assert {(r["doc_id"], r["first_doc_id"]) for r in dicts(chunks.shared_passages(df))} == want
+    left = {r.doc_id: r.text.split() for r in chunks.without_passages(df).collect()}
+    for i, (clean, n) in whole.items():
+        assert 40 <= len(left[i]) <= 40 + n / 2 and left[i][:15] == clean.split()[:15] and left[i][-15:] == clean.split()[-15:]
+
+
 # Queries
 
 
