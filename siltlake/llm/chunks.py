@@ -3,12 +3,11 @@
 A gear hash rolls over the bytes of a text. Where it falls below a threshold
 behind white space, a chunk ends, so the chunks of a passage depend on the
 passage alone: text inserted before it shifts them but doesn't change them.
-Chunks that several documents hold are found by digest. Where enough of them
-stand close together and come from one earlier document, they are a passage,
-which is removed from all documents but the first.
-
-Chunks of a word or three occur everywhere by chance; they are not compared, and
-belong to a passage if they lie between its other chunks.
+From the start of each chunk, short ones too, a stretch of some words is an
+anchor; anchors that several documents hold are found by digest. Anchors that lie
+alike in two documents and touch are united, and the texts of both compared
+outward from there, word by word. What they share is a passage, which is removed
+from all documents but the first.
 """
 
 from __future__ import annotations
@@ -32,17 +31,17 @@ NO_ID = 2**63 - 1
 @dataclass(frozen=True)
 class Chunking:
     """A chunk ends behind one word in ``words`` on average, and after
-    ``most_bytes`` at the latest; it is compared if it has ``least_words``. The
-    hash sees ``window`` bytes. Shared chunks at most ``gap`` bytes apart are a
-    run, and a run with ``run_words`` words or more from one document a passage:
-    one of over 50 words has fewer only in unlucky cuts (tested)."""
+    ``most_bytes`` at the latest. The hash sees ``window`` bytes. An anchor is
+    the ``run_words`` words from the start of a chunk, so a passage is found if a
+    chunk starts in it so many words before its end: one of 51 words is missed by
+    chance of about (1 - 1 / words) ^ 32, a shorter one more often. Texts are
+    compared over ``reach`` words outward from the anchors."""
 
     words: int = 4
-    least_words: int = 4
     most_bytes: int = 1024
     window: int = 16
-    gap: int = 96
     run_words: int = 16
+    reach: int = 48
     seed: int = 5
 
 
@@ -84,80 +83,162 @@ def cuts(data: bytes, chunking: Chunking) -> np.ndarray:
     return np.union1d(ends, np.array(more, np.int64))
 
 
-def chunk_rows(docs: DataFrame, chunking: Chunking, places: bool) -> DataFrame:
-    """(digest, id) of all chunks that are compared, with places also (part,
-    start, stop, words).
+def anchor_rows(docs: DataFrame, chunking: Chunking, places: bool) -> DataFrame:
+    """(digest, id) of all anchors, with places also (part, start, stop).
 
-    The digest is 64 bits wide and leaves out white space at the chunk's ends. Two
-    different chunks with one digest do no harm: a passage is a run of chunks."""
-    schema = "digest bigint, id bigint" + (", part bigint, start bigint, stop bigint, words int" if places else "")
+    The digest is 64 bits wide."""
+    schema = "digest bigint, id bigint" + (", part bigint, start bigint, stop bigint" if places else "")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in (batch.slice(i, 250) for i in range(0, batch.num_rows, 250)):
-                digests, words, held = [], [], [np.zeros((0, 4), np.int64)]
+                digests, held = [], [np.zeros((0, 4), np.int64)]
                 for doc_id, part, data in zip(*(rows.column(x).to_pylist() for x in ("id", "part")), utf8(rows.column("text"))):
-                    start, stop, counts = compared(data or b"", chunking)
-                    digests += [
-                        xxhash.xxh64_intdigest(data[a:b].strip(b" \t\n\v\f\r")) for a, b in zip(start.tolist(), stop.tolist())
-                    ]
-                    words.append(counts)
+                    start, stop = anchors(data or b"", chunking)
+                    digests += [xxhash.xxh64_intdigest(data[a:b]) for a, b in zip(start.tolist(), stop.tolist())]
                     fixed = np.empty((len(start), 2), np.int64)
                     fixed[:] = doc_id, part
                     held.append(np.column_stack([fixed, start, stop]))
                 fixed = np.concatenate(held)
                 columns = [pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(fixed[:, 0])]
                 if places:
-                    columns += [pa.array(fixed[:, i]) for i in (1, 2, 3)] + [pa.array(np.concatenate(words), pa.int32())]
+                    columns += [pa.array(fixed[:, i]) for i in (1, 2, 3)]
                 yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in schema.split(", ")])
 
     return docs.mapInArrow(cut, schema)
 
 
-def compared(data: bytes, chunking: Chunking) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and words of the chunks of a text that have enough words."""
-    stop = cuts(data, chunking)
-    if not len(stop):
-        return stop, stop, stop.astype(np.int32)
-    blank = SPACES[np.frombuffer(data, np.uint8)]
-    begins = ~blank & np.concatenate([[True], blank[:-1]])
-    before = np.concatenate([[0], np.cumsum(begins)])
-    start = np.concatenate([[0], stop[:-1]]).astype(np.int64)
-    counts = before[stop] - before[start]
-    enough = counts >= chunking.least_words
-    return start[enough], stop[enough], counts[enough].astype(np.int32)
+def words_at(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start and end."""
+    blank = np.concatenate([[True], SPACES[np.frombuffer(data, np.uint8)], [True]])
+    return np.flatnonzero(blank[:-1] & ~blank[1:]), np.flatnonzero(~blank[:-1] & blank[1:])
+
+
+def anchors(data: bytes, chunking: Chunking) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the anchors of a text."""
+    begins, ends = words_at(data)
+    whole = len(begins) - chunking.run_words + 1
+    if whole <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first = np.union1d([0], np.searchsorted(begins, cuts(data, chunking)))
+    first = first[first < whole]
+    return begins[first], ends[first + chunking.run_words - 1]
+
+
+def _margins(docs: DataFrame, edges: DataFrame, chunking: Chunking) -> DataFrame:
+    """(id, part, at, after, margin) for ``edges``, which has arrays of (at, after)
+    for each id and part: the words that follow or precede a place of a text."""
+    schema = "id bigint, part bigint, at bigint, after boolean, margin binary"
+
+    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in (batch.slice(i, 250) for i in range(0, batch.num_rows, 250)):
+                out = []
+                for doc_id, part, data, places in zip(
+                    *(rows.column(x).to_pylist() for x in ("id", "part")), utf8(rows.column("text")), rows.column("edges").to_pylist()
+                ):
+                    begins, ends = words_at(data)
+                    for at, after in ((x["at"], x["after"]) for x in places):
+                        i = int(np.searchsorted(begins, at))
+                        last = min(i + chunking.reach, len(begins)) - 1
+                        low, high = (at, int(ends[last]) if last >= i else at) if after else (int(begins[max(0, i - chunking.reach)]), at)
+                        out.append({"id": doc_id, "part": part, "at": at, "after": after, "margin": data[low:high]})
+                yield pa.RecordBatch.from_pylist(out, pa.schema(list(MARGINS.items())))
+
+    return docs.join(edges, ["id", "part"]).mapInArrow(margins, schema).dropDuplicates(["id", "part", "at", "after"])
+
+
+MARGINS = {"id": pa.int64(), "part": pa.int64(), "at": pa.int64(), "after": pa.bool_(), "margin": pa.binary()}
+FOUND = ("id", "part", "start", "stop", "n_words", "n_chunks", "first_id")
+
+
+def widened(data: bytes, spans: list[dict]) -> list[tuple[int, int, int, int, int]]:
+    """(start, stop, n_words, n_chunks, first_id) of the passages of a text: its
+    spans as far outward as the margins in the first documents agree, united if
+    they touch and have the same first document. A passage takes the white space
+    behind it along."""
+    begins, ends = words_at(data)
+    edges = [*begins.tolist(), len(data)]
+    ends = ends.tolist()
+    found = []
+    for span in spans:
+        i, j = np.searchsorted(begins, [span["start"], span["stop"]]).tolist()
+        for word in reversed(span["before"].split()):
+            if not i or data[edges[i - 1] : ends[i - 1]] != word:
+                break
+            i -= 1
+        for word in span["behind"].split():
+            if j == len(ends) or data[edges[j] : ends[j]] != word:
+                break
+            j += 1
+        found.append((span["first_id"], i, j, span["chunks"]))
+    out: list[list[int]] = []
+    for first_id, i, j, n in sorted(found):
+        if out and out[-1][0] == first_id and i <= out[-1][2]:
+            out[-1][2], out[-1][3] = max(out[-1][2], j), out[-1][3] + n
+        else:
+            out.append([first_id, i, j, n])
+    return [(edges[i], edges[j], j - i, n, first_id) for first_id, i, j, n in out]
 
 
 def passages(docs: DataFrame, chunking: Chunking = Chunking()) -> DataFrame:
     """(id, part, start, stop, n_words, n_chunks, first_id) of every passage that
-    an earlier document holds too: runs of chunks, in bytes of UTF-8.
+    an earlier document holds too, in bytes of UTF-8.
 
-    ``docs`` has id, part (a hash of the text) and text. A run has a row for each
-    document, ``first_id``, that enough of its words come from, ``n_words`` how
-    many; spans of different documents may overlap. A chunk that one document
-    repeats, and no other has, is not shared.
+    ``docs`` has id, part (a hash of the text) and text. ``first_id`` is the first
+    document that holds an anchor of the passage; the whole passage stands in it,
+    word for word. Passages of different documents may overlap. ``n_chunks``
+    counts the anchors. What one document repeats, and no other has, is not shared.
     """
-    digests = chunk_rows(docs, chunking, places=False)
+    digests = anchor_rows(docs, chunking, places=False)
     shared = stored(
         digests.groupBy("digest").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"))
         .filter("first_id < last_id").select("digest", "first_id"),
         "shared",
     )
-    found = chunk_rows(docs, chunking, places=True).join(shared, "digest").drop("digest").filter("first_id < id")
-    own = Window.partitionBy("id", "part").orderBy("start")
-    # Repeated rows give each chunk again.
-    rows = found.withColumn("again", F.lag("start").over(own)).filter("again IS NULL OR again <> start")
-    begins = F.coalesce(F.col("start") - F.lag("stop").over(own) > chunking.gap, F.lit(True)).cast("int")
+    found = stored(anchor_rows(docs, chunking, places=True).join(shared, "digest"), "found")
+    origin = found.filter("id = first_id").groupBy("digest").agg(F.min(F.struct("part", "start")).alias("o"))
+    origin = stored(origin.select("digest", F.col("o.part").alias("first_part"), F.col("o.start").alias("first_start")), "origin")
+    placed = found.filter("first_id < id").join(origin, "digest").withColumn("shift", F.col("start") - F.col("first_start"))
+    along = ["id", "part", "first_id", "first_part", "shift"]
+    own = Window.partitionBy(*along).orderBy("start")
+    # Repeated rows give each anchor again.
+    rows = placed.withColumn("again", F.lag("start").over(own)).filter("again IS NULL OR again <> start")
+    begins = F.coalesce(F.col("start") > F.lag("stop").over(own), F.lit(True)).cast("int")
     runs = rows.withColumn("begins", begins)
     runs = runs.withColumn("run", F.sum("begins").over(own.rowsBetween(Window.unboundedPreceding, 0)))
-    by_first = runs.groupBy("id", "part", "run", "first_id").agg(
-        F.sum("words").cast("bigint").alias("words"), F.count("*").alias("chunks"),
-        F.min("start").alias("start"), F.max("stop").alias("stop"),
-    )
-    # Chunks that stand in the run by chance, from other documents, lend nothing.
-    return by_first.filter(F.col("words") >= chunking.run_words).select(
-        "id", "part", "start", "stop", F.col("words").alias("n_words"), F.col("chunks").alias("n_chunks"), "first_id"
+    spans = runs.groupBy(*along, "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("chunks"))
+    low, high = F.col("start") - F.col("shift"), F.col("stop") - F.col("shift")
+    spans = stored(spans.withColumn("low", low).withColumn("high", high).drop("shift", "run"), "spans")
+
+    edge = lambda at, after: F.struct(F.col(at).alias("at"), F.lit(after).alias("after"))
+    edges = spans.select(
+        F.col("first_id").alias("id"), F.col("first_part").alias("part"), F.explode(F.array(edge("low", False), edge("high", True))).alias("edge")
     )
+    edges = stored(edges.groupBy("id", "part").agg(F.collect_set("edge").alias("edges")), "edges")
+    margins = stored(_margins(docs, edges, chunking), "margins")
+
+    def with_margin(spans: DataFrame, at: str, after: bool, name: str) -> DataFrame:
+        side = margins.filter(F.col("after") == after)
+        side = side.select(F.col("id").alias("first_id"), F.col("part").alias("first_part"), F.col("at").alias(at), F.col("margin").alias(name))
+        return spans.join(side, ["first_id", "first_part", at])
+
+    spans = stored(with_margin(spans, "low", False, "before"), "before")
+    spans = stored(with_margin(spans, "high", True, "behind"), "behind")
+    spans = spans.groupBy("id", "part").agg(F.collect_list(F.struct("start", "stop", "chunks", "first_id", "before", "behind")).alias("spans"))
+
+    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in (batch.slice(i, 250) for i in range(0, batch.num_rows, 250)):
+                out = []
+                for doc_id, part, data, held in zip(
+                    *(rows.column(x).to_pylist() for x in ("id", "part")), utf8(rows.column("text")), rows.column("spans").to_pylist()
+                ):
+                    out += [(doc_id, part, *x) for x in widened(data, held)]
+                columns = np.array(out, np.int64).reshape(-1, len(FOUND))
+                yield pa.RecordBatch.from_arrays([pa.array(columns[:, i]) for i in range(len(FOUND))], list(FOUND))
+
+    return docs.join(spans, ["id", "part"]).mapInArrow(widen, ", ".join(f"{x} bigint" for x in FOUND)).distinct()
 
 
 def _numbered(docs: DataFrame) -> DataFrame:

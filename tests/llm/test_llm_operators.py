@@ -636,12 +636,49 @@ def test_passages_of_several_documents_side_by_side(spark):
         rows += [(i + 3, f"{text(30)} {' '.join(halves.split()[:70])}", None, None, 0), (i + 4, f"{halves} {text(30)}", None, None, 0)]
         rows += [(1000 + i, f"{front} {a} {b} {c} {end}", None, None, 0), (1001 + i, f"{front[::-1]} {halves} {end[::-1]}", None, None, 0)]
         want |= {(1000 + i, i), (1000 + i, i + 1), (1000 + i, i + 2), (1001 + i, i + 3), (1001 + i, i + 4), (i + 4, i + 3)}
-        whole |= {1000 + i: (f"{front} {end}", 210), 1001 + i: (f"{front[::-1]} {end[::-1]}", 140)}
+        whole |= {1000 + i: f"{front} {end}", 1001 + i: f"{front[::-1]} {end[::-1]}"}
     df = stored(spark.createDataFrame(rows, SCHEMA), "adjacent")
     assert {(r["doc_id"], r["first_doc_id"]) for r in dicts(chunks.shared_passages(df))} == want
     left = {r.doc_id: r.text.split() for r in chunks.without_passages(df).collect()}
-    for i, (clean, n) in whole.items():
-        assert 40 <= len(left[i]) <= 40 + n / 2 and left[i][:15] == clean.split()[:15] and left[i][-15:] == clean.split()[-15:]
+    for i, clean in whole.items():
+        assert left[i] == clean.split()
+
+
+@pytest.mark.parametrize("letters, size", [("abcdefghijklmnopqrst", 5), ("абвгдежзиклмнопр", 6), ("абвгдежзиклмнопр", 8)])
+def test_whole_passages_of_51_words_are_found(spark, letters, size):
+    """Words of 6, 13 and 17 bytes; earlier documents hold phrases of them, and
+    so the least id of many chunks is not that of the passage's first document."""
+    rng = random.Random(19)
+    words = ["".join(rng.choices(letters, k=size)) for _ in range(20_000)]
+    text = lambda n: " ".join(rng.choices(words, k=n))
+    planted = [text(51) for _ in range(1500)]
+    rows, clean = [], {}
+    for i, p in enumerate(planted):
+        w, at = p.split(), 0
+        while at < 51:  # two phrases of five have an earlier document
+            n = rng.randint(5, 10)
+            if rng.random() < 0.4:
+                rows.append((-1 - len(rows), f"{text(9)} {' '.join(w[at : at + n])} {text(9)}", None, None, 0))
+            at += n
+        clean[10_000 + i] = f"{text(35)}\n{text(9)}"
+        rows.append((i, f"{text(20)} {p} {text(20)}", None, None, 0))
+        rows.append((10_000 + i, clean[10_000 + i].replace("\n", f"\n{p} "), None, None, 0))
+    df = stored(spark.createDataFrame(rows, SCHEMA), "recall")
+    found = dicts(chunks.shared_passages(df))
+    assert {(r["doc_id"], r["first_doc_id"]) for r in found} == {(10_000 + i, i) for i in range(1500)}
+    assert sum(r["n_words"] == 51 for r in found) >= 1495
+    left = {r.doc_id: r.text for r in chunks.without_passages(df).collect()}
+    assert sum(left[i] == x for i, x in clean.items()) >= 1495
+
+
+def test_a_passage_ends_where_the_texts_differ():
+    data = b" one two  three four\nfive six seven eight "
+    span = {"start": data.index(b"three"), "stop": data.index(b"\n"), "chunks": 1, "first_id": 3}
+    cut = lambda before, behind, **x: [data[a:b] for a, b, *_ in chunks.widened(data, [{**span, "before": before, "behind": behind, **x}])]
+    assert cut(b"", b"") == [b"three four\n"] and cut(b"x two", b"five x seven") == [b"two  three four\nfive "]
+    assert cut(b"zero one two", b"five six seven eight nine") == [data[1:]]
+    both = [{**span, "before": b"two", "behind": b"x"}, {**span, "first_id": 2, "before": b"x", "behind": b"five"}]
+    assert [(n, first) for _, _, n, _, first in chunks.widened(data, both)] == [(3, 2), (3, 3)]
 
 
 # Queries
