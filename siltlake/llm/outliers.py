@@ -36,13 +36,15 @@ CONSISTENCY = 1.485
 
 @dataclass(frozen=True)
 class Rules:
-    """``cutoff`` is a squared distance: 75 is passed by 2 in 10^15 of normal
+    """``cutoff`` is a squared distance: 30 is passed by 5 in 10^6 of normal
     vectors in four dimensions. ``floors`` are the deviations that every group is
-    granted, since many groups hardly vary in a statistic. Groups with fewer than
-    ``least`` documents take the estimates of their language, or of all."""
+    granted, since many groups hardly vary in a statistic; they leave each
+    statistic room to pass the cutoff alone, repeated words below the base rule's
+    limit too. Groups with fewer than ``least`` documents take the estimates of
+    their language, or of all."""
 
-    cutoff: float = 75.0
-    floors: tuple[float, ...] = (0.08, 0.25, 0.6, 0.6)
+    cutoff: float = 30.0
+    floors: tuple[float, ...] = (0.08, 0.25, 0.6, 0.5)
     steps: int = 4
     least: int = 50
 

@@ -519,6 +519,30 @@ def test_outliers_are_rejected_even_if_many(spark):
     assert kept == set(range(400))
 
 
+def test_each_statistic_alone_can_reject(spark):
+    """Junk of one kind each, under the base rules' limits, among clean texts; a
+    few of those have one line twice."""
+    rng = random.Random(20)
+    word = lambda low=2, high=8: "".join(rng.choices("abcdefghijklmnopqrst", k=rng.randint(low, high)))
+    line = lambda n, *size: " ".join(word(*size) for _ in range(n))
+    lines = lambda n: [line(rng.randint(10, 14)) for _ in range(n)]
+    clean = ["\n".join(lines(rng.randint(8, 16))) for _ in range(400)]
+    clean += ["\n".join([f"{(once := line(7))}", *lines(14), once]) for _ in range(20)]
+    phrase = lambda: line(13)
+    junk = {
+        "lines": ["\n".join(f"{line(9)}\nok" for _ in range(12)) for _ in range(20)],
+        "words": [f"{line(30)} {(p := phrase())} {line(30)} {p} {line(20)}" for _ in range(20)],
+        "symbols": ["\n".join(" ".join(f"{w}|" if i % 4 == 0 else w for i, w in enumerate(x.split())) for x in lines(10)) for _ in range(20)],
+        "length": ["\n".join(line(12, 6, 12) for _ in range(10)) for _ in range(20)],
+    }
+    texts = [("clean", x) for x in clean] + [(kind, x) for kind, found in junk.items() for x in found]
+    rows = [(i, x, "en", "s", 0) for i, (_, x) in enumerate(texts)]
+    found = dicts(outliers.judged(spark.createDataFrame(rows, SCHEMA)))
+    assert not any(r["base_failed"] for r in found)
+    rejected = collections.Counter(texts[r["doc_id"]][0] for r in found if not r["kept"])
+    assert rejected == dict.fromkeys(junk, 20)
+
+
 def test_estimate_ignores_what_is_far(spark):
     """The centre and spread of the estimate are those of the clean part."""
     rng = np.random.default_rng(3)
