@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltlake.llm import bitpack, byte_bpe, chunks, fingerprints, mixing, outliers, separators, sharding, simhash_dedup, url_filter
+from siltlake.llm import bitpack, byte_bpe, chunks, fingerprints, mixing, outliers, separators, sharding, simhash_dedup, spelling, url_filter
 from siltlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,10 +60,15 @@ def op10_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.shared_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_simhash_pivots, op2_pareto_mix, op3_simhash_fingerprints, op4_virtual_slots, op5_bloom_cascade,
         op6_bit_packing, op7_separator_scan, op8_robust_outliers, op9_byte_bpe, op10_gear_chunks,
+        op11_spelling_variants,
     )
 }
