@@ -45,8 +45,8 @@ TOGETHER = 256
 @dataclass(frozen=True)
 class Search:
     """``k`` nearest; ``success`` is the chance with which the tables together
-    should meet the k-th neighbour. ``sample`` vectors, those whose hashes are
-    smallest, tell how far that neighbour is and how wide cells are; all vectors
+    should meet the k-th neighbour. About ``sample`` vectors, chosen
+    by hash, tell how far that neighbour is and how wide cells are; all vectors
     are indexed."""
 
     k: int = 20
@@ -190,8 +190,12 @@ class Index:
 
 def plan(vectors: DataFrame, n: int, longest: float, size: int, kind: str, method: Search) -> Index:
     """Directions, borders and the cosine of the k-th neighbour, from a sample."""
-    sample = vectors.orderBy(F.xxhash64("v"), "v").select("v").limit(method.sample).collect()
-    data = _matrix([bytes(r.v) for r in sample], kind)
+    share = min(1, method.sample / n)
+    chosen = F.pmod(F.xxhash64("v"), F.lit(1 << 40)) <= int((1 << 40) * share)
+    sample = sorted(bytes(r.v) for r in vectors.select("v").filter(chosen).collect())
+    if not sample:  # very few vectors
+        sample = [bytes(r.v) for r in vectors.select("v").limit(method.sample).collect()]
+    data = _matrix(sample, kind)
     squares = (data * data).sum(axis=1)
     asking = data[:TOGETHER] * np.sqrt(longest / squares[:TOGETHER])[:, None]
     cosines = asking @ data.T / longest

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltlake.llm import bitpack, byte_bpe, chunks, fingerprints, mixing, neighbours, outliers, separators, sharding, simhash_dedup, spelling, url_filter
+from siltlake.llm import bitpack, byte_bpe, chunks, fingerprints, mixing, neighbours, outliers, phrases, separators, sharding, simhash_dedup, spelling, url_filter
 from siltlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
 
@@ -73,6 +77,6 @@ REGISTRY: dict[str, Query] = {
     for query in (
         op1_simhash_pivots, op2_pareto_mix, op3_simhash_fingerprints, op4_virtual_slots, op5_bloom_cascade,
         op6_bit_packing, op7_separator_scan, op8_robust_outliers, op9_byte_bpe, op10_gear_chunks,
-        op11_spelling_variants, op13_multiprobe_neighbours,
+        op11_spelling_variants, op12_phrase_automata, op13_multiprobe_neighbours,
     )
 }

@@ -262,13 +262,14 @@ class Plan:
 
 
 def plan(words: DataFrame, box_words: int = BOX_WORDS) -> Plan:
-    """Boxes for the stored ``words``, from a sample of bounded size: the words
-    whose hashes are smallest. It decides where words meet, not what is found."""
+    """Boxes for the stored ``words``, from some ``SAMPLE`` of them, chosen by hash.
+    They decide where words meet, not what is found."""
     sized = words.withColumn("size", F.length("word"))
     totals = {r["size"]: r["n"] for r in sized.groupBy("size").agg(F.count("*").alias("n")).filter(F.col("n") > box_words).collect()}
     n_words = words.count()
     sample = defaultdict(list)
-    for (word,) in words.orderBy(F.xxhash64("word"), "word").select("word").limit(SAMPLE).collect() if totals else []:
+    chosen = F.pmod(F.xxhash64("word"), F.lit(1 << 40)) <= int((1 << 40) * min(1, SAMPLE / max(n_words, 1)))
+    for (word,) in words.filter(chosen).select("word").collect() if totals else []:
         if len(word) in totals:
             sample[len(word)].append(bytes(word))
     scale = max(1.0, sum(totals.values()) / box_words / MOST_BOXES)

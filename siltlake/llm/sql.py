@@ -71,5 +71,52 @@ WITH rules(verdict, host, path) AS (VALUES
 )
 SELECT page_id, host, path, arg_max(rule, length(rule)) AS rule, coalesce(arg_max(verdict, length(rule)), 'allow') AS verdict
 FROM fits GROUP BY page_id, host, path
+""",
+    # Every phrase of up to three words, counted by grouping.
+    "op12_phrase_automata": r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts
+), split AS (
+  SELECT lang, row_number() OVER () AS place, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), words AS (
+  SELECT lang, place, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM split
+), runs AS (
+  SELECT lang, word AS w1, lead(word, 1) OVER onward AS w2, lead(word, 2) OVER onward AS w3
+  FROM words WINDOW onward AS (PARTITION BY place ORDER BY i)
+), grams AS (
+  SELECT lang, w1 AS phrase, 1 AS size FROM runs
+  UNION ALL SELECT lang, w1 || ' ' || w2, 2 FROM runs WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, 3 FROM runs WHERE w3 IS NOT NULL
+), f AS (
+  SELECT lang, phrase, size, string_split(phrase, ' ') AS w, count(*)::BIGINT AS f FROM grams GROUP BY lang, phrase, size
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, phrase, w, size, f AS a FROM f WHERE size > 1 AND f >= 10
+), cuts AS (
+  SELECT *, array_to_string(w[1:k], ' ') AS front, array_to_string(w[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+         ((1000000::HUGEINT * c.a::HUGEINT * c.a::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.front JOIN f y ON y.lang = c.lang AND y.phrase = c.rest
+), weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), covering AS (
+  SELECT lang, part, max(a) AS longer
+  FROM (SELECT lang, array_to_string(w[1:2], ' ') AS part, a FROM candidates WHERE size = 3
+        UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM candidates WHERE size = 3)
+  GROUP BY lang, part
+), ranked AS (
+  SELECT s.lang, s.phrase, s.a, s.l, s.r, s.score,
+         row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank
+  FROM weakest s LEFT JOIN covering c ON c.lang = s.lang AND c.part = s.phrase
+  WHERE c.longer IS NULL OR 100 * c.longer < 50 * s.a
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """,
 }
