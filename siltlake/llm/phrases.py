@@ -34,7 +34,7 @@ _PLAIN = bytes(c + 32 if 65 <= c <= 90 else 10 if c in _ENDS else 32 if c == 9 e
 
 # Bytes of a text cut into words at once, words counted together, different words
 # among them, and phrases (before they are united) to a range.
-SLICE, BLOCK, DIFFERENT, RANGE = 1 << 20, 1 << 22, 1_500_000, 3_000_000
+SLICE, BLOCK, DIFFERENT, RANGE = 1 << 20, 1 << 21, 1_500_000, 3_000_000
 # Ranges at most, and how the sample that cuts them is drawn: bytes of text, in
 # windows of so many characters, and phrases kept for each range.
 MOST_RANGES, SAMPLE_BYTES, WINDOW, PER_RANGE = 65_536, 1 << 25, 4096, 32
@@ -389,7 +389,7 @@ def collocations(docs: DataFrame, method: Mining = Mining()) -> DataFrame:
 
     totals = counted.groupBy(F.col("lang").cast("string").alias("lang")).agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase"))
-    best = free.withColumn("rank", rank.cast("bigint")).filter(F.col("rank") <= method.top)
+    best = free.withColumn("rank", rank).filter(F.col("rank") <= method.top)
     return best.join(totals, "lang").select(
-        "lang", "rank", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score")
+        "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score")
     )
