@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltlake.operators.latest import least_row
@@ -44,9 +44,15 @@ def once(frame: DataFrame, identity: Sequence[str], delay: str | None) -> DataFr
     """Rows of a stream whose ``identity`` did not arrive within ``delay`` before.
 
     The clock is that of arrival, so no row is late and none is lost; without a
-    delay all rows pass.
+    delay all rows pass. State holds a digest of 128 bits for each row, whatever
+    the identity is made of.
     """
     if delay is None:
         return frame
-    arrived = frame.withColumn("_arrived", F.current_timestamp())
-    return dedup_stream(arrived, "_arrived", delay, identity).drop("_arrived")
+    arrived = frame.withColumns({"_arrived": F.current_timestamp(), "_digest": digest(identity)})
+    return dedup_stream(arrived, "_arrived", delay, ["_digest"]).drop("_arrived", "_digest")
+
+
+def digest(columns: Sequence[str]) -> Column:
+    """128 bits for the values of the columns; NULL is a value of its own."""
+    return F.unhex(F.md5(F.to_json(F.struct(*columns))))

@@ -1,8 +1,6 @@
 """Keyed merge of changes into the current state of a table.
 
-Both sides are joined once, on bucket and key. A caller who knows that a change
-set is small in memory may have it broadcast: the target is then not shuffled,
-and the new keys come from an id-only second look. Both forms give the same rows.
+Both sides are joined once, on bucket and key.
 """
 
 from __future__ import annotations
@@ -12,6 +10,8 @@ from pyspark.sql import functions as F
 
 from siltlake.functions.classes import is_active
 from siltlake.operators.latest import latest_per_key
+from siltlake.operators.partial import merge_partial, prepare_partial
+from siltlake.sources.drift import with_promoted
 from siltlake.spec import ARRIVAL, AUDIT, BUCKET, POSITION, TableSpec
 
 SOFT, HARD = "soft", "hard"
@@ -22,11 +22,14 @@ def prepare_changes(changes: DataFrame, spec: TableSpec, run_ts: Column) -> Data
     """Reduce changes to one silver row per key, derived columns added.
 
     Rows without a key cannot be merged; they stay in bronze and are counted
-    by the quality gate.
+    by the quality gate. Images of a source that leaves values out are reduced
+    column by column.
     """
-    keyed = changes.filter(F.col(spec.key).isNotNull())
+    keyed = with_promoted(changes, spec).filter(F.col(spec.key).isNotNull())
     if POSITION not in keyed.columns:
         keyed = keyed.withColumn(POSITION, F.lit(None).cast("bigint"))
+    if spec.placeholder is not None:
+        return prepare_partial(keyed, spec, run_ts)
     kept = [*spec.business, "created_at", "updated_at", "op", "ts_ms", ARRIVAL, POSITION]
     latest = latest_per_key(keyed.select(kept), spec.key)
     silver = latest.withColumns(
@@ -57,7 +60,6 @@ def merge_latest(
     spec: TableSpec,
     delete_mode: str = SOFT,
     late_delete: str = LATE_WINS,
-    broadcast_changes: bool = False,
 ) -> DataFrame:
     """Merge prepared changes, one per key, into silver rows.
 
@@ -68,19 +70,18 @@ def merge_latest(
 
     Hard mode has no time guard: a delete removes the row, another known
     operation replaces it, and a delete of an unknown key inserts nothing.
+
+    Where values may have been left out, rows are merged column by column, in an
+    order that no split of the changes alters; that has no hard mode.
     """
+    if spec.placeholder is not None:
+        if delete_mode == HARD:
+            raise ValueError(f"{spec.name} has partial images: a row that was removed could not be completed later")
+        return merge_partial(target, latest, spec)
     key = spec.key
     old, new = target.alias("t"), latest.alias("s")
-    same_key = F.col(f"t.{key}") == F.col(f"s.{key}")
-    if not broadcast_changes:
-        same = same_key & (F.col(f"t.{BUCKET}") == F.col(f"s.{BUCKET}"))
-        return _resolve(old.join(new, same, "full_outer"), spec, delete_mode, late_delete)
-    kept = _resolve(old.join(F.broadcast(new), same_key, "left"), spec, delete_mode, late_delete)
-    known = target.select(key).join(F.broadcast(latest.select(key)), key, "left_semi")
-    inserted = latest.join(known, key, "left_anti")
-    if delete_mode == HARD:
-        inserted = inserted.filter(~F.col("op").eqNullSafe(F.lit("d")))
-    return kept.unionByName(inserted)
+    same = (F.col(f"t.{key}") == F.col(f"s.{key}")) & (F.col(f"t.{BUCKET}") == F.col(f"s.{BUCKET}"))
+    return _resolve(old.join(new, same, "full_outer"), spec, delete_mode, late_delete)
 
 
 def newer_sql(spec: TableSpec, late_delete: str = LATE_WINS) -> str:

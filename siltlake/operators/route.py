@@ -39,5 +39,10 @@ def as_messages(routed: DataFrame) -> DataFrame:
 
 def row_json(columns: list[str]) -> Column:
     """The given columns as one JSON object; NULL fields are left out, row
-    images stay the objects they are."""
-    return F.to_json(F.struct(*[F.parse_json(c).alias(c) if c in IMAGES else F.col(c) for c in columns]))
+    images stay the objects they are. An image that is no proper JSON (bare text,
+    a key twice) stays the text it came as."""
+    return F.to_json(F.struct(*[_image(c).alias(c) if c in IMAGES else F.col(c) for c in columns]))
+
+
+def _image(name: str) -> Column:
+    return F.coalesce(F.try_parse_json(name), F.col(name).cast("variant"))

@@ -113,7 +113,14 @@ def product_analytics(
     products: DataFrame, orders: DataFrame, refreshed: Column, bounds=classes.PRODUCT_CLASSES
 ) -> DataFrame:
     """One row per active product with order totals and performance class."""
-    stats = product_order_stats(active(orders)).withColumnRenamed("product_id", "_product")
+    return product_analytics_from(products, product_order_stats(active(orders)), refreshed, bounds)
+
+
+def product_analytics_from(
+    products: DataFrame, totals: DataFrame, refreshed: Column, bounds=classes.PRODUCT_CLASSES
+) -> DataFrame:
+    """``product_analytics`` from ``product_order_stats`` of active orders."""
+    stats = totals.withColumnRenamed("product_id", "_product")
     revenue = _or_zero("total_revenue", 0.0)
     joined = active(products).join(stats, F.col("id") == F.col("_product"), "left")
     return joined.select(

@@ -331,8 +331,8 @@ SELECT id, op, ts_ms, min(arrived_ms) AS arrived_ms FROM twice GROUP BY id, op,
     "raw_archive_counts": f"""WITH {CHANGES}, x AS (SELECT make_timestamp(ts_ms * 1000) AS t, op FROM ch)
 SELECT strftime(t, '%Y') AS year, strftime(t, '%m') AS month, strftime(t, '%d') AS day,
        count(*) AS cnt, count(*) FILTER (op = 'd') AS deletes FROM x GROUP BY 1, 2, 3""",
-    "compaction_preserves_rows": ALL_CHANGES,
-    "time_travel_read": f"WITH {CHANGES} SELECT {SILVER} FROM {latest('late = 0')}",
+    "bronze_export_days": ALL_CHANGES,
+    "silver_state_at": f"WITH {CHANGES} SELECT {SILVER} FROM {latest('late = 0')}",
     "stream_source_replay": f"""WITH {MESSAGES}
 SELECT 'cdc.' || source_table AS topic, CAST(user_id % 8 AS INTEGER) AS "partition", event_id AS "offset" FROM msg""",
     "stream_parse_equals_batch": f"""WITH {MESSAGES}
@@ -345,4 +345,54 @@ SELECT 'cdc.' || source_table AS topic, event_id AS "offset", operation, ts_ms A
     "stream_merge_equals_batch": f"WITH {ORDERS} SELECT {SILVER} FROM silver_orders",
     "route_events": ROUTES,
     "route_events_batch": ROUTES,
+    "enrich_as_of": f"""WITH {CHANGES},
+acts AS (SELECT * FROM ch WHERE status IN ('click', 'purchase')),
+known AS (
+  SELECT user_id, ts_ms, arg_max(status, _position) AS status, arg_max(total_amount, _position) AS total_amount,
+         arg_max(op, _position) AS op
+  FROM ch WHERE status NOT IN ('click', 'purchase') GROUP BY user_id, ts_ms)
+SELECT a._position, a.id, a.user_id, a.ts_ms, CASE WHEN k.op <> 'd' THEN k.status END AS user_status,
+       CASE WHEN k.op <> 'd' THEN k.total_amount END AS user_total_amount
+FROM acts a ASOF LEFT JOIN known k ON a.user_id = k.user_id AND a.ts_ms >= k.ts_ms""",
+    "silver_partial_images": f"""WITH {CHANGES},
+placed AS (SELECT *, ts_ms::HUGEINT * 10000000000 + _position AS place FROM ch),
+merged AS (
+  SELECT id, arg_max(user_id, place) AS user_id, arg_max(product_id, place) FILTER (_position % 3 <> 2) AS product_id,
+         arg_max(quantity, place) AS quantity, arg_max(total_amount, place) FILTER (_position % 3 <> 0) AS total_amount,
+         arg_max(status, place) FILTER (_position % 3 <> 1) AS status, arg_max(created_at, place) AS created_at,
+         arg_max(updated_at, place) AS updated_at, arg_max(op, place) AS op, arg_max(ts_ms, place) AS ts_ms,
+         arg_max(_position, place) AS _position
+  FROM placed GROUP BY id)
+SELECT *, {TIER} AS order_value_category, op <> 'd' AS is_active FROM merged""",
+    "drift_capture": f"""WITH {CHANGES}
+SELECT {BRONZE}, CASE WHEN _position % 3 > 0 THEN upper(status) END AS channel,
+       CASE _position % 3 WHEN 1 THEN product_id::DOUBLE WHEN 2 THEN product_id + 0.5::DOUBLE END AS score,
+       CASE WHEN _position % 3 = 1 THEN product_id > 5 END AS flag,
+       CASE _position % 3 WHEN 1 THEN product_id::VARCHAR WHEN 2 THEN '{{"k":' || product_id || '}}' END AS note,
+       CASE _position % 3 WHEN 1 THEN 'channel,flag,note,score'
+                          WHEN 2 THEN 'channel,note,' || CASE WHEN _position % 3000 = 2 THEN 'rare,' ELSE '' END || 'score'
+       END AS kept
+FROM ch""",
+    "gold_consistent_cut": f"""WITH {CHANGES},
+ends AS (SELECT 0 AS phase, max(_position) AS cut FROM ch WHERE _position < (SELECT count(*) FROM ch) // 2
+         UNION ALL SELECT 1, max(_position) + 1 FROM ch),
+log AS (SELECT e.phase, c.* FROM ch c, ends e WHERE c._position < e.cut),
+users AS (SELECT phase, user_id AS id, 'seen-' || arg_max(_position, ts_ms::HUGEINT * 10000000000 + _position) AS name
+          FROM log GROUP BY phase, user_id),
+orders AS (SELECT phase, id, arg_max(user_id, ts_ms::HUGEINT * 10000000000 + _position) AS user_id,
+                  arg_max(total_amount, ts_ms::HUGEINT * 10000000000 + _position) AS total_amount
+           FROM log GROUP BY phase, id)
+SELECT CAST(u.phase AS INTEGER) AS phase, u.id, u.name, count(o.id) AS total_orders,
+       {MONEY.replace('total_amount', 'o.total_amount')} AS lifetime_value,
+       CASE WHEN SUM(CAST(o.total_amount AS DECIMAL(18,2))) > 10000 THEN 'VIP'
+            WHEN SUM(CAST(o.total_amount AS DECIMAL(18,2))) > 1000 THEN 'Gold' ELSE 'Silver' END AS segment
+FROM users u LEFT JOIN orders o ON o.phase = u.phase AND o.user_id = u.id GROUP BY u.phase, u.id, u.name""",
+    "gold_incremental_equals_full": f"""WITH {ORDERS}, {DAILY}, {PRODUCT_STATS}, {USER_STATS},
+every_order AS (SELECT user_id, count(*) AS n FROM silver_orders GROUP BY user_id)
+SELECT 'day' AS kind, d.date_key AS key, d.total_orders, d.total_revenue, d.unique_customers, d.avg_order_value,
+       coalesce(b.top_product, 0) AS top_product
+FROM daily d LEFT JOIN best b USING (date_key)
+UNION ALL SELECT 'product', product_id::VARCHAR, total_orders, total_revenue, unique_customers, NULL, NULL FROM product_totals
+UNION ALL SELECT 'user', user_id::VARCHAR, total_orders, total_spent, n, avg_order_value, NULL
+FROM user_totals JOIN every_order USING (user_id)""",
 }

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from siltlake.functions import classes, values
 from siltlake.operators import audit, quality
+from siltlake.operators.as_of import enrich_as_of as join_as_of
 from siltlake.operators.dedup import dedup_changes
 from siltlake.operators.diff import snapshot_diff
 from siltlake.operators.enrich import enrich, enrich_table
@@ -22,13 +23,14 @@ from siltlake.operators.latest import latest_per_key, top_product_per_day
 from siltlake.operators.merge import HARD, LATE_IGNORED, SOFT, merge_changes, prepare_changes
 from siltlake.operators.route import TABLE_ROUTES, as_messages, route
 from siltlake.plans import feeds, gold
+from siltlake.plans.incremental import OrderMarts
 from siltlake.plans.lake import Lake
 from siltlake.plans.layers import append_bronze, export_days, merge_new_bronze, state_at, upsert_silver
-from siltlake.plans.runs import run_gold
+from siltlake.plans.runs import run_gold, run_silver, run_silver_to_cut
 from siltlake.session import scratch_path
-from siltlake.sources import flat
+from siltlake.sources import drift, flat
 from siltlake.sources.envelope import parse_envelopes, unclaimed
-from siltlake.spec import ARRIVAL, AUDIT, BUCKET, CORRUPT, DAY, ORDERS, POSITION, PRODUCTS, USERS, TableSpec
+from siltlake.spec import ARRIVAL, AUDIT, BUCKET, CELLS, CORRUPT, DAY, ORDERS, POSITION, PRODUCTS, REST, USERS, TableSpec
 from siltlake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -350,6 +352,18 @@ def enrich_changelog(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select(POSITION, "id", "user_id", "current_name", "current_department")
 
 
+@register
+def enrich_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks and purchases with what their user had last done at that time."""
+    changes = _changes(spark, sf)
+    acts = F.col("status").isin("click", "purchase")
+    history = changes.filter(~acts).select("user_id", "status", "total_amount", "op", "ts_ms", POSITION)
+    joined = join_as_of(
+        changes.filter(acts), history, F.col("user_id"), F.col("ts_ms"), ["status", "total_amount"], "user_", "user_id"
+    )
+    return joined.select(POSITION, "id", "user_id", "ts_ms", "user_status", "user_total_amount")
+
+
 # -- aggregates and marts ----------------------------------------------------
 
 
@@ -571,7 +585,7 @@ def raw_archive_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register
-def compaction_preserves_rows(spark: SparkSession, sf: str) -> DataFrame:
+def bronze_export_days(spark: SparkSession, sf: str) -> DataFrame:
     """Two batches, written once more by day."""
     changes = feeds.order_changes(spark, sf)
     table, path = _lake(spark).bronze(ORDERS), scratch_path(spark, "days")
@@ -582,7 +596,7 @@ def compaction_preserves_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register
-def time_travel_read(spark: SparkSession, sf: str) -> DataFrame:
+def silver_state_at(spark: SparkSession, sf: str) -> DataFrame:
     """Silver as it was after the first of two batches, from the history."""
     changes = feeds.order_changes(spark, sf)
     table = _lake(spark).bronze(ORDERS)
@@ -612,6 +626,121 @@ def silver_from_bronze(spark: SparkSession, sf: str) -> DataFrame:
     return _silver_rows(lake.silver(ORDERS).read())
 
 
+# Fixed value: what stands for a value that the source left out.
+LEFT_OUT = "__unchanged_value"
+
+
+@register
+def silver_partial_images(spark: SparkSession, sf: str) -> DataFrame:
+    """Order changes of which every third amount, status and product was left
+    out, merged in two late batches, the later one first."""
+    spec = ORDERS.with_options(placeholder=LEFT_OUT)
+    gaps = {"total_amount": 0, "status": 1, "product_id": 2}
+
+    def sent(name: str) -> Column:
+        text = F.col(name).cast("string")
+        return F.when(F.col(POSITION) % 3 == gaps[name], F.lit(LEFT_OUT)).otherwise(text) if name in gaps else text
+
+    source = F.to_json(F.struct(F.col(POSITION).alias("lsn"))).alias(flat.SOURCE)
+    changes = feeds.order_changes(spark, sf)
+    records = flat.rename_wire_columns(changes.select(*[sent(n).alias(n) for n, _ in ORDERS.landing_columns], source, "late"))
+    table = _lake(spark).silver(spec)
+    for number in (1, 0):
+        batch = flat.normalise(records.filter(F.col("late") == number), spec, _run_ts())
+        upsert_silver(table, batch, spec, _run_ts())
+    return _silver_rows(table.read()).drop(CELLS)
+
+
+@register
+def drift_capture(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of three kinds: as declared, with whole scores, with fractions, nested
+    notes and a rare field. Fields that are frequent become columns."""
+    lake, checkpoint, path = _lake(spark), scratch_path(spark, "checkpoint"), scratch_path(spark, "raw")
+    spec = ORDERS.with_options(capture=True)
+    changes = feeds.order_changes(spark, sf)
+    kind, k = F.col(POSITION) % 3, F.col("product_id")
+    extra = {
+        0: [],
+        1: [F.upper("status").alias("channel"), k.alias("score"), (k > 5).alias("flag"), k.alias("note")],
+        2: [
+            F.upper("status").alias("channel"),
+            (k + 0.5).alias("score"),
+            F.struct(k.alias("k")).alias("note"),
+            F.when(F.col(POSITION) % 3000 == 2, k).alias("rare"),
+        ],
+    }
+    plain = [F.col(name) for name, _ in ORDERS.landing_columns]
+    for number, columns in extra.items():
+        rows = changes.filter(kind == number).select(*plain, *columns)
+        flat.rename_wire_columns(rows).withColumnsRenamed({"op": "__op", "ts_ms": "__ts_ms"}).write.mode("append").json(path)
+        jobs.ingest_bronze(lake, spec, path, checkpoint).awaitTermination()
+    history = lake.bronze(spec).read()
+    wider = drift.promote(spec, drift.profile(history), lake.bronze(spec).counts()[0], drift.Promotion(least_share=0.1))
+    rows = drift.with_promoted(history, wider)
+    names = [name for name, _ in (*ORDERS.landing_columns, *wider.promoted)]
+    return rows.select(*names, F.array_join(F.array_sort(F.map_keys(REST)), ",").alias("kept"))
+
+
+def _shared_log(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Each event as a transaction that changes a user and an order."""
+    changes = feeds.order_changes(spark, sf)
+    users = changes.select(
+        F.col("user_id").alias("id"),
+        F.concat(F.lit("seen-"), POSITION).alias("name"),
+        F.concat(F.lit("u@"), "status").alias("email"),
+        *["created_at", "updated_at", F.lit("u").alias("op"), "ts_ms", ARRIVAL, POSITION, CORRUPT],
+    )
+    return {"users": users, "orders": changes.drop("in_order", "late")}
+
+
+@register
+def gold_consistent_cut(spark: SparkSession, sf: str) -> DataFrame:
+    """Marts while the intake of users is behind that of orders, and after it has
+    caught up; positions are shared, so each mart sees whole transactions."""
+    lake, log = _lake(spark), _shared_log(spark, sf)
+    specs = [USERS, ORDERS]
+    n = log["orders"].count()
+    bounds = {"users": [(0, n // 2), (n // 2, n)], "orders": [(0, n * 3 // 4), (n * 3 // 4, n)]}
+    parts = []
+    for phase in (0, 1):
+        for spec in specs:
+            low, high = bounds[spec.name][phase]
+            rows = log[spec.name].filter((F.col(POSITION) >= low) & (F.col(POSITION) < high))
+            append_bronze(lake.bronze(spec), rows, "s", phase)
+        run_silver_to_cut(lake, specs, late_delete=LATE_IGNORED)
+        if phase:  # the source has nothing after the last position
+            run_silver(lake, specs, late_delete=LATE_IGNORED)
+        users, orders = (lake.silver(spec).read() for spec in specs)
+        stats = gold.user_stats(users, orders).withColumn("phase", F.lit(phase))
+        path = scratch_path(spark, "cut")
+        stats.write.parquet(path)
+        parts.append(spark.read.schema(stats.schema).parquet(path))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register
+def gold_incremental_equals_full(spark: SparkSession, sf: str) -> DataFrame:
+    """Ten batches of orders, with late ones and deletes, merged one after the other;
+    totals take the deltas of each."""
+    lake = _lake(spark)
+    spec = ORDERS.with_options(buckets=4)
+    marts, changes = OrderMarts(lake, spec), _changes(spark, sf)
+    batch = F.pmod(F.xxhash64(POSITION), F.lit(10))
+    for number in range(10):
+        upsert_silver(lake.silver(spec), changes.filter(batch == number), spec, _run_ts(), late_delete=LATE_IGNORED)
+        marts.update()
+    text = lambda name: F.col(name).cast("string").alias("key")
+    value = ["total_orders", "total_revenue", "unique_customers"]
+    days = marts.sales_summary(_run_ts()).select(F.lit("day").alias("kind"), text("date_key"), *value, "avg_order_value", "top_product")
+    nothing = [F.lit(None).cast("double").alias("avg_order_value"), F.lit(None).cast("bigint").alias("top_product")]
+    products = marts.product_stats().select(F.lit("product").alias("kind"), text("product_id"), *value, *nothing)
+    users = marts.user_totals().filter("total_orders > 0").select(
+        F.lit("user").alias("kind"), text("user_id"), "total_orders", F.col("total_spent").alias("total_revenue"),
+        F.col("all_orders").alias("unique_customers"), "avg_order_value", F.lit(None).cast("bigint").alias("top_product"),
+    )
+    return days.unionByName(products).unionByName(users)
+
+
 # -- streams ---------------------------------------------------------------------
 
 

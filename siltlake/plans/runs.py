@@ -75,17 +75,58 @@ def run_cdc(
     return _finish(lake, specs, errors)
 
 
+def low_watermark(
+    lake: Lake, specs: Iterable[TableSpec] = tuple(SPECS.values()), heartbeats: Mapping[str, int] | None = None
+) -> int | None:
+    """The position below which every table has all its changes; None while a
+    table has no position.
+
+    Tables of one source share its log, and each intake follows it in order. A
+    table is complete below the highest position it has seen; at that position
+    itself more rows of the same transaction may come. ``heartbeats`` has, for
+    tables that are idle, positions up to which the source says that nothing is
+    missing.
+    """
+    bounds = []
+    for spec in specs:
+        bronze = lake.bronze(spec)
+        seen = bronze.position() if bronze.exists() else None
+        known = [seen] if seen is not None else []
+        if spec.name in (heartbeats or {}):
+            known.append(heartbeats[spec.name] + 1)
+        bounds.append(max(known, default=None))
+    return min(bounds) if bounds and None not in bounds else None
+
+
+def run_silver_to_cut(
+    lake: Lake,
+    specs: Iterable[TableSpec] = tuple(SPECS.values()),
+    late_delete: str = "win",
+    heartbeats: Mapping[str, int] | None = None,
+) -> int | None:
+    """Merge into all tables what lies below their common watermark, which is
+    returned, and hold the rest back: marts of several tables then see one state of
+    the source. Positions have to be those of commits, so that all changes of a
+    transaction have one. Without a watermark nothing is merged."""
+    specs = list(specs)
+    cut = low_watermark(lake, specs, heartbeats)
+    if cut is not None:
+        run_silver(lake, specs, late_delete, cut)
+    return cut
+
+
 def run_silver(
-    lake: Lake, specs: Iterable[TableSpec] = tuple(SPECS.values()), late_delete: str = "win"
+    lake: Lake, specs: Iterable[TableSpec] = tuple(SPECS.values()), late_delete: str = "win", cut: int | None = None
 ) -> dict[str, str | None]:
     """Merge the bronze rows that arrived since the last time, for intakes that
-    write bronze only; tables and errors are treated as in ``run_cdc``."""
+    write bronze only, up to a position if ``cut`` names one; tables and errors are
+    treated as in ``run_cdc``."""
     specs = list(specs)
     _, run_ts = run_instant()
 
     def merge(spec: TableSpec) -> str | None:
         bronze, silver = lake.bronze(spec), lake.silver(spec)
-        return _outcome(lambda: merge_new_bronze(bronze, silver, spec, run_ts, late_delete=late_delete))
+        return _outcome(lambda: merge_new_bronze(bronze, silver, spec, run_ts, late_delete=late_delete, cut=cut))
 
     inherit = inheritable_thread_target(lake.spark)
     with ThreadPoolExecutor(max(len(specs), 1)) as pool:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from siltlake.functions.classes import is_delete, routing_key
 from siltlake.functions.values import typed
+from siltlake.sources.drift import undeclared
+from siltlake.sources.flat import kept_aside
 from siltlake.spec import ARRIVAL, CORRUPT, POSITION, TableSpec
 
 
@@ -93,9 +95,14 @@ def table_changes(events: DataFrame, spec: TableSpec) -> DataFrame:
     The row image is ``after``, or ``before`` for a delete. The topic offset
     becomes the position that breaks ties between equal source times.
     """
-    fields = [f"`{name}` STRING" for name, _ in spec.landing_columns if name not in ("op", "ts_ms")]
-    image = F.from_json(F.coalesce("after_state", "before_state"), ", ".join(fields))
+    names = [name for name, _ in spec.landing_columns if name not in ("op", "ts_ms")]
+    text = F.coalesce("after_state", "before_state")
+    image = F.from_json(text, ", ".join(f"`{name}` STRING" for name in names))
     rows = events.filter(F.col("source_table") == spec.name).withColumn("_image", F.explode(F.array(image)))
+    sent = {name: F.col(f"_image.{name}") for name in names}
+    aside = kept_aside(spec, sent, undeclared(text, names) if spec.capture else None)
+    if spec.placeholder is not None:
+        sent = {name: F.nullif(value, F.lit(spec.placeholder)) for name, value in sent.items()}
     columns = []
     for name, kind in spec.landing_columns:
         if name == "op":
@@ -103,9 +110,9 @@ def table_changes(events: DataFrame, spec: TableSpec) -> DataFrame:
         elif name == "ts_ms":
             columns.append(F.col("source_timestamp").alias("ts_ms"))
         else:
-            columns.append(typed(F.col(f"_image.{name}"), kind).alias(name))
+            columns.append(typed(sent[name], kind).alias(name))
     return rows.select(
-        *columns, ARRIVAL, F.col("offset").cast("bigint").alias(POSITION), F.col(CORRUPT)
+        *columns, ARRIVAL, F.col("offset").cast("bigint").alias(POSITION), F.col(CORRUPT), *aside
     )
 
 

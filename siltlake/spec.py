@@ -12,11 +12,13 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     BooleanType,
     DataType,
     DoubleType,
     IntegerType,
     LongType,
+    MapType,
     StringType,
     StructField,
     StructType,
@@ -32,6 +34,8 @@ TYPES: dict[str, DataType] = {
     "string": StringType(),
     "boolean": BooleanType(),
     "timestamp": TimestampType(),
+    "array<string>": ArrayType(StringType()),
+    "map<string,string>": MapType(StringType(), StringType()),
 }
 
 # Columns every change carries besides the business columns.
@@ -42,6 +46,12 @@ CORRUPT = "_corrupt_record"
 AUDIT = "_audit_updated_at"
 DAY = "processed_day"
 BUCKET = "key_bucket"
+# Columns that a change record left out, undeclared fields, and which change set each column.
+UNSENT = "_unsent"
+REST = "_rest"
+CELLS = "_cells"
+# Whether a row was taken out (-1) or put in (1).
+SIGN = "_sign"
 # The batch of a stream that brought a bronze row; folders in the Parquet store.
 STREAM = "_stream"
 BATCH = "_batch"
@@ -69,10 +79,20 @@ class TableSpec:
     position_path: str = "$.lsn"
     epoch_unit: str = "ms"
     foreign_keys: dict[str, str] = field(default_factory=dict)
+    # What the source sends in the place of a value that it leaves out.
+    placeholder: str | None = None
+    # Whether the intake keeps undeclared fields, and those that became columns.
+    capture: bool = False
+    promoted: tuple[tuple[str, str], ...] = ()
 
     @property
     def business(self) -> list[str]:
-        return [name for name, _ in self.fields]
+        return [name for name, _ in (*self.fields, *self.promoted)]
+
+    @property
+    def cell_columns(self) -> list[str]:
+        """Columns that partial images set one by one."""
+        return [*[name for name in self.business if name != self.key], "created_at", "updated_at"]
 
     @property
     def landing_columns(self) -> list[tuple[str, str]]:
@@ -80,12 +100,14 @@ class TableSpec:
 
     @property
     def bronze_columns(self) -> list[tuple[str, str]]:
-        return [*self.landing_columns, (ARRIVAL, "timestamp"), (POSITION, "bigint"), (CORRUPT, "string")]
+        more = [(UNSENT, "array<string>")] * (self.placeholder is not None) + [(REST, "map<string,string>")] * self.capture
+        return [*self.landing_columns, (ARRIVAL, "timestamp"), (POSITION, "bigint"), (CORRUPT, "string"), *more]
 
     @property
     def silver_columns(self) -> list[tuple[str, str]]:
         return [
             *self.fields,
+            *self.promoted,
             ("created_at", "bigint"),
             ("updated_at", "bigint"),
             *[(d.name, d.type_name) for d in self.derived],
@@ -95,8 +117,13 @@ class TableSpec:
             (ARRIVAL, "timestamp"),
             (POSITION, "bigint"),
             (AUDIT, "timestamp"),
+            *([(CELLS, self._cells_type())] if self.placeholder is not None else []),
         ]
 
+    def _cells_type(self) -> DataType:
+        order = schema_of([("ts_ms", "bigint"), (POSITION, "bigint"), ("deletes", "boolean")])
+        return StructType([StructField(name, order, True) for name in self.cell_columns])
+
     def bronze_schema(self) -> StructType:
         return schema_of([*self.bronze_columns, (DAY, "string")])
 
@@ -117,8 +144,8 @@ class TableSpec:
         return replace(self, **changes)
 
 
-def schema_of(columns: list[tuple[str, str]]) -> StructType:
-    return StructType([StructField(name, TYPES[kind], True) for name, kind in columns])
+def schema_of(columns: list[tuple[str, str | DataType]]) -> StructType:
+    return StructType([StructField(name, TYPES.get(kind, kind) if isinstance(kind, str) else kind, True) for name, kind in columns])
 
 
 def _email_domain() -> Column:

@@ -166,6 +166,9 @@ class CatalogTable:
 
     # -- state --------------------------------------------------------------
 
+    def held(self) -> dict:
+        return {}
+
     def marks(self) -> dict[str, int]:
         """Of a history the last batch of each stream; of a state what was merged."""
         if not self.exists():
@@ -189,7 +192,12 @@ class CatalogTable:
         delete_mode: str = SOFT,
         late_delete: str = LATE_WINS,
         marks: Mapping[str, int] | None = None,
+        held: dict | None = None,
     ) -> int:
+        if held is not None:
+            raise ValueError("changes are not held back from tables of a catalog")
+        if spec.placeholder is not None:
+            raise ValueError(f"{spec.name} has partial images: derived columns are not computed in the catalog's MERGE")
         self._create()
         view = f"changes_{spec.name}_{uuid.uuid4().hex}"
         latest.drop(BUCKET).createOrReplaceTempView(view)

@@ -12,7 +12,7 @@ are not kept. Where tables need more, use a catalog (``tables/catalog.py``).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,7 +21,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from siltlake.operators.merge import LATE_WINS, SOFT, merge_latest
 from siltlake.session import fork_session, scratch_path, sized_session
-from siltlake.spec import BATCH, BUCKET, STREAM, TableSpec
+from siltlake.spec import BATCH, BUCKET, POSITION, SIGN, STREAM, TableSpec
 from siltlake.tables.files import Files
 
 # The stream of rows that are appended by hand, one batch after the other.
@@ -54,8 +54,9 @@ class ParquetHistory:
         return f"{self.path}/{STREAM}={stream}/{BATCH}={batch}"
 
     def _state(self) -> dict:
-        """The schema, and for each stream its last batch and how many rows it
-        and those before it have: no work grows with the number of batches."""
+        """The schema, and for each stream its last batch, how many rows it and
+        those before it have, and the highest position: no work grows with the
+        number of batches."""
         found = self._files.read_json(f"{self.path}/_state.json")
         return found or {"schema": self.declared_schema.jsonValue(), "streams": {}}
 
@@ -67,11 +68,16 @@ class ParquetHistory:
 
     def marks(self) -> dict[str, int]:
         """The last batch of each stream."""
-        return {stream: last for stream, (last, _, _) in self._state()["streams"].items()}
+        return {stream: entry[0] for stream, entry in self._state()["streams"].items()}
+
+    def position(self) -> int | None:
+        """The highest position in the source's log that any row has."""
+        found = [entry[3] for entry in self._state()["streams"].values() if len(entry) > 3 and entry[3] is not None]
+        return max(found, default=None)
 
     def counts(self) -> tuple[int, int | None]:
         """Rows, as counted when they were written; histories have no active ones."""
-        return sum(rows + before for _, rows, before in self._state()["streams"].values()), None
+        return sum(entry[1] + entry[2] for entry in self._state()["streams"].values()), None
 
     def append(self, df: DataFrame, stream: str | None = None, batch: int | None = None) -> int:
         """Write a batch of a stream, in the place of an earlier try; returns its
@@ -79,27 +85,31 @@ class ParquetHistory:
         state = self._state()
         if stream is None:
             stream, batch = BY_HAND, state["streams"].get(BY_HAND, [-1])[0] + 1
-        last, last_rows, before = state["streams"].get(stream, [-1, 0, 0])
+        last, last_rows, before, highest = [*state["streams"].get(stream, [-1, 0, 0]), None][:4]
         schema = widen(StructType.fromJson(state["schema"]), df.schema)
         seen = Observation()
-        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        position = F.max(POSITION) if POSITION in df.columns else F.max(F.lit(None).cast("bigint"))
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows"), position.alias("position")).write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(self.partition_by)
         writer.parquet(self._folder(stream, batch))
-        rows = seen.get["rows"]
+        rows, position = seen.get["rows"], seen.get["position"]
         if batch > last:
             before += last_rows
-        state["streams"][stream] = [batch, rows, before]
+        known = [p for p in (highest, position) if p is not None]
+        state["streams"][stream] = [batch, rows, before, max(known, default=None)]
         state["schema"] = schema.jsonValue()
         self._files.write_json(f"{self.path}/_state.json", state)
         return rows
 
     def has_applied(self, stream: str, batch: int) -> bool:
-        return self._files.exists(f"{self._folder(stream, batch)}/_SUCCESS")
+        """Whether the batch counts: its rows alone, left by a writer that died
+        before it noted them, do not, and are overwritten by the next try."""
+        return self.marks().get(stream, -1) >= batch
 
     def read(self) -> DataFrame:
-        """All rows; filters on the partition column prune folders."""
-        return self._all().drop(STREAM, BATCH)
+        """All rows that count; filters on the partition column prune folders."""
+        return self.read_since({})
 
     def read_batch(self, stream: str, batch: int) -> DataFrame:
         """The rows of one batch, in a session whose shuffles fit them."""
@@ -112,14 +122,15 @@ class ParquetHistory:
         are pruned. A stream that ``marks`` does not name is new."""
         upto = self.marks() if upto is None else upto
         if not upto:
-            return self.read()
+            return _no_rows(self.spark, self.schema())
         wanted = [
             (F.col(STREAM) == stream) & (F.col(BATCH) > marks.get(stream, -1)) & (F.col(BATCH) <= last)
             for stream, last in upto.items()
         ]
-        return self._all().filter(reduce(lambda a, b: a | b, wanted)).drop(STREAM, BATCH)
+        return self.tagged().filter(reduce(lambda a, b: a | b, wanted)).drop(STREAM, BATCH)
 
-    def _all(self) -> DataFrame:
+    def tagged(self) -> DataFrame:
+        """The rows of all folders with their stream and batch."""
         fields = self.schema().fields
         schema = StructType([*fields, StructField(STREAM, StringType()), StructField(BATCH, LongType())])
         if not self.exists():
@@ -146,10 +157,69 @@ class ParquetState:
 
     def _pointer(self) -> dict:
         """The commit that counts: folders by bucket as [folder, bytes, rows,
-        active rows], the last batch of each stream, folders no longer used."""
+        active rows], the last batch of each stream, folders no longer used, how
+        many buckets keys are dealt to, changes held back (``held``), and, where
+        commits are fed to readers, since which commit and the folders of each."""
         found = self._files.read_json(f"{self.path}/current.json")
         return found or {"number": 0, "schema": self.declared_schema.jsonValue(), "folders": {}, "marks": {}, "unused": []}
 
+    def _check_buckets(self, base: dict, spec: TableSpec) -> None:
+        stored = base.get("buckets", spec.buckets)
+        if stored != spec.buckets:
+            raise ValueError(
+                f"{self.path} has {stored} buckets, its specification {spec.buckets}: rebucket() rewrites the table once"
+            )
+
+    def rebucket(self, spec: TableSpec) -> int:
+        """Deal the keys out to as many buckets as the specification has now."""
+        base = self._pointer()
+        session = sized_session(self.spark, self.stored_bytes())
+        dealt = self.on(session)._read(base).withColumn(BUCKET, spec.bucket())
+        written = self._write(dealt.repartition(BUCKET))
+        return self._commit(base, written, base["marks"], buckets=spec.buckets)
+
+    def rebuild(self, rows: DataFrame, marks: Mapping[str, int], buckets: int | None = None) -> int:
+        """Make ``rows``, with their buckets, the whole content, keeping what else
+        is known of the table; readers of its commits have to start anew."""
+        base = self._pointer()
+        written = self._write(rows.repartition(BUCKET))
+        return self._commit(base, written, marks, rows.schema, buckets, restart=True)
+
+    def held(self) -> dict:
+        """Up to which position changes were merged, and for each stream the first
+        batch with changes that were held back; empty if none ever were."""
+        return self._pointer().get("held", {})
+
+    def feed(self) -> None:
+        """From now on keep the rows that each commit replaced and put in."""
+        base = self._pointer()
+        if "fed_from" not in base:
+            self._files.write_json(f"{self.path}/current.json", {**base, "fed_from": base["number"], "deltas": []})
+
+    def fed_from(self) -> int | None:
+        """The commit after which all changes are known; readers that are not so
+        far have to read the table."""
+        return self._pointer().get("fed_from")
+
+    def deltas_since(self, number: int) -> DataFrame:
+        """The rows that commits after ``number`` took out (sign -1) and put in
+        (sign 1). What a commit left as it was may be in both."""
+        pointer = self._pointer()
+        schema = StructType([*StructType.fromJson(pointer["schema"]).fields, StructField(SIGN, LongType())])
+        folders = [f"{self.path}/{folder}" for commit, folder in pointer.get("deltas", []) if commit > number]
+        return self.spark.read.schema(schema).parquet(*folders) if folders else _no_rows(self.spark, schema)
+
+    def forget_deltas(self, upto: int) -> None:
+        """Delete what all readers have taken."""
+        base = self._pointer()
+        done = [entry for entry in base.get("deltas", []) if entry[0] <= upto]
+        if done:
+            left = [entry for entry in base["deltas"] if entry[0] > upto]
+            pointer = {**base, "deltas": left, "fed_from": max(base["fed_from"], upto)}
+            self._files.write_json(f"{self.path}/current.json", pointer)
+        for _, folder in done:
+            self._files.delete(f"{self.path}/{folder}")
+
     def exists(self) -> bool:
         return self._pointer()["number"] > 0
 
@@ -201,8 +271,32 @@ class ParquetState:
         delete_mode: str = SOFT,
         late_delete: str = LATE_WINS,
         marks: Mapping[str, int] | None = None,
+        held: dict | None = None,
+    ) -> int:
+        """Merge prepared changes, one per key; returns the number of the commit."""
+        base = self._pointer()
+        self._check_buckets(base, spec)
+        if base["number"] and StructType.fromJson(base["schema"]).simpleString() != spec.silver_schema().simpleString():
+            raise ValueError(f"{self.path} has other columns than its specification: rebuild it from its history")
+
+        def combine(old: DataFrame, new: DataFrame) -> DataFrame:
+            return merge_latest(old, new, spec, delete_mode, late_delete)
+
+        return self.fold(latest, [spec.key], combine, marks, spec.buckets, held, spec.silver_schema())
+
+    def fold(
+        self,
+        changes: DataFrame,
+        keys: Sequence[str],
+        combine: Callable[[DataFrame, DataFrame], DataFrame],
+        marks: Mapping[str, int] | None = None,
+        buckets: int | None = None,
+        held: dict | None = None,
+        schema: StructType | None = None,
     ) -> int:
-        """Merge prepared changes, one per key; returns the number of the commit.
+        """Replace the rows of the buckets that ``changes`` fall into by what
+        ``combine`` makes of (rows, changes); returns the number of the commit.
+        ``keys`` tell rows of one thing, one of each side at most.
 
         The changes are first written to the shared scratch folder: they are not
         computed again, and a lost executor costs a re-read only. The buckets
@@ -211,12 +305,12 @@ class ParquetState:
         write keep that.
         """
         base = self._pointer()
-        staged_at = scratch_path(self.spark, f"changes-{spec.name}")
+        staged_at = scratch_path(self.spark, f"changes-{self.name}")
         try:
             seen = Observation()
             # A number for each bucket: as many as the specification has at most.
             found = F.concat_ws(",", F.collect_set(F.col(BUCKET).cast("string")))
-            latest.observe(seen, found.alias("buckets")).write.parquet(staged_at)
+            changes.observe(seen, found.alias("buckets")).write.parquet(staged_at)
             touched = [bucket for bucket in seen.get["buckets"].split(",") if bucket]
             stored = sum(self._files.sizes(staged_at).values())
             stored += sum(base["folders"][b][1] for b in touched if b in base["folders"])
@@ -224,17 +318,30 @@ class ParquetState:
                 sized_session(self.spark, stored), **{"spark.sql.requireAllClusterKeysForCoPartition": "false"}
             )
             old = self.on(session)._read(base, touched)
-            new = session.read.schema(spec.silver_schema()).parquet(staged_at)
+            new = session.read.schema(schema or changes.schema).parquet(staged_at)
             # A bucket stays in one task; several may share one.
             width = max(1, min(2 * len(touched), int(session.conf.get("spark.sql.shuffle.partitions"))))
-            merged = merge_latest(
-                old.repartition(width, BUCKET), new.repartition(width, BUCKET), spec, delete_mode, late_delete
-            )
-            written = self._write(merged)
+            written = self._write(combine(old.repartition(width, BUCKET), new.repartition(width, BUCKET)))
+            delta = self._write_deltas(base, session, new, touched, written, keys) if "fed_from" in base else None
         finally:
             self._files.delete(staged_at)
         kept = {b: folder for b, folder in base["folders"].items() if b not in touched}
-        return self._commit(base, {**kept, **written}, {**base["marks"], **(marks or {})})
+        marks = {**base["marks"], **(marks or {})}
+        return self._commit(base, {**kept, **written}, marks, buckets=buckets, held=held, delta=delta)
+
+    def _write_deltas(
+        self, base: dict, session: SparkSession, new: DataFrame, touched: list[str], written: dict, keys: Sequence[str]
+    ) -> str:
+        """The rows of the keys that changes came for, before and after."""
+        folder = f"deltas/commit={uuid.uuid4().hex}"
+        names = [BUCKET, *keys]
+        came = new.select(*[F.col(k).alias(f"_came_{k}") for k in names])
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_came_{k}")) for k in names])
+        table = self.on(session)
+        sides = ((table._read(base, touched), -1), (table._read({**base, "folders": written}), 1))
+        parts = [rows.join(came, same, "left_semi").withColumn(SIGN, F.lit(sign).cast("bigint")) for rows, sign in sides]
+        parts[0].unionByName(parts[1]).write.parquet(f"{self.path}/{folder}")
+        return folder
 
     def _write(self, df: DataFrame) -> dict[str, list]:
         """Write rows to a folder that no pointer names yet, and count them there
@@ -258,18 +365,35 @@ class ParquetState:
         return out
 
     def _commit(
-        self, base: dict, folders: dict[str, list], marks: Mapping[str, int], schema: StructType | None = None
+        self,
+        base: dict,
+        folders: dict[str, list],
+        marks: Mapping[str, int],
+        schema: StructType | None = None,
+        buckets: int | None = None,
+        held: dict | None = None,
+        delta: str | None = None,
+        restart: bool = False,
     ) -> int:
         if self._pointer()["number"] != base["number"]:
             raise ConcurrentCommitError(f"{self.path} was changed meanwhile")
         used = {folder[0] for folder in folders.values()}
         pointer = {
+            **base,
             "number": base["number"] + 1,
             "schema": schema.jsonValue() if schema else base["schema"],
             "folders": folders,
             "marks": dict(marks),
             "unused": [folder[0] for folder in base["folders"].values() if folder[0] not in used],
         }
+        if buckets is not None:
+            pointer["buckets"] = buckets
+        if held is not None:
+            pointer["held"] = held
+        if delta is not None:
+            pointer["deltas"] = [*base["deltas"], [pointer["number"], delta]]
+        if restart and "fed_from" in base:
+            pointer.update(fed_from=pointer["number"], deltas=[])
         self._files.write_json(f"{self.path}/current.json", pointer)
         # Readers of the commit before may still be at work; the one before that is done.
         for folder in base["unused"]:
@@ -289,6 +413,6 @@ def widen(old: StructType, new: StructType) -> StructType:
     for f in new.fields:
         if f.name not in types:
             added.append(StructField(f.name, f.dataType, True))
-        elif types[f.name] != f.dataType:
+        elif types[f.name].simpleString() != f.dataType.simpleString():
             raise TypeError(f"column {f.name} is {types[f.name].simpleString()}, not {f.dataType.simpleString()}")
     return StructType([*old.fields, *added])

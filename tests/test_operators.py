@@ -75,7 +75,7 @@ def test_the_archive_has_a_file_per_day(spark, tmp_path):
 
 
 EVENTS = [
-    ("cdc.users", 0, 0, 0, '{"op":"c","after":{"id":1,"name":"John Doe"},"source":{"db":"s","table":"users"},"ts_ms":3}'),
+    ("cdc.users", 0, 0, 0, '{"op":"c","after":{"id":1,"name":"Mira Kant"},"source":{"db":"s","table":"users"},"ts_ms":3}'),
     ("cdc.users", 0, 1, 0, '{"op":"u","before":{"id":1},"after":{"id":"1"},"source":{"table":"users"},"ts_ms":"4"}'),
     ("cdc.users", 0, 2, 0, '{"op":"d","before":{"id":2,"_change_type":"x"},"after":null,"source":{"table":"users"}}'),
     ("cdc.orders", 0, 3, 0, '{"op":"c","after":{"id":9,"user_id":1,"product_id":5},"source":{"table":"orders"}}'),
@@ -103,7 +103,7 @@ def test_envelope_fields(events):
 def test_table_rows_take_the_old_image_for_deletes(events):
     got = {r["_position"]: r for r in table_changes(events, USERS).collect()}
     assert sorted(got) == [0, 1, 2]
-    assert (got[2]["id"], got[2]["op"]) == (2, "d") and (got[0]["name"], got[0]["ts_ms"]) == ("John Doe", 3)
+    assert (got[2]["id"], got[2]["op"]) == (2, "d") and (got[0]["name"], got[0]["ts_ms"]) == ("Mira Kant", 3)
 
 
 # -- routing ---------------------------------------------------------------------
@@ -122,7 +122,7 @@ def test_routes_may_overlap_and_unknown_does_not_match(events):
     message = as_messages(route(events, {"t": "offset = 0"})).first()
     body = json.loads(message["value"])
     assert (message["topic"], message["key"]) == ("t", "cdc.users")
-    assert body["after_state"] == {"id": 1, "name": "John Doe"} and "before_state" not in body
+    assert body["after_state"] == {"id": 1, "name": "Mira Kant"} and "before_state" not in body
 
 
 def test_scores_and_alerts(events):
