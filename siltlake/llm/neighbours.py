@@ -4,8 +4,9 @@ Vectors are projected on Gaussian directions; each projection is cut into cells
 of equal width, the outer ones open, and the cells of a table's projections make
 its buckets. A Gaussian is 2-stable: a neighbour's projection differs from the
 query's by a normal number of their distance. Given the query's projection, which
-is known, it is normal about as much of it as the cosine says, and this gives the
-chance of each cell and, as projections are independent, of each bucket. A query
+is known, it is normal about a line whose slope is about the cosine; line and
+spread are fitted to neighbours in a sample. This gives the chance of each cell
+and, as projections are independent, of each bucket. A query
 visits buckets in the order of this estimated success, its own and perturbed ones,
 until their sum passes what the table has to contribute. Candidates of all tables
 are scored exactly and merged.
@@ -149,13 +150,14 @@ def visits(cells: np.ndarray, target: float, beam: int = 64) -> list[np.ndarray]
 @dataclass(frozen=True)
 class Index:
     """Directions, cell borders (table, projection, border), the largest squared
-    length, the cosine of the neighbour looked for; ``first`` and ``n`` are the parts of buckets."""
+    length, and for each projection how a neighbour's follows from the query's:
+    slope, shift and spread; ``first`` and ``n`` are the parts of buckets."""
 
     kind: str
     directions: np.ndarray
     borders: np.ndarray
     longest: float
-    cosine: float
+    line: tuple[np.ndarray, np.ndarray, np.ndarray]
     target: float
     first: np.ndarray | None = None
     n: np.ndarray | None = None
@@ -181,15 +183,15 @@ class Index:
     def probes(self, data: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
         """For each table the buckets that each query visits."""
         at = self.projections(data, False)
-        spread = math.sqrt(self.longest * max(1 - self.cosine**2, 1e-9))
-        edges = _chance((self.borders - self.cosine * at[..., None]) / spread)
+        slope, shift, spread = self.line
+        edges = _chance((self.borders - (slope * at + shift)[..., None]) / spread[..., None])
         cells = np.diff(np.concatenate([np.zeros((*at.shape, 1)), edges, np.ones((*at.shape, 1))], axis=3), axis=3)
         for table in range(cells.shape[1]):
             yield table, visits(cells[:, table], self.target)
 
 
 def plan(vectors: DataFrame, n: int, longest: float, size: int, kind: str, method: Search) -> Index:
-    """Directions, borders and the cosine of the k-th neighbour, from a sample."""
+    """Directions, borders and what is known of the k-th neighbour, from a sample."""
     share = min(1, method.sample / n)
     chosen = F.pmod(F.xxhash64("v"), F.lit(1 << 40)) <= int((1 << 40) * share)
     sample = sorted(bytes(r.v) for r in vectors.select("v").filter(chosen).collect())
@@ -201,17 +203,34 @@ def plan(vectors: DataFrame, n: int, longest: float, size: int, kind: str, metho
     cosines = asking @ data.T / longest
     cosines[np.arange(len(asking)), np.arange(len(asking))] = -np.inf
     place = min(len(data) - 1, max(1, math.ceil(method.k * len(data) / n)))
-    near = np.sort(cosines, axis=1)[:, -place] if place else np.zeros(1)
+    nearest_first = np.argsort(-cosines, axis=1)[:, :place]
+    near = np.take_along_axis(cosines, nearest_first[:, -1:], 1) if place else np.zeros(1)
     cosine = float(np.clip(near, 0, 1).mean())
     rng = np.random.default_rng(method.seed)
     projections = min(MOST_PROJECTIONS, max(1, round(math.log(max(n / method.bucket_rows, 1), CELLS))))
     directions = rng.standard_normal((method.tables, size + 1, projections))
     shift = rng.uniform(-0.25, 0.25, (method.tables, projections, 1))
-    index = Index(kind, directions, np.zeros((1, 1, 1)), longest, cosine, 1 - (1 - method.success) ** (1 / method.tables))
+    spread = np.full(directions[:, 0].shape, math.sqrt(longest * max(1 - cosine**2, 1e-9)))
+    line = (np.full(spread.shape, cosine), np.zeros(spread.shape), spread)
+    target = 1 - (1 - method.success) ** (1 / method.tables)
+    index = Index(kind, directions, np.zeros((1, 1, 1)), longest, line, target)
     at = index.projections(data, True)
+    if place and len(asking) >= 30:
+        # The farther half of the neighbours: nearer ones are met more often.
+        far = nearest_first[:, place // 2 : place]
+        x = np.repeat(index.projections(data[: len(asking)], False), far.shape[1], axis=0)
+        line = _fit(x, at[far.ravel()], longest)
     width = np.maximum(0.7 * at.std(axis=0), 1e-9 * math.sqrt(longest))[..., None]
     borders = at.mean(axis=0)[..., None] + width * (np.arange(1 - CELLS // 2, CELLS // 2) + shift)
-    return Index(kind, directions, borders, longest, cosine, index.target)
+    return Index(kind, directions, borders, longest, line, target)
+
+
+def _fit(x: np.ndarray, y: np.ndarray, longest: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Slope, shift and spread of y about x, for each table and projection."""
+    middle, height = x.mean(axis=0), y.mean(axis=0)
+    slope = ((x - middle) * (y - height)).mean(axis=0) / np.maximum(((x - middle) ** 2).mean(axis=0), 1e-12 * longest)
+    shift = height - slope * middle
+    return slope, shift, np.maximum((y - slope * x - shift).std(axis=0), 1e-6 * math.sqrt(longest))
 
 
 def deal_out(vectors: DataFrame, index: Index, part_rows: int) -> Index:
@@ -242,7 +261,7 @@ def deal_out(vectors: DataFrame, index: Index, part_rows: int) -> Index:
             at += n_parts[place]
         else:
             held += rows[place]
-    return Index(index.kind, index.directions, index.borders, index.longest, index.cosine, index.target, first, n_parts)
+    return Index(index.kind, index.directions, index.borders, index.longest, index.line, index.target, first, n_parts)
 
 
 # The search
