@@ -9,6 +9,7 @@ follows from a prefix scan over one number per block: the last separator so far.
 from __future__ import annotations
 
 import base64
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -19,11 +20,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltlake.llm.bitpack import _uri
+from siltlake.llm.byte_bpe import codec
 from siltlake.llm.common import stored
 
 # Ids to a block that one step of the scan holds.
 BLOCK_IDS = 1 << 22
 _ENCODINGS: dict[str, object] = {}
+# White space in a row that the tokenizer's own matcher is not given: it recurses
+# over a run, and its stack ends before a run of a million.
+RUN = 100_000
+_LONG_RUN = re.compile(r"\s{%d}" % RUN)
 
 
 def encoding(path: str, pattern: str):
@@ -37,6 +43,14 @@ def encoding(path: str, pattern: str):
     return _ENCODINGS[path]
 
 
+def encoded(text: str, ranks: str, pattern: str, dtype: str) -> bytes:
+    """The ids of a text as bytes; texts with long runs of white space go through
+    ``byte_bpe``, which gives the same ids."""
+    if len(text) >= RUN and _LONG_RUN.search(text):
+        return np.frombuffer(codec(ranks, pattern).encode(text), "<u4").astype(dtype).tobytes()
+    return np.array(encoding(ranks, pattern).encode_ordinary(text), dtype).tobytes()
+
+
 def write_flat(docs: DataFrame, folder: str, ranks: str, pattern: str, end_id: int, dtype: str = "<u2") -> DataFrame:
     """Encodes ``docs`` as they come into flat files, one for each task.
 
@@ -45,7 +59,7 @@ def write_flat(docs: DataFrame, folder: str, ranks: str, pattern: str, end_id: i
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, at = encoding(ranks, pattern).encode_ordinary, 0
+        at = 0
         end = np.array([end_id], dtype).tobytes()
         system, root = pafs.FileSystem.from_uri(folder)
         system.create_dir(root, recursive=True)
@@ -57,7 +71,7 @@ def write_flat(docs: DataFrame, folder: str, ranks: str, pattern: str, end_id: i
                 out = out or system.open_output_stream(f"{root}/{name}")
                 for text in batch.column("text"):
                     text = text.as_py()
-                    out.write((np.array(encode(text), dtype).tobytes() if text else b"") + end)
+                    out.write((encoded(text, ranks, pattern, dtype) if text else b"") + end)
                 ordinals = pa.array(range(at, at + batch.num_rows), pa.int64())
                 at += batch.num_rows
                 names = pa.array([name] * batch.num_rows, pa.string())
@@ -138,7 +152,8 @@ def token_counts(docs: DataFrame, ranks: str, pattern: str, end_id: int, folder:
     to flat files and counted from them.
 
     Null and empty texts have no tokens. Ids may be null or repeat; texts are
-    told apart by their place in a file. Other columns are not read.
+    told apart by their place in a file. Texts of any length, and runs of white
+    space of any length, are encoded whole. Other columns are not read.
     """
     folder = folder or _uri(docs.sparkSession, "flat")
     written = write_flat(docs, folder, ranks, pattern, end_id)
