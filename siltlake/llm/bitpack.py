@@ -161,7 +161,9 @@ class PieceEncoder:
     line end by itself. Texts are cut there with Arrow, and only the different
     pieces of a batch are looked at. Ids of pieces, and of the tokens that the
     pattern cuts them into, are remembered, so that a worker encodes a word
-    once; new words are encoded together, a line each.
+    once; new words are encoded together, a line each. Texts that hold an added
+    token (such as ``<|endoftext|>``) go through the library whole: it finds these
+    before the pattern cuts.
     """
 
     def __init__(self, path: str):
@@ -169,7 +171,7 @@ class PieceEncoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.split = regex.compile(BYTE_LEVEL).findall
         self.line_end = self._one_by_one(["\n"])[0]
         self.pieces: dict[str, bytes] = {}
@@ -212,6 +214,17 @@ class PieceEncoder:
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; null is empty."""
         texts = pc.fill_null(texts.cast(pa.string()), "")
+        marked = np.zeros(len(texts), bool)
+        for token in self.added:
+            marked |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        if not marked.any():
+            return self._encode(texts)
+        ids = self._encode(pc.if_else(pa.array(marked), "", texts))
+        for i in np.flatnonzero(marked).tolist():
+            ids[i] = np.frombuffer(self._one_by_one([texts[i].as_py()])[0], "<u4")
+        return ids
+
+    def _encode(self, texts: pa.Array) -> list[np.ndarray]:
         cut = pc.replace_substring(texts, "\n", " \n")
         if pc.any(unsafe := pc.match_substring_regex(texts, _UNSAFE)).as_py():
             # Elsewhere than between two words a cut could change the ids.
@@ -254,8 +267,9 @@ def encoder(path: str) -> PieceEncoder:
 def _in_order(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = F.col("doc_id").asc_nulls_first()
-    return rows.repartitionByRange(width, order).sortWithinPartitions(order, "text")
+    # Rows of one id may be many: the hash lets ranges end among them.
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
+    return rows.repartitionByRange(width, *order).sortWithinPartitions(*order, "text")
 
 
 def write_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int, end_id: int, file_ids: int = 1 << 24) -> DataFrame:
@@ -337,7 +351,8 @@ def packed(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int, folder
     """Writes all ``docs`` and reads them back: see ``read_files``.
 
     Null texts are empty: their only id is the closing one. Null ids come first;
-    equal ids follow each other in order of text. Without rows there is no file.
+    rows of equal ids follow each other in an order that their texts decide.
+    Without rows there is no file.
     Other columns are not read.
     """
     folder = folder or _uri(docs.sparkSession, "ids")
