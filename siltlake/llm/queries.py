@@ -30,7 +30,7 @@ def op3_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.sharded(table(spark, sf_dir, "documents"))
+    return sharding.sharded(table(spark, sf_dir, "documents"), grow=True)
 
 
 def op5_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:

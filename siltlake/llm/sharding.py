@@ -1,7 +1,8 @@
 """Sharding by fixed virtual slots.
 
-A record's key decides its slot for good, whatever the number of shards. Bytes
-are added up per slot; a map gives each slot a shard. The map is a small table
+A record's key decides its slot for good, whatever the number of shards. The rows
+of a key that is heavier than a slot should be are spread over slots by their text
+and place, so no key makes a shard heavy. Bytes are added up per slot; a map gives each slot a shard. The map is a small table
 with a version: rebalancing writes a new version in which few slots have moved,
 so only their records move.
 """
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from siltlake.llm.common import stored
 from siltlake.session import scratch_path
+from siltlake.tables.files import Files
 
 # The number of slots is fixed for the life of a data set. All that the driver
 # holds is a number for each of them.
@@ -87,7 +89,21 @@ def records(docs: DataFrame) -> DataFrame:
     row, stored; null texts have no bytes."""
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     rows = docs.select("doc_id", (F.octet_length(text) + 8).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"))
-    return stored(rows.withColumn("vslot", virtual_slot(F.col("doc_id"), F.col("text_crc32"))), "records")
+    rows = rows.withColumn("vslot", virtual_slot(F.col("doc_id"), F.col("text_crc32")))
+    return spread(stored(rows.withColumn("row", F.monotonically_increasing_id()), "records"))
+
+
+def spread(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """``rows`` with those of heavy keys spread over slots. A heavy key has more
+    bytes than a slot's share of all: there are fewer of them than slots."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.col("text_crc32").cast("string")))
+    keyed = rows.withColumn("key", key)
+    total = keyed.agg(F.sum("size")).first()[0] or 0
+    heavy = keyed.groupBy("key").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).filter((F.col("bytes") * slots > total) & (F.col("n") > 1))
+    marked = keyed.join(F.broadcast(heavy.select("key", F.lit(True).alias("heavy"))), "key", "left")
+    own = F.pmod(F.xxhash64("key", "text_crc32", "row"), F.lit(slots)).cast("int")
+    vslot = F.when(F.col("heavy"), own).otherwise(F.col("vslot"))
+    return stored(marked.withColumn("vslot", vslot).drop("key", "heavy", "row"), "spread")
 
 
 def slot_loads(rows: DataFrame) -> dict[int, tuple[int, int]]:
@@ -96,30 +112,47 @@ def slot_loads(rows: DataFrame) -> dict[int, tuple[int, int]]:
     return {slot: (n, size) for slot, n, size in loads}
 
 
-def sharded(docs: DataFrame, shards: int = SHARDS, map_path: str | None = None) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot (place in the shard, from 0) and
-    grown_shard (null: this law does not promise it) of each row of ``docs``.
+def sharded(docs: DataFrame, shards: int = SHARDS, map_path: str | None = None, grow: bool = False) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot (place in the shard, from 0),
+    grown_shard (null: this law does not promise it) and next_shard of each row of
+    ``docs``.
 
     The law is ``bytes``: sums of sizes by shard are near equal. Rows with equal
-    ids share a slot; without an id the text decides. Places go by virtual slot,
-    then id, text and size, so repeated rows have places of their own. The map
-    is written to ``map_path`` as version 0 (the scratch folder by default).
+    ids share a slot unless they are more than a slot should hold; without an id
+    the text decides. Places go by virtual slot, then id, text and size, so
+    repeated rows have places of their own.
+
+    The map below ``map_path`` (the scratch folder by default) is read if there is
+    one, and edited for these rows as its next version; else version 0 is written.
+    With ``grow`` a further version edits it for one more shard: ``next_shard`` is
+    where the row lies then (else null), another shard for rows of moved slots only.
     """
     spark = docs.sparkSession
     rows = records(docs)
     loads = slot_loads(rows)
-    slot_map = assign({slot: size for slot, (_, size) in loads.items()}, shards)
+    sizes = {slot: size for slot, (_, size) in loads.items()}
     path = map_path or scratch_path(spark, "slot-map")
-    write_map(spark, path, 0, slot_map)
+    version = -1
+    if Files(spark).exists(path):
+        version = max((int(name.split("=")[1]) for name in Files(spark).names(path) if name.startswith("version=")), default=-1)
+    if version < 0:
+        slot_map = assign(sizes, shards)
+    else:
+        slot_map = rebalance({r["slot"]: r["shard"] for r in read_map(spark, path, version).collect()}, sizes, shards)
+    write_map(spark, path, version + 1, slot_map)
+    grown: dict[int, int] = {}
+    if grow:
+        grown = rebalance(slot_map, sizes, shards + 1)
+        write_map(spark, path, version + 2, grown)
     filled, first = dict.fromkeys(range(shards), 0), []
     for slot in range(SLOTS):
-        first.append((slot, filled[slot_map[slot]]))
+        first.append((slot, filled[slot_map[slot]], grown.get(slot)))
         filled[slot_map[slot]] += loads.get(slot, (0, 0))[0]
-    places = read_map(spark, path).join(spark.createDataFrame(first, "slot int, first bigint"), "slot")
+    places = read_map(spark, path, version + 1).join(spark.createDataFrame(first, "slot int, first bigint, next_shard int"), "slot")
     places = places.withColumnRenamed("slot", "vslot")
     within = Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size")
     numbered = rows.withColumn("place", F.row_number().over(within) - 1)
     return numbered.join(F.broadcast(places), "vslot").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-        (F.col("first") + F.col("place")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        (F.col("first") + F.col("place")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "next_shard",
     )
