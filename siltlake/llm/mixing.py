@@ -1,8 +1,9 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 Every source gets a target, in words. A document of it is expected target /
-source size times: whole copies of that are certain, the rest is its inclusion
-odds. Documents are ranked by random odds divided by inclusion odds and taken
+source size times: whole copies of that are certain, the rest is the chance of one
+more, which differs between documents: longer ones are favoured, up to ten times
+as much as one of ten words. Documents are ranked by random odds divided by inclusion odds and taken
 in this order until the words still to be taken are filled; one more document,
 the one whose size fits best into what is left, closes the gap.
 
@@ -40,6 +41,12 @@ class Mix:
     seed: str = "mix"
 
 
+# Chances stay below one, as odds have to be finite.
+MOST_CHANCE = 0.999
+# Parts that equal rows are numbered in.
+SALTS = 1024
+
+
 def n_words(text: Column) -> Column:
     """Words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
@@ -73,28 +80,56 @@ def targets(sizes: DataFrame, mix: Mix) -> DataFrame:
     return rows.select("source", "source_size", raised.cast("double").alias("target"))
 
 
-def _rank(doc_id: Column, size: Column, mix: Mix) -> tuple[Column, Column]:
-    """A random number in [0, 1) that depends on the document only, and the
-    digits it comes from, which break ties."""
-    key = F.concat_ws(":", F.lit(mix.seed), F.coalesce(doc_id.cast("string"), F.lit("")), size.cast("string"))
-    digest = F.md5(key)
-    return F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10).cast("bigint") / F.lit(float(16**HEX_DIGITS)), digest
+def _digest(doc_id: Column, size: Column, text: Column, mix: Mix) -> Column:
+    """Random digits that depend on the document only."""
+    words = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    return F.md5(F.concat_ws(":", F.lit(mix.seed), F.coalesce(doc_id.cast("string"), F.lit("")), size.cast("string"), words))
+
+
+def favour(size: Column) -> Column:
+    """How much likelier a document is to be sampled, in thousandths: longer ones,
+    up to ten times as likely as one of ten words."""
+    return F.floor(1000 * size / (size + 100)).cast("bigint")
 
 
-def _place(part: Column, u: Column, digest: Column) -> Column:
-    """Random odds by inclusion odds; ties by the digits."""
-    return F.struct(((u / (1 - u)) / (part / (1 - part))).alias("odds"), digest.alias("digest"))
+def _place(size: Column, digest: Column) -> Column:
+    """Random odds by inclusion odds; ties by the digits. The inclusion chance is
+    the part of the source that is wanted, times the document's favour by the
+    source's mean, so that the expected number of words is the one wanted."""
+    u = F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10).cast("bigint") / F.lit(float(16**HEX_DIGITS))
+    chance = F.least(F.col("part") * (favour(size).cast("double") * F.col("source_size").cast("double") / F.nullif(F.col("favours"), F.lit(0.0))), F.lit(MOST_CHANCE))
+    return F.struct(((u / (1 - u)) / F.nullif(chance / (1 - chance), F.lit(0.0))).alias("odds"), digest.alias("digest"))
 
 
 def _source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source), F.lit("-"))
 
 
-def _copies(mix: Mix, size: Column, u: Column, digest: Column) -> Column:
-    """Copies of a document, given the columns of its source's plan."""
-    place = _place(F.col("part"), u, digest)
-    sampled = (F.col("part") > 0) & (size > 0) & F.coalesce((place <= F.col("cut")) | (place == F.col("closing")), F.lit(False))
-    return F.when(size > 0, F.col("whole") + sampled.cast("int")).otherwise(F.col("whole")).cast("int")
+def _with_copies(rows: DataFrame) -> DataFrame:
+    """``rows`` (size, digest and the plan of their source) with their ``copies``.
+
+    Of rows that share the place at which a source is cut only some are taken.
+    Equal rows are many in bad tables: those in question, and only those, are
+    stored with salts, and counted and numbered salt by salt.
+    """
+    placed = rows.withColumn("place", _place(F.col("size"), F.col("digest")))
+    open_ = (F.col("part") > 0) & (F.col("size") > 0)
+    at_cut, at_closing = F.col("place") == F.col("cut"), F.col("place") == F.col("closing")
+    quota = F.when(at_cut, F.col("cut_n")).when(at_closing, F.lit(1)).cast("bigint")
+    among = F.when(at_cut, F.col("cut_m")).when(at_closing, F.col("closing_m")).cast("bigint")
+    # What a cut leaves out of a tie, and the closing row of another.
+    split = open_ & F.coalesce((quota > 0) & (quota < among), F.lit(False))
+    sampled = open_ & F.coalesce((F.col("place") < F.col("cut")) | (quota >= among), F.lit(False))
+    plain = placed.filter(~split).withColumn("copies", F.col("whole") + sampled.cast("int"))
+    salted = placed.filter(split).withColumns({"quota": quota, "salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))})
+    tied = stored(salted, "ties")
+    tie = ["source_key", "place", "salt"]
+    ahead = Window.partitionBy("source_key", "place").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    before = tied.groupBy(*tie).agg(F.count("*").alias("n")).select(*tie, F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
+    number = F.row_number().over(Window.partitionBy(*tie).orderBy("digest"))
+    numbered = tied.withColumn("number", number).join(before, tie)
+    more = numbered.withColumn("copies", F.col("whole") + (F.col("before") + F.col("number") <= F.col("quota")).cast("int"))
+    return plain.unionByName(more.select(*plain.columns))
 
 
 def plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
@@ -114,58 +149,70 @@ def plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         .withColumn("source_key", _source_key(F.col("source"))),
         "sources",
     )
-    u, digest = _rank(F.col("doc_id"), F.col("size"), mix)
+    favours = docs.groupBy(_source_key(F.col("source")).alias("source_key")).agg(
+        F.sum(favour(F.col("size")) * F.col("size")).cast("double").alias("favours")
+    )
+    sources = stored(sources.join(favours, "source_key"), "favours")
+    # Rows of one place are equal: they count as one, from the map side on.
     ranked = (
         docs.filter("size > 0")
-        .select(_source_key(F.col("source")).alias("source_key"), "size", u.alias("u"), digest.alias("digest"))
-        .join(broadcast_if_small(sources.select("source_key", "part", "wanted")), "source_key")
+        .select(_source_key(F.col("source")).alias("source_key"), "size", "digest")
+        .join(broadcast_if_small(sources.select("source_key", "part", "wanted", "source_size", "favours")), "source_key")
         .filter("part > 0")
-        .withColumn("place", _place(F.col("part"), F.col("u"), F.col("digest")))
+        .withColumn("place", _place(F.col("size"), F.col("digest")))
+        .groupBy("source_key", "place", "size", "wanted").agg(F.count("*").alias("m"))
         .withColumn("bucket", F.floor(F.col("place.odds") / (1 + F.col("place.odds")) * mix.buckets))
-    )
+    )
+    ranked = stored(ranked, "places")
     by_bucket = Window.partitionBy("source_key").orderBy("bucket")
     buckets = (
         ranked.groupBy("source_key", "bucket")
-        .agg(F.sum("size").alias("words"), F.first("wanted").alias("wanted"))
+        .agg(F.sum(F.col("size") * F.col("m")).alias("words"), F.first("wanted").alias("wanted"))
         .withColumn("through", F.sum("words").over(by_bucket))
         .withColumn("before", F.col("through") - F.col("words"))
     )
-    # The bucket in which the words wanted are reached; its documents in order.
+    # The bucket in which the words wanted are reached; its places in order.
     split = stored(buckets.filter("before <= wanted AND wanted < through").select("source_key", "bucket", "before"), "split")
     by_place = Window.partitionBy("source_key").orderBy("place")
-    cuts = stored(
+    reached = (
         ranked.join(broadcast_if_small(split), ["source_key", "bucket"])
-        .withColumn("through", F.col("before") + F.sum("size").over(by_place))
+        .withColumn("through", F.col("before") + F.sum(F.col("size") * F.col("m")).over(by_place))
+        .filter("through > wanted")
         .groupBy("source_key")
-        .agg(
-            F.max(F.when(F.col("through") <= F.col("wanted"), F.struct("place", "through"))).alias("last"),
-            F.min("before").alias("before"),
-            F.min("bucket").alias("bucket"),
-        )
-        .select("source_key", "bucket", F.col("last.place").alias("cut"), F.coalesce("last.through", "before").alias("filled")),
-        "cuts",
-    )
-    # Without a document of that bucket, the cut is where the bucket begins.
-    edge = F.struct(
-        (F.col("bucket") / mix.buckets / (1 - F.col("bucket") / mix.buckets)).alias("odds"), F.lit("").alias("digest")
+        .agg(F.min(F.struct("place", "size", "m", "through", "wanted")).alias("first"))
+        .select("source_key", "first.*")
+        .withColumn("start", F.col("through") - F.col("size") * F.col("m"))
+        .withColumn("cut_n", F.floor((F.col("wanted") - F.col("start")) / F.col("size")).cast("bigint"))
     )
-    cuts = cuts.withColumn("cut", F.coalesce("cut", edge))
-    left = F.col("wanted") - F.col("filled")
+    # Places before the cut are taken whole, at the cut cut_n of cut_m rows.
+    cuts = stored(
+        reached.select(
+            "source_key", F.col("place").alias("cut"), "cut_n", F.col("m").alias("cut_m"),
+            (F.col("wanted") - F.col("start") - F.col("cut_n") * F.col("size")).alias("gap"),
+        ),
+        "cuts",
+    )
+    # One row more, the one that comes nearest to the words wanted, if it does.
+    left = F.col("m") - F.when(F.col("place") == F.col("cut"), F.col("cut_n")).otherwise(F.lit(0))
+    off = F.abs(F.col("gap") - F.col("size"))
     closing = (
-        ranked.join(broadcast_if_small(cuts), "source_key", "left")
-        .filter((F.col("place") > F.col("cut")) & (F.abs(left - F.col("size")) < left))
-        .groupBy(F.col("source_key"))
-        .agg(F.min(F.struct(F.abs(left - F.col("size")).alias("gap"), F.col("place").alias("place"))).alias("best"))
-        .select("source_key", F.col("best.place").alias("closing"))
+        ranked.join(broadcast_if_small(cuts), "source_key")
+        .filter((F.col("place") >= F.col("cut")) & (left > 0) & (off < F.col("gap")))
+        .groupBy("source_key")
+        .agg(F.min(F.struct(off.alias("off"), F.col("place").alias("place"), F.col("m").alias("m"))).alias("best"))
+        .select("source_key", F.col("best.place").alias("closing"), F.col("best.m").alias("closing_m"))
     )
-    return stored(
-        sources.join(cuts.select("source_key", "cut"), "source_key", "left").join(closing, "source_key", "left"), "plan"
+    same = F.coalesce(F.col("closing") == F.col("cut"), F.lit(False))
+    ends = cuts.drop("gap").join(closing, "source_key", "left").withColumns(
+        {"cut_n": F.col("cut_n") + same.cast("int"), "closing": F.when(~same, F.col("closing"))}
     )
+    return stored(sources.join(ends, "source_key", "left"), "plan")
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source and size of ``docs``, stored."""
-    return stored(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "sizes")
+def sized(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """doc_id, source, size and digest of ``docs``, stored."""
+    rows = docs.select("doc_id", "source", "text", n_words(F.col("text")).alias("size"))
+    return stored(rows.withColumn("digest", _digest(F.col("doc_id"), F.col("size"), F.col("text"), mix)).drop("text"), "sizes")
 
 
 def taken(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
@@ -173,30 +220,27 @@ def taken(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     repeats counted) for each row of ``docs``.
 
     A null source is a source of its own, the last. Null ids and texts are
-    ranked like others; texts without words take nothing. Rows that are equal
-    in id and size share their rank and are taken together. Without rows there
-    is no source.
+    ranked like others; texts without words take nothing. Rows that are equal in
+    id and text share their rank: where the sample ends among them, as many are
+    taken as fit. Without rows there is no source.
     """
-    rows = sized(docs)
-    u, digest = _rank(F.col("doc_id"), F.col("size"), mix)
-    return (
-        rows.withColumn("source_key", _source_key(F.col("source")))
-        .join(broadcast_if_small(plan(rows, mix).drop("source")), "source_key")
-        .select(
-            "doc_id", "size", "source_size", "target", (F.col("size") * _copies(mix, F.col("size"), u, digest)).alias("taken")
-        )
+    rows = sized(docs, mix)
+    keyed = rows.withColumn("source_key", _source_key(F.col("source")))
+    planned = keyed.join(broadcast_if_small(plan(rows, mix).drop("source")), "source_key")
+    return _with_copies(planned).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
 
 
 def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The rows of the mix, with all columns of ``docs``: a row as often as the
-    mix takes it."""
+    mix takes it. Texts do not move, but for those of equal rows among which the
+    sample ends."""
     size = n_words(F.col("row.text"))
-    u, digest = _rank(F.col("row.doc_id"), F.col("size"), mix)
     rows = docs.select(whole_row(docs).alias("row")).withColumn("size", size)
+    rows = rows.withColumn("digest", _digest(F.col("row.doc_id"), F.col("size"), F.col("row.text"), mix))
     rows = rows.withColumn("source_key", _source_key(F.col("row.source")))
-    rows = rows.join(broadcast_if_small(plan(sized(docs), mix).drop("source")), "source_key")
-    copies = _copies(mix, F.col("size"), u, digest)
+    planned = rows.join(broadcast_if_small(plan(sized(docs, mix), mix).drop("source")), "source_key")
     return unpack(
-        rows.withColumn("copies", copies).filter("copies > 0").select("row", F.explode(F.expr("sequence(1, copies)"))).select("row")
+        _with_copies(planned).filter("copies > 0").select("row", F.explode(F.expr("sequence(1, copies)"))).select("row")
     )

@@ -7,9 +7,10 @@ SQL = {
     # inclusion odds, filled with whole documents and one that closes the gap.
     "op2_pareto_mix": r"""
 WITH docs AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+  SELECT doc_id, source, md5(coalesce(text, '')) AS words,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
 ), sources AS (
-  SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source
+  SELECT source, sum(size)::BIGINT AS source_size, sum(1000 * size // (size + 100) * size)::DOUBLE AS favours FROM docs GROUP BY source
 ), weighed AS (
   SELECT *, [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight,
          sum(source_size) OVER () * 1.5::DOUBLE AS total
@@ -23,7 +24,7 @@ WITH docs AS (
 ), chosen AS (
   SELECT arg_min(level, source_size / weight) AS level FROM levels WHERE level * weight <= source_size * 2.0::DOUBLE
 ), planned AS (
-  SELECT source, source_size,
+  SELECT source, source_size, favours,
          coalesce(least(weight * (SELECT level FROM chosen), source_size * 2.0::DOUBLE), source_size * 2.0::DOUBLE)::DOUBLE AS target
   FROM levels
 ), parted AS (
@@ -32,25 +33,26 @@ WITH docs AS (
   FROM planned
 ), ranked AS (
   SELECT d.doc_id, d.size, p.*, p.target - p.whole * p.source_size AS wanted,
-         md5(concat_ws(':', 'mix', coalesce(d.doc_id::VARCHAR, ''), d.size::VARCHAR)) AS digest,
-         ('0x' || substr(md5(concat_ws(':', 'mix', coalesce(d.doc_id::VARCHAR, ''), d.size::VARCHAR)), 1, 13))::BIGINT
-           / 4503599627370496.0::DOUBLE AS u
+         md5(concat_ws(':', 'mix', coalesce(d.doc_id::VARCHAR, ''), d.size::VARCHAR, d.words)) AS digest,
+         least(p.part * ((1000 * d.size // (d.size + 100))::DOUBLE * p.source_size::DOUBLE / p.favours), 0.999::DOUBLE) AS chance
   FROM docs d JOIN parted p ON d.source IS NOT DISTINCT FROM p.source
+), random AS (
+  SELECT *, ('0x' || substr(digest, 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM ranked
 ), placed AS (
-  SELECT *, CASE WHEN part > 0 AND size > 0 THEN (u / (1 - u)) / (part / (1 - part)) END AS odds FROM ranked
+  SELECT *, CASE WHEN part > 0 AND size > 0 THEN (u / (1 - u)) / (chance / (1 - chance)) END AS odds FROM random
 ), run AS (
-  SELECT *, sum(CASE WHEN odds IS NOT NULL THEN size END) OVER (PARTITION BY source ORDER BY odds NULLS LAST, digest) AS through
-  FROM placed
+  SELECT *, sum(CASE WHEN odds IS NOT NULL THEN size END) OVER in_order AS through, row_number() OVER in_order AS place
+  FROM placed WINDOW in_order AS (PARTITION BY source ORDER BY odds NULLS LAST, digest ROWS UNBOUNDED PRECEDING)
 ), cut AS (
   SELECT source AS cut_source, max(wanted) - coalesce(max(through) FILTER (through <= wanted), 0) AS gap
   FROM run WHERE odds IS NOT NULL GROUP BY source
 ), closing AS (
-  SELECT source AS closing_source, min({'gap': abs(gap - size), 'odds': odds, 'digest': digest}) AS best
+  SELECT source AS closing_source, min({'gap': abs(gap - size), 'odds': odds, 'digest': digest, 'place': place}) AS best
   FROM run JOIN cut ON source IS NOT DISTINCT FROM cut_source
   WHERE odds IS NOT NULL AND through > wanted AND abs(gap - size) < gap GROUP BY source
 )
 SELECT doc_id, size, source_size, target,
-       (size * (whole + CASE WHEN odds IS NOT NULL AND (through <= wanted OR (odds = best.odds AND digest = best.digest))
+       (size * (whole + CASE WHEN odds IS NOT NULL AND (through <= wanted OR place = best.place)
                              THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM run LEFT JOIN closing ON source IS NOT DISTINCT FROM closing_source
 """,

@@ -225,7 +225,28 @@ def test_mix_takes_random_documents_in_proportion(spark):
     chance = b[0]["target"] / b[0]["source_size"]
     for low in range(0, 50, 10):
         part = [r["taken"] > 0 for r in b if low < r["size"] <= low + 10]
-        assert abs(sum(part) / len(part) - chance) < 0.09
+        # Longer documents are favoured, as the operator states.
+        sizes = [r["size"] for r in b]
+        mean = sum(mean_favour(n) * n for n in sizes) / sum(sizes)
+        want = [chance * mean_favour(n) / mean for n in sizes if low < n <= low + 10]
+        assert abs(sum(part) / len(part) - sum(want) / len(want)) < 0.09
+
+
+def mean_favour(size):
+    return 1000 * size // (size + 100)
+
+
+@pytest.mark.parametrize("share", [0.75, 1.5])
+def test_mix_with_a_third_of_equal_rows(spark, share):
+    """Null ids, equal texts and sizes: the target is met, not passed by a group."""
+    rows = [(None, "one two three", None, "a", 0)] * 2000 + [(i, "w " * 30, None, "b", 0) for i in range(700)] + [(7, "x y", None, None, 0)] * 300
+    found = dicts(mixing.taken(spark.createDataFrame(rows, SCHEMA).repartition(7), mixing.Mix(share=share)))
+    assert len(found) == 3000 and all(r["taken"] <= 2 * r["size"] for r in found)
+    for size, largest in ((6000, 3), (21000, 30), (600, 2)):
+        own = [r for r in found if r["source_size"] == size]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= largest
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert mixing.mixed(docs, mixing.Mix(share=share)).filter("source = 'a'").count() * 3 == sum(r["taken"] for r in found if r["source_size"] == 6000)
 
 
 def test_mix_rows(docs, rows, empty):
@@ -311,6 +332,35 @@ def test_shards(docs, rows, empty, tmp_path):
     assert sharding.sharded(empty).count() == 0
 
 
+def test_a_third_of_all_rows_under_one_key_is_spread(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(5, "t" * rng.randint(0, 60), None, None, 0) for _ in range(1000)] + [(None, "same text", None, None, 0)] * 500
+    rows += [(100 + i, "t" * rng.randint(0, 60), None, None, 0) for i in range(1500)]
+    docs, path = spark.createDataFrame(rows, SCHEMA), str(tmp_path / "map")
+    found = dicts(sharding.sharded(docs, 24, path, grow=True))
+    loads, moved = collections.Counter(), 0
+    for r in found:
+        loads[r["shard"]] += r["size"]
+        moved += r["shard"] != r["next_shard"]
+    mean = sum(loads.values()) / 24
+    assert len(found) == 3000 and max(loads.values()) < 1.1 * mean and min(loads.values()) > 0.9 * mean
+    assert 0 < moved < 0.15 * 3000 and {r["next_shard"] for r in found} == set(range(25))
+    for shard in range(24):
+        places = sorted(r["slot"] for r in found if r["shard"] == shard)
+        assert places == list(range(len(places)))
+
+
+def test_a_stored_map_is_used_again(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "t" * (i % 40), None, None, 0) for i in range(3000)], SCHEMA)
+    path = str(tmp_path / "map")
+    first = {r["doc_id"]: r["shard"] for r in dicts(sharding.sharded(docs, 8, path))}
+    more = docs.unionAll(spark.createDataFrame([(3000 + i, "new", None, None, 0) for i in range(300)], SCHEMA))
+    again = {r["doc_id"]: r["shard"] for r in dicts(sharding.sharded(more, 8, path))}
+    assert sum(again[i] != shard for i, shard in first.items()) < 300  # only edits
+    versions = {r[0] for r in spark.read.parquet(path).select("version").distinct().collect()}
+    assert versions == {0, 1}
+
+
 def test_rebalancing_moves_few_slots():
     rng = random.Random(7)
     loads = {slot: rng.randint(50, 150) for slot in range(1000)}
@@ -419,7 +469,8 @@ def test_packed_documents(docs, rows, empty):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
+    signed = lambda text: (xxhash.xxh64_intdigest(text.encode(), 42) + 2**63) % 2**64 - 2**63
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1] or "")))
     start, want = 0, []
     for doc_id, text, *_ in order:
         ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
@@ -434,7 +485,6 @@ def test_pieces_encode_like_whole_texts():
     from tokenizers import Tokenizer
 
     tokenizer, rng = Tokenizer.from_file(TOKENIZER), random.Random(11)
-    tokenizer.encode_special_tokens = True
     alphabet = ["a", "B", "'s", "1", " ", " ", "  ", "\n", "\t", " ", "\x1c", "\x85", "\xa0", "\r\n", "é", "漢", "🙂", "…", "<|endoftext|>", "​"]
     texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 30))) for _ in range(3000)]
     encoder = bitpack.PieceEncoder(TOKENIZER)
@@ -452,6 +502,21 @@ def test_token_counts(docs, rows, empty):
     assert separators.token_counts(empty, RANKS, PATTERN, 50_256).count() == 0
 
 
+def test_long_runs_of_white_space(spark):
+    """Two million blanks and line ends, and a text of nine megabytes."""
+    texts = [" " * 2_000_000, "\n" * 2_000_000, "a" + " \n" * 1_000_000 + "b", "words and more words " * 450_000, "<|endoftext|> x", ""]
+    docs = spark.createDataFrame([(i, x, "en", "s", len(x)) for i, x in enumerate(texts)], SCHEMA).repartition(3)
+    flat = {r.doc_id: r.n_tokens for r in separators.token_counts(docs, RANKS, PATTERN, 50_256).collect()}
+    both = {r.doc_id: r.n_tokens for r in byte_bpe.round_trip(docs, RANKS, PATTERN).collect()}
+    assert flat == both
+    packed = {r.doc_id: r.n_tokens for r in bitpack.packed(docs, TOKENIZER, 50_257, 2).collect()}
+    assert len(packed) == 6 and packed[5] == 1 and packed[4] == 3  # the added token, " x" and the end
+    assert {r.doc_id: r.size for r in mixing.taken(docs).collect()}[3] == 1_800_000
+    assert sharding.sharded(docs, 3).count() == fingerprints.fingerprints(docs).count() == 6
+    assert simhash_dedup.component_ids(docs).count() == outliers.judged(docs).count() == 6
+    assert chunks.shared_passages(docs).count() == 0
+
+
 @pytest.mark.parametrize("block", [1, 2, 7, 64, 1000])
 def test_scan_over_blocks(spark, tmp_path, block):
     rng, want = random.Random(12), []
