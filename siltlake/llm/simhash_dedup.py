@@ -17,9 +17,11 @@ and fingerprints that agree in all of them meet in a cell.
   number follows from the recall asked for.
 
 Copies are one fingerprint from the start. A cell of very many different
-fingerprints is cut into blocks, and every two blocks meet in a task of their
-own: all members are compared, none is dropped, and a task emits at most one
-link for each member it holds.
+fingerprints is dealt out once more, by tables over the bits that its own table
+leaves out, in which the same argument holds: pairs within the radius meet there.
+What is left in one cell is cut into blocks, and every two blocks meet in a task
+of their own: all members are compared, none is dropped, and a task emits at most
+one link for each member it holds.
 """
 
 from __future__ import annotations
@@ -42,6 +44,9 @@ SEED = 42
 # Members of a cell that one task compares with each other.
 CELL = 128
 PIVOTS = 16
+# Members from which a cell is dealt out once more, for radii up to MOST_REFINED
+# (the tables that takes grow with the square of the radius).
+HOT_CELL, MOST_REFINED = 64 * CELL, 4
 
 
 # Fingerprints
@@ -155,6 +160,14 @@ class PivotTables:
             out[:, i] = (distances * factors[:-1]).sum(axis=1, dtype=np.uint64) + factors[-1]
         return out.view(np.int64)
 
+    def refined(self, table: int) -> PivotTables:
+        """Tables for the members of one cell of a table: over its bits and every
+        two blocks of the others."""
+        own = self.masks[table]
+        blocks = np.array_split(np.setdiff1d(np.arange(self.width), own), self.radius + 2)
+        masks = [np.concatenate([own, *pair]) for pair in itertools.combinations(blocks, 2)]
+        return PivotTables(self.width, self.radius, masks, self.seed + 1000 * (table + 1))
+
     def coordinates(self, prints: np.ndarray) -> np.ndarray:
         """Distances to the references that all fingerprints share."""
         rng = np.random.default_rng(self.seed + 1)
@@ -210,7 +223,17 @@ def near_links(prints: DataFrame, tables: PivotTables) -> DataFrame:
                 cells = tables.cells(as_words(held))
                 n = len(tables.masks)
                 fps = pa.array([x for x in held for _ in range(n)], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(cells.ravel()), fps], ["cell", "fp"])
+                yield pa.RecordBatch.from_arrays([pa.array(cells.ravel()), pa.array(np.tile(np.arange(n, dtype=np.int32), len(held))), fps], ["cell", "tab", "fp"])
+
+    def deal_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, tabs = batch.column("fp").to_pylist(), batch.column("tab").to_numpy()
+            for tab in np.unique(tabs):
+                held = [fps[i] for i in np.flatnonzero(tabs == tab)]
+                finer = tables.refined(int(tab))
+                cells, n = finer.cells(as_words(held)), len(finer.masks)
+                again = pa.array([x for x in held for _ in range(n)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(cells.ravel()), pa.array(np.full(len(again), tab, np.int32)), again], ["cell", "tab", "fp"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[tuple] = []
@@ -229,16 +252,30 @@ def near_links(prints: DataFrame, tables: PivotTables) -> DataFrame:
                     pairs = [[fps[i] for i in a], [fps[i] for i in b]]
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in pairs], ["a", "b"])
 
-    dealt = prints.select("fp").mapInArrow(deal, "cell bigint, fp binary")
-    sizes = stored(dealt.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1"), "cells")
-    blocks = F.ceil(F.col("n") / CELL).cast("int")
-    own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
-    met = dealt.join(sizes, "cell").select(
-        "cell", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
-    )
-    keys = ["cell", "lo", "hi"]
-    cut = met.select("cell", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "fp")
-    return cut.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a binary, b binary")
+    def within(members: DataFrame, sizes: DataFrame) -> DataFrame:
+        blocks = F.ceil(F.col("n") / CELL).cast("int")
+        own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
+        met = members.drop("tab").join(sizes.drop("tab"), "cell").select(
+            "cell", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+        )
+        keys = ["cell", "lo", "hi"]
+        cut = met.select("cell", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "fp")
+        return cut.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a binary, b binary")
+
+    def counted(members: DataFrame) -> DataFrame:
+        # A cell is of one table, but for a meeting of hashes.
+        sizes = members.groupBy("cell").agg(F.count("*").alias("n"), F.min("tab").alias("tab"), F.max("tab").alias("last"))
+        return stored(sizes.filter("n > 1"), "cells")
+
+    shape = "cell bigint, tab int, fp binary"
+    dealt = prints.select("fp").mapInArrow(deal, shape)
+    sizes = counted(dealt)
+    hot = sizes.filter((F.col("n") > HOT_CELL) & (F.col("tab") == F.col("last")))
+    if tables.radius > MOST_REFINED or hot.isEmpty():
+        return within(dealt, sizes)
+    cool = sizes.filter((F.col("n") <= HOT_CELL) | (F.col("tab") != F.col("last")))
+    finer = dealt.join(hot.select("cell"), "cell", "left_semi").mapInArrow(deal_again, shape)
+    return within(dealt, cool).unionAll(within(finer, counted(finer)))
 
 
 # Groups
@@ -263,7 +300,7 @@ class SimHash:
         return PivotTables(self.width, self.radius, masks)
 
 
-# Shingles of five words. At a Jaccard similarity of 0.8 their sets have a cosine
+# For similarities of words instead of bits: shingles of five. At a Jaccard similarity of 0.8 their sets have a cosine
 # of 0.889, so that 39 of 256 bits are expected to differ, give or take 6; the
 # radius leaves room for that.
 FIVE_WORDS = SimHash(shingle=5, width=256, radius=45, distinct=True, recall=0.95)
@@ -297,9 +334,9 @@ def component_ids(docs: DataFrame, method: SimHash = SimHash()) -> DataFrame:
     return rows.join(least, "group").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, method: SimHash = FIVE_WORDS) -> DataFrame:
-    """One row of each group, with all its columns: that of the smallest doc_id
-    (nulls last), of rows with equal ids any one. Texts without words (null
+def keep_one(docs: DataFrame, method: SimHash = SimHash()) -> DataFrame:
+    """One row of each group that ``component_ids`` finds, with all its columns:
+    that of the smallest doc_id (nulls last), of rows with equal ids any one. Texts without words (null
     ones too) are copies of each other."""
     rows = stored(
         docs.select(

@@ -164,7 +164,8 @@ def test_near_copies_of_five_word_shingles(spark):
     changed = [[rng.choice(words) if rng.random() < 0.015 else w for w in t] for t in texts]
     other = [t[:100] + rng.choices(words, k=100) for t in texts[:20]]
     rows = [(i, " ".join(t), None, None, None) for i, t in enumerate(texts + changed + other)]
-    kept = {r.doc_id for r in simhash_dedup.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()}
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = {r.doc_id for r in simhash_dedup.keep_one(docs, simhash_dedup.FIVE_WORDS).collect()}
 
     def jaccard(a, b):
         x, y = ({tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (a, b))
@@ -175,6 +176,41 @@ def test_near_copies_of_five_word_shingles(spark):
     assert sum(60 + i in kept for i in near) <= 0.05 * len(near)
 
 
+@pytest.mark.parametrize("hot", [4, 10**6])
+def test_links_of_a_hot_cell(spark, monkeypatch, hot):
+    """Fingerprints that agree in half of their bits, against all pairs."""
+    monkeypatch.setattr(simhash_dedup, "HOT_CELL", hot)
+    rng = random.Random(8)
+    prints = {0x0123456700000000 | rng.getrandbits(12) for _ in range(150)} | {rng.getrandbits(64) for _ in range(50)}
+    near = lambda a, b: (a ^ b).bit_count() <= 2
+    parent = {x: x for x in prints}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(prints), 2):
+        if near(a, b):
+            a, b = sorted((find(a), find(b)))
+            parent[b] = a
+    df = spark.createDataFrame([(x.to_bytes(8, "big"),) for x in prints], "fp binary")
+    rows = simhash_dedup.with_groups(stored(df, "fps")).collect()
+    groups = collections.defaultdict(set)
+    for r in rows:
+        groups[bytes(r["group"])].add(int.from_bytes(r.fp, "big"))
+    want = collections.defaultdict(set)
+    for x in prints:
+        want[find(x)].add(x)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+
+
+def test_keep_one_keeps_the_first_of_each_component(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    components_of = {r.component_id for r in simhash_dedup.component_ids(docs).collect()}
+    assert {r.doc_id for r in simhash_dedup.keep_one(docs).collect()} == components_of
+
+
 def test_keep_one_keeps_whole_rows(docs, rows):
     kept = simhash_dedup.keep_one(docs)
     assert kept.columns == docs.columns
