@@ -1,13 +1,17 @@
 """Substring dedup by content-defined chunks.
 
 A gear hash rolls over the bytes of a text. Where it falls below a threshold
-behind white space, a chunk ends, so the chunks of a passage depend on the
-passage alone: text inserted before it shifts them but doesn't change them.
-From the start of each chunk, short ones too, a stretch of some words is an
-anchor; anchors that several documents hold are found by digest. Anchors that lie
-alike in two documents and touch are united, and the texts of both compared
-outward from there, word by word. What they share is a passage, which is removed
-from all documents but the first.
+before a word, there is a cut, so the cuts of a passage depend on the passage
+alone: text inserted before it shifts them but doesn't change them. A chunk goes
+from a cut to the first cut that is some words later, so its length varies and
+chunks overlap; both its ends are set by content. Chunks that several documents
+hold are found by digest. Those that lie alike in two documents and touch are
+united, and the texts of both compared outward from there, word by word. What they
+share is a passage, which is removed from all documents but the first.
+
+Words are separated by white space. Scripts that have none count each character as
+a word (U+3000 to U+9FFF, Thai), and a word ends behind ``;``, ``{`` and ``}``, so
+that code without blanks has words too.
 """
 
 from __future__ import annotations
@@ -24,23 +28,29 @@ from pyspark.sql import functions as F
 from siltlake.llm.common import stored, unpack, utf8, whole_row
 
 SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+# Bytes that begin a character of three bytes which is a word, the
+# byte that does so before some second bytes (Thai), and bytes that end a word.
+WIDE = np.isin(np.arange(256), range(0xE3, 0xEA))
+THAI, THAI_SECOND = 0xE0, np.isin(np.arange(256), [0xB8, 0xB9])
+STOPS = np.isin(np.arange(256), list(b";{}"))
 # Fixed value: documents without an id are one document, the last.
 NO_ID = 2**63 - 1
 
 
 @dataclass(frozen=True)
 class Chunking:
-    """A chunk ends behind one word in ``words`` on average, and after
-    ``most_bytes`` at the latest. The hash sees ``window`` bytes. An anchor is
-    the ``run_words`` words from the start of a chunk, so a passage is found if a
-    chunk starts in it so many words before its end: one of 51 words is missed by
-    chance of about (1 - 1 / words) ^ 32, a shorter one more often. Texts are
-    compared over ``reach`` words outward from the anchors."""
+    """There is a cut before one word in ``words`` on average, and after
+    ``most_bytes`` at the latest. The hash sees ``window`` bytes. A chunk ends at
+    the first cut ``run_words`` words behind its start or later. A passage is found
+    if a chunk lies in it: of 51 words, if the words before its first cut and those
+    from the thirteenth behind that to the next are not more than 38 (all but about
+    1 in 4,000); shorter ones are missed more often. Texts are compared over
+    ``reach`` words outward from the chunks."""
 
     words: int = 4
     most_bytes: int = 1024
     window: int = 16
-    run_words: int = 16
+    run_words: int = 13
     reach: int = 48
     seed: int = 5
 
@@ -58,12 +68,12 @@ def gear(data: np.ndarray, chunking: Chunking) -> np.ndarray:
 
 
 def cuts(data: bytes, chunking: Chunking) -> np.ndarray:
-    """Where chunks end: behind white space before a word, and at the end."""
+    """Where cuts are: before words but the first, and at the end."""
     raw = np.frombuffer(data, np.uint8)
     if not len(raw):
         return np.zeros(0, np.int64)
-    blank = SPACES[raw]
-    word_starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
+    word_starts = words_at(data)[0]
+    word_starts = word_starts[word_starts > 0]
     found = gear(raw, chunking)[word_starts - 1]
     ends = word_starts[found < np.uint32(2**32 // chunking.words)]
     ends = np.append(ends, len(raw))
@@ -84,7 +94,7 @@ def cuts(data: bytes, chunking: Chunking) -> np.ndarray:
 
 
 def anchor_rows(docs: DataFrame, chunking: Chunking, places: bool) -> DataFrame:
-    """(digest, id) of all anchors, with places also (part, start, stop).
+    """(digest, id) of all chunks, with places also (part, start, stop).
 
     The digest is 64 bits wide."""
     schema = "digest bigint, id bigint" + (", part bigint, start bigint, stop bigint" if places else "")
@@ -109,20 +119,36 @@ def anchor_rows(docs: DataFrame, chunking: Chunking, places: bool) -> DataFrame:
 
 
 def words_at(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Where the words of a text start and end."""
-    blank = np.concatenate([[True], SPACES[np.frombuffer(data, np.uint8)], [True]])
-    return np.flatnonzero(blank[:-1] & ~blank[1:]), np.flatnonzero(~blank[:-1] & blank[1:])
+    """Where the words of a text start and end. What a word is depends on its own
+    bytes and the one before, so a part of a text has the same words."""
+    raw = np.frombuffer(data, np.uint8)
+    blank = np.concatenate([[True], SPACES[raw], [True]])
+    begin, end = blank[:-1] & ~blank[1:], ~blank[:-1] & blank[1:]
+    wide = WIDE[raw]
+    wide[:-1] |= (raw[:-1] == THAI) & THAI_SECOND[raw[1:]]
+    split = np.zeros(len(raw) + 1, bool)
+    split[:-1] = wide
+    split[3:] |= wide[: max(0, len(raw) - 2)]
+    split[1:] |= STOPS[raw]
+    if split.any():
+        inside = ~blank[:-1] & ~blank[1:]
+        begin, end = begin | (split & inside), end | (split & inside)
+    return np.flatnonzero(begin), np.flatnonzero(end)
+
+
+def words_in(data: bytes) -> list[bytes]:
+    return [data[a:b] for a, b in zip(*(x.tolist() for x in words_at(data)))]
 
 
 def anchors(data: bytes, chunking: Chunking) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of the anchors of a text."""
+    """Start and end of the chunks of a text."""
     begins, ends = words_at(data)
-    whole = len(begins) - chunking.run_words + 1
-    if whole <= 0:
+    if len(begins) < chunking.run_words:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    first = np.union1d([0], np.searchsorted(begins, cuts(data, chunking)))
-    first = first[first < whole]
-    return begins[first], ends[first + chunking.run_words - 1]
+    places = np.union1d([0], np.searchsorted(begins, cuts(data, chunking)))  # the last one is behind all words
+    last = np.searchsorted(places, places + chunking.run_words)
+    first = places[last < len(places)]
+    return begins[first], ends[places[last[: len(first)]] - 1]
 
 
 def _margins(docs: DataFrame, edges: DataFrame, chunking: Chunking) -> DataFrame:
@@ -163,11 +189,11 @@ def widened(data: bytes, spans: list[dict]) -> list[tuple[int, int, int, int, in
     found = []
     for span in spans:
         i, j = np.searchsorted(begins, [span["start"], span["stop"]]).tolist()
-        for word in reversed(span["before"].split()):
+        for word in reversed(words_in(span["before"])):
             if not i or data[edges[i - 1] : ends[i - 1]] != word:
                 break
             i -= 1
-        for word in span["behind"].split():
+        for word in words_in(span["behind"]):
             if j == len(ends) or data[edges[j] : ends[j]] != word:
                 break
             j += 1
@@ -186,9 +212,9 @@ def passages(docs: DataFrame, chunking: Chunking = Chunking()) -> DataFrame:
     an earlier document holds too, in bytes of UTF-8.
 
     ``docs`` has id, part (a hash of the text) and text. ``first_id`` is the first
-    document that holds an anchor of the passage; the whole passage stands in it,
+    document that holds a chunk of the passage; the whole passage stands in it,
     word for word. Passages of different documents may overlap. ``n_chunks``
-    counts the anchors. What one document repeats, and no other has, is not shared.
+    counts the chunks. What one document repeats, and no other has, is not shared.
     """
     digests = anchor_rows(docs, chunking, places=False)
     shared = stored(
@@ -202,7 +228,7 @@ def passages(docs: DataFrame, chunking: Chunking = Chunking()) -> DataFrame:
     placed = found.filter("first_id < id").join(origin, "digest").withColumn("shift", F.col("start") - F.col("first_start"))
     along = ["id", "part", "first_id", "first_part", "shift"]
     own = Window.partitionBy(*along).orderBy("start")
-    # Repeated rows give each anchor again.
+    # Repeated rows give each chunk again.
     rows = placed.withColumn("again", F.lag("start").over(own)).filter("again IS NULL OR again <> start")
     begins = F.coalesce(F.col("start") > F.lag("stop").over(own), F.lit(True)).cast("int")
     runs = rows.withColumn("begins", begins)

@@ -717,6 +717,45 @@ def test_chunks_resist_insertions():
         assert ends == sorted(set(ends)) and (not data or ends[-1] == len(data))
 
 
+def test_chunks_go_from_cut_to_cut():
+    """A chunk is the same wherever its words stand, and both ends are cuts."""
+    rng, chunking = random.Random(16), chunks.Chunking()
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(1, 8))) for _ in range(600)]
+    text = " ".join(words).encode()
+    spans = lambda data: list(zip(*(x.tolist() for x in chunks.anchors(data, chunking))))
+    lengths = [len(text[a:b].split()) for a, b in spans(text)]
+    assert min(lengths) >= chunking.run_words and len(set(lengths)) > 5
+    cuts = {0, *chunks.cuts(text, chunking).tolist()}
+    assert all(a in cuts and (b + 1 in cuts or b == len(text)) for a, b in spans(text))
+    moved = b"in front " + text[:2000] + b" between " + text[2000:]
+    whole, other = ({data[a:b] for a, b in spans(data)} for data in (text, moved))
+    assert len(whole & other) > 0.85 * len(whole)
+
+
+def test_texts_without_blanks_have_words():
+    assert chunks.words_in("漢字kana、ไทย x;y{z} a;".encode()) == [x.encode() for x in "漢|字|kana|、|ไ|ท|ย|x;|y{|z}|a;".split("|")]
+    rng = random.Random(17)
+    for _ in range(300):  # a part of a text has the words of the whole
+        data = "".join(rng.choices("a b;{漢字ไé🙂\n", k=30)).encode()
+        starts, ends = chunks.words_at(data)
+        i, j = sorted(rng.choices(range(len(starts)), k=2)) if len(starts) else (0, -1)
+        assert chunks.words_in(data[starts[i] : ends[j]] if len(starts) else b"") == [data[a:b] for a, b in zip(starts[i : j + 1], ends[i : j + 1])]
+
+
+@pytest.mark.parametrize("kind", ["han", "thai", "code"])
+def test_passages_of_texts_without_blanks(spark, kind):
+    rng = random.Random(18)
+    letter = {"han": range(0x4E00, 0x9F00), "thai": range(0xE01, 0xE2F), "code": range(97, 123)}[kind]
+    unit = lambda: "".join(chr(rng.choice(letter)) for _ in range(1 if kind != "code" else 9)) + (";" if kind == "code" else "")
+    text = lambda n: "".join(unit() for _ in range(n))
+    passage = text(80)
+    rows = [(1, text(60) + passage + text(60), None, None, 0), (2, text(90) + passage + text(40), None, None, 0), (3, text(300), None, None, 0)]
+    found = dicts(chunks.shared_passages(spark.createDataFrame(rows, SCHEMA)))
+    assert [(r["doc_id"], r["first_doc_id"]) for r in found] == [(2, 1)] and abs(found[0]["n_words"] - 80) <= 2
+    left = {r.doc_id: r.text for r in chunks.without_passages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(left[2]) < len(rows[1][1]) - 0.9 * len(passage) and left[3] == rows[2][1]
+
+
 def test_passages_are_found_and_removed(docs, rows, empty):
     found = dicts(chunks.shared_passages(docs))
     assert {(r["doc_id"], r["first_doc_id"]) for r in found} == {(10, 9), *((i, 0) for i in range(30, 35))}
@@ -790,7 +829,8 @@ def test_whole_passages_of_51_words_are_found(spark, letters, size):
         rows.append((10_000 + i, clean[10_000 + i].replace("\n", f"\n{p} "), None, None, 0))
     df = stored(spark.createDataFrame(rows, SCHEMA), "recall")
     found = dicts(chunks.shared_passages(df))
-    assert {(r["doc_id"], r["first_doc_id"]) for r in found} == {(10_000 + i, i) for i in range(1500)}
+    got, want = {(r["doc_id"], r["first_doc_id"]) for r in found}, {(10_000 + i, i) for i in range(1500)}
+    assert got <= want and len(want - got) <= 2  # 1 in 4,000 has no chunk, as the operator states
     assert sum(r["n_words"] == 51 for r in found) >= 1495
     left = {r.doc_id: r.text for r in chunks.without_passages(df).collect()}
     assert sum(left[i] == x for i, x in clean.items()) >= 1495
