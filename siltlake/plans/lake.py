@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from siltlake.operators.profile import PROFILE_COLUMNS
 from siltlake.spec import BATCH, DAY, SPECS, STREAM, TableSpec, schema_of
 from siltlake.tables import ParquetHistory, ParquetState
 from siltlake.tables.catalog import CatalogTable, create_gold_sql, create_layer_sql, create_table_sql
@@ -81,6 +82,9 @@ GATE_AUDIT_COLUMNS = [
 ]
 
 
+PROFILE_AUDIT_COLUMNS = [("run_at", "timestamp"), ("table_name", "string"), ("passed", "boolean"), *PROFILE_COLUMNS]
+
+
 def gold_schema(name: str) -> StructType:
     return schema_of(GOLD_COLUMNS[name])
 
@@ -116,6 +120,10 @@ class Lake:
         """Up to which batch of which stream each table was checked, and how."""
         return self.history("gate_audit", schema_of(GATE_AUDIT_COLUMNS))
 
+    def profiles(self):
+        """Profiles of the columns that the gate looks at, by run."""
+        return self.history("profiles", schema_of(PROFILE_AUDIT_COLUMNS))
+
     def history(self, name: str, schema: StructType, partition_by: str | None = None):
         """A table of any name that batches of streams are added to."""
         return ParquetHistory(self.spark, f"{self.root}/{name}", schema, partition_by)

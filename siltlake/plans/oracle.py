@@ -395,4 +395,13 @@ FROM daily d LEFT JOIN best b USING (date_key)
 UNION ALL SELECT 'product', product_id::VARCHAR, total_orders, total_revenue, unique_customers, NULL, NULL FROM product_totals
 UNION ALL SELECT 'user', user_id::VARCHAR, total_orders, total_spent, n, avg_order_value, NULL
 FROM user_totals JOIN every_order USING (user_id)""",
+    "batch_profile": f"""WITH {CHANGES},
+x AS (SELECT late, CASE WHEN NOT (late = 1 AND _position % 3 = 0) THEN total_amount END AS total_amount, quantity, status FROM ch)
+SELECT late AS batch, 'total_amount' AS "column", count(*) AS "rows", count(*) FILTER (total_amount IS NULL) AS nulls,
+       min(total_amount) AS low, max(total_amount) AS high FROM x GROUP BY late
+UNION ALL SELECT late, 'quantity', count(*), count(*) FILTER (quantity IS NULL), min(quantity)::DOUBLE, max(quantity)::DOUBLE
+FROM x GROUP BY late
+UNION ALL SELECT late, 'status', count(*), count(*) FILTER (status IS NULL), NULL, NULL FROM x GROUP BY late""",
 }
+SQL["snapshot_diff_digest"] = SQL["snapshot_diff"]
+SQL["windowed_counts_late"] = SQL["windowed_op_counts"]

@@ -17,9 +17,10 @@ from siltlake.functions import classes, values
 from siltlake.operators import audit, quality
 from siltlake.operators.as_of import enrich_as_of as join_as_of
 from siltlake.operators.dedup import dedup_changes
-from siltlake.operators.diff import snapshot_diff
+from siltlake.operators.diff import diff_stored, snapshot_diff, write_snapshot
 from siltlake.operators.enrich import enrich, enrich_table
 from siltlake.operators.latest import latest_per_key, top_product_per_day
+from siltlake.operators.profile import profile
 from siltlake.operators.merge import HARD, LATE_IGNORED, SOFT, merge_changes, prepare_changes
 from siltlake.operators.route import TABLE_ROUTES, as_messages, route
 from siltlake.plans import feeds, gold
@@ -27,6 +28,7 @@ from siltlake.plans.incremental import OrderMarts
 from siltlake.plans.lake import Lake
 from siltlake.plans.layers import append_bronze, export_days, merge_new_bronze, state_at, upsert_silver
 from siltlake.plans.runs import run_gold, run_silver, run_silver_to_cut
+from siltlake.plans.windows import LateWindows
 from siltlake.session import scratch_path
 from siltlake.sources import drift, flat
 from siltlake.sources.envelope import parse_envelopes, unclaimed
@@ -301,6 +303,38 @@ def windowed_op_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register
+def windowed_counts_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Events in three batches that all hold early and late ones; two are settled
+    before the last one comes."""
+    lake, path = _lake(spark), scratch_path(spark, "landing")
+    events = feeds.events(spark, sf).select("event_id", "ts", "op")
+    kinds = {"tumbling": ("1 hour", None), "sliding": ("2 hours", "30 minutes")}
+    counts = {kind: LateWindows(lake, kind, "ts", *width, buckets=4) for kind, width in kinds.items()}
+    checkpoints = {kind: scratch_path(spark, "checkpoint") for kind in kinds}
+    for number in (2, 0, 1):
+        events.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == number).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(events.schema).parquet(path)
+        for kind, window in counts.items():
+            window.count(stream, checkpoints[kind]).awaitTermination()
+            if number == 0:
+                window.settle()
+    named = [window.read().withColumn("kind", F.lit(kind)) for kind, window in counts.items()]
+    return reduce(DataFrame.unionByName, named).select(
+        "kind", _millis("window_start").alias("start_ms"), _millis("window_end").alias("end_ms"), "op", "cnt"
+    )
+
+
+@register
+def batch_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Profiles of two batches of orders, a third of the amounts unknown in one."""
+    changes = feeds.order_changes(spark, sf)
+    gaps = (F.col("late") == 1) & (F.col(POSITION) % 3 == 0)
+    rows = changes.withColumn("total_amount", F.when(~gaps, F.col("total_amount")))
+    found = profile(rows, ["total_amount", "quantity", "status"], ["late"])
+    return found.select(F.col("late").alias("batch"), "column", "rows", "nulls", "low", "high")
+
+
 @register
 def quality_gate_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """A history with unreadable rows, missing keys and an unknown operation, and
@@ -471,8 +505,7 @@ def silver_merge_hard_delete(spark: SparkSession, sf: str) -> DataFrame:
     return _silver_rows(_merged(spark, sf, "late", HARD))
 
 
-@register
-def snapshot_diff_query(spark: SparkSession, sf: str) -> DataFrame:
+def _snapshots(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, Column]:
     """Live users by their last event, at mid month and at the end of it."""
     events = feeds.events(spark, sf).select(
         F.col("user_id").alias("id"),
@@ -487,8 +520,23 @@ def snapshot_diff_query(spark: SparkSession, sf: str) -> DataFrame:
     def snapshot(upto: DataFrame) -> DataFrame:
         return latest_per_key(upto).filter(F.col("op") != "d").select("id", "status", "value")
 
-    changes = snapshot_diff(snapshot(events.filter(F.col("ts_ms") < half)), snapshot(events), "id", half)
-    return changes.select("id", "status", "value", "op")
+    return snapshot(events.filter(F.col("ts_ms") < half)), snapshot(events), half
+
+
+@register
+def snapshot_diff_query(spark: SparkSession, sf: str) -> DataFrame:
+    before, after, half = _snapshots(spark, sf)
+    return snapshot_diff(before, after, "id", half).select("id", "status", "value", "op")
+
+
+@register
+def snapshot_diff_digest(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from stored snapshots, by digests of key ranges."""
+    before, after, half = _snapshots(spark, sf)
+    paths = [scratch_path(spark, "snapshot") for _ in range(2)]
+    for rows, path in zip((before, after), paths):
+        write_snapshot(rows, path, "id", 256)
+    return diff_stored(spark, *paths, "id", half).select("id", "status", "value", "op")
 
 
 def _same_instant(spark: SparkSession, sf: str, positions: bool) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from siltlake.operators.profile import PROFILE_COLUMNS, ShapeLimits, check_shape, distance, profile
 from siltlake.operators.quality import GateLimits, QualityGateError, check_gate, gate_metrics
 from siltlake.plans import gold
-from siltlake.plans.lake import GATE_AUDIT_COLUMNS, RUN_AUDIT_COLUMNS, Lake
+from siltlake.plans.lake import GATE_AUDIT_COLUMNS, PROFILE_AUDIT_COLUMNS, RUN_AUDIT_COLUMNS, Lake
 from siltlake.plans.layers import merge_new_bronze
 from siltlake.session import scratch_path, sized_session
 from siltlake.spec import DAY, SPECS, TableSpec, schema_of
@@ -168,10 +169,15 @@ def check_quality(
     lake: Lake,
     limits: GateLimits = GateLimits(),
     specs: Iterable[TableSpec] = tuple(SPECS.values()),
+    shapes: Mapping[str, Sequence[str]] | None = None,
+    shape_limits: ShapeLimits = ShapeLimits(),
 ) -> dict[str, dict]:
     """Gate metrics of the bronze batches, and quarantined messages, that no gate
     has passed yet; raises when a table is over its limits.
 
+    ``shapes`` names, by table, columns whose distribution is compared with that of
+    the last batches which passed; their profiles go to the table of profiles.
+
     What is checked, and how it ended, goes to the gate audit. A batch that did
     not pass is checked again, with those that came after it, however late.
     """
@@ -195,6 +201,20 @@ def check_quality(
             check_gate(metrics, limits)
         except QualityGateError as error:
             errors[name] = f"{name}: {error}"
+    shaped = {}
+    for spec in specs:
+        if (shapes or {}).get(spec.name) and found[spec.name]["rows"]:
+            rows = tables[spec.name].read_since(passed.get(spec.name, {}), marks[spec.name])
+            new = profile(rows, shapes[spec.name])
+            # A row for each column: written once, it is not computed again.
+            shaped[spec.name] = lake.spark.createDataFrame(new.collect(), schema_of(PROFILE_COLUMNS))
+            try:
+                check_shape(distance(shaped[spec.name], last_profile(lake, spec.name)), shape_limits)
+            except QualityGateError as error:
+                errors[spec.name] = f"{errors.get(spec.name, spec.name + ':')} {error}"
+    for name, new in shaped.items():
+        kept = new.select(F.lit(now).alias("run_at"), F.lit(name).alias("table_name"), F.lit(not errors).alias("passed"), "*")
+        lake.profiles().append(kept.coalesce(1))
     # Marts use all tables, so a batch has passed when all tables did.
     seen = [
         (now, name, stream, batch, not errors, errors.get(name))
@@ -208,6 +228,16 @@ def check_quality(
     return found
 
 
+def last_profile(lake: Lake, table: str) -> DataFrame:
+    """The profiles of a table's columns that passed last."""
+    names = [name for name, _ in PROFILE_COLUMNS]
+    profiles = lake.profiles()
+    if not profiles.exists():
+        return lake.spark.createDataFrame([], schema_of(PROFILE_AUDIT_COLUMNS)).select(*names)
+    rows = profiles.read().filter(F.col("passed") & (F.col("table_name") == table))
+    return rows.groupBy("column").agg(F.max_by(F.struct(*names), "run_at").alias("p")).select("p.*")
+
+
 def gated_marks(lake: Lake) -> dict[str, dict[str, int]]:
     """The last batch of each stream of each table that passed a gate."""
     audit = lake.gate_audit()

@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    BinaryType,
     BooleanType,
     DataType,
     DoubleType,
@@ -34,6 +35,7 @@ TYPES: dict[str, DataType] = {
     "string": StringType(),
     "boolean": BooleanType(),
     "timestamp": TimestampType(),
+    "binary": BinaryType(),
     "array<string>": ArrayType(StringType()),
     "map<string,string>": MapType(StringType(), StringType()),
 }

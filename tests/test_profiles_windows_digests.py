@@ -1,0 +1,141 @@
+"""Profiles and the gate on them, window counts with late events, diffs by digest."""
+
+import datetime as dt
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from siltlake.operators import diff
+from siltlake.operators.audit import windowed_op_counts
+from siltlake.operators.profile import ShapeLimits, distance, merged, n_distinct, profile
+from siltlake.operators.quality import GateLimits, QualityGateError
+from siltlake.plans.layers import append_bronze
+from siltlake.plans.runs import check_quality, last_profile
+from siltlake.plans.windows import LateWindows
+from siltlake.spec import ORDERS
+
+ANY = GateLimits(corrupt=1, null_key=1, unknown_op=1, quarantined=1)
+
+
+def orders(spark, amounts, start=0):
+    rows = [(start + i, 1, 1, 1, a, "s", 0, 0, "c", 1, None, start + i, None) for i, a in enumerate(amounts)]
+    schema = (
+        "id bigint, user_id bigint, product_id bigint, quantity int, total_amount double, status string, created_at bigint, "
+        "updated_at bigint, op string, ts_ms bigint, processed_at timestamp, _position bigint, _corrupt_record string"
+    )
+    return spark.createDataFrame(rows, schema).withColumn("processed_at", F.lit("2024-03-01").cast("timestamp"))
+
+
+# -- profiles ---------------------------------------------------------------------
+
+
+def test_profiles_of_parts_merge_to_that_of_the_whole(spark):
+    rng = np.random.default_rng(1)
+    amounts = [*rng.lognormal(3, 1, 4000).tolist(), *[None] * 500, float("nan"), float("inf")]
+    rows = orders(spark, amounts).withColumn("part", F.col("id") % 7)
+    whole = {r["column"]: r for r in profile(rows, ["total_amount", "status", "id"]).collect()}
+    parts = merged(profile(rows, ["total_amount", "status", "id"], ["part"]))
+    for r in parts.withColumn("d", n_distinct(F.col("distinct"))).collect():
+        one = whole[r["column"]]
+        assert (r["rows"], r["nulls"], r["low"], r["high"]) == (one["rows"], one["nulls"], one["low"], one["high"])
+        assert r["d"] == pytest.approx({"total_amount": 4002, "status": 1, "id": 4502}[r["column"]], rel=0.05)
+    assert whole["status"]["low"] is None and whole["total_amount"]["high"] < 1e9  # no number counts
+    at = parts.filter("column = 'total_amount'").select(F.kll_sketch_get_quantile_double("quantiles", F.lit(0.5))).first()[0]
+    finite = np.sort([a for a in amounts if a is not None and np.isfinite(a)])
+    assert abs(np.searchsorted(finite, at) / len(finite) - 0.5) < 0.02
+
+
+def shift_of(spark, a, b):
+    found = distance(profile(orders(spark, a), ["total_amount"]), profile(orders(spark, b), ["total_amount"])).first()
+    return found["shift"], found["nulls"]
+
+
+def test_distances(spark):
+    rng = np.random.default_rng(2)
+    a, b = rng.normal(0, 1, 3000).tolist(), rng.normal(0, 1, 3000).tolist()
+    moved = rng.normal(1, 1, 3000).tolist()
+    assert shift_of(spark, a, b)[0] < 0.06 and 0.3 < shift_of(spark, a, moved)[0] < 0.45  # 0.383 by theory
+    often = [0.0] * 2700 + a[:300]
+    assert shift_of(spark, often, [0.0] * 2600 + b[:400])[0] < 0.06  # ties are no shift
+    assert shift_of(spark, [None] * 10, a) == (None, 1.0)
+    assert shift_of(spark, [1.0, None], [1.0, 1.0])[1] == 0.5
+
+
+def test_a_shifted_batch_blocks_until_limits_allow_it(spark, lake):
+    rng = np.random.default_rng(3)
+    shapes = {"orders": ["total_amount"]}
+    gate = lambda **x: check_quality(lake, ANY, [ORDERS], shapes, **x)
+    for number, middle in enumerate((100, 100)):
+        append_bronze(lake.bronze(ORDERS), orders(spark, rng.normal(middle, 10, 1000).tolist(), 1000 * number), "s", number)
+        gate()
+    before = last_profile(lake, "orders").first()
+    append_bronze(lake.bronze(ORDERS), orders(spark, rng.normal(110, 10, 1000).tolist(), 5000), "s", 2)
+    with pytest.raises(QualityGateError, match="total_amount shifted by 0.3"):
+        gate()
+    assert last_profile(lake, "orders").first() == before  # what did not pass is no measure
+    append_bronze(lake.bronze(ORDERS), orders(spark, [None] * 1000, 9000), "s", 3)
+    with pytest.raises(QualityGateError, match="NULLs of total_amount"):
+        gate()
+    gate(shape_limits=ShapeLimits(shift=1, nulls=1))
+    assert last_profile(lake, "orders").first()["rows"] == 2000 and lake.profiles().counts()[0] == 5
+    append_bronze(lake.bronze(ORDERS), orders(spark, [5.0] * 20, 12000), "s", 4)
+    gate()  # too few rows to tell
+
+
+# -- windows ----------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("slide", [None, "15 minutes"])
+def test_counts_do_not_depend_on_the_order_of_arrival(spark, lake, tmp_path, slide):
+    rng = random.Random(4)
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    rows = [(start + dt.timedelta(minutes=rng.randint(0, 600)), rng.choice(["c", "u", None])) for _ in range(300)] + [(None, "c")]
+    schema = "ts timestamp, op string"
+    windows = LateWindows(lake, "w", "ts", "1 hour", slide, buckets=3)
+    path, checkpoint = str(tmp_path / "in"), str(tmp_path / "c")
+    rng.shuffle(rows)
+    for number in range(4):
+        spark.createDataFrame(rows[number::4], schema).write.mode("append").parquet(path)
+        windows.count(spark.readStream.schema(schema).parquet(path), checkpoint).awaitTermination()
+        if number % 2:
+            windows.settle()
+            windows.settle()  # nothing is added twice
+    want = windowed_op_counts(spark.createDataFrame(rows, schema), "ts", "1 hour", slide)
+    assert sorted(map(str, windows.read().collect())) == sorted(map(str, want.select(*windows.read().columns).collect()))
+
+
+def test_a_batch_that_comes_again_replaces_its_counts(spark, lake):
+    windows = LateWindows(lake, "w", "ts", "1 hour")
+    events = spark.createDataFrame([(dt.datetime(2024, 1, 1), "c")] * 3, "ts timestamp, op string")
+    for _ in range(2):
+        windows.parts.append(windowed_op_counts(events, "ts", "1 hour"), "s", 0)
+    assert [r["cnt"] for r in windows.read().collect()] == [3]
+
+
+# -- digests ----------------------------------------------------------------------
+
+
+def test_diffs_by_digest_equal_full_diffs(spark, tmp_path):
+    rng = random.Random(6)
+    value = lambda: rng.choice([None, "a", "b", ""])
+    old = {i: (value(), rng.choice([None, 1.5, 2.5])) for i in range(2000)}
+    new = dict(old)
+    for i in rng.sample(range(2000), 6):
+        new[i] = (new[i][1] and "changed", 9.0)
+    del new[77]
+    new[5000] = (None, None)
+    old[3], new[3] = ("a", None), (None, None)  # a NULL in another place
+    frame = lambda rows: spark.createDataFrame([(k, *v) for k, v in rows.items()], "id bigint, name string, x double")
+    paths = [str(tmp_path / x) for x in ("old", "new")]
+    diff.write_snapshot(frame(old).repartition(7), paths[0], "id", 512)
+    diff.write_snapshot(frame(new).repartition(3), paths[1], "id", 512)
+    got = diff.diff_stored(spark, *paths, "id", F.lit(9))
+    want = diff.snapshot_diff(frame(old), frame(new), "id", F.lit(9))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() == 9
+    changed = diff.changed_ranges(spark, *paths)
+    assert 0 < len(changed) <= 9
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [") == 2 and "_range" in plan.split("PartitionFilters: [")[1][:60]  # other folders are not read
+    assert diff.diff_stored(spark, paths[0], paths[0], "id", F.lit(9)).isEmpty()
