@@ -39,6 +39,9 @@ SLICE, BLOCK, DIFFERENT, RANGE = 1 << 20, 1 << 21, 1_500_000, 3_000_000
 # windows of so many characters, and phrases kept for each range.
 MOST_RANGES, SAMPLE_BYTES, WINDOW, PER_RANGE = 65_536, 1 << 25, 4096, 32
 
+# Parts that the phrases of a language are put in order in.
+PARTS = 64
+
 
 @dataclass(frozen=True)
 class Mining:
@@ -388,8 +391,12 @@ def collocations(docs: DataFrame, method: Mining = Mining()) -> DataFrame:
     )
 
     totals = counted.groupBy(F.col("lang").cast("string").alias("lang")).agg(F.sum("n").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase"))
-    best = free.withColumn("rank", rank).filter(F.col("rank") <= method.top)
+    # The first of each part of a language hold the first of all.
+    order = [F.desc("cut.score"), F.desc("a"), F.asc("phrase")]
+    rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    parted = free.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    first = parted.withColumn("rank", rank("lang", "part")).filter(F.col("rank") <= method.top).drop("part", "rank")
+    best = first.withColumn("rank", rank("lang")).filter(F.col("rank") <= method.top)
     return best.join(totals, "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score")
     )
