@@ -24,6 +24,40 @@ def recent_by_op(
     return rows.select(*columns) if columns else rows
 
 
+def recent_rows_bounded(history, n: int = 20, tie: str | None = None) -> DataFrame:
+    """``recent_rows`` of a stored history that is partitioned by day of arrival:
+    from the latest days that together have ``n`` rows. Older folders are not read."""
+    rows, left = history.read(), n
+    for day, (count, _) in sorted(((d, b) for d, b in history.bounds().items() if d is not None), reverse=True):
+        left -= count
+        if left <= 0:
+            rows = rows.filter(F.col(history.partition_by) >= day)
+            break
+    return recent_rows(rows, n, tie=tie)
+
+
+def recent_by_op_bounded(
+    history, op: str, n: int = 10, columns: Sequence[str] | None = None, tie: str | None = None
+) -> DataFrame:
+    """``recent_by_op`` of a stored history: days are read in the order of their
+    latest source time, twice as many each time, until the last row found is later
+    than all that is unread."""
+    unknown = float("-inf")
+    days = sorted(history.bounds().items(), key=lambda x: unknown if x[1][1] is None else x[1][1], reverse=True)
+    rows, take = history.read(), 1
+    while take < len(days):
+        chosen = [day for day, _ in days[:take]]
+        among = F.col(history.partition_by).isin([day for day in chosen if day is not None])
+        part = rows.filter(among | F.col(history.partition_by).isNull() if None in chosen else among)
+        found = recent_by_op(part, op, n, tie=tie)
+        count, least = found.agg(F.count(F.lit(1)), F.min("ts_ms")).first()
+        bound = days[take][1][1]
+        if count == n and least is not None and (bound is None or least > bound):
+            return found.select(*columns) if columns else found
+        take *= 2
+    return recent_by_op(rows, op, n, columns, tie)
+
+
 def _last_first(history: DataFrame, by: str, tie: str | None) -> list[Column]:
     """Rows of one batch share their arrival and ids repeat in a history, so
     ties are broken by position, source time and id, unless one is named."""

@@ -403,5 +403,10 @@ UNION ALL SELECT late, 'quantity', count(*), count(*) FILTER (quantity IS NULL),
 FROM x GROUP BY late
 UNION ALL SELECT late, 'status', count(*), count(*) FILTER (status IS NULL), NULL, NULL FROM x GROUP BY late""",
 }
+SQL["recent_rows_bounded"] = f"WITH {CHANGES}\n" + "\nUNION ALL ".join(
+    f"""SELECT * FROM (SELECT '{kind}' AS kind, id, op, ts_ms, _position FROM ch WHERE {where}
+  ORDER BY ts_ms DESC, _position DESC LIMIT {n})"""
+    for kind, where, n in [("all", "TRUE", 20), *((op, f"op = '{op}'", 10) for op in "cud")]
+)
 SQL["snapshot_diff_digest"] = SQL["snapshot_diff"]
 SQL["windowed_counts_late"] = SQL["windowed_op_counts"]

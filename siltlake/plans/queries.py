@@ -280,6 +280,19 @@ def recent_by_op(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@register
+def recent_rows_bounded(spark: SparkSession, sf: str) -> DataFrame:
+    """The last rows to arrive, and the last of each operation, from a stored
+    history of many days in two batches, of which the latest days are read."""
+    changes, table = feeds.order_changes(spark, sf), _lake(spark).bronze(ORDERS)
+    for number in (0, 1):
+        append_bronze(table, feeds.batch_of(changes, "late", number), "s", number)
+    columns = ["id", "op", "ts_ms", POSITION]
+    parts = [audit.recent_rows_bounded(table, 20, tie=POSITION).select(F.lit("all").alias("kind"), *columns)]
+    parts += [audit.recent_by_op_bounded(table, op, 10, [F.lit(op).alias("kind"), *columns], tie=POSITION) for op in classes.KNOWN_OPS]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register
 def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
     changes, orders = _changes(spark, sf), _silver_orders(spark, sf)

@@ -26,6 +26,8 @@ from siltlake.tables.files import Files
 
 # The stream of rows that are appended by hand, one batch after the other.
 BY_HAND = "by-hand"
+# Fixed value: the folder of rows without a partition value.
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
 class ConcurrentCommitError(RuntimeError):
@@ -55,8 +57,9 @@ class ParquetHistory:
 
     def _state(self) -> dict:
         """The schema, and for each stream its last batch, how many rows it and
-        those before it have, and the highest position: no work grows with the
-        number of batches."""
+        those before it have, the highest position, and the bounds of the last
+        batch's partitions (``bounds`` has those of all batches before): no work
+        grows with the number of batches."""
         found = self._files.read_json(f"{self.path}/_state.json")
         return found or {"schema": self.declared_schema.jsonValue(), "streams": {}}
 
@@ -85,23 +88,47 @@ class ParquetHistory:
         state = self._state()
         if stream is None:
             stream, batch = BY_HAND, state["streams"].get(BY_HAND, [-1])[0] + 1
-        last, last_rows, before, highest = [*state["streams"].get(stream, [-1, 0, 0]), None][:4]
+        last, last_rows, before, highest, last_bounds = [*state["streams"].get(stream, [-1, 0, 0]), None, {}][:5]
         schema = widen(StructType.fromJson(state["schema"]), df.schema)
         seen = Observation()
         position = F.max(POSITION) if POSITION in df.columns else F.max(F.lit(None).cast("bigint"))
-        writer = df.observe(seen, F.count(F.lit(1)).alias("rows"), position.alias("position")).write.mode("overwrite")
+        newest = F.max("ts_ms") if "ts_ms" in df.columns else F.max(F.lit(None).cast("bigint"))
+        counted = [F.count(F.lit(1)).alias("rows"), position.alias("position"), newest.alias("newest")]
+        writer = df.observe(seen, *counted).write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(self.partition_by)
         writer.parquet(self._folder(stream, batch))
         rows, position = seen.get["rows"], seen.get["position"]
         if batch > last:
             before += last_rows
+            state["bounds"] = _joined(state.get("bounds", {}), last_bounds)
         known = [p for p in (highest, position) if p is not None]
-        state["streams"][stream] = [batch, rows, before, max(known, default=None)]
+        bounds = self._partition_bounds(self._folder(stream, batch), rows, seen.get["newest"]) if self.partition_by else {}
+        state["streams"][stream] = [batch, rows, before, max(known, default=None), bounds]
         state["schema"] = schema.jsonValue()
         self._files.write_json(f"{self.path}/_state.json", state)
         return rows
 
+    def _partition_bounds(self, folder: str, rows: int, newest: int | None) -> dict[str, list]:
+        """Rows and latest source time of each partition of a batch. Most batches
+        arrive on one day, and were observed; others are counted by two columns."""
+        names = [name.split("=", 1)[1] for name in self._files.sizes(folder) if "=" in name]
+        if len(names) < 2:
+            return {name: [rows, newest] for name in names}
+        written = self.spark.read.parquet(folder)
+        latest = F.max("ts_ms") if "ts_ms" in written.columns else F.lit(None)
+        by = written.groupBy(F.col(self.partition_by).cast("string").alias("p")).agg(F.count(F.lit(1)).alias("n"), latest.alias("newest"))
+        return {HIVE_NULL if p is None else p: [n, t] for p, n, t in by.collect()}
+
+    def bounds(self) -> dict[str | None, tuple[int, int | None]]:
+        """Rows and latest source time of each partition, None being that of rows
+        without a value; as many numbers as there are partitions."""
+        state = self._state()
+        found = state.get("bounds", {})
+        for entry in state["streams"].values():
+            found = _joined(found, entry[4] if len(entry) > 4 else {})
+        return {None if name == HIVE_NULL else name: tuple(x) for name, x in found.items()}
+
     def has_applied(self, stream: str, batch: int) -> bool:
         """Whether the batch counts: its rows alone, left by a writer that died
         before it noted them, do not, and are overwritten by the next try."""
@@ -401,6 +428,15 @@ class ParquetState:
         return pointer["number"]
 
 
+def _joined(a: Mapping[str, list], b: Mapping[str, list]) -> dict[str, list]:
+    """Bounds of two sets of batches together."""
+    out = dict(a)
+    for name, (rows, newest) in b.items():
+        n, t = out.get(name, [0, None])
+        out[name] = [n + rows, max((x for x in (t, newest) if x is not None), default=None)]
+    return out
+
+
 def _no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
     """The filter lets the optimizer see that there are no rows."""
     return spark.createDataFrame([], schema).filter(F.lit(False))

@@ -139,3 +139,43 @@ def test_diffs_by_digest_equal_full_diffs(spark, tmp_path):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("PartitionFilters: [") == 2 and "_range" in plan.split("PartitionFilters: [")[1][:60]  # other folders are not read
     assert diff.diff_stored(spark, paths[0], paths[0], "id", F.lit(9)).isEmpty()
+
+
+# -- recent rows ------------------------------------------------------------------
+
+
+def _folders(df):
+    return {f.split("processed_day=")[1].split("/")[0] for (f,) in df.select(F.input_file_name()).distinct().collect()}
+
+
+def test_recent_rows_read_the_latest_days_only(spark, lake, monkeypatch):
+    from siltlake.operators import audit
+    from siltlake.plans.layers import append_bronze as append
+
+    def rows(day, n, start, ts):
+        df = orders(spark, [1.0] * n, start).withColumn("op", F.when(F.col("id") % 5 == 0, "d").otherwise("c"))
+        return df.withColumn("processed_at", F.lit(day).cast("timestamp")).withColumn("ts_ms", F.lit(ts) + F.col("id"))
+
+    bronze = lambda: lake.bronze(ORDERS)
+    for number, (day, ts) in enumerate([("2024-01-01", 0), ("2024-01-02", 50_000), ("2024-01-03", 2_000), ("2024-01-04", 3_000)]):
+        append(bronze(), rows(day, 12, 100 * number, ts), "s", number)
+    append(bronze(), rows("2024-01-04", 6, 300, 3_000), "s", 3)  # a batch that comes again
+    append(bronze(), rows("2024-01-03", 3, 700, 10).unionByName(rows(None, 2, 800, 5)), "t", 0)
+    assert bronze().bounds() == {
+        "2024-01-01": (12, 11), "2024-01-02": (12, 50_111), "2024-01-03": (15, 2_211), "2024-01-04": (6, 3_305), None: (2, 806)
+    }
+    seen = []
+    real = audit.recent_rows
+    monkeypatch.setattr(audit, "recent_rows", lambda df, *a, **k: (seen.append(_folders(df)), real(df, *a, **k))[1])
+    everything = real(bronze().read(), 20, tie="_position")
+    assert sorted(map(str, audit.recent_rows_bounded(bronze(), 20, tie="_position").collect())) == sorted(map(str, everything.collect()))
+    assert seen == [{"2024-01-03", "2024-01-04"}]
+    assert audit.recent_rows_bounded(bronze(), 500).count() == 47
+    whole = audit.recent_by_op
+    read = []
+    monkeypatch.setattr(audit, "recent_by_op", lambda df, *a, **k: (read.append(_folders(df)), whole(df, *a, **k))[1])
+    for op, n in (("d", 2), ("c", 9), ("c", 12), ("d", 400)):
+        got, want = audit.recent_by_op_bounded(bronze(), op, n, tie="_position"), whole(bronze().read(), op, n, tie="_position")
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        if n <= 9:
+            assert read[-1] == {"2024-01-02"}
