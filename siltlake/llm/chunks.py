@@ -67,12 +67,12 @@ def gear(data: np.ndarray, chunking: Chunking) -> np.ndarray:
     return out
 
 
-def cuts(data: bytes, chunking: Chunking) -> np.ndarray:
+def cuts(data: bytes, chunking: Chunking, begins: np.ndarray | None = None) -> np.ndarray:
     """Where cuts are: before words but the first, and at the end."""
     raw = np.frombuffer(data, np.uint8)
     if not len(raw):
         return np.zeros(0, np.int64)
-    word_starts = words_at(data)[0]
+    word_starts = words_at(data)[0] if begins is None else begins
     word_starts = word_starts[word_starts > 0]
     found = gear(raw, chunking)[word_starts - 1]
     ends = word_starts[found < np.uint32(2**32 // chunking.words)]
@@ -124,6 +124,8 @@ def words_at(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     raw = np.frombuffer(data, np.uint8)
     blank = np.concatenate([[True], SPACES[raw], [True]])
     begin, end = blank[:-1] & ~blank[1:], ~blank[:-1] & blank[1:]
+    if data.isascii() and not any(stop in data for stop in (b";", b"{", b"}")):
+        return np.flatnonzero(begin), np.flatnonzero(end)
     wide = WIDE[raw]
     wide[:-1] |= (raw[:-1] == THAI) & THAI_SECOND[raw[1:]]
     split = np.zeros(len(raw) + 1, bool)
@@ -145,7 +147,7 @@ def anchors(data: bytes, chunking: Chunking) -> tuple[np.ndarray, np.ndarray]:
     begins, ends = words_at(data)
     if len(begins) < chunking.run_words:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    places = np.union1d([0], np.searchsorted(begins, cuts(data, chunking)))  # the last one is behind all words
+    places = np.union1d([0], np.searchsorted(begins, cuts(data, chunking, begins)))  # the last one is behind all words
     last = np.searchsorted(places, places + chunking.run_words)
     first = places[last < len(places)]
     return begins[first], ends[places[last[: len(first)]] - 1]
