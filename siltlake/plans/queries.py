@@ -28,6 +28,7 @@ from siltlake.plans.incremental import OrderMarts
 from siltlake.plans.lake import Lake
 from siltlake.plans.layers import append_bronze, export_days, merge_new_bronze, state_at, upsert_silver
 from siltlake.plans.runs import run_gold, run_silver, run_silver_to_cut
+from siltlake.plans.seen import Seen, identity_of
 from siltlake.plans.windows import LateWindows
 from siltlake.session import scratch_path
 from siltlake.sources import drift, flat
@@ -633,6 +634,23 @@ def bronze_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return once.select("id", "op", "ts_ms", _millis(ARRIVAL).alias("arrived_ms"))
 
 
+@register
+def dedup_any_age(spark: SparkSession, sf: str) -> DataFrame:
+    """A history of 32 batches, of which the last two repeat others that came 30
+    batches before, by then under a later time of arrival."""
+    changes, table = _changes(spark, sf), _lake(spark).bronze(ORDERS)
+    seen = Seen(table, identity_of(ORDERS, positions=True), fan=2)
+    number = F.pmod(F.xxhash64(POSITION), F.lit(32))
+    again = changes.withColumn(ARRIVAL, F.col(ARRIVAL) + F.expr("INTERVAL 30 DAYS"))
+    for n in range(32):
+        own = changes.filter(number == n)
+        if 2 <= n < 30:
+            append_bronze(table, own, "s", n)
+        else:
+            seen.append_unseen(own if n < 2 else own.unionByName(again.filter(number == n - 30)), "s", n)
+    return table.read().select(*[name for name, _ in ORDERS.landing_columns], POSITION, _millis(ARRIVAL).alias("arrived_ms"))
+
+
 @register
 def raw_archive_counts(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "archive")

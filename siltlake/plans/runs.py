@@ -45,6 +45,7 @@ def run_cdc(
     max_files_per_trigger: int | None = MAX_FILES,
     archive_root: str | None = None,
     dedup_delay: str | None = None,
+    dedup_any_age: bool = False,
 ) -> dict[str, str | None]:
     """Take all new change files of each table into bronze and silver.
 
@@ -68,6 +69,7 @@ def run_cdc(
                     max_files_per_trigger=max_files_per_trigger,
                     archive=f"{archive_root}/{spec.name}" if archive_root else None,
                     dedup_delay=dedup_delay,
+                    dedup_any_age=dedup_any_age,
                 )
         except Exception as error:
             errors[spec.name] = str(error)

@@ -8,7 +8,7 @@ records that a source sends again within that time are dropped at the intake.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -22,6 +22,7 @@ from siltlake.operators.merge import LATE_WINS, SOFT
 from siltlake.operators.route import as_messages, route
 from siltlake.plans.lake import QUARANTINE_COLUMNS, Lake
 from siltlake.plans.layers import append_bronze, upsert_silver
+from siltlake.plans.seen import Seen, identity_of
 from siltlake.session import scratch_path
 from siltlake.sources.envelope import parse_envelopes, table_changes, unclaimed
 from siltlake.sources.flat import normalise, stream_changes
@@ -53,18 +54,21 @@ def ingest_files(
     archive: str | None = None,
     dedup_delay: str | None = None,
     merge_each_batch: bool = True,
+    dedup_any_age: bool = False,
 ) -> StreamingQuery:
     """Flat change files into bronze and silver, each file once.
 
     ``merge_each_batch=False`` leaves the merge to ``run_silver``, which rewrites
-    silver once for all batches since the last time.
+    silver once for all batches since the last time. With ``dedup_any_age`` records
+    that bronze has already are dropped, however long ago they came.
     """
+    identity = identity_of(spec, positions=True) if dedup_any_age else None
     raw = stream_changes(lake.spark, path, spec, max_files_per_trigger, archive)
     records = once(raw, raw.columns, dedup_delay)
 
     def take(batch: DataFrame, stream: str, number: int) -> None:
         changes = normalise(batch, spec, _now())
-        apply_batch(lake, spec, changes, stream, number, delete_mode, late_delete, merge_each_batch)
+        apply_batch(lake, spec, changes, stream, number, delete_mode, late_delete, merge_each_batch, identity)
 
     return _each_batch(records, take, checkpoint, trigger, f"ingest_{spec.name}")
 
@@ -78,11 +82,12 @@ def ingest_bronze(
     max_files_per_trigger: int | None = MAX_FILES,
     archive: str | None = None,
     dedup_delay: str | None = None,
+    dedup_any_age: bool = False,
 ) -> StreamingQuery:
     """Flat change files into bronze only."""
     return ingest_files(
         lake, spec, path, checkpoint, trigger=trigger, max_files_per_trigger=max_files_per_trigger,
-        archive=archive, dedup_delay=dedup_delay, merge_each_batch=False,
+        archive=archive, dedup_delay=dedup_delay, merge_each_batch=False, dedup_any_age=dedup_any_age,
     )
 
 
@@ -96,12 +101,14 @@ def ingest_messages(
     trigger: Trigger = AVAILABLE_NOW,
     dedup_delay: str | None = None,
     merge_each_batch: bool = True,
+    dedup_any_age: bool = False,
 ) -> StreamingQuery:
     """Enveloped messages of several tables into their bronze and silver tables.
 
     A batch is parsed once, into the shared scratch folder with one folder per
     table; each table then reads its own and decodes its images. What no table
-    takes goes to the quarantine table.
+    takes goes to the quarantine table. With ``dedup_any_age`` changes that bronze has
+    already, at whatever offset, are dropped, however long ago they came.
     """
     specs = list(specs)
     files = Files(lake.spark)
@@ -123,7 +130,8 @@ def ingest_messages(
 
             def apply_table(spec: TableSpec) -> None:
                 rows = table_changes(staged.filter(F.col("_table") == spec.name), spec)
-                apply_batch(lake, spec, rows, stream, number, delete_mode, late_delete, merge_each_batch)
+                identity = identity_of(spec, positions=False) if dedup_any_age else None
+                apply_batch(lake, spec, rows, stream, number, delete_mode, late_delete, merge_each_batch, identity)
 
             _side_by_side(lake, apply_table, [spec for spec in specs if spec.name in found])
             if UNCLAIMED in found:
@@ -145,15 +153,20 @@ def apply_batch(
     delete_mode: str = SOFT,
     late_delete: str = LATE_WINS,
     merge: bool = True,
+    identity: Sequence[str] | None = None,
 ) -> None:
     """One batch into bronze, then from its bronze files into silver.
 
     Silver reads the columnar files just written, so the batch is parsed once
-    and both layers see the same arrival time, also after a retry.
+    and both layers see the same arrival time, also after a retry. With
+    ``identity`` changes that bronze has by these columns are left out.
     """
     bronze, silver = lake.bronze(spec), lake.silver(spec)
     if not bronze.has_applied(stream, number):
-        append_bronze(bronze, changes, stream, number)
+        if identity is None:
+            append_bronze(bronze, changes, stream, number)
+        else:
+            Seen(bronze, identity).append_unseen(changes, stream, number)
     if merge:
         written = bronze.read_batch(stream, number)
         upsert_silver(silver, written, spec, _now(), delete_mode, late_delete, stream, number)
