@@ -328,7 +328,8 @@ WHERE CAST(make_timestamp(arrived_ms * 1000) AS DATE) = DATE '2024-01-15'""",
     "bronze_dedup": f"""WITH {CHANGES},
 twice AS (SELECT id, op, ts_ms, arrived_ms FROM ch UNION ALL SELECT id, op, ts_ms, arrived_ms + 86400000 FROM ch)
 SELECT id, op, ts_ms, min(arrived_ms) AS arrived_ms FROM twice GROUP BY id, op, ts_ms""",
-    "dedup_any_age": f"WITH {CHANGES} SELECT {BRONZE}, _position, arrived_ms FROM ch",
+    "dedup_any_age": f"""WITH {CHANGES}
+SELECT {BRONZE}, _position, epoch_ms(TIMESTAMP '2024-03-01 00:00:00') + (_position % 32) * 86400000 AS arrived_ms FROM ch""",
     "raw_archive_counts": f"""WITH {CHANGES}, x AS (SELECT make_timestamp(ts_ms * 1000) AS t, op FROM ch)
 SELECT strftime(t, '%Y') AS year, strftime(t, '%m') AS month, strftime(t, '%d') AS day,
        count(*) AS cnt, count(*) FILTER (op = 'd') AS deletes FROM x GROUP BY 1, 2, 3""",

@@ -636,18 +636,18 @@ def bronze_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def dedup_any_age(spark: SparkSession, sf: str) -> DataFrame:
-    """A history of 32 batches, of which the last two repeat others that came 30
-    batches before, by then under a later time of arrival."""
+    """A history of 32 batches, one a day, of which the last two repeat all rows of
+    the first two, 30 batches later."""
     changes, table = _changes(spark, sf), _lake(spark).bronze(ORDERS)
     seen = Seen(table, identity_of(ORDERS, positions=True), fan=2)
-    number = F.pmod(F.xxhash64(POSITION), F.lit(32))
-    again = changes.withColumn(ARRIVAL, F.col(ARRIVAL) + F.expr("INTERVAL 30 DAYS"))
+    number = F.col(POSITION) % 32
     for n in range(32):
-        own = changes.filter(number == n)
+        rows = changes.filter((number == n) | (number == n - 30))
+        came = rows.withColumn(ARRIVAL, _run_ts() + F.expr(f"INTERVAL {n} DAYS"))
         if 2 <= n < 30:
-            append_bronze(table, own, "s", n)
+            append_bronze(table, came, "s", n)
         else:
-            seen.append_unseen(own if n < 2 else own.unionByName(again.filter(number == n - 30)), "s", n)
+            seen.append_unseen(came, "s", n)
     return table.read().select(*[name for name, _ in ORDERS.landing_columns], POSITION, _millis(ARRIVAL).alias("arrived_ms"))
 
 
