@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltlake.functions.classes import is_active
+from siltlake.operators.feed import images, unpacked
 from siltlake.operators.latest import latest_per_key
 from siltlake.operators.partial import merge_partial, prepare_partial
 from siltlake.sources.drift import with_promoted
@@ -16,6 +17,8 @@ from siltlake.spec import ARRIVAL, AUDIT, BUCKET, POSITION, TableSpec
 
 SOFT, HARD = "soft", "hard"
 LATE_WINS, LATE_IGNORED = "win", "ignore"
+# All values of a row but its key and bucket, while it is merged.
+ROW = "_row"
 
 
 def prepare_changes(changes: DataFrame, spec: TableSpec, run_ts: Column) -> DataFrame:
@@ -60,6 +63,7 @@ def merge_latest(
     spec: TableSpec,
     delete_mode: str = SOFT,
     late_delete: str = LATE_WINS,
+    with_images: bool = False,
 ) -> DataFrame:
     """Merge prepared changes, one per key, into silver rows.
 
@@ -73,18 +77,22 @@ def merge_latest(
 
     Where values may have been left out, rows are merged column by column, in an
     order that no split of the changes alters; that has no hard mode.
+
+    With images, rows that are removed come too, and all stay packed for a feed.
     """
     if spec.placeholder is not None:
         if delete_mode == HARD:
             raise ValueError(f"{spec.name} has partial images: a row that was removed could not be completed later")
-        return merge_partial(target, latest, spec)
-    key = spec.key
-    old, new = target.alias("t"), latest.alias("s")
+        return merge_partial(target, latest, spec, with_images)
+    key, names = spec.key, spec.silver_schema().fieldNames()
+    rest = F.struct(*[name for name in names if name not in (key, BUCKET)]).alias(ROW)
+    old, new = (side.select(key, BUCKET, rest).alias(name) for side, name in ((target, "t"), (latest, "s")))
     same = (F.col(f"t.{key}") == F.col(f"s.{key}")) & (F.col(f"t.{BUCKET}") == F.col(f"s.{BUCKET}"))
-    return _resolve(old.join(new, same, "full_outer"), spec, delete_mode, late_delete)
+    rows = _resolve(old.join(new, same, "full_outer"), spec, delete_mode, late_delete)
+    return rows if with_images else unpacked(rows, names)
 
 
-def newer_sql(spec: TableSpec, late_delete: str = LATE_WINS) -> str:
+def newer_sql(spec: TableSpec, late_delete: str = LATE_WINS, sides: tuple[str, str] = ("s", "t")) -> str:
     """Whether change ``s`` is later than row ``t``, in the order that
     ``latest_per_key`` has: source time, position, deletes last.
 
@@ -100,29 +108,27 @@ def newer_sql(spec: TableSpec, late_delete: str = LATE_WINS) -> str:
         columns = [*[f"{side}.`{n}`" for n in names], f"({side}.op <=> 'd')", *[f"{side}.`{n}`" for n in others]]
         return f"struct({', '.join(columns)})"
 
-    known = "" if late_delete == LATE_IGNORED else "s.ts_ms >= t.ts_ms AND "
-    return f"coalesce({known}{order('s')} > {order('t')}, false)"
+    new, old = sides
+    known = "" if late_delete == LATE_IGNORED else f"{new}.ts_ms >= {old}.ts_ms AND "
+    return f"coalesce({known}{order(new)} > {order(old)}, false)"
 
 
 def _resolve(joined: DataFrame, spec: TableSpec, delete_mode: str, late_delete: str) -> DataFrame:
-    """Pick the surviving values of joined rows ``t`` (old) and ``s`` (new)."""
-    has_old = F.col(f"t.{spec.key}").isNotNull()
-    has_new = F.col(f"s.{spec.key}").isNotNull()
-    deletes = F.coalesce(F.col("s.op") == "d", F.lit(False))
-    marked: dict[str, Column] = {}
+    """Pick the surviving row of joined rows ``t`` (old) and ``s`` (new), each with
+    its values packed: one choice moves them all."""
+    has_old, has_new = F.col(f"t.{spec.key}").isNotNull(), F.col(f"s.{spec.key}").isNotNull()
+    mine, other = F.col(f"s.{ROW}"), F.col(f"t.{ROW}")
+    op = mine.getField("op")
+    deletes = F.coalesce(op == "d", F.lit(False))
+    kept = F.lit(True)
     if delete_mode == HARD:
-        joined = joined.filter(~(has_new & deletes))
-        replaces = F.coalesce(F.col("s.op") != "d", F.lit(False))
+        kept = ~(has_new & deletes)
+        replaces = F.coalesce(op != "d", F.lit(False))
     else:
-        replaces = F.expr(newer_sql(spec, late_delete))
-        if late_delete == LATE_WINS:
-            marked = {"is_active": F.lit(False), "op": F.lit("d"), AUDIT: F.col(f"s.{AUDIT}")}
-    take_new = ~has_old | (has_new & replaces)
-
-    def survivor(name: str) -> Column:
-        value = F.when(take_new, F.col(f"s.{name}"))
-        if name in marked:
-            value = value.when(has_new & deletes, marked[name])
-        return value.otherwise(F.col(f"t.{name}")).alias(name)
-
-    return joined.select(*[survivor(name) for name in spec.silver_schema().fieldNames()])
+        replaces = F.expr(newer_sql(spec, late_delete, (f"s.{ROW}", f"t.{ROW}")))
+    after = F.when(~has_old | (has_new & replaces), mine)
+    if delete_mode != HARD and late_delete == LATE_WINS:
+        marked = other.withField("is_active", F.lit(False)).withField("op", F.lit("d")).withField(AUDIT, mine.getField(AUDIT))
+        after = after.when(has_new & deletes, marked)
+    common = [F.coalesce(f"s.{name}", f"t.{name}").alias(name) for name in (spec.key, BUCKET)]
+    return joined.select(*common, *images(has_new, kept, other, after.otherwise(other)))

@@ -13,10 +13,13 @@ how changes were split into batches, or in which order they came.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltlake.functions.classes import is_active
+from siltlake.operators.feed import images
 from siltlake.spec import ARRIVAL, AUDIT, BUCKET, CELLS, POSITION, UNSENT, TableSpec
 
 
@@ -54,7 +57,7 @@ def prepare_partial(changes: DataFrame, spec: TableSpec, run_ts: Column) -> Data
     return _finished(rows, spec, run_ts.cast("timestamp"))
 
 
-def merge_partial(target: DataFrame, latest: DataFrame, spec: TableSpec) -> DataFrame:
+def merge_partial(target: DataFrame, latest: DataFrame, spec: TableSpec, with_images: bool = False) -> DataFrame:
     """Merge prepared changes, one per key, into silver rows, column by column."""
     key = spec.key
     same = (F.col(f"t.{key}") == F.col(f"s.{key}")) & (F.col(f"t.{BUCKET}") == F.col(f"s.{BUCKET}"))
@@ -79,14 +82,20 @@ def merge_partial(target: DataFrame, latest: DataFrame, spec: TableSpec) -> Data
     take = later(row_order("s"), row_order("t"))
     rest = [F.when(take, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).alias(name) for name in ("op", "ts_ms", ARRIVAL, POSITION)]
     touched = F.coalesce(F.col(f"s.{AUDIT}"), F.col(f"t.{AUDIT}"))
+    names = [name for name in spec.silver_schema().fieldNames() if name not in (key, BUCKET)]
+    came, before = F.col(f"s.{key}").isNotNull(), F.when(F.col(f"t.{key}").isNotNull(), F.struct(*[F.col(f"t.{name}") for name in names]))
     rows = joined.select(
-        F.coalesce(f"s.{key}", f"t.{key}").alias(key), *values, *rest, F.struct(*orders).alias(CELLS), touched.alias("_audit")
-    )
-    return _finished(rows, spec, F.col("_audit"))
+        F.coalesce(f"s.{key}", f"t.{key}").alias(key), *values, *rest, F.struct(*orders).alias(CELLS), touched.alias("_audit"),
+        *([came.alias("_new"), before.alias("_old")] if with_images else []),
+    )
+    if not with_images:
+        return _finished(rows, spec, F.col("_audit"))
+    done = _finished(rows, spec, F.col("_audit"), ["_new", "_old"])
+    return done.select(key, BUCKET, *images(F.col("_new"), F.lit(True), F.col("_old"), F.struct(*names)))
 
 
-def _finished(rows: DataFrame, spec: TableSpec, audit: Column) -> DataFrame:
+def _finished(rows: DataFrame, spec: TableSpec, audit: Column, more: Sequence[str] = ()) -> DataFrame:
     """Silver rows: derived columns follow from the merged values."""
     derived = {d.name: d.build() for d in spec.derived}
     silver = rows.withColumns({**derived, "is_active": is_active(F.col("op")), AUDIT: audit})
-    return silver.select(*[name for name, _ in spec.silver_columns], spec.bucket().alias(BUCKET))
+    return silver.select(*[name for name, _ in spec.silver_columns], spec.bucket().alias(BUCKET), *more)

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
@@ -27,6 +27,7 @@ from pyspark.sql.types import DataType
 from siltlake.functions import classes
 from siltlake.functions.values import AMOUNT_SCALE, day_of, day_text
 from siltlake.operators.latest import top_product_per_day
+from siltlake.operators.totals import add_totals
 from siltlake.plans import gold
 from siltlake.plans.lake import Lake
 from siltlake.session import sized_session
@@ -66,7 +67,7 @@ class Totals:
         """What signed rows add to each group, groups that stay as they are left out."""
         signed = rows if self.only is None else rows.filter(self.only)
         keyed = signed.select(*[c.alias(k) for k, c in self.keys.items()], *[c.alias(s) for s, c in self.sums.items()], SIGN)
-        sums = [F.sum(F.col(s) * F.col(SIGN)).cast(_wide(keyed.schema[s].dataType)).alias(s) for s in self.sums]
+        sums = [F.sum(F.when(F.col(SIGN) < 0, -F.col(s)).otherwise(F.col(s))).cast(_wide(keyed.schema[s].dataType)).alias(s) for s in self.sums]
         found = keyed.groupBy(*self.keys).agg(*[F.coalesce(s, F.lit(0)).alias(name) for s, name in zip(sums, self.sums)])
         changed = reduce(lambda a, b: a | b, [F.col(s) != 0 for s in self.sums])
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias(BUCKET)
@@ -84,19 +85,10 @@ class Totals:
             whole = self.contributions(self.source.on(session).read().withColumn(SIGN, F.lit(1).cast("bigint")))
             self.table.rebuild(whole.filter(F.col(ROWS) != 0), {MARK: upto}, self.buckets)
         else:
-            self.table.fold(self.contributions(self.source.deltas_since(done)), list(self.keys), self._add, {MARK: upto}, self.buckets)
+            add = partial(add_totals, keys=list(self.keys), sums=list(self.sums), rows=ROWS)
+            self.table.fold(self.contributions(self.source.deltas_since(done)), add, {MARK: upto}, self.buckets)
         return len({b for b, folder in self.table.folders().items() if before.get(b) != folder} | (set(before) - set(self.table.folders())))
 
-    def _add(self, old: DataFrame, new: DataFrame) -> DataFrame:
-        names = [BUCKET, *self.keys]
-        same = reduce(lambda a, b: a & b, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in names])
-        # A key may be NULL itself; the bucket never is.
-        side = lambda k: F.when(F.col(f"n.{BUCKET}").isNotNull(), F.col(f"n.{k}")).otherwise(F.col(f"o.{k}")).alias(k)
-        added = lambda s: (F.coalesce(f"o.{s}", F.lit(0)) + F.coalesce(f"n.{s}", F.lit(0))).cast(new.schema[s].dataType).alias(s)
-        joined = old.alias("o").join(new.alias("n"), same, "full_outer")
-        summed = joined.select(*[side(k) for k in self.keys], *[added(s) for s in self.sums], side(BUCKET))
-        return summed.select(*new.columns).filter(F.col(ROWS) != 0)
-
     def read(self) -> DataFrame:
         return self.table.read().drop(BUCKET)
 
@@ -137,14 +129,13 @@ class OrderMarts:
 
     def update(self) -> dict[str, int]:
         """Take all new commits of silver; how many buckets each total rewrote."""
-        written = {}
+        of_day, of_product = self._customers()
+        chains = [[self.by_user], [self.by_day_product], [self.day_users, of_day], [self.product_users, of_product]]
+        self.silver.feed()
         inherit = inheritable_thread_target(self.lake.spark)
-        with ThreadPoolExecutor(len(self.first)) as pool:
-            for group in (self.first, self._customers()):
-                for source in {total.source.path: total.source for total in group}.values():
-                    source.feed()
-                futures = {total.table.name: pool.submit(inherit(total.update)) for total in group}
-                written.update({name: future.result() for name, future in futures.items()})
+        with ThreadPoolExecutor(len(chains)) as pool:
+            futures = [pool.submit(inherit(_update_in_turn), chain) for chain in chains]
+            written = {name: buckets for future in futures for name, buckets in future.result().items()}
         for source, readers in ((self.silver, self.first), (self.day_users.table, self._customers()[:1]), (self.product_users.table, self._customers()[1:])):
             source.forget_deltas(min(reader.table.marks()[MARK] for reader in readers))
         return written
@@ -213,6 +204,15 @@ class OrderMarts:
         return {name: self.lake.gold(name).replace(frame) for name, frame in marts.items()}
 
 
+def _update_in_turn(chain: list[Totals]) -> dict[str, int]:
+    """Each total of a chain reads the feed of the one before."""
+    written = {}
+    for total in chain:
+        total.source.feed()
+        written[total.table.name] = total.update()
+    return written
+
+
 def _money(prefix: str) -> Column:
     """As ``exact_sum``: NULL without amounts, NaN if any is no number."""
     total = F.when(F.col(f"{prefix}amounts") > 0, F.col(f"{prefix}amount").cast("double"))

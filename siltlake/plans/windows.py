@@ -9,13 +9,14 @@ for each window, which bounds what a reader sums.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from siltlake.operators.audit import windowed_op_counts
+from siltlake.operators.totals import add_totals
 from siltlake.plans.lake import Lake
 from siltlake.spec import BUCKET, schema_of
 from siltlake.streaming.jobs import AVAILABLE_NOW, Trigger, append_stream
@@ -45,7 +46,7 @@ class LateWindows:
         upto = self.parts.marks()
         bucket = F.pmod(F.xxhash64(*KEYS), F.lit(self.buckets)).cast("int").alias(BUCKET)
         new = _summed(self.parts.read_since(self.settled.marks(), upto)).select("*", bucket)
-        return self.settled.fold(new, list(KEYS), _added, upto, self.buckets)
+        return self.settled.fold(new, partial(add_totals, keys=KEYS, sums=["cnt"]), upto, self.buckets)
 
     def read(self) -> DataFrame:
         """window_start, window_end, op and cnt, as far as events have come."""
@@ -55,12 +56,3 @@ class LateWindows:
 
 def _summed(parts: DataFrame) -> DataFrame:
     return parts.groupBy(*KEYS).agg(F.sum("cnt").alias("cnt"))
-
-
-def _added(old: DataFrame, new: DataFrame) -> DataFrame:
-    names = [BUCKET, *KEYS]
-    same = reduce(lambda a, b: a & b, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in names])
-    joined = old.alias("o").join(new.alias("n"), same, "full_outer")
-    keep = lambda k: F.when(F.col(f"n.{BUCKET}").isNotNull(), F.col(f"n.{k}")).otherwise(F.col(f"o.{k}")).alias(k)
-    cnt = (F.coalesce("o.cnt", F.lit(0)) + F.coalesce("n.cnt", F.lit(0))).alias("cnt")
-    return joined.select(*[keep(k) for k in KEYS], cnt, keep(BUCKET))

@@ -12,13 +12,14 @@ are not kept. Where tables need more, use a catalog (``tables/catalog.py``).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from siltlake.operators.feed import fed, feed_bucket
 from siltlake.operators.merge import LATE_WINS, SOFT, merge_latest
 from siltlake.session import fork_session, scratch_path, sized_session
 from siltlake.spec import BATCH, BUCKET, POSITION, SIGN, STREAM, TableSpec
@@ -28,6 +29,8 @@ from siltlake.tables.files import Files
 BY_HAND = "by-hand"
 # Fixed value: the folder of rows without a partition value.
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+# Files that a task of a commit may write side by side.
+OPEN_FILES = 32
 
 
 class ConcurrentCommitError(RuntimeError):
@@ -188,7 +191,11 @@ class ParquetState:
         many buckets keys are dealt to, changes held back (``held``), and, where
         commits are fed to readers, since which commit and the folders of each."""
         found = self._files.read_json(f"{self.path}/current.json")
-        return found or {"number": 0, "schema": self.declared_schema.jsonValue(), "folders": {}, "marks": {}, "unused": []}
+        found = found or {"number": 0, "schema": self.declared_schema.jsonValue(), "folders": {}, "marks": {}, "unused": []}
+        if any(isinstance(folder, str) for _, folder in found.get("deltas", [])):
+            # A feed of an older form: its readers read the table once instead.
+            found |= {"fed_from": found["number"], "deltas": []}
+        return found
 
     def _check_buckets(self, base: dict, spec: TableSpec) -> None:
         stored = base.get("buckets", spec.buckets)
@@ -230,11 +237,14 @@ class ParquetState:
 
     def deltas_since(self, number: int) -> DataFrame:
         """The rows that commits after ``number`` took out (sign -1) and put in
-        (sign 1). What a commit left as it was may be in both."""
+        (sign 1)."""
         pointer = self._pointer()
         schema = StructType([*StructType.fromJson(pointer["schema"]).fields, StructField(SIGN, LongType())])
-        folders = [f"{self.path}/{folder}" for commit, folder in pointer.get("deltas", []) if commit > number]
-        return self.spark.read.schema(schema).parquet(*folders) if folders else _no_rows(self.spark, schema)
+        folders = [f"{self.path}/data/{folder}" for commit, found in pointer.get("deltas", []) if commit > number for folder in found]
+        if not folders:
+            return _no_rows(self.spark, schema)
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*folders)
+        return rows.withColumn(BUCKET, feed_bucket(F.col(BUCKET))).select(*schema.fieldNames())
 
     def forget_deltas(self, upto: int) -> None:
         """Delete what all readers have taken."""
@@ -244,8 +254,8 @@ class ParquetState:
             left = [entry for entry in base["deltas"] if entry[0] > upto]
             pointer = {**base, "deltas": left, "fed_from": max(base["fed_from"], upto)}
             self._files.write_json(f"{self.path}/current.json", pointer)
-        for _, folder in done:
-            self._files.delete(f"{self.path}/{folder}")
+        for folder in (folder for _, found in done for folder in found):
+            self._files.delete(f"{self.path}/data/{folder}")
 
     def exists(self) -> bool:
         return self._pointer()["number"] > 0
@@ -306,16 +316,15 @@ class ParquetState:
         if base["number"] and StructType.fromJson(base["schema"]).simpleString() != spec.silver_schema().simpleString():
             raise ValueError(f"{self.path} has other columns than its specification: rebuild it from its history")
 
-        def combine(old: DataFrame, new: DataFrame) -> DataFrame:
-            return merge_latest(old, new, spec, delete_mode, late_delete)
+        def combine(old: DataFrame, new: DataFrame, with_images: bool = False) -> DataFrame:
+            return merge_latest(old, new, spec, delete_mode, late_delete, with_images)
 
-        return self.fold(latest, [spec.key], combine, marks, spec.buckets, held, spec.silver_schema())
+        return self.fold(latest, combine, marks, spec.buckets, held, spec.silver_schema())
 
     def fold(
         self,
         changes: DataFrame,
-        keys: Sequence[str],
-        combine: Callable[[DataFrame, DataFrame], DataFrame],
+        combine: Callable[..., DataFrame],
         marks: Mapping[str, int] | None = None,
         buckets: int | None = None,
         held: dict | None = None,
@@ -323,13 +332,15 @@ class ParquetState:
     ) -> int:
         """Replace the rows of the buckets that ``changes`` fall into by what
         ``combine`` makes of (rows, changes); returns the number of the commit.
-        ``keys`` tell rows of one thing, one of each side at most.
+        Where commits are fed to readers it is called ``with_images``, and what was
+        taken out and put in (``operators/feed.py``) is written along with the rows.
 
         The changes are first written to the shared scratch folder: they are not
         computed again, and a lost executor costs a re-read only. The buckets
         they fall into, as many as the specification has at most, are read and
-        rewritten. Both sides are dealt out by bucket once; the join and the
-        write keep that.
+        rewritten. Both sides are dealt out once: by bucket if there are as many
+        as shuffle partitions, which keeps files few, else by bucket and key, so
+        that the work is not held to as many tasks as there are buckets.
         """
         base = self._pointer()
         staged_at = scratch_path(self.spark, f"changes-{self.name}")
@@ -341,34 +352,39 @@ class ParquetState:
             touched = [bucket for bucket in seen.get["buckets"].split(",") if bucket]
             stored = sum(self._files.sizes(staged_at).values())
             stored += sum(base["folders"][b][1] for b in touched if b in base["folders"])
+            fed_too = "fed_from" in base
+            folders = len(touched) * (2 if fed_too else 1)
             session = fork_session(
-                sized_session(self.spark, stored), **{"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+                sized_session(self.spark, stored),
+                **{
+                    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+                    # Rows need no sort before the write if a task may keep a file open for each folder.
+                    "spark.sql.maxConcurrentOutputFileWriters": str(folders if folders <= OPEN_FILES else 0),
+                    # The default, INT96, takes a third of the time of reading orders back.
+                    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+                },
             )
             old = self.on(session)._read(base, touched)
             new = session.read.schema(schema or changes.schema).parquet(staged_at)
-            # A bucket stays in one task; several may share one.
-            width = max(1, min(2 * len(touched), int(session.conf.get("spark.sql.shuffle.partitions"))))
-            written = self._write(combine(old.repartition(width, BUCKET), new.repartition(width, BUCKET)))
-            delta = self._write_deltas(base, session, new, touched, written, keys) if "fed_from" in base else None
+            width = max(1, int(session.conf.get("spark.sql.shuffle.partitions")))
+            if width <= len(touched):
+                old, new = (side.repartition(width, BUCKET) for side in (old, new))
+            if fed_too:
+                names = (schema or changes.schema).fieldNames()
+                written, delta = self._apart(self._write(fed(combine(old, new, with_images=True), names)))
+            else:
+                written, delta = self._write(combine(old, new)), None
         finally:
             self._files.delete(staged_at)
         kept = {b: folder for b, folder in base["folders"].items() if b not in touched}
         marks = {**base["marks"], **(marks or {})}
         return self._commit(base, {**kept, **written}, marks, buckets=buckets, held=held, delta=delta)
 
-    def _write_deltas(
-        self, base: dict, session: SparkSession, new: DataFrame, touched: list[str], written: dict, keys: Sequence[str]
-    ) -> str:
-        """The rows of the keys that changes came for, before and after."""
-        folder = f"deltas/commit={uuid.uuid4().hex}"
-        names = [BUCKET, *keys]
-        came = new.select(*[F.col(k).alias(f"_came_{k}") for k in names])
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_came_{k}")) for k in names])
-        table = self.on(session)
-        sides = ((table._read(base, touched), -1), (table._read({**base, "folders": written}), 1))
-        parts = [rows.join(came, same, "left_semi").withColumn(SIGN, F.lit(sign).cast("bigint")) for rows, sign in sides]
-        parts[0].unionByName(parts[1]).write.parquet(f"{self.path}/{folder}")
-        return folder
+    @staticmethod
+    def _apart(written: dict[str, list]) -> tuple[dict[str, list], list[str]]:
+        """The folders of a commit's rows, and those of its feed."""
+        rows = {bucket: folder for bucket, folder in written.items() if int(bucket) >= 0}
+        return rows, sorted(folder[0] for bucket, folder in written.items() if bucket not in rows)
 
     def _write(self, df: DataFrame) -> dict[str, list]:
         """Write rows to a folder that no pointer names yet, and count them there
@@ -399,7 +415,7 @@ class ParquetState:
         schema: StructType | None = None,
         buckets: int | None = None,
         held: dict | None = None,
-        delta: str | None = None,
+        delta: list[str] | None = None,
         restart: bool = False,
     ) -> int:
         if self._pointer()["number"] != base["number"]:

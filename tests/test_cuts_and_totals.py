@@ -19,6 +19,7 @@ from siltlake.sources.envelope import parse_envelopes
 from siltlake.spec import ORDERS, PRODUCTS, USERS
 from siltlake.streaming import jobs
 from siltlake.tables.files import Files
+from siltlake.tables.store import ParquetState
 import samples
 
 
@@ -215,3 +216,42 @@ def test_odd_images_do_not_stop_a_stream(spark, tmp_path):
     images = {r["offset"]: r["after_state"] for r in found}
     assert images[0] == "abc" and json.loads(json.dumps(images[1])) == '{"id":1,"id":2}' and images[2] == 7 and images[3] == {"id": 1}
     assert as_messages(route(parse_envelopes(samples.messages_frame(spark, rows)), {"t": "true"})).count() == 4
+
+
+# -- the feed of a commit -----------------------------------------------------------
+
+
+def fed_rows(table, number):
+    return sorted((r["_sign"], r["id"], r["total_amount"], r["key_bucket"]) for r in table.deltas_since(number).collect())
+
+
+def test_a_commit_feeds_changed_rows_only_and_from_one_pass(spark, lake, monkeypatch):
+    """Each side is read once for rows and feed, the work is not held to as many
+    tasks as there are buckets, and rows that stay as they were are not fed."""
+    spec = ORDERS.with_options(buckets=2)
+    table = lake.silver(spec)
+    table.feed()
+    order = lambda i, a, t, o="u": (i, i, 1, a, 0, o, t)
+    upsert_silver(table, order_rows(spark, [order(i, 1.0, 5) for i in range(40)]), spec, now(), late_delete=LATE_IGNORED)
+    assert [r[:3] for r in fed_rows(table, 0)] == [(1, i, 1.0) for i in range(40)]
+    plans, write = [], ParquetState._write
+    monkeypatch.setattr(ParquetState, "_write", lambda self, df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(self, df))[1])
+    batch = [order(7, 2.0, 9), order(8, 3.0, 1), order(50, 4.0, 1), order(9, 5.0, 8, "d")]  # 8 comes late
+    upsert_silver(table, order_rows(spark, batch), spec, now(), late_delete=LATE_IGNORED)
+    fed = fed_rows(table, 1)
+    assert [r[:3] for r in fed] == [(-1, 7, 1.0), (-1, 9, 1.0), (1, 7, 2.0), (1, 9, 5.0), (1, 50, 4.0)]
+    buckets = {r["id"]: r["key_bucket"] for r in table.read().collect()}
+    assert len(buckets) == 41 == table.counts()[0] and all(buckets[i] == b for _, i, _, b in fed)
+    assert len(plans) == 1 and plans[0].count("FileScan parquet") == 2
+    assert "Exchange hashpartitioning(key_bucket" not in plans[0]
+    table.forget_deltas(table.number())
+    assert table.deltas_since(0).isEmpty() and table.read().count() == 41
+
+
+def test_a_removed_row_is_fed_as_taken_out(spark, lake):
+    table = lake.silver(ORDERS)
+    table.feed()
+    order = lambda i, a, o: (i, i, 1, a, 0, o, 1)
+    upsert_silver(table, order_rows(spark, [order(1, 1.0, "c"), order(2, 2.0, "c")]), ORDERS, now(), delete_mode="hard")
+    upsert_silver(table, order_rows(spark, [order(1, 1.0, "d"), order(3, 3.0, "d")]), ORDERS, now(), delete_mode="hard")
+    assert [r[:3] for r in fed_rows(table, 1)] == [(-1, 1, 1.0)] and table.read().count() == 1
